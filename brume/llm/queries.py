@@ -7,6 +7,7 @@ import importlib
 _MODULES = {
     "op1_packing": "packing",
     "op4_token_counts": "token_counts",
+    "op5_benchmark_decontamination": "decontamination",
     "op6_quality_rules": "quality_rules",
     "op7_sharding": "sharding",
     "op8_token_store": "token_store",
@@ -18,4 +19,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {}
+    from .decontamination import ORACLE_SQL
+
+    return {"op5_benchmark_decontamination": ORACLE_SQL}
