@@ -66,10 +66,11 @@ def load_tokenizer(path: str):
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of all texts in one array, and n + 1 offsets; null counts as empty."""
+    """Bytes of all texts (or binary values) in one array, and n + 1 offsets; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    binary = pa.types.is_binary(texts.type) or pa.types.is_large_binary(texts.type)
+    texts = pc.fill_null(texts.cast(pa.large_binary() if binary else pa.large_string()), b"" if binary else "")
     if len(texts) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = texts.buffers()

@@ -11,6 +11,7 @@ _MODULES = {
     "op6_quality_rules": "quality_rules",
     "op7_sharding": "sharding",
     "op8_token_store": "token_store",
+    "op9_suffix_array_dedup": "suffix_dedup",
 }
 
 
