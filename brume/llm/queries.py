@@ -6,6 +6,7 @@ import importlib
 
 _MODULES = {
     "op1_packing": "packing",
+    "op2_html_extraction": "html_extraction",
     "op3_ngram_jaccard_join": "jaccard_join",
     "op4_token_counts": "token_counts",
     "op5_benchmark_decontamination": "decontamination",
