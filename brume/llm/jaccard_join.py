@@ -283,5 +283,12 @@ def near_duplicates(
     return every.join(known, "text_hash").select("row", F.col("doc").alias("doc_id"), F.col("top.doc").alias("class_id"), "n_links", "n_copies", (F.col("row") == F.col("top.row")).alias("is_first"))
 
 
+def keep_firsts(docs: DataFrame, *, max_broadcast: int = 1_000_000, **options) -> DataFrame:
+    """One row of each near-duplicate class (`is_first` of `near_duplicates`), with all columns of `docs`."""
+    later = written(near_duplicates(docs, max_broadcast=max_broadcast, **options).where("not is_first").select(F.col("row").alias("_row")), "later")
+    later = sized_broadcast(later, later.count(), max_broadcast)
+    return docs.withColumn("_row", F.monotonically_increasing_id()).join(later, "_row", "left_anti").select(*docs.columns)
+
+
 def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "class_id", "n_links", "n_copies")

@@ -168,6 +168,10 @@ def pack(
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text")).mapInArrow(run, SCHEMA)
 
 
-def op1_packing(spark, sf_dir: str) -> DataFrame:
-    pieces = pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+def digest(pieces: DataFrame) -> DataFrame:
+    """Pieces with the CRC-32 of their ids in place of the ids."""
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op1_packing(spark, sf_dir: str) -> DataFrame:
+    return digest(pack(spark.read.parquet(f"{sf_dir}/documents.parquet")))

@@ -143,6 +143,17 @@ def _measure(data: np.ndarray, at: np.ndarray, least: int) -> dict[str, np.ndarr
     return out
 
 
+def _verdicts(texts: pa.Array, least: int, most_covered: float, most_longest: int) -> Iterator[tuple[int, int, dict[str, np.ndarray]]]:
+    """Ranges of rows with their measures, `base_failed` and `kept`."""
+    texts = pc.binary_join_element_wise(pc.fill_null(texts, "").cast(pa.large_string()), pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
+    data, at = text_bytes(texts)
+    for a, b in byte_groups(np.diff(at), 4 << 20):
+        m = _measure(data[at[a] : at[b]], at[a : b + 1] - at[a], least)
+        m["base_failed"] = (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
+        m["kept"] = ~m["base_failed"] & (m["covered_words"] <= most_covered * m["n_words"]) & (m["longest_repeat"] <= np.minimum(most_longest, m["n_words"] // 2))
+        yield a, b, m
+
+
 def quality(docs: DataFrame, *, least: int = 10, most_covered: float = 0.2, most_longest: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Counts and a verdict for every row: see SCHEMA.
 
@@ -153,18 +164,25 @@ def quality(docs: DataFrame, *, least: int = 10, most_covered: float = 0.2, most
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "longest_repeat", "covered_words"]
         for batch in batches:
-            texts = pc.binary_join_element_wise(pc.fill_null(batch.column(1), "").cast(pa.large_string()), pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
-            data, at = text_bytes(texts)
-            for a, b in byte_groups(np.diff(at), 4 << 20):
-                m = _measure(data[at[a] : at[b]], at[a : b + 1] - at[a], least)
-                failed = (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
-                kept = ~failed & (m["covered_words"] <= most_covered * m["n_words"]) & (m["longest_repeat"] <= np.minimum(most_longest, m["n_words"] // 2))
-                names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "longest_repeat", "covered_words"]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(m[k], pa.int64()) for k in names), pa.array(failed), pa.array(kept)], names=["doc_id", *names, "base_failed", "kept"])
+            for a, b, m in _verdicts(batch.column(1), least, most_covered, most_longest):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(m[k], pa.int64()) for k in names), pa.array(m["base_failed"]), pa.array(m["kept"])], names=["doc_id", *names, "base_failed", "kept"])
 
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text")).mapInArrow(run, SCHEMA)
 
 
+def keep_good(docs: DataFrame, *, least: int = 10, most_covered: float = 0.2, most_longest: int = 100, text_column: str = "text") -> DataFrame:
+    """The rows of `docs` that `quality` keeps, with all their columns and without a join."""
+    place = docs.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, m in _verdicts(batch.column(place), least, most_covered, most_longest):
+                yield batch.slice(a, b - a).filter(pa.array(m["kept"]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
     return quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
