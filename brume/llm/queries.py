@@ -14,6 +14,7 @@ _MODULES = {
     "op7_sharding": "sharding",
     "op8_token_store": "token_store",
     "op9_suffix_array_dedup": "suffix_dedup",
+    "op10_lm_scoring": "lm_scoring",
 }
 
 
