@@ -55,7 +55,7 @@ def standardize_index(df: DataFrame) -> DataFrame:
 
 def standardize_index_cf(df: DataFrame, names: dict[str, str]) -> DataFrame:
     """CF names and level types; accumulated fields by parameter."""
-    cf = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))
+    cf = F.create_map(*(F.lit(x) for kv in (names or {"": ""}).items() for x in kv))
     levels = F.create_map(*(F.lit(x) for kv in LEVEL_NAMES.items() for x in kv))
     return df.withColumns({
         "varname": F.coalesce(cf[F.col("param")], F.col("param")), "typeOfLevel": F.coalesce(levels[F.col("levtype")], F.col("levtype")),
