@@ -12,7 +12,7 @@ anchor by anchor, with nothing missed:
 3. Anchors with very many different stretches are not gathered: hashes of their windows are counted instead, after a
    sum within each task.
 
-The texts themselves are never shuffled while what they meet is small enough to broadcast, which is counted first.
+Texts are shuffled twice, to fetch stretches and to be cut; all else that moves is hashes and stretches.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_groups, sized_broadcast, text_bytes, text_or_empty, written
+from .common import byte_groups, text_bytes, text_or_empty, written
 from .hashing import ByteHashes, sliding_min
 
 ANCHOR = 32
@@ -90,82 +90,59 @@ def _find_stretches(least: int):
     return run
 
 
-def prefix_order(data: np.ndarray, stop: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """Suffixes ordered by their first `depth` bytes or more, and ranks by the first 8, 16, 32, ... bytes.
+def suffix_order(data: np.ndarray, starts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the suffixes at `starts` that can match another one, in suffix order, and their common prefixes.
 
-    `stop` is the end of each suffix's text; ranks are exact for suffixes that reach as far as they compare.
+    Symbols are pieces of an eighth of `least` bytes, ordered by hash, so suffixes sort by the symbols that follow each
+    other in them. A suffix of which one symbol occurs nowhere else has no match and is left out. The common prefix with
+    the suffix before is counted in whole symbols and reaches `least` where all bytes agree.
     """
-    n = len(data)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
-    key = np.zeros(n, np.uint64)
-    where = np.arange(n)
-    for k in range(8):
-        key = key << np.uint64(8) | np.where(where + k < stop, padded[k : k + n], np.uint64(0))
-    order = np.argsort(key, kind="stable")
-    heads = np.concatenate([[True], np.diff(key[order].view(np.int64)) != 0])
-    rank = np.empty(n, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(heads, where, 0))
-    ranks, h = [(8, rank)], 8
-    while h < depth:
-        size = np.diff(np.append(np.flatnonzero(heads), n))
-        tied = np.flatnonzero(np.repeat(size > 1, size))
-        if not len(tied):
-            break
-        who = order[tied]
-        ahead = who + h
-        second = np.where(ahead < stop[who], rank[np.minimum(ahead, n - 1)] + 1, 0)
-        by = np.lexsort((who, second, rank[who]))
-        who, second = who[by], second[by]
-        order[tied] = who
-        lead = rank[who]
-        fresh = np.concatenate([[True], (np.diff(lead) != 0) | (np.diff(second) != 0)])
-        heads[tied] |= fresh
-        rank = rank.copy()
-        rank[who] = np.maximum.accumulate(np.where(fresh, tied, 0))
-        h *= 2
-        ranks.append((h, rank))
-    return order, ranks
-
-
-def common_prefix(order: np.ndarray, ranks: list[tuple[int, np.ndarray]], stop: np.ndarray) -> np.ndarray:
-    """Common prefix of each suffix with the one before it in the order, in steps of 8 bytes, up to twice the last rank."""
-    n = len(order)
-    out = np.zeros(n, np.int64)
-    pair = np.flatnonzero(np.diff(ranks[0][1][order]) == 0) + 1
-    a, b = order[pair - 1], order[pair]
-    got = np.zeros(len(pair), np.int64)
-    for h, rank in reversed(ranks):
-        x, y = a + got, b + got
-        same = (x + h <= stop[a]) & (y + h <= stop[b]) & (rank[np.minimum(x, n - 1)] == rank[np.minimum(y, n - 1)])
-        got += np.where(same, h, 0)
-    out[pair] = got
-    return out
+    unit = max(1, least // 8)
+    hashes = ByteHashes(data).windows(unit)
+    order = np.argsort(hashes)
+    fresh = np.concatenate([[True], np.diff(hashes[order].view(np.int64)) != 0])
+    symbol = np.empty(len(hashes), np.int64)
+    symbol[order] = np.cumsum(fresh) - 1
+    common = np.bincount(symbol)[symbol] > 1
+    steps = [*range(0, least - unit + 1, unit)]
+    if steps[-1] != least - unit:
+        steps.append(least - unit)
+    alive = np.ones(len(starts), bool)
+    for step in steps:
+        alive &= common[starts + step]
+    starts = starts[alive]
+    symbols = [symbol[starts + step] for step in steps]
+    by = np.lexsort((starts, *reversed(symbols)))
+    lcp = np.zeros(len(by), np.int64)
+    same = np.ones(max(0, len(by) - 1), bool)
+    for step, column in zip(steps, symbols, strict=True):
+        same &= np.diff(column[by]) == 0
+        lcp[1:][same] = step + unit
+    return starts[by], lcp
 
 
 def longest_previous_factor(order: np.ndarray, lcp: np.ndarray, least: int) -> np.ndarray:
-    """Length of the longest match that starts earlier, for each position; 0 where none reaches `least`.
+    """Length of the longest match that starts earlier, for each suffix of the order; 0 where none reaches `least`.
 
-    Only neighbours in suffix order that share `least` symbols can match, so each such interval is scanned on its own,
-    once for the previous and once for the next smaller position.
+    Only neighbours in suffix order that share `least` bytes can match, so each such interval is scanned on its own,
+    for the previous and for the next smaller position of each suffix.
     """
     best = np.zeros(len(order), np.int64)
     linked = lcp >= least
     inside = linked.copy()
     inside[:-1] |= linked[1:]
     places = np.flatnonzero(inside)
-    stack: list[list[int]] = []  # [position, match with the one below]
-    for r, position, link in zip(places.tolist(), order[places].tolist(), lcp[places].tolist(), strict=True):
-        if not linked[r]:
+    stack: list[tuple[int, int, int]] = []  # position, place in the order, match with the one below
+    for r, position, link, joined in zip(places.tolist(), order[places].tolist(), lcp[places].tolist(), linked[places].tolist(), strict=True):
+        if not joined:
             stack = []
         while stack and stack[-1][0] > position:  # its next smaller position is this one
-            top, below = stack.pop()
+            _, top, below = stack.pop()
             best[top] = max(best[top], link)
-            link = min(link, below) if stack else link
+            link = min(link, below)
         if stack:
-            best[position] = max(best[position], link)
-            stack.append([position, link])
-        else:
-            stack.append([position, 1 << 60])
+            best[r] = max(best[r], link)
+        stack.append((position, r, link if stack else 1 << 60))
     return best
 
 
@@ -173,19 +150,12 @@ def _windows_with_match(texts: list[bytes], n: np.ndarray, least: int, earlier:
     """For each stretch, which of its windows match another one (an earlier one, if asked)."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    stop = np.repeat(at[1:], np.diff(at))
-    order, ranks = prefix_order(data, stop, least)
-    lcp = common_prefix(order, ranks, stop)
-    # the rest of `least` beyond the last full step
-    close = np.flatnonzero((lcp < least) & (lcp >= least - least % 8) & (lcp > 0))
-    for r in close.tolist():
-        a, b = int(order[r - 1]), int(order[r])
-        if a + least <= stop[a] and b + least <= stop[b] and np.array_equal(data[a + lcp[r] : a + least], data[b + lcp[r] : b + least]):
-            lcp[r] = least
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    order, lcp = suffix_order(data, np.repeat(at[:-1], n) + step, least)
+    hit = np.zeros(len(data), bool)
     if earlier:
-        hit = longest_previous_factor(order, lcp, least) >= least
+        hit[order] = longest_previous_factor(order, lcp, least) >= least
     else:
-        hit = np.zeros(len(data), bool)
         hit[order] = np.maximum(lcp, np.append(lcp[1:], 0)) >= least
     return [hit[s : s + k] for s, k in zip(at[:-1].tolist(), n.tolist(), strict=True)]
 
@@ -196,7 +166,10 @@ def _spans(mask: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _match_stretches(least: int, earlier: bool):
-    """Rows sorted by anchor, doc, row, first: (anchor, doc, row, first, n, alone, bytes) -> (row, first, n)."""
+    """Rows sorted by anchor, doc, row, first: (anchor, doc, row, first, n, alone, bytes) -> (row, first, n).
+
+    Windows match only within an anchor, so the order of places matters only there.
+    """
 
     def settle(held: list[tuple]) -> pa.RecordBatch:
         out: list[tuple] = []
@@ -219,14 +192,11 @@ def _match_stretches(least: int, earlier: bool):
                     held += group
                     group = []
                     if size > 1 << 20:
-                        yield settle(sorted_by_place(held))
+                        yield settle(held)
                         held, size = [], 0
                 group.append(x)
                 size += len(x[5])
-        yield settle(sorted_by_place(held + group))
-
-    def sorted_by_place(held: list[tuple]) -> list[tuple]:
-        return held  # groups come in the order of doc, row, first; order matters only within an anchor
+        yield settle(held + group)
 
     return run
 
@@ -247,7 +217,12 @@ def _window_hashes(least: int):
     return run
 
 
-def repeated_windows(docs: DataFrame, *, least: int = 400, keep_first: bool, hot: int = 4096, max_broadcast: int = 1_000_000) -> DataFrame:
+def _free_shuffles(docs: DataFrame) -> None:
+    """Let Spark drop the shuffle files of what has been written: its cleaner follows the JVM's garbage collection."""
+    docs.sparkSession.sparkContext._jvm.System.gc()
+
+
+def repeated_windows(docs: DataFrame, *, least: int = 400, keep_first: bool, hot: int = 4096) -> DataFrame:
     """(row, first, n): runs of n windows of `least` bytes, from byte `first` of the text, that must go.
 
     `docs`: row, doc, text. With `keep_first` those that start earlier too (by doc, row, place), else those that start
@@ -264,10 +239,10 @@ def repeated_windows(docs: DataFrame, *, least: int = 400, keep_first: bool, hot
     whole = whole.select("row", "first", "n")
 
     single = kinds.where("kinds > 1").select("anchor", "p.doc", "p.row", "p.first", "n", (F.col("times") == 1).alias("alone"), (F.col("kinds") > hot).alias("crowd"))
-    single = sized_broadcast(single, single.count(), max_broadcast)
     body = F.substring(F.encode("text", "UTF-8"), F.col("first").cast("int") + 1, F.col("n") + least - 1)
     texts = docs.select("row", "text").join(single, "row").select("anchor", "doc", "row", "first", "n", "alone", "crowd", body.alias("body"))
     texts = written(texts, "bodies")
+    _free_shuffles(docs)
     calm = texts.where("not crowd").drop("crowd").repartition("anchor").sortWithinPartitions("anchor", "doc", "row", "first")
     matched = calm.mapInArrow(_match_stretches(least, keep_first), "row long, first long, n int")
 
@@ -305,7 +280,7 @@ def _cut(least: int, text_at: int):
     return run
 
 
-def dedup(docs: DataFrame, *, least: int = 400, keep_first: bool = True, hot: int = 4096, max_broadcast: int = 1_000_000, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, *, least: int = 400, keep_first: bool = True, hot: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """All rows and columns of `docs`, with what is left of each text.
 
     Adds `_kept` (bytes), `_removed` (bytes) and `_spans` (maximal removed runs). A byte goes if a string of `least`
@@ -316,10 +291,10 @@ def dedup(docs: DataFrame, *, least: int = 400, keep_first: bool = True, hot: in
     """
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
     keyed = rows.select(F.col("_row").alias("row"), F.col(id_column).cast("long").alias("doc"), text_or_empty(text_column).alias("text"))
-    gone = repeated_windows(keyed, least=least, keep_first=keep_first, hot=hot, max_broadcast=max_broadcast)
+    gone = repeated_windows(keyed, least=least, keep_first=keep_first, hot=hot)
     gone = written(gone.groupBy("row").agg(F.collect_list(F.struct("first", "n")).alias("_gone")), "gone")
-    size = gone.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("_gone")), F.lit(0)).alias("spans")).first()
-    gone = sized_broadcast(gone, size["rows"] + size["spans"], 2 * max_broadcast).withColumnRenamed("row", "_row")
+    _free_shuffles(docs)
+    gone = gone.withColumnRenamed("row", "_row")
     joined = rows.join(gone, "_row", "left").select(*docs.columns, "_gone")
     schema = joined.drop("_gone").withColumns({"_kept": F.lit(b""), "_removed": F.lit(0).cast("long"), "_spans": F.lit(0).cast("long")}).schema
     return joined.mapInArrow(_cut(least, docs.columns.index(text_column)), schema)
