@@ -51,6 +51,14 @@ def sized_broadcast(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= max_rows else df
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, longer if the table has such a column already."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
@@ -129,8 +137,9 @@ class UnitEncoder:
       changes nothing.
 
     Strings of special tokens hold no white space and none of these marks, so they lie within one unit; where
-    one could occur, letters are not lowered. A unit of ASCII letters only is one piece by either pattern and
-    goes to the library's model as it is.
+    one could occur, letters are not lowered. A unit of Latin letters only is one piece by either pattern; in its
+    byte-level form it goes to the library's model as it is (these letters have no combining forms, and lower one
+    by one).
     """
 
     def __init__(self, path: str, words: bool, max_units: int = 700_000):
@@ -153,12 +162,17 @@ class UnitEncoder:
         out: list = [None] * len(units)
         rest = []
         for i, u in enumerate(units):
-            bare = u.rstrip() if self.words else u[u[:1] == b" " :]
-            if bare.isalpha():
-                piece = bare.decode() if self.words or bare is u else "\u0120" + bare.decode()  # the byte-level form of a space
-                out[i] = [t.id for t in self.model.tokenize(piece)]
-            else:
-                rest.append(i)
+            bare = u.rstrip().lower() if self.words else u[u[:1] == b" " :]
+            if not bare.isalpha():
+                letters = bare.decode()
+                if not (letters.isalpha() and max(letters) < "\u0180" and "\u0130" not in letters):
+                    rest.append(i)
+                    continue
+                bare = (letters.lower() if self.words else letters).encode()
+            piece = bare.decode("latin-1").translate(_BYTE_FORM)
+            if not self.words and u[:1] == b" ":
+                piece = _BYTE_FORM[32] + piece
+            out[i] = [t.id for t in self.model.tokenize(piece)]
         for i, e in zip(rest, self.tokenizer.encode_batch_fast([units[i].decode() for i in rest], add_special_tokens=False), strict=True):
             out[i] = e.ids
         return out
@@ -228,6 +242,14 @@ class UnitEncoder:
         return ids, offsets
 
 
+def _byte_form() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if it prints, else the next from 256."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTE_FORM = _byte_form()
 _MARK = np.zeros(256, bool)
 _MARK[list(b",.;:!?")] = True
 

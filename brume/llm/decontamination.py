@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import sized_broadcast, text_or_empty, written
+from .common import fresh, sized_broadcast, text_or_empty, written
 
 #: Fixed seed masks: words at 1 are hashed. They let through a substitution in every third, and in every fifth word.
 MASKS = ("11011011", "1111011")
@@ -86,9 +86,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, *, masks=MASKS, least: int =
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of `docs` that hold no benchmark passage, with all their columns; see `overlaps`."""
     key = options.get("id_column", "doc_id")
-    leaks = written(overlaps(docs, benchmark, **options).select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
+    leak = fresh(docs, "_leak")
+    leaks = written(overlaps(docs, benchmark, **options).select(F.col("doc_id").alias(leak)).distinct(), "leaks")
     leaks = sized_broadcast(leaks, leaks.count(), options.get("max_broadcast", 1_000_000))
-    return docs.join(leaks, docs[key].cast("long").eqNullSafe(leaks["_leak"]), "left_anti")
+    return docs.join(leaks, docs[key].cast("long").eqNullSafe(leaks[leak]), "left_anti")
 
 
 def op5_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_groups, is_space, sized_broadcast, text_bytes, text_or_empty, word_starts, written
+from .common import byte_groups, fresh, is_space, sized_broadcast, text_bytes, text_or_empty, word_starts, written
 from .hashing import ByteHashes, mix
 
 SKETCHES = "kind string, row long, doc long, text_hash binary, tree int, prefix long, signature binary, members array<long>"
@@ -285,9 +285,10 @@ def near_duplicates(
 
 def keep_firsts(docs: DataFrame, *, max_broadcast: int = 1_000_000, **options) -> DataFrame:
     """One row of each near-duplicate class (`is_first` of `near_duplicates`), with all columns of `docs`."""
-    later = written(near_duplicates(docs, max_broadcast=max_broadcast, **options).where("not is_first").select(F.col("row").alias("_row")), "later")
+    later = written(near_duplicates(docs, max_broadcast=max_broadcast, **options).where("not is_first").select("row"), "later")
+    row = fresh(docs, "_row")
     later = sized_broadcast(later, later.count(), max_broadcast)
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(later, "_row", "left_anti").select(*docs.columns)
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(later.withColumnRenamed("row", row), row, "left_anti").select(*docs.columns)
 
 
 def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

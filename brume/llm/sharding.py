@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import fresh, text_or_empty
 
 
 def partition_counts(docs: DataFrame) -> dict[int, int]:
@@ -42,16 +42,20 @@ def communication_matrix(counts: dict[int, int], shards: int, seed: int) -> dict
 def shuffle_into_shards(docs: DataFrame, *, shards: int = 24, seed: int = 20, rows_per_block: int = 65_536) -> DataFrame:
     """All rows and columns of `docs`, with `_shard` (0 to shards - 1) and `_slot` (gapless from 0 in each shard).
 
+    Input columns of these two names go.
+
     Nulls, repeated rows and empty texts are rows like any other; an empty table stays empty. `docs` must give the same
     partitions when it is computed again, as a scan or a checkpoint does; a partition that has grown raises an error.
     A shard of more than `rows_per_block` rows is ordered in blocks, by ranges of the random key, so no task holds it
     whole.
     """
+    docs = docs.drop("_shard", "_slot")
+    key_name, block_name, within_name, first_name = (fresh(docs, n) for n in ("_key", "_block", "_within", "_first"))
     counts = partition_counts(docs)
     matrix = communication_matrix(counts, shards, seed)
     blocks = max(1, -(-sum(counts.values()) // (shards * rows_per_block)))
     sent = docs.sparkSession.sparkContext.broadcast({p: a.astype(np.int64) for p, a in matrix.items()})
-    schema = docs.limit(0).withColumns({"_shard": F.lit(0), "_key": F.lit(0).cast("long")}).schema
+    schema = docs.limit(0).withColumns({"_shard": F.lit(0), key_name: F.lit(0).cast("long")}).schema
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = TaskContext.get().partitionId()
@@ -64,19 +68,19 @@ def shuffle_into_shards(docs: DataFrame, *, shards: int = 24, seed: int = 20, ro
             if at + n > len(goes):
                 raise RuntimeError("the input gave other partitions when it was read again")
             key = rng.integers(0, 1 << 62, n)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(goes[at : at + n]), pa.array(key)], names=[*batch.schema.names, "_shard", "_key"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(goes[at : at + n]), pa.array(key)], names=[*batch.schema.names, "_shard", key_name])
             at += n
 
-    block = F.floor(F.col("_key") / F.lit((1 << 62) / blocks)).cast("int")
-    dealt = docs.mapInArrow(deal, schema).withColumn("_block", F.least(block, F.lit(blocks - 1)))
-    within = F.row_number().over(Window.partitionBy("_shard", "_block").orderBy("_key")) - 1
+    block = F.floor(F.col(key_name) / F.lit((1 << 62) / blocks)).cast("int")
+    dealt = docs.mapInArrow(deal, schema).withColumn(block_name, F.least(block, F.lit(blocks - 1)))
+    within = F.row_number().over(Window.partitionBy("_shard", block_name).orderBy(key_name)) - 1
     if blocks == 1:
-        return dealt.withColumn("_slot", within.cast("long")).drop("_key", "_block")
-    sizes = docs.select(F.lit(1).alias("_one")).mapInArrow(deal, "_one int, _shard int, _key long").withColumn("_block", F.least(block, F.lit(blocks - 1)))
-    sizes = sizes.groupBy("_shard", "_block").agg(F.count("*").alias("n"))
-    first = F.sum("n").over(Window.partitionBy("_shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select("_shard", "_block", F.coalesce(first, F.lit(0)).alias("_first"))
-    return dealt.withColumn("_within", within).join(offsets, ["_shard", "_block"]).withColumn("_slot", (F.col("_first") + F.col("_within")).cast("long")).drop("_key", "_block", "_within", "_first")
+        return dealt.withColumn("_slot", within.cast("long")).drop(key_name, block_name)
+    sizes = docs.select(F.lit(1).alias("_one")).mapInArrow(deal, f"_one int, _shard int, `{key_name}` long").withColumn(block_name, F.least(block, F.lit(blocks - 1)))
+    sizes = sizes.groupBy("_shard", block_name).agg(F.count("*").alias("n"))
+    first = F.sum("n").over(Window.partitionBy("_shard").orderBy(block_name).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("_shard", block_name, F.coalesce(first, F.lit(0)).alias(first_name))
+    return dealt.withColumn(within_name, within).join(offsets, ["_shard", block_name]).withColumn("_slot", (F.col(first_name) + F.col(within_name)).cast("long")).drop(key_name, block_name, within_name, first_name)
 
 
 def op7_sharding(spark, sf_dir: str) -> DataFrame:
