@@ -83,7 +83,7 @@ def fetch_ranges(refs: DataFrame, partitions: int, retries: int = 3) -> DataFram
             yield part.assign(data=data, status=status)
 
     near = refs.repartition(partitions, "uri").sortWithinPartitions("uri", "offset")
-    return near.mapInPandas(fetch, refs.withColumns({"data": F.lit(b""), "status": F.lit("")}).schema)
+    return near.mapInPandas(fetch, refs.withColumns({"data": F.lit(None).cast("binary"), "status": F.lit("")}).schema)
 
 
 def discover_members(files: DataFrame, pattern: str = r"/(gep\d{2}|control|ens\d{2})\.", path: str = "path") -> DataFrame:
