@@ -154,7 +154,7 @@ def _verdicts(texts: pa.Array, least: int, most_covered: float, most_longest: in
         yield a, b, m
 
 
-def quality(docs: DataFrame, *, least: int = 10, most_covered: float = 0.2, most_longest: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def quality(docs: DataFrame, *, least: int = 10, most_covered: float = 0.3, most_longest: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Counts and a verdict for every row: see SCHEMA.
 
     `base_failed`: fewer than 50 words, or over half of them in 3-word windows that repeat. `kept`: not so, and repeats
@@ -172,7 +172,7 @@ def quality(docs: DataFrame, *, least: int = 10, most_covered: float = 0.2, most
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text")).mapInArrow(run, SCHEMA)
 
 
-def keep_good(docs: DataFrame, *, least: int = 10, most_covered: float = 0.2, most_longest: int = 100, text_column: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, *, least: int = 10, most_covered: float = 0.3, most_longest: int = 100, text_column: str = "text") -> DataFrame:
     """The rows of `docs` that `quality` keeps, with all their columns and without a join."""
     place = docs.columns.index(text_column)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import importlib
 
+from ..ship import shipped
+
 _MODULES = {
     "op1_packing": "packing",
     "op2_html_extraction": "html_extraction",
@@ -19,7 +21,7 @@ _MODULES = {
 
 
 def queries() -> dict:
-    return {name: getattr(importlib.import_module(f"{__package__}.{module}"), name) for name, module in _MODULES.items()}
+    return {name: shipped(getattr(importlib.import_module(f"{__package__}.{module}"), name)) for name, module in _MODULES.items()}
 
 
 def oracle_sql() -> dict:

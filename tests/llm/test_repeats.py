@@ -166,7 +166,7 @@ def test_quality_matches_brute_force(docs):
         longest, covered = brute_repeats(t) if n < 2000 else (None, None)
         failed = n < 50 or 100 * repeats > 50 * n
         if n < 2000:
-            kept = not failed and covered <= 0.2 * n and longest <= min(100, n // 2)
+            kept = not failed and covered <= 0.3 * n and longest <= min(100, n // 2)
             want[i, n, chars, symbols, lines, repeats, longest, covered, failed, kept] += 1
     assert Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.longest_repeat, r.covered_words, r.base_failed, r.kept) for r in got if r.n_words < 2000) == want
     good = quality_rules.keep_good(docs)
