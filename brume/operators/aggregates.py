@@ -76,10 +76,10 @@ def compare_stats(aligned: DataFrame, tolerance: float = 1e-4) -> DataFrame:
 
 
 def skill_stats(aligned: DataFrame, by: str = "step_h") -> DataFrame:
-    """Correlation, RMSE, MAE, largest difference and relative error, for each `by` and pooled (null)."""
+    """Correlation (null without variance), RMSE, MAE, largest difference and relative error, for each `by` and pooled (null)."""
     d = F.col("a") - F.col("b")
     return aligned.where("a IS NOT NULL AND b IS NOT NULL").rollup(by).agg(
-        F.round(F.corr("a", "b"), 6).alias("r"), F.round(F.sqrt(F.avg(d * d)), 6).alias("rmse"), F.round(F.avg(F.abs(d)), 6).alias("mae"), F.round(F.max(F.abs(d)), 6).alias("max_abs"),
+        F.round(F.covar_pop("a", "b") / F.nullif(F.stddev_pop("a") * F.stddev_pop("b"), F.lit(0.0)), 6).alias("r"), F.round(F.sqrt(F.avg(d * d)), 6).alias("rmse"), F.round(F.avg(F.abs(d)), 6).alias("mae"), F.round(F.max(F.abs(d)), 6).alias("max_abs"),
         F.round(F.avg(F.abs(d)) / F.greatest(F.avg(F.abs("b")), F.lit(1e-12)) * 100, 6).alias("rel_percent"), F.count("*").alias("n"),
     )
 

@@ -310,7 +310,7 @@ def assemble_grid(spark, d):
 
 
 @query("SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS first, CAST(embedding[64] AS DOUBLE) AS last, 'doubles' AS status FROM embeddings")
-def decode_chunks(spark, d):
+def decoder(spark, d):
     """Values packed as bytes, read back by the first decoder that can."""
     import struct
 

@@ -652,3 +652,14 @@ def mapper(spark, d):
     """A caller's own function on messages before they are indexed."""
     fix = lambda m: m.withColumn("step_h", F.when(F.col("step_h") > 100, F.col("step_h") - 100).otherwise(F.col("step_h")))
     return V.msg_index(spark, d).transform(fix).select("file", "idx", "step_h")
+
+
+@query()
+def fetch_ranges(spark, d):
+    """Every 64 KiB range of the orders table's files, read one by one; SQL has no files to read."""
+    size = 65_536
+    files = spark.read.format("binaryFile").load(f"{d}/orders.parquet").select("path", F.col("length").alias("size"))
+    starts = files.select("path", "size", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1, F.lit(size).cast("bigint"))).alias("offset"))
+    ranges = starts.select(F.col("path").alias("uri"), "offset", F.least(F.lit(size), F.col("size") - F.col("offset")).alias("length"))
+    got = O.fetch_ranges(ranges, 8)
+    return got.select(F.substring_index("uri", "/", -1).alias("file"), "offset", "length", F.octet_length("data").alias("n_read"), "status")

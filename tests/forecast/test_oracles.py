@@ -46,4 +46,10 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(catalog.queries()) == set(ORACLES)
+    assert set(catalog.queries()) == set(ORACLES) | {"fetch_ranges"}
+
+
+def test_ranges_of_a_table(spark):
+    got = catalog.queries()["fetch_ranges"](spark, str(DATA)).collect()
+    assert got and all(r.status == "ok" and r.n_read == r.length for r in got)
+    assert sum(r.n_read for r in got) == (DATA / "orders.parquet").stat().st_size
