@@ -42,7 +42,7 @@ def test_query_equals_its_sql(spark, duck, name):
     ours, theirs = catalog.queries()[name](spark, str(DATA)).toPandas(), duck.sql(ORACLES[name]).df()
     assert sorted(ours.columns) == sorted(theirs.columns)
     assert rows(ours) == rows(theirs)
-    assert len(ours) > 0 or name in ("align_steps",)
+    assert len(ours) > 0 or name in ("align_steps", "stream_run_complete")
 
 
 def test_every_query_has_sql():
