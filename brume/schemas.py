@@ -6,7 +6,7 @@ MESSAGE_JSON = "_offset LONG, _length LONG, param STRING, levtype STRING, leveli
 REFERENCES = "key STRING, kind STRING, uri STRING, offset LONG, length LONG, inline STRING, meta STRING"
 
 # lat/lon boxes (inclusive), unit conversions, levels, members and thresholds of the archives.
-REGIONS = {"global": (-90.0, 90.0, -180.0, 180.0), "east_africa": (-12.0, 23.0, 21.0, 53.0), "icpac": (-14.0, 25.0, 19.0, 55.0), "south_asia": (5.0, 40.0, 60.0, 100.0)}
+REGIONS = {"global": (-90.0, 90.0, -180.0, 180.0), "east_africa": (-12.0, 23.0, 21.0, 53.0), "greater_horn": (-14.0, 25.0, 19.0, 55.0), "south_asia": (5.0, 40.0, 60.0, 100.0)}
 UNITS = {"t2m": (1.0, -273.15), "tp": (1000.0, 0.0), "sp": (0.01, 0.0), "msl": (0.01, 0.0), "ssr": (1e-6, 0.0), "prate": (10800.0, 0.0)}
 LEVEL_NAMES = {"sfc": "surface", "ml": "hybrid", "pl": "isobaricInhPa", "sol": "soil", "sea": "ocean"}
 PRESSURE_LEVELS = [50, 100, 150, 200, 250, 300, 400, 500, 600, 700, 850, 925, 1000]
