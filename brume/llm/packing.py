@@ -6,7 +6,8 @@ most a quarter window; parts are gathered until they fill a group of `group` win
 window. Differencing then deals the parts into near-equal windows: it starts with one partial partition for
 each part, always merges the two whose window sums differ most, largest sums against smallest, and ends with
 one. Where a window exceeds the capacity, the count of windows rises by one and the group is dealt again.
-The last, short group of a task becomes windows whose sizes are powers of two, which need no padding.
+The last, short group of a task is dealt in the same way into the windows that it fills; what then remains becomes
+windows whose sizes are powers of two, which need no padding.
 """
 
 from __future__ import annotations
@@ -77,7 +78,8 @@ def near_equal(sizes: np.ndarray, capacity: int) -> list[list[int]]:
 class _Packer:
     def __init__(self, capacity: int, group: int, slack: int, task: int):
         self.capacity, self.part = capacity, max(1, capacity // 4)
-        self.full = group * (capacity - slack)
+        self.fill = capacity - slack
+        self.full = group * self.fill
         self.next = task << 33
         self.parts: list[tuple] = []
         self.held = 0
@@ -115,16 +117,25 @@ class _Packer:
         self.next += 1
 
     def finish(self) -> None:
-        """What is left: whole windows from its front, then windows of falling powers of two."""
-        room, window, size = 0, [], 0
-        left = self.held
+        """What is left: as many near-equal windows as it fills, then windows of falling powers of two."""
+        whole, tail = [], []
+        room = self.held // self.capacity * self.fill
         for doc_id, at, ids, n in self.parts:
+            if room:
+                whole.append((doc_id, at, ids[:room], n))
+            if len(ids) > room:
+                tail.append((doc_id, at + room, ids[room:], n))
+            room = max(0, room - len(ids))
+        if whole:
+            self._deal(whole)
+        left = sum(len(p[2]) for p in tail)
+        window, room = [], 0
+        for doc_id, at, ids, n in tail:
             while len(ids):
-                if not room:
-                    room = size = self.capacity if left >= self.capacity else 1 << (left.bit_length() - 1)
-                take = min(room, len(ids))
-                window.append((doc_id, at, ids[:take], n))
-                at, ids, room, left = at + take, ids[take:], room - take, left - take
+                room = room or (self.capacity if left >= self.capacity else 1 << (left.bit_length() - 1))
+                took = ids[:room]
+                window.append((doc_id, at, took, n))
+                at, ids, room, left = at + len(took), ids[len(took) :], room - len(took), left - len(took)
                 if not room:
                     self._place(window)
                     window = []
@@ -139,7 +150,7 @@ class _Packer:
 
 
 def pack(
-    docs: DataFrame, *, tokenizer: str | None = None, capacity: int = 2048, end_id: int = 1, group: int = 128, slack: int = 4, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, *, tokenizer: str | None = None, capacity: int = 2048, end_id: int = 1, group: int = 256, slack: int = 12, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """Pieces of all documents, dealt into sequences of at most `capacity` ids.
 
@@ -157,7 +168,7 @@ def pack(
         for batch in batches:
             names = batch.column(0).to_pylist()
             data, at = text_bytes(batch.column(1))
-            for a, b in byte_groups(np.diff(at), 4 << 20):
+            for a, b in byte_groups(np.diff(at), 2 << 20):
                 ids, offsets = encoder.encode(data[at[a] : at[b]], at[a : b + 1] - at[a], end_id)
                 for i in range(a, b):
                     packer.add(names[i], ids[offsets[i - a] : offsets[i - a + 1]])
