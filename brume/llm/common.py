@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -46,6 +48,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of what has been written.
+
+    Its cleaner follows the driver's garbage collection, which may be long in coming on its own.
+    """
+    gc.collect()
+    for _ in range(2):
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def sized_broadcast(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
     """Broadcast `df` only if its counted rows stay within `max_rows`; else leave the join to Spark."""
     return F.broadcast(df) if rows <= max_rows else df

@@ -21,22 +21,30 @@ def _byte_values() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
-@functools.lru_cache(maxsize=2)
+_LEAST, _MOST = (1 << 20) + (1 << 16), 1 << 22
+_held: list[tuple[np.ndarray, np.ndarray]] = []
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        up = np.full(n, _BASE)
-        up[0] = 1
-        down = np.full(n, np.uint64(pow(int(_BASE), -1, 1 << 64)))
-        down[0] = 1
-        return np.multiply.accumulate(up), np.multiply.accumulate(down)
+    """Powers of the base and of its inverse; a table is kept unless it is very long."""
+    if not _held or len(_held[0][0]) < n:
+        size = max(n, _LEAST)
+        up = np.full(size, _BASE)
+        down = np.full(size, np.uint64(pow(int(_BASE), -1, 1 << 64)))
+        up[0] = down[0] = 1
+        np.multiply.accumulate(up, out=up)
+        np.multiply.accumulate(down, out=down)
+        if size > _MOST:
+            return up, down
+        _held[:] = [(up, down)]
+    return _held[0]
 
 
 class ByteHashes:
     """64-bit hashes of any byte ranges of `data`: equal bytes give equal hashes wherever they stand."""
 
     def __init__(self, data: np.ndarray):
-        size = 1 << max(16, int(len(data) + 1).bit_length())
-        up, self.down = _powers(size)
+        up, self.down = _powers(len(data) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_byte_values()[data] * up[: len(data)], out=self.sums[1:])
 

@@ -85,7 +85,7 @@ def _sketch(trees: int, depth: int, prefix: int, near: float):
             data, at = text_bytes(batch.column(2))
             held = memoryview(data)
             digests = [xxhash.xxh3_128_digest(held[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            for a, b in byte_groups(np.diff(at), 4 << 20):
+            for a, b in byte_groups(np.diff(at), 1 << 20):
                 shingles, offsets = shingle_hashes(data[at[a] : at[b]], at[a : b + 1] - at[a])
                 labels.append(signatures(shingles, offsets, trees * depth))
                 rows.append(batch.column(0).to_numpy()[a:b][np.diff(offsets) > 0])

@@ -147,7 +147,7 @@ def _verdicts(texts: pa.Array, least: int, most_covered: float, most_longest: in
     """Ranges of rows with their measures, `base_failed` and `kept`."""
     texts = pc.binary_join_element_wise(pc.fill_null(texts, "").cast(pa.large_string()), pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
     data, at = text_bytes(texts)
-    for a, b in byte_groups(np.diff(at), 4 << 20):
+    for a, b in byte_groups(np.diff(at), 1 << 20):
         m = _measure(data[at[a] : at[b]], at[a : b + 1] - at[a], least)
         m["base_failed"] = (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
         m["kept"] = ~m["base_failed"] & (m["covered_words"] <= most_covered * m["n_words"]) & (m["longest_repeat"] <= np.minimum(most_longest, m["n_words"] // 2))

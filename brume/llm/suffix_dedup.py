@@ -25,11 +25,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_groups, text_bytes, text_or_empty, written
+from .common import byte_groups, fresh, release_shuffles, text_bytes, text_or_empty, written
 from .hashing import ByteHashes, sliding_min
 
 ANCHOR = 32
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 STRETCHES = "anchor long, stretch long, row long, doc long, first long, n int"
 
 
@@ -217,11 +217,6 @@ def _window_hashes(least: int):
     return run
 
 
-def _free_shuffles(docs: DataFrame) -> None:
-    """Let Spark drop the shuffle files of what has been written: its cleaner follows the JVM's garbage collection."""
-    docs.sparkSession.sparkContext._jvm.System.gc()
-
-
 def repeated_windows(docs: DataFrame, *, least: int = 400, keep_first: bool, hot: int = 4096) -> DataFrame:
     """(row, first, n): runs of n windows of `least` bytes, from byte `first` of the text, that must go.
 
@@ -242,7 +237,7 @@ def repeated_windows(docs: DataFrame, *, least: int = 400, keep_first: bool, hot
     body = F.substring(F.encode("text", "UTF-8"), F.col("first").cast("int") + 1, F.col("n") + least - 1)
     texts = docs.select("row", "text").join(single, "row").select("anchor", "doc", "row", "first", "n", "alone", "crowd", body.alias("body"))
     texts = written(texts, "bodies")
-    _free_shuffles(docs)
+    release_shuffles(docs.sparkSession)
     calm = texts.where("not crowd").drop("crowd").repartition("anchor").sortWithinPartitions("anchor", "doc", "row", "first")
     matched = calm.mapInArrow(_match_stretches(least, keep_first), "row long, first long, n int")
 
@@ -254,50 +249,59 @@ def repeated_windows(docs: DataFrame, *, least: int = 400, keep_first: bool, hot
     return whole.unionByName(matched).unionByName(crowded.select("row", "first", F.lit(1).alias("n")))
 
 
-def _cut(least: int, text_at: int):
+def _cut(least: int, text_at: int, as_text: bool, added: tuple[str, str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies = pc.fill_null(batch.column(text_at).cast(pa.large_binary()), b"").to_pylist()
-            kept, removed, spans = [], [], []
-            for body, runs in zip(bodies, batch.column(batch.num_columns - 1).to_pylist(), strict=True):
-                gone = []
-                for first, n in sorted((r["first"], r["n"]) for r in runs or ()):
-                    stop = first + n - 1 + least
-                    if gone and first <= gone[-1][1]:
-                        gone[-1][1] = max(gone[-1][1], stop)
-                    else:
-                        gone.append([first, stop])
-                parts, at = [], 0
-                for a, b in gone:
-                    parts.append(body[at:a])
-                    at = b
-                kept.append(b"".join([*parts, body[at:]]))
-                removed.append(len(body) - len(kept[-1]))
-                spans.append(len(gone))
-            names = batch.schema.names[:-1]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(kept, pa.binary()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64())], names=[*names, "_kept", "_removed", "_spans"])
+            size = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
+            for a, b in byte_groups(size, SEGMENT):
+                yield cut(batch.slice(a, b - a))
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bodies = pc.fill_null(batch.column(text_at).cast(pa.binary()), b"").to_pylist()
+        kept, removed, spans = [], [], []
+        for body, runs in zip(bodies, batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+            gone: list[list[int]] = []
+            for first, n in sorted((r["first"], r["n"]) for r in runs or ()):
+                stop = first + n - 1 + least
+                if gone and first <= gone[-1][1]:
+                    gone[-1][1] = max(gone[-1][1], stop)
+                else:
+                    gone.append([first, stop])
+            parts, at = [], 0
+            for a, b in gone:
+                parts.append(body[at:a])
+                at = b
+            left = b"".join([*parts, body[at:]]) if gone else body
+            removed.append(len(body) - len(left))
+            spans.append(len(gone))
+            kept.append(left.decode("utf-8", "ignore") if as_text else left)
+        names = batch.schema.names[:-1]
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64())], names=[*names, *added])
 
     return run
 
 
-def dedup(docs: DataFrame, *, least: int = 400, keep_first: bool = True, hot: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, *, least: int = 400, keep_first: bool = True, as_text: bool = False, added: tuple[str, str, str] = ("_kept", "_removed", "_spans"), hot: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """All rows and columns of `docs`, with what is left of each text.
 
-    Adds `_kept` (bytes), `_removed` (bytes) and `_spans` (maximal removed runs). A byte goes if a string of `least`
+    Adds `_kept` (bytes; as text, without characters that a cut has split, if asked), `_removed` (how many bytes) and
+    `_spans` (maximal removed runs), or what `added` calls them; input columns of these names go. A byte goes if a string of `least`
     bytes that covers it starts also at an earlier place (`keep_first`; order of id, row, place), or also anywhere else.
     Strings never cross texts. Null texts are empty; null ids come first; repeated rows are later copies of each other;
     an empty table stays empty. `docs` must give the same rows in the same partitions when it is read again, as a scan
     or a checkpoint does.
     """
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    keyed = rows.select(F.col("_row").alias("row"), F.col(id_column).cast("long").alias("doc"), text_or_empty(text_column).alias("text"))
+    docs = docs.drop(*added)
+    row, spans = fresh(docs, "_row"), fresh(docs, "_gone")
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    keyed = rows.select(F.col(row).alias("row"), F.col(id_column).cast("long").alias("doc"), text_or_empty(text_column).alias("text"))
     gone = repeated_windows(keyed, least=least, keep_first=keep_first, hot=hot)
-    gone = written(gone.groupBy("row").agg(F.collect_list(F.struct("first", "n")).alias("_gone")), "gone")
-    _free_shuffles(docs)
-    gone = gone.withColumnRenamed("row", "_row")
-    joined = rows.join(gone, "_row", "left").select(*docs.columns, "_gone")
-    schema = joined.drop("_gone").withColumns({"_kept": F.lit(b""), "_removed": F.lit(0).cast("long"), "_spans": F.lit(0).cast("long")}).schema
-    return joined.mapInArrow(_cut(least, docs.columns.index(text_column)), schema)
+    gone = written(gone.groupBy("row").agg(F.collect_list(F.struct("first", "n")).alias(spans)), "gone")
+    release_shuffles(docs.sparkSession)
+    gone = gone.withColumnRenamed("row", row)
+    joined = rows.join(gone, row, "left").select(*docs.columns, spans)
+    schema = docs.withColumns({added[0]: F.lit("" if as_text else b""), added[1]: F.lit(0).cast("long"), added[2]: F.lit(0).cast("long")}).schema
+    return joined.mapInArrow(_cut(least, docs.columns.index(text_column), as_text, added), schema)
 
 
 def op9_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:

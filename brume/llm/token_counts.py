@@ -98,7 +98,7 @@ def token_counts(
             odd = pc.match_substring_regex(texts, OTHER_SPACE).to_numpy(zero_copy_only=False) & ~many
             n = np.zeros(len(size), np.int64)
             usual = np.where(many | odd, 0, size)
-            for a, b in byte_groups(usual, 4 << 20):
+            for a, b in byte_groups(usual, 2 << 20):
                 skip = (many | odd)[a:b]
                 if skip.any():
                     keep = np.repeat(~skip, size[a:b])

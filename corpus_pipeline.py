@@ -7,46 +7,49 @@ pass through.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brume.llm import decontamination, jaccard_join, packing, quality_rules, suffix_dedup
-from brume.llm.common import written
+from brume.llm.common import fresh, written
+from brume.ship import shipped
 
 
+@shipped
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality_rules.keep_good(docs)
 
 
+@shipped
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the least doc_id."""
     return jaccard_join.keep_firsts(docs)
 
 
+@shipped
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the later copies of strings of 400 bytes; a text of which only white space is left goes.
 
     Where a cut splits a character, what is left of it goes too. n_chars follows the text.
     """
 
-    @F.pandas_udf("string")
-    def text(kept: pd.Series) -> pd.Series:
-        return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
-
-    left = suffix_dedup.dedup(docs, keep_first=True).withColumn("_text", F.when(F.col("_removed") > 0, text("_kept")).otherwise(F.col("text")))
-    left = left.where("_removed = 0 or _text rlike '[^ \\\\t\\\\n\\\\r\\\\f\\\\x0B]'").withColumn("text", F.col("_text"))
+    kept, removed, spans = (fresh(docs, n) for n in ("_kept", "_removed", "_spans"))
+    left = suffix_dedup.dedup(docs, keep_first=True, as_text=True, added=(kept, removed, spans))
+    cut = F.col(removed) > 0
+    left = left.where(~cut | F.col(kept).rlike(r"[^ \t\n\r\f\x0B]")).withColumn("text", F.when(cut, F.col(kept)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.col("_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        left = left.withColumn("n_chars", F.when(cut, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return left.select(*docs.columns)
 
 
+@shipped
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@shipped
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     return packing.digest(packing.pack(docs))
