@@ -27,10 +27,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_space, text_bytes, text_or_empty, word_starts, written
+from .common import byte_groups, is_space, release_shuffles, text_bytes, text_or_empty, word_starts, written
 from .hashing import ByteHashes, mix
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 TOP = 5  # counts above it are not discounted
 END, BEGIN = np.uint64(0x454E44), np.uint64(0x424547494E)
 ROWS = "block long, part int, bucket int, docs array<struct<doc_id: long, held: boolean, n: long>>, x binary, y binary, z binary, w binary, stats array<long>"
@@ -59,35 +59,55 @@ def _unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(_unpack(data, np.uint64), dtype=np.uint64)
 
 
+def _by_frequency(counts: np.ndarray) -> np.ndarray:
+    """Words from the most frequent on; frequent ones get small numbers, which pack well."""
+    return np.argsort(-counts.astype(np.int64), kind="stable")
+
+
 def _rows(rows: list[dict]) -> pa.RecordBatch:
     types = {"block": pa.int64(), "part": pa.int32(), "bucket": pa.int32(), "docs": DOCS, "stats": pa.list_(pa.int64())}
     return pa.RecordBatch.from_arrays([pa.array([r.get(k) for r in rows], types.get(k, pa.binary())) for k in NAMES], names=NAMES)
 
 
+def token_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens of some texts, and how many each text has."""
+    data = np.where((data >= 65) & (data <= 90), data | np.uint8(32), data)
+    space = is_space(data)
+    starts = np.flatnonzero(word_starts(data, at, space))
+    last = ~space
+    last[:-1] &= space[1:]
+    full = at[1:] > at[:-1]
+    last[at[1:][full] - 1] = ~space[at[1:][full] - 1]
+    first = np.searchsorted(starts, at)
+    return np.insert(ByteHashes(data).ranges(starts, np.flatnonzero(last) + 1), first[1:], END), np.diff(first) + 1
+
+
 def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> blocks: x: sorted keys of the different words, y: their training counts, z: codes of all tokens."""
+    """(doc_id, text) -> blocks.
+
+    x: sorted keys of the different words, y: their training counts, w: their counts, z: each token's word by frequency.
+    """
     task, made = TaskContext.get().partitionId(), 0
     ids: list = []
     bodies: list[bytes] = []
     size = 0
 
     def block() -> pa.RecordBatch:
+        every, sizes = [], []
         data, at = text_bytes(pa.array(bodies, pa.binary()))
-        data = np.where((data >= 65) & (data <= 90), data | np.uint8(32), data)
-        space = is_space(data)
-        starts = np.flatnonzero(word_starts(data, at, space))
-        last = ~space
-        last[:-1] &= space[1:]
-        full = at[1:] > at[:-1]
-        last[at[1:][full] - 1] = ~space[at[1:][full] - 1]
-        first = np.searchsorted(starts, at)
-        tokens = np.insert(ByteHashes(data).ranges(starts, np.flatnonzero(last) + 1), first[1:], END)
-        n = np.diff(first) + 1
+        for a, b in byte_groups(np.diff(at), 1 << 20):
+            hashes, n = token_hashes(data[at[a] : at[b]], at[a : b + 1] - at[a])
+            every.append(hashes)
+            sizes.append(n)
+        tokens, n = np.concatenate(every), np.concatenate(sizes)
         held = np.array([zlib.crc32(b"" if i is None else str(i).encode()) % 10 == 0 for i in ids])
         keys, codes = np.unique(tokens, return_inverse=True)
+        counts_here = np.bincount(codes)
+        rank = np.empty(len(keys), np.uint32)
+        rank[_by_frequency(counts_here)] = np.arange(len(keys))
         trained = np.bincount(codes[np.repeat(~held, n)], minlength=len(keys)).astype(np.uint32)
         docs = [{"doc_id": i, "held": bool(h), "n": int(k)} for i, h, k in zip(ids, held, n, strict=True)]
-        return _rows([{"block": task << 24 | made, "part": TEXTS, "docs": docs, "x": _pack_sorted(keys), "y": _pack(trained), "z": _pack(codes.astype(np.uint32)), "stats": [int(n.sum())]}])
+        return _rows([{"block": task << 24 | made, "part": TEXTS, "docs": docs, "x": _pack_sorted(keys), "y": _pack(trained), "z": _pack(rank[codes]), "w": _pack(counts_here.astype(np.uint32)), "stats": [int(n.sum())]}])
 
     for batch in batches:
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
@@ -105,7 +125,8 @@ class _Block:
     """Tokens of one block: keys, the codes of tokens and of their contexts, and the different pairs."""
 
     def __init__(self, row: dict, pairs: bool = True):
-        self.keys, codes = _unpack_sorted(row["x"]), _unpack(row["z"], np.uint32).astype(np.int64)
+        self.keys = _unpack_sorted(row["x"])
+        codes = _by_frequency(_unpack(row["w"], np.uint32))[_unpack(row["z"], np.uint32)]
         self.n = np.array([d["n"] for d in row["docs"]], np.int64)
         self.held = np.repeat(np.array([d["held"] for d in row["docs"]], bool), self.n)
         self.token = codes
@@ -288,14 +309,13 @@ def score(docs: DataFrame, *, bucket_tokens: int = 2_000_000, id_column: str = "
     a null id counts as an empty text's id (held out) and is kept; repeated rows train as often as they occur; other
     columns are ignored; an empty table gives no rows.
     """
-    sc = docs.sparkSession.sparkContext
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
     blocks = written(texts.mapInArrow(_tokenise, ROWS), "blocks")
     tokens = blocks.agg(F.sum(F.col("stats")[0])).first()[0] or 0
     buckets = 1 << max(3, (tokens // bucket_tokens).bit_length())
     counts = blocks.mapInArrow(_ask_counts(buckets), ROWS).repartition("part", "bucket").sortWithinPartitions("part", "bucket", "block").mapInArrow(_sum_counts, ROWS)
     counts = written(counts, "ngrams")
-    sc._jvm.System.gc()  # lets Spark drop the shuffle files of what is written now
+    release_shuffles(docs.sparkSession)
     sums = [F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(TOP + 3)]
     got = {r["part"]: [int(r[f"s{i}"]) for i in range(TOP + 3)] for r in counts.where(F.col("part").isin(TABLE_1, TABLE_2)).groupBy("part").agg(*sums).collect()}
     model = Model(got.get(TABLE_1, [0] * (TOP + 3)), got.get(TABLE_2, [0] * (TOP + 3)))
@@ -309,7 +329,7 @@ def score(docs: DataFrame, *, bucket_tokens: int = 2_000_000, id_column: str = "
     answers = counts.where(F.col("part").isin(WORDS, PAIRS))
     asked = met(answers).mapInArrow(_ask_contexts(buckets, model), ROWS)
     contexts = written(asked.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(_sum_contexts, ROWS), "contexts")
-    sc._jvm.System.gc()
+    release_shuffles(docs.sparkSession)
     return met(answers.drop("z").withColumn("z", F.lit(None).cast("binary")), contexts.where(F.col("part") == CONTEXTS)).mapInArrow(
         _score(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
