@@ -12,7 +12,8 @@ anchor by anchor, with nothing missed:
 3. Anchors with very many different stretches are not gathered: hashes of their windows are counted instead, after a
    sum within each task.
 
-Texts are shuffled twice, to fetch stretches and to be cut; all else that moves is hashes and stretches.
+Texts are shuffled twice, to fetch stretches and to be cut; all else that moves is hashes and stretches. Both joins are
+merge joins at every size, so a small corpus shows the cost of a large one, and Spark can split hot sides.
 """
 
 from __future__ import annotations
@@ -235,7 +236,7 @@ def repeated_windows(docs: DataFrame, *, least: int = 400, keep_first: bool, hot
 
     single = kinds.where("kinds > 1").select("anchor", "p.doc", "p.row", "p.first", "n", (F.col("times") == 1).alias("alone"), (F.col("kinds") > hot).alias("crowd"))
     body = F.substring(F.encode("text", "UTF-8"), F.col("first").cast("int") + 1, F.col("n") + least - 1)
-    texts = docs.select("row", "text").join(single, "row").select("anchor", "doc", "row", "first", "n", "alone", "crowd", body.alias("body"))
+    texts = docs.select("row", "text").join(single.hint("merge"), "row").select("anchor", "doc", "row", "first", "n", "alone", "crowd", body.alias("body"))
     texts = written(texts, "bodies")
     release_shuffles(docs.sparkSession)
     calm = texts.where("not crowd").drop("crowd").repartition("anchor").sortWithinPartitions("anchor", "doc", "row", "first")
@@ -299,7 +300,7 @@ def dedup(docs: DataFrame, *, least: int = 400, keep_first: bool = True, as_text
     gone = written(gone.groupBy("row").agg(F.collect_list(F.struct("first", "n")).alias(spans)), "gone")
     release_shuffles(docs.sparkSession)
     gone = gone.withColumnRenamed("row", row)
-    joined = rows.join(gone, row, "left").select(*docs.columns, spans)
+    joined = rows.join(gone.hint("merge"), row, "left").select(*docs.columns, spans)
     schema = docs.withColumns({added[0]: F.lit("" if as_text else b""), added[1]: F.lit(0).cast("long"), added[2]: F.lit(0).cast("long")}).schema
     return joined.mapInArrow(_cut(least, docs.columns.index(text_column), as_text, added), schema)
 
