@@ -7,8 +7,10 @@ stays as template text. Wrappers align with each other in the same way, so every
 only one wrapper per task and host is shuffled.
 
 The wrapper then says which slots hold the main text: not in menus, headers, footers, sidebars, notices, adverts, forms
-or comments (by element, role, class or id), not template text, not lists of links, and inside the innermost container
-that holds most of what is left. Each page is aligned once more and gives its blocks in those slots.
+or comments (by element, role, class or id), not template text and not lists of links. Template text is the same on half
+of a host's different pages; copies of a page count once. Each page is aligned once more and gives its blocks in those
+slots: only those in its own article and main elements if these hold most of them, else all, so that no layout of a host
+is read by the region of another. A page that has no such block gives all that is not set apart.
 """
 
 from __future__ import annotations
@@ -127,7 +129,11 @@ def parse(page: str) -> Node:
 
 
 # A wrapper is a list [kind, pages, children]; children are wrappers or groups ["+", pages, {kind: wrapper}].
-# Text is a member "#" of a group: ["#", pages, checksum of its text or None for a slot, characters, characters in links].
+# Text is a member "#" of a group: ["#", pages, checksum of its text or None for a slot, characters, characters in links,
+# marks of its pages]. The wrapper of a whole page has the marks of its pages as a fourth item. A mark is a checksum of a
+# page's text; of many, the least are kept, so that those of a slot are a fair sample of those of the host.
+
+MARKS = 16
 
 
 def _folded(node: Node) -> list[tuple[str, list]]:
@@ -142,22 +148,36 @@ def _folded(node: Node) -> list[tuple[str, list]]:
     return out
 
 
-def wrapper_of(node: Node) -> list:
+def _all_text(node: Node) -> list[str]:
+    """Text blocks of a page that are not set apart."""
+    out: list[str] = []
+    for c in node.children:
+        if isinstance(c, tuple):
+            out.append(c[0])
+        elif not _apart(c.kind):
+            out += _all_text(c)
+    return out
+
+
+def wrapper_of(node: Node, page: int | None = None) -> list:
+    """The wrapper of a page, or of an element of the page with the mark `page`."""
+    whole = page is None
+    mark = zlib.crc32("\n".join(_all_text(node)).encode("utf-8", "replace")) if page is None else page
     children = []
     for kind, nodes in _folded(node):
         if kind != "+":
-            children.append(wrapper_of(nodes[0]))
+            children.append(wrapper_of(nodes[0], mark))
             continue
         members: dict = {}
         for child in nodes:
             if isinstance(child, tuple):
-                new = ["#", 1, zlib.crc32(child[0].encode("utf-8", "replace")), len(child[0]), child[1]]
+                new = ["#", 1, zlib.crc32(child[0].encode("utf-8", "replace")), len(child[0]), child[1], [mark]]
                 key = "#"
             else:
-                new, key = wrapper_of(child), child.kind
+                new, key = wrapper_of(child, mark), child.kind
             members[key] = _merged(members[key], new, False) if key in members else new
         children.append(["+", 1, members])
-    return [node.kind, 1, children]
+    return [node.kind, 1, children, [mark]] if whole else [node.kind, 1, children]
 
 
 def _aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
@@ -182,20 +202,26 @@ def _aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return out
 
 
+def _marks(a: list[int], b: list[int]) -> list[int]:
+    return sorted({*a, *b})[:MARKS]
+
+
 def _merged(a: list, b: list, pages: bool = True) -> list:
     """The wrapper that matches all that either matches. `pages`: they come from different pages."""
     n = a[1] + b[1] if pages else max(a[1], b[1])
     if a[0] == "#":
-        return ["#", n, a[2] if a[2] == b[2] else None, a[3] + b[3], a[4] + b[4]]
+        same = a[2] is not None and a[2] == b[2]
+        return ["#", n, a[2] if same else None, a[3] + b[3], a[4] + b[4], _marks(a[5], b[5]) if same else []]
     if a[0] == "+":
         both = dict(a[2])
         for kind, x in b[2].items():
             both[kind] = _merged(both[kind], x, pages) if kind in both else x
         return ["+", n, both]
+    marks = [_marks(a[3], b[3])] if len(a) > 3 else []
     if [c[0] for c in a[2]] == [c[0] for c in b[2]]:
-        return [a[0], n, [_merged(x, y, pages) for x, y in zip(a[2], b[2], strict=True)]]
+        return [a[0], n, [_merged(x, y, pages) for x, y in zip(a[2], b[2], strict=True)], *marks]
     pairs = _aligned([c[0] for c in a[2]], [c[0] for c in b[2]])
-    return [a[0], n, [_merged(a[2][i], b[2][j], pages) if i >= 0 and j >= 0 else a[2][i] if i >= 0 else b[2][j] for i, j in pairs]]
+    return [a[0], n, [_merged(a[2][i], b[2][j], pages) if i >= 0 and j >= 0 else a[2][i] if i >= 0 else b[2][j] for i, j in pairs], *marks]
 
 
 def _apart(kind: str) -> bool:
@@ -206,12 +232,12 @@ def _apart(kind: str) -> bool:
 
 
 def main_slots(wrapper: list) -> list:
-    """The wrapper as nested decisions: [inside the main region, children] with groups {kind: decision}."""
-    pages = wrapper[1]
+    """The wrapper as nested decisions: [not set apart, children] with groups {kind: decision}."""
+    marks = set(wrapper[3])
     varies = False
 
     def template(slot: list) -> bool:
-        return slot[2] is not None and slot[1] >= 3
+        return slot[2] is not None and len(slot[5]) >= 3 and 2 * len(marks.intersection(slot[5])) >= len(marks)
 
     def look(w: list) -> None:
         nonlocal varies
@@ -221,46 +247,33 @@ def main_slots(wrapper: list) -> list:
             for c in w[2].values() if w[0] == "+" else w[2]:
                 look(c)
 
-    if pages >= 3:
+    if len(marks) >= 3:
         look(wrapper)
 
-    def weight(w: list) -> int:
+    def decide(w: list, apart: bool) -> object:
+        apart = apart or w[0] not in "#+" and _apart(w[0])
         if w[0] == "#":
-            return 0 if varies and template(w) else max(0, w[3] - 2 * w[4])
-        return 0 if _apart(w[0]) else sum(map(weight, w[2].values() if w[0] == "+" else w[2]))
-
-    region, total = wrapper, weight(wrapper)
-    while True:
-        inner = [c for c in region[2] if c[0] != "+" and not _apart(c[0])]
-        best = max(inner, key=weight, default=None)
-        alike = sum(c[0] == best[0] and weight(c) > 0 for c in inner) if best else 0
-        if best is None or not total or weight(best) < 0.6 * weight(region) or alike > 1 and best[0].split(" ")[0] == "article" and weight(best) < 0.9 * weight(region):
-            break
-        region = best
-
-    def decide(w: list, inside: bool, apart: bool) -> object:
-        inside, apart = inside or w is region, apart or w[0] not in "#+" and _apart(w[0])
-        if w[0] == "#":
-            return inside and not apart and not (varies and template(w)) and (not total or w[3] == 0 or w[4] < 0.8 * w[3])
+            return not apart and not (varies and template(w)) and (w[3] == 0 or w[4] < 0.8 * w[3])
         if w[0] == "+":
-            return {kind: decide(c, inside, apart) for kind, c in w[2].items()}
-        return [w[0], inside and not apart, [decide(c, inside, apart) for c in w[2]]]
+            return {kind: decide(c, apart) for kind, c in w[2].items()}
+        return [w[0], not apart, [decide(c, apart) for c in w[2]]]
 
-    return decide(wrapper, False, False)
+    return decide(wrapper, False)
 
 
 def blocks(node: Node, decision) -> list[str]:
     """Text blocks of a page in the main slots, in page order."""
-    out: list[str] = []
+    out: list[tuple[str, bool]] = []  # and whether an article or main element holds it
 
-    def everything(x) -> None:
+    def everything(x, inside: bool) -> None:
         if isinstance(x, tuple):
-            out.append(x[0])
+            out.append((x[0], inside))
         elif not _apart(x.kind):
             for c in x.children:
-                everything(c)
+                everything(c, inside or x.tag in ("article", "main"))
 
-    def walk(x: Node, d: list) -> None:
+    def walk(x: Node, d: list, inside: bool) -> None:
+        inside = inside or x.tag in ("article", "main")
         folded = _folded(x)
         for i, j in _aligned([k for k, _ in folded], ["+" if isinstance(c, dict) else c[0] for c in d[2]]):
             if i < 0:
@@ -269,19 +282,22 @@ def blocks(node: Node, decision) -> list[str]:
             if j < 0:
                 if d[1]:
                     for c in nodes:
-                        everything(c)
+                        everything(c, inside)
             elif kind != "+":
-                walk(nodes[0], d[2][j])
+                walk(nodes[0], d[2][j], inside)
             else:
                 for c in nodes:
                     own = d[2][j].get("#" if isinstance(c, tuple) else c.kind, d[1])
                     if isinstance(own, list):
-                        walk(c, own)
+                        walk(c, own, inside)
                     elif own:
-                        everything(c)
+                        everything(c, inside)
 
-    walk(node, decision)
-    return out
+    walk(node, decision, False)
+    inner = [text for text, inside in out if inside]
+    if inner and sum(map(len, inner)) >= 0.6 * sum(len(text) for text, _ in out):
+        return inner
+    return [text for text, _ in out] or _all_text(node)
 
 
 @functools.lru_cache(maxsize=512)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import zlib
 from collections import Counter, defaultdict
@@ -135,6 +136,39 @@ def test_wrappers_merge_in_any_order():
     assert html_extraction.main_slots(left) == html_extraction.main_slots(right)
 
 
+def texts_of(pages):
+    """The main text of each page of one host."""
+    wrapper = functools.reduce(html_extraction._merged, (html_extraction.wrapper_of(html_extraction.parse(p)) for p in pages))
+    return ["\n".join(html_extraction.blocks(html_extraction.parse(p), html_extraction.main_slots(wrapper))) for p in pages]
+
+
+def test_every_layout_of_a_host_keeps_its_text():
+    pages = [f'<body><nav><p>Menu</p></nav><div class="{"post" if i % 10 < 7 else "entry"}"><p>{f"Text{i} " * 40}</p></div></body>' for i in range(20)]
+    pages.append('<body><div class="big"><p>' + "huge " * 30_000 + "</p></div></body>")
+    assert all(t and t == html_extraction.parse(p).children[0].children[-1].children[0].children[0][0] for p, t in zip(pages, texts_of(pages), strict=True))
+
+
+@pytest.mark.parametrize("outer, one, two", [("article", 'div class="lead"', 'div class="content"'), ("div", 'div class="lead"', 'div class="content"'), ("main", "section", "section")])
+def test_all_parts_of_an_article_are_kept(outer, one, two):
+    for many in (30, 65):
+        pages = [f"<body><{outer}><{one}><p>{f'a{i} ' * many}</p></{one.split()[0]}><{two}><p>{f'b{i} ' * (100 - many)}</p></{two.split()[0]}></{outer}></body>" for i in range(6)]
+        assert all(f"a{i}" in t and f"b{i}" in t for i, t in enumerate(texts_of(pages)))
+
+
+def test_copies_of_a_page_are_no_template():
+    page = "<body><div><p>{0}</p>{1}<h6>Same on all pages</h6></div></body>"
+    for others in (1, 20):
+        pages = [page.format("Copied text", "<blockquote>Copied quote</blockquote>")] * 3 + [page.format(f"Text {i}", "") for i in range(others)]
+        got = texts_of(pages)
+        assert all("Copied text\nCopied quote" in t for t in got[:3])
+        assert others == 1 or not any("Same" in t for t in got)
+
+
+def test_a_page_of_template_text_is_not_empty():
+    pages = ["<body><div><h6>Same on all pages</h6></div></body>"] + [f"<body><div><h6>Same on all pages</h6><p>Text {i}</p></div></body>" for i in range(5)]
+    assert texts_of(pages) == ["Same on all pages", *(f"Text {i}" for i in range(5))]
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 
