@@ -10,7 +10,11 @@ still meets in some tree with probability `recall` (`prefix_length`). In each tr
   Jaccard distance), comparing only those that are not connected yet.
 
 Links make candidate clusters (alternating large-star and small-star rounds). Each cluster's different texts are then
-fetched once, and all their pairs are verified on the exact shingle sets by counting shared shingles.
+fetched, and all their pairs are verified on the exact shingle sets by counting shared shingles.
+
+No task holds a whole node or cluster that is large: it is cut into blocks by a hash of the row, and every two blocks meet
+in a group of their own, which bounds what a task holds. Two blocks of texts give each text's part of the links, and its
+least row within reach; the classes are the components of these.
 """
 
 from __future__ import annotations
@@ -20,13 +24,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_groups, fresh, is_space, sized_broadcast, text_bytes, text_or_empty, word_starts, written
 from .hashing import ByteHashes, mix
 
-SKETCHES = "kind string, row long, doc long, text_hash binary, tree int, prefix long, signature binary, members array<long>"
+SKETCHES = "kind string, row long, doc long, text_hash binary, n_bytes long, tree int, prefix long, signature binary, members array<long>"
+BLOCK_BYTES = 16 << 20  # of texts in one block of a cluster
 
 
 def prefix_length(threshold: float, trees: int, depth: int, recall: float) -> int:
@@ -79,7 +84,7 @@ def _estimates(one: np.ndarray, many: np.ndarray) -> np.ndarray:
 def _sketch(trees: int, depth: int, prefix: int, near: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, labels = [], []
-        names = ["kind", "row", "doc", "text_hash", "tree", "prefix", "signature", "members"]
+        names = ["kind", "row", "doc", "text_hash", "n_bytes", "tree", "prefix", "signature", "members"]
         for batch in batches:
             n = batch.num_rows
             data, at = text_bytes(batch.column(2))
@@ -89,7 +94,7 @@ def _sketch(trees: int, depth: int, prefix: int, near: float):
                 shingles, offsets = shingle_hashes(data[at[a] : at[b]], at[a : b + 1] - at[a])
                 labels.append(signatures(shingles, offsets, trees * depth))
                 rows.append(batch.column(0).to_numpy()[a:b][np.diff(offsets) > 0])
-            yield pa.RecordBatch.from_arrays([pa.array(["doc"] * n), batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64()))], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(["doc"] * n), batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(np.diff(at), pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64()))], names=names)
         row = np.concatenate(rows) if rows else np.zeros(0, np.int64)
         label = np.concatenate(labels) if labels else np.zeros((0, trees * depth), np.uint32)
         low = (label & np.uint32(255)).astype(np.uint8)
@@ -110,7 +115,7 @@ def _sketch(trees: int, depth: int, prefix: int, near: float):
                     members.append(row[left[close][1:]].tolist())
                     left = left[~close]
             n = len(leaders)
-            yield pa.RecordBatch.from_arrays([pa.array(["leader"] * n), pa.array(row[leaders], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(np.full(n, tree, np.int32)), pa.array(key[leaders].view(np.int64)), pa.array([low[i].tobytes() for i in leaders], pa.binary()), pa.array(members, pa.list_(pa.int64()))], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(["leader"] * n), pa.array(row[leaders], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.array(np.full(n, tree, np.int32)), pa.array(key[leaders].view(np.int64)), pa.array([low[i].tobytes() for i in leaders], pa.binary()), pa.array(members, pa.list_(pa.int64()))], names=names)
 
     return run
 
@@ -136,15 +141,28 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Ta
         yield pa.concat_tables(held)
 
 
+def _met(df: DataFrame, blocks: Column, itself: bool) -> DataFrame:
+    """`df` with block, one and two: a row once for each two blocks of its group of which it is in one.
+
+    `blocks`: how many blocks the row's group has. `itself`: each block also meets itself.
+    """
+    block = F.pmod(F.xxhash64("row"), blocks).cast("int")
+    others = F.sequence(F.lit(0), (blocks - 1).cast("int"))
+    if not itself:
+        others = F.filter(others, lambda x: (x != F.col("block")) | (blocks == 1))
+    pairs = F.transform(others, lambda x: F.struct(F.least("block", x).alias("one"), F.greatest("block", x).alias("two")))
+    return df.withColumn("block", block).withColumn("_met", F.explode(pairs)).withColumns({"one": F.col("_met.one"), "two": F.col("_met.two")}).drop("_met")
+
+
 def _link_leaders(room: float):
-    """Links (a, b) between leaders in one trie node."""
+    """Links (a, b) between leaders in one trie node, or in two blocks of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, 2):
-            tree, key, row = (table.column(k).to_numpy() for k in range(3))
-            heads = np.flatnonzero(np.concatenate([[True], (np.diff(key) != 0) | (np.diff(tree) != 0)]))
-            sizes = np.diff(np.append(heads, len(key)))
-            signature = table.column(3)
+        for table in whole_groups(batches, 4):
+            keys, row = [table.column(k).to_numpy() for k in range(4)], table.column(4).to_numpy()
+            heads = np.flatnonzero(np.concatenate([[True], np.any([np.diff(k) != 0 for k in keys], axis=0)]))
+            sizes = np.diff(np.append(heads, len(row)))
+            signature = table.column(5)
             one, two = [], []
             for s, n in zip(heads[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
                 low = np.frombuffer(b"".join(signature.slice(s, n).to_pylist()), np.uint8).reshape(n, -1)
@@ -191,64 +209,86 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
 
 
-def linked_pairs(sets: list[np.ndarray], threshold: float) -> list[np.ndarray]:
-    """For each set of distinct hashes, the others whose Jaccard similarity reaches the threshold."""
-    sizes = np.array([len(s) for s in sets])
-    flat = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    _, code = np.unique(flat, return_inverse=True)
-    order = np.argsort(code, kind="stable")
-    posts = owner[order]
-    begin = np.concatenate([[0], np.cumsum(np.bincount(code))])
-    ends = np.concatenate([[0], np.cumsum(sizes)])
-    found = []
-    for i in range(len(sets)):
-        own = code[ends[i] : ends[i + 1]]
-        lengths = begin[own + 1] - begin[own]
+def linked_pairs(sets: list[np.ndarray], others: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Which of `others` reach the Jaccard similarity with which of `sets` (sets x others); all are of distinct hashes."""
+    sizes = np.array([len(s) for s in others])
+    values, code = np.unique(np.concatenate(others), return_inverse=True)
+    posts = np.repeat(np.arange(len(others)), sizes)[np.argsort(code, kind="stable")]
+    begin = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(values)))])
+    found = np.zeros((len(sets), len(others)), bool)
+    for i, own in enumerate(sets):
+        at = np.searchsorted(values, own)
+        there = at < len(values)
+        there[there] = values[at[there]] == own[there]
+        at = at[there]
+        lengths = begin[at + 1] - begin[at]
         step = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        shared = np.bincount(posts[np.repeat(begin[own], lengths) + step], minlength=len(sets))
-        union = sizes[i] + sizes - shared
-        ok = shared >= threshold * union
-        ok[i] = False
-        found.append(np.flatnonzero(ok))
+        shared = np.bincount(posts[np.repeat(begin[at], lengths) + step], minlength=len(others))
+        found[i] = (shared > 0) & (shared >= threshold * (len(own) + sizes - shared))
     return found
 
 
+def least_reached(found: np.ndarray, rows: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least row in the connected component of each row on either side of the links `found`."""
+    one, two = np.full(len(rows), -1), np.full(len(others), -1)
+    for side, i in [(0, k) for k in range(len(rows))] + [(1, k) for k in range(len(others))]:
+        if (one, two)[side][i] >= 0:
+            continue
+        parts, queue, seen = ([], []), [(side, i)], (one, two)
+        seen[side][i] = 0
+        while queue:
+            at, k = queue.pop()
+            parts[at].append(k)
+            new = np.flatnonzero((found[k] if at == 0 else found[:, k]) & (seen[1 - at] < 0))
+            seen[1 - at][new] = 0
+            queue += [(1 - at, n) for n in new.tolist()]
+        least = min(np.min(v[p]) for v, p in ((rows, parts[0]), (others, parts[1])) if p)
+        one[parts[0]] = two[parts[1]] = least
+    return one, two
+
+
+VERIFIED = "text_hash binary, row long, root long, n_links long, whole boolean"
+
+
 def _verify(threshold: float, words: int):
-    """(cluster, text_hash, text) by cluster -> (text_hash, class_hash, n_links)."""
-
-    def settle(group: pa.Table) -> tuple[list, list, list]:
-        data, at = text_bytes(group.column(2))
-        shingles, offsets = shingle_hashes(data, at, words)
-        sets = [np.unique(shingles[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-        found = linked_pairs(sets, threshold)
-        names = group.column(1).to_pylist()
-        label = np.full(len(sets), -1)
-        for i in range(len(sets)):
-            if label[i] < 0:
-                label[i], queue = i, [i]
-                while queue:
-                    new = found[queue.pop()]
-                    new = new[label[new] < 0]
-                    label[new] = i
-                    queue += new.tolist()
-        return names, [names[i] for i in label.tolist()], [len(f) for f in found]
+    """(cluster, one, two, block, blocks, row, text_hash, text) by two blocks of a cluster -> VERIFIED."""
+
+    def settle(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        data, at = text_bytes(group.column(7))
+        sets: list[np.ndarray] = []
+        for a, b in byte_groups(np.diff(at), 1 << 20):
+            shingles, offsets = shingle_hashes(data[at[a] : at[b]], at[a : b + 1] - at[a], words)
+            sets += [np.unique(shingles[i:j]) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        row, block = group.column(5).to_numpy(), group.column(3).to_numpy()
+        first = np.flatnonzero(block == group.column(1)[0].as_py())
+        second = np.flatnonzero(block != group.column(1)[0].as_py())
+        root, n = row.copy(), np.zeros(len(row), np.int64)
+        if group.column(1)[0] == group.column(2)[0]:
+            found = linked_pairs(sets, sets, threshold)
+            np.fill_diagonal(found, False)
+            n[:] = found.sum(axis=1)
+            np.fill_diagonal(found, True)
+            root, _ = least_reached(found, row, row)
+        elif len(first) and len(second):
+            found = linked_pairs([sets[i] for i in first], [sets[i] for i in second], threshold)
+            n[first], n[second] = found.sum(axis=1), found.sum(axis=0)
+            root[first], root[second] = least_reached(found, row[first], row[second])
+        return root, n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, 1):
-            key = table.column(0).to_numpy()
-            heads = np.append(np.flatnonzero(np.concatenate([[True], np.diff(key) != 0])), len(key)).tolist()
-            out: tuple[list, list, list] = ([], [], [])
-            for a, b in zip(heads[:-1], heads[1:], strict=True):
-                for whole, part in zip(out, settle(table.slice(a, b - a)), strict=True):
-                    whole += part
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64())], names=["text_hash", "class_hash", "n_links"])
+        for table in whole_groups(batches, 3):
+            change = np.any([np.diff(table.column(k).to_numpy()) != 0 for k in range(3)], axis=0)
+            heads = np.append(np.flatnonzero(np.concatenate([[True], change])), table.num_rows).tolist()
+            found = [settle(table.slice(a, b - a)) for a, b in zip(heads[:-1], heads[1:], strict=True)]
+            root, n = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([table.column(6).combine_chunks(), table.column(5).combine_chunks(), pa.array(root), pa.array(n), pa.array(table.column(4).to_numpy() == 1)], names=["text_hash", "row", "root", "n_links", "whole"])
 
     return run
 
 
 def near_duplicates(
-    docs: DataFrame, *, threshold: float = 0.8, words: int = 5, trees: int = 12, depth: int = 6, recall: float = 0.999, max_broadcast: int = 1_000_000, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, *, threshold: float = 0.8, words: int = 5, trees: int = 12, depth: int = 6, recall: float = 0.999, block_texts: int = 2048, block_leaders: int = 8192, max_broadcast: int = 1_000_000,
+    id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """One row per row of `docs`: row, doc_id, class_id, n_links, n_copies, is_first.
 
@@ -257,24 +297,41 @@ def near_duplicates(
     is_first marks one row of each class: the least doc_id, then the least row. A text of fewer words is one shingle;
     texts without words, null ones too, are alike only if equal (null as empty). Null ids come last in a class; other
     columns are ignored; an empty table gives no rows. `docs` must give the same rows in the same partitions when it is
-    read again, as a scan or a checkpoint does.
+    read again, as a scan or a checkpoint does. Clusters of over `block_texts` different texts or BLOCK_BYTES, and trie
+    nodes of over `block_leaders` leaders, are worked on two blocks at a time.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("doc"), text_or_empty(text_column).alias("text"))
     prefix = prefix_length(threshold, trees, depth, recall)
     sketches = written(rows.mapInArrow(_sketch(trees, depth, prefix, threshold), SKETCHES), "sketches")
-    every = sketches.where("kind = 'doc'").select("row", "doc", "text_hash")
+    every = sketches.where("kind = 'doc'").select("row", "doc", "text_hash", "n_bytes")
     leaders = sketches.where("kind = 'leader'")
     room = max(0.05, 1 - 3 * (1 - threshold) - 0.15)  # three distances, and what signatures may err
-    nodes = leaders.select("tree", "prefix", "row", "signature").repartition("tree", "prefix").sortWithinPartitions("tree", "prefix")
+    nodes = leaders.select("tree", "prefix", F.lit(0).alias("one"), F.lit(0).alias("two"), "row", "signature")
+    crowds = written(leaders.groupBy("tree", "prefix").agg(F.count("*").alias("n")).where(F.col("n") > block_leaders), "crowds")
+    n_crowds = crowds.count()
+    if n_crowds:
+        crowded = nodes.drop("one", "two").join(sized_broadcast(crowds, n_crowds, max_broadcast), ["tree", "prefix"], "left")
+        nodes = _met(crowded, F.ceil(F.coalesce("n", F.lit(1)) / block_leaders), False).select(*nodes.columns)
+    nodes = nodes.repartition("tree", "prefix", "one", "two").sortWithinPartitions("tree", "prefix", "one", "two")
     edges = nodes.mapInArrow(_link_leaders(room), "a long, b long").union(leaders.select(F.col("row").alias("a"), F.explode("members").alias("b")))
     clusters = components(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
 
-    texts = every.join(clusters, every["row"] == clusters["node"]).groupBy("root", "text_hash").agg(F.min("row").alias("row"))
-    several = texts.groupBy("root").agg(F.count("*").alias("n")).where("n > 1")
-    texts = written(texts.join(several, "root").select(F.col("root").alias("cluster"), "text_hash", "row"), "texts")
-    wanted = sized_broadcast(texts, texts.count(), max_broadcast)
-    bodies = rows.select("row", "text").join(wanted, "row").select("cluster", "text_hash", "text").repartition("cluster").sortWithinPartitions("cluster", "text_hash")
-    verified = written(bodies.mapInArrow(_verify(threshold, words), "text_hash binary, class_hash binary, n_links long"), "verified")
+    texts = every.join(clusters, every["row"] == clusters["node"]).groupBy("root", "text_hash").agg(F.min("row").alias("row"), F.first("n_bytes").alias("n_bytes"))
+    blocks = F.ceil(F.greatest(F.count("*") / block_texts, F.sum("n_bytes") / BLOCK_BYTES)).cast("int")
+    several = texts.groupBy("root").agg(F.count("*").alias("n"), F.greatest(blocks, F.lit(1)).alias("blocks")).where("n > 1")
+    texts = written(texts.join(several, "root").select(F.col("root").alias("cluster"), "text_hash", "row", "blocks"), "texts")
+    n_texts, n_split = texts.agg(F.count("*"), F.count_if(F.col("blocks") > 1)).first()
+    wanted = sized_broadcast(texts, n_texts, max_broadcast)
+    bodies = _met(rows.select("row", "text").join(wanted, "row"), F.col("blocks"), True).select("cluster", "one", "two", "block", "blocks", "row", "text_hash", "text")
+    bodies = bodies.repartition("cluster", "one", "two").sortWithinPartitions("cluster", "one", "two", "text_hash")
+    verified = written(bodies.mapInArrow(_verify(threshold, words), VERIFIED), "verified")
+    if n_split:
+        split = verified.where("not whole")
+        joined = components(split.where("row <> root").select(F.col("row").alias("a"), F.col("root").alias("b"))).withColumnRenamed("root", "least")
+        links = split.groupBy("text_hash", "row").agg(F.sum("n_links").alias("n_links"))
+        links = links.join(joined, links["row"] == joined["node"], "left").select("text_hash", "row", F.coalesce("least", "row").alias("root"), "n_links", F.lit(False).alias("whole"))
+        verified = verified.where("whole").unionByName(links)
+    verified = verified.select("text_hash", F.unhex(F.lpad(F.hex("root"), 16, "0")).alias("class_hash"), "n_links")  # 8 bytes, so unlike any text's hash
 
     copies = every.groupBy("text_hash").agg(F.count("*").alias("n_copies"), F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "row")).alias("least"))
     classed = copies.join(verified, "text_hash", "left").select("text_hash", "n_copies", "least", F.coalesce("class_hash", "text_hash").alias("class_hash"), F.coalesce("n_links", F.lit(0)).alias("n_links"))

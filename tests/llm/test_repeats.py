@@ -71,6 +71,26 @@ def test_near_duplicates_of_a_crowd(spark):
     assert Counter((r.doc_id, r.class_id, r.n_links) for r in got) == brute_classes(rows)
 
 
+def test_large_clusters_are_split(spark, docs, monkeypatch):
+    """Of 150 texts that are no copies, no group that meets in one task holds more than two blocks."""
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for k in range(150):
+        words = list(base)
+        for n in range(1 + k % 14):
+            words[(7 * k + 5 * n) % 120] = f"changed{k}"
+        rows.append((k, " ".join(words)))
+    got = jaccard_join.near_duplicates(table(spark, rows), block_texts=20, block_leaders=4).collect()
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in got) == brute_classes(rows)
+    dealt = jaccard_join._met(spark.range(1000).withColumnRenamed("id", "row"), F.lit(10), True)
+    assert max(r["count"] for r in dealt.groupBy("one", "two").count().collect()) < 300
+    got = jaccard_join.near_duplicates(docs, block_texts=1, block_leaders=1).collect()
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in got) == brute_classes(corpus())
+    monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", 5000)
+    got = jaccard_join.near_duplicates(table(spark, rows)).collect()
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in got) == brute_classes(rows)
+
+
 def test_components(spark):
     edges = [(5, 4), (4, 3), (3, 2), (9, 8), (20, 2), (30, 9), (7, 7)]
     got = jaccard_join.components(spark.createDataFrame(edges, "a LONG, b LONG")).collect()
