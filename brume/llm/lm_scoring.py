@@ -1,16 +1,18 @@
-"""Katz backoff bigram model: Good-Turing discounts, exactly normalised backoff weights, evaluated over all texts.
+"""Katz backoff model: Good-Turing discounts, exactly normalised backoff weights, evaluated recursively over all texts.
 
-Tokens are words with ASCII letters lowered, and one end after each text; the first token's context is the beginning.
-With c the training counts, d the Good-Turing discounts for counts of 5 or less and one unknown word of its own:
+Tokens are words with ASCII letters lowered, and one end after each text; contexts before the first token are filled up
+with the beginning. With c the training counts, d the Good-Turing discounts of an order for counts of 5 or less, h' the
+context h without its first token, and one unknown word of its own:
 
     P(w)     = d(c(w)) c(w) / N,  the mass that is left for an unknown word
-    P(w | h) = d(c(h w)) c(h w) / D(h)  if h w was seen, else a(h) P(w)
-    a(h)     = (1 - sum of the seen P(w | h)) / (1 - sum of P(w) over the seen w)
+    P(w | h) = d(c(h w)) c(h w) / D(h)  if h w was seen, else a(h) P(w | h')
+    a(h)     = (1 - sum of the seen P(w | h)) / (1 - sum of P(w | h') over the seen w)
 
-D(h) is the context's count, one more where nothing in it is discounted, so a(h) is never 0 and each context sums to 1.
+D(h) is the context's count, one more where nothing in it is discounted (N, the count of all tokens, likewise), so a(h) is never 0 and each context sums to 1.
+A context that was not seen has a(h) = 1. The weights of an order need those below it, so orders are worked one by one.
 
-The corpus is cut into blocks of texts. A block asks for each different word, word pair and context once, whatever its
-frequency, with its own training counts; so a word or pair that a third of all rows share costs one entry per block.
+The corpus is cut into blocks of texts. A block asks for each different n-gram and context once, whatever its
+frequency, with its own training counts; so an n-gram that a third of all rows share costs one entry per block.
 Requests are dealt by ranges of 64-bit hashes to buckets, which add up the counts, keep them as tables (`ngrams`:
 order, bucket, sorted keys, counts; `contexts`: bucket, keys, weights) and answer each block in the order of its keys.
 """
@@ -35,7 +37,7 @@ TOP = 5  # counts above it are not discounted
 END, BEGIN = np.uint64(0x454E44), np.uint64(0x424547494E)
 ROWS = "block long, part int, bucket int, docs array<struct<doc_id: long, held: boolean, n: long>>, x binary, y binary, z binary, w binary, stats array<long>"
 NAMES = ["block", "part", "bucket", "docs", "x", "y", "z", "w", "stats"]
-TEXTS, WORDS, PAIRS, CONTEXTS, TABLE_1, TABLE_2, TABLE_C = range(7)  # values of `part`
+TEXTS, COUNTS, CONTEXTS, TABLES, WEIGHTS = range(0, 500, 100)  # values of `part`; all but TEXTS with the order added
 DOCS = pa.list_(pa.struct([("doc_id", pa.int64()), ("held", pa.bool_()), ("n", pa.int64())]))
 
 
@@ -122,20 +124,51 @@ def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Block:
-    """Tokens of one block: keys, the codes of tokens and of their contexts, and the different pairs."""
+    """Tokens of one block, with the different n-grams and the contexts of each order up to `order`."""
 
-    def __init__(self, row: dict, pairs: bool = True):
-        self.keys = _unpack_sorted(row["x"])
-        codes = _by_frequency(_unpack(row["w"], np.uint32))[_unpack(row["z"], np.uint32)]
+    def __init__(self, row: dict, order: int):
+        words = _unpack_sorted(row["x"])
+        token = _by_frequency(_unpack(row["w"], np.uint32))[_unpack(row["z"], np.uint32)].astype(np.int32)
         self.n = np.array([d["n"] for d in row["docs"]], np.int64)
         self.held = np.repeat(np.array([d["held"] for d in row["docs"]], bool), self.n)
-        self.token = codes
-        self.context = np.empty_like(codes)
-        self.context[1:] = codes[:-1]
-        self.context[np.cumsum(self.n) - self.n] = len(self.keys)  # the beginning
-        self.context_keys = np.append(self.keys, BEGIN)
-        pair = mix(self.context_keys[self.context] * np.uint64(0x9E3779B97F4A7C15) + self.keys[self.token])
-        self.pairs, self.pair_first, self.pair = np.unique(pair, return_index=True, return_inverse=True)
+        starts, spread, begin = np.cumsum(self.n) - self.n, np.uint64(0x9E3779B97F4A7C15), np.array([BEGIN])
+        self.keys, self.code, self.first = {1: words}, {1: token}, {}  # sorted n-grams, each token's, where each is first
+        self.context, self.context_keys = {}, {}  # each token's context is the n-gram before it, or the beginning
+        for m in range(2, order + 1):
+            context = np.empty_like(token)
+            context[1:] = self.code[m - 1][:-1]
+            context[starts] = len(self.keys[m - 1])
+            self.context[m], self.context_keys[m] = context, np.append(self.keys[m - 1], begin)
+            begin = mix(begin * spread + BEGIN)
+            self.keys[m], self.first[m], code = np.unique(mix(self.context_keys[m][context] * spread + words[token]), return_index=True, return_inverse=True)
+            self.code[m] = code.astype(np.int32)
+
+    def used(self, m: int) -> np.ndarray:
+        """Codes of the contexts of an order in this block, in the order of their keys."""
+        used = np.flatnonzero(np.bincount(self.context[m], minlength=len(self.context_keys[m])))
+        return used[np.argsort(self.context_keys[m][used])]
+
+    def learn(self, rows: list[dict], order: int) -> None:
+        """Take the answers: counts of the orders up to `order`, and the weights that there are."""
+        self.count = {m: _answers(rows, COUNTS + m, "y", np.uint32) for m in range(1, order + 1)}
+        self.divisor, self.backoff = {}, {}
+        for m in range(2, order + 1):
+            divisor, backoff = (_answers(rows, CONTEXTS + m, c, np.float64) for c in "yz")
+            if len(divisor):
+                used = self.used(m)
+                self.divisor[m], self.backoff[m] = np.ones(len(self.context_keys[m])), np.ones(len(self.context_keys[m]))
+                self.divisor[m][used], self.backoff[m][used] = divisor, backoff
+
+    def probability(self, model: Model, m: int, at: np.ndarray) -> np.ndarray:
+        """P of the tokens at these places, given the m - 1 tokens before each."""
+        if m == 1:
+            return model.word(self.count[1])[self.code[1][at]]
+        out = np.empty(len(at))
+        count, context = self.count[m][self.code[m][at]], self.context[m][at]
+        seen = count > 0
+        out[seen] = model.discounted(count[seen], m) / self.divisor[m][context[seen]]
+        out[~seen] = self.backoff[m][context[~seen]] * self.probability(model, m - 1, at[~seen])
+        return out
 
 
 def _split(keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
@@ -145,14 +178,15 @@ def _split(keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
     return [(b, int(edges[b]), int(edges[b + 1])) for b in range(buckets) if edges[b] < edges[b + 1]]
 
 
-def _ask_counts(buckets: int):
+def _ask_counts(buckets: int, orders: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                block = _Block(row)
-                trained = np.bincount(block.pair[~block.held], minlength=len(block.pairs)).astype(np.uint32)
-                for part, keys, counts in ((WORDS, block.keys, _unpack(row["y"], np.uint32)), (PAIRS, block.pairs, trained)):
-                    yield _rows([{"block": row["block"], "part": part, "bucket": b, "x": _pack_sorted(keys[i:j]), "y": _pack(counts[i:j])} for b, i, j in _split(keys, buckets)])
+                block = _Block(row, orders[-1])
+                for m in orders:
+                    keys = block.keys[m]
+                    counts = _unpack(row["y"], np.uint32) if m == 1 else np.bincount(block.code[m][~block.held], minlength=len(keys)).astype(np.uint32)
+                    yield _rows([{"block": row["block"], "part": COUNTS + m, "bucket": b, "x": _pack_sorted(keys[i:j]), "y": _pack(counts[i:j])} for b, i, j in _split(keys, buckets)])
 
     return run
 
@@ -184,7 +218,7 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = total > 0
         stats = [int(total.sum()), int(seen.sum()), *(int((total == r).sum()) for r in range(1, TOP + 2))]
         part, bucket = rows[0]["part"], rows[0]["bucket"]
-        yield _rows([{"part": TABLE_1 if part == WORDS else TABLE_2, "bucket": bucket, "x": _pack_sorted(keys[seen]), "y": _pack(total[seen]), "stats": stats}])
+        yield _rows([{"part": TABLES + part - COUNTS, "bucket": bucket, "x": _pack_sorted(keys[seen]), "y": _pack(total[seen]), "stats": stats}])
         at = 0
         for r, a in zip(rows, asked, strict=True):
             part_of = slice(at, at + len(a))
@@ -208,21 +242,21 @@ def good_turing(n_r: list[int]) -> np.ndarray:
 
 
 class Model:
-    """The model's few numbers: totals, discounts, and the mass of an unknown word."""
+    """The model's few numbers: totals, discounts of each order, and the mass of an unknown word."""
 
-    def __init__(self, words: list[int], pairs: list[int]):
+    def __init__(self, stats: list[list[int]]):
+        words = stats[0]
         self.tokens, self.kinds = words[0], words[1]
-        self.word_discount, self.pair_discount = good_turing(words[2:]), good_turing(pairs[2:])
-        low = sum((1 - self.word_discount[r]) * r * words[1 + r] for r in range(1, TOP + 1))
+        self.discounts = [good_turing(s[2:]) for s in stats]
+        low = sum((1 - self.discounts[0][r]) * r * words[1 + r] for r in range(1, TOP + 1))
         self.total = self.tokens if low else self.tokens + 1
         self.unknown = (low or 1) / self.total if self.tokens else 1.0
 
-    @staticmethod
-    def discounted(counts: np.ndarray, discount: np.ndarray) -> np.ndarray:
-        return np.where(counts > TOP, 1.0, discount[np.minimum(counts, TOP)]) * counts
+    def discounted(self, counts: np.ndarray, order: int) -> np.ndarray:
+        return np.where(counts > TOP, 1.0, self.discounts[order - 1][np.minimum(counts, TOP)]) * counts
 
     def word(self, counts: np.ndarray) -> np.ndarray:
-        return np.where(counts > 0, self.discounted(counts, self.word_discount) / max(self.total, 1), self.unknown)
+        return np.where(counts > 0, self.discounted(counts, 1) / max(self.total, 1), self.unknown)
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.1) / (self.tokens + 0.1 * (self.kinds + 1)))
@@ -233,36 +267,31 @@ def _answers(rows: list[dict], part: int, column: str, dtype) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, dtype)
 
 
-def _used_contexts(block: _Block) -> np.ndarray:
-    """Codes of the contexts in a block, in the order of their keys."""
-    used = np.flatnonzero(np.bincount(block.context, minlength=len(block.context_keys)))
-    return used[np.argsort(block.context_keys[used])]
-
-
-def _ask_contexts(buckets: int, model: Model):
-    """Blocks with their counts -> sums over the pairs that a block speaks for, by context."""
+def _ask_contexts(buckets: int, model: Model, m: int):
+    """Blocks with their counts, and the weights below order m -> sums over the n-grams that a block speaks for, by context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, "block"):
-            block = _Block(rows[0])
-            words, pairs = (_answers(rows, p, "y", np.uint32).astype(np.int64) for p in (WORDS, PAIRS))
-            speaks = np.flatnonzero(_answers(rows, PAIRS, "z", bool))
-            at = block.pair_first[speaks]
-            context, n = block.context[at], len(block.context_keys)
-            seen = np.bincount(context, model.discounted(pairs[speaks], model.pair_discount), n)
-            mass = np.bincount(context, model.word(words[block.token[at]]), n)
-            count = np.bincount(context, pairs[speaks], n)
-            used = _used_contexts(block)
-            keys = block.context_keys[used]
-            yield _rows([{"block": rows[0]["block"], "part": CONTEXTS, "bucket": b, "x": _pack_sorted(keys[i:j]), "y": _pack(seen[used[i:j]]), "z": _pack(mass[used[i:j]]), "w": _pack(count[used[i:j]])} for b, i, j in _split(keys, buckets)])
+            block = _Block(rows[0], m)
+            block.learn(rows, m)
+            speaks = np.flatnonzero(_answers(rows, COUNTS + m, "z", bool))
+            at, counts = block.first[m][speaks], block.count[m][speaks]
+            keys = block.context_keys[m]
+            context, n = block.context[m][at], len(keys)
+            seen = np.bincount(context, model.discounted(counts, m), n)
+            mass = np.bincount(context, block.probability(model, m - 1, at), n)
+            count = np.bincount(context, counts, n)
+            used = block.used(m)
+            keys = keys[used]
+            yield _rows([{"block": rows[0]["block"], "part": CONTEXTS + m, "bucket": b, "x": _pack_sorted(keys[i:j]), "y": _pack(seen[used[i:j]]), "z": _pack(mass[used[i:j]]), "w": _pack(count[used[i:j]])} for b, i, j in _split(keys, buckets)])
 
     return run
 
 
 def weights(seen: np.ndarray, mass: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """D(h) and a(h) from the discounted counts, the word mass and the counts of what follows h."""
+    """D(h) and a(h) from the discounted counts, the mass in the order below and the counts of what follows h."""
     divisor = np.where(count == 0, 1.0, np.where(count - seen > 1e-9 * count, count, count + 1))
-    return divisor, np.where(count == 0, 1.0, (1 - seen / divisor) / (1 - mass))
+    return divisor, np.where(count == 0, 1.0, (1 - seen / divisor) / np.maximum(1 - mass, 1e-12))
 
 
 def _sum_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,29 +300,25 @@ def _sum_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         keys, code = np.unique(np.concatenate(asked), return_inverse=True)
         sums = [np.bincount(code, np.concatenate([_unpack(r[c], np.float64) for r in rows]), len(keys)) for c in "yzw"]
         divisor, backoff = weights(*sums)
-        yield _rows([{"part": TABLE_C, "bucket": rows[0]["bucket"], "x": _pack_sorted(keys), "y": _pack(divisor), "z": _pack(backoff)}])
+        yield _rows([{"part": rows[0]["part"] + WEIGHTS - CONTEXTS, "bucket": rows[0]["bucket"], "x": _pack_sorted(keys), "y": _pack(divisor), "z": _pack(backoff)}])
         at = 0
         for r, a in zip(rows, asked, strict=True):
             own = code[at : at + len(a)]
             at += len(a)
-            yield _rows([{"block": r["block"], "part": CONTEXTS, "bucket": r["bucket"], "y": _pack(divisor[own]), "z": _pack(backoff[own])}])
+            yield _rows([{"block": r["block"], "part": r["part"], "bucket": r["bucket"], "y": _pack(divisor[own]), "z": _pack(backoff[own])}])
 
 
-def _score(model: Model):
+def _score(model: Model, order: int):
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, "block"):
-            block = _Block(rows[0])
-            words, pairs = (_answers(rows, p, "y", np.uint32).astype(np.int64) for p in (WORDS, PAIRS))
-            divisor, backoff = np.ones(len(block.context_keys)), np.ones(len(block.context_keys))
-            used = _used_contexts(block)
-            divisor[used], backoff[used] = (_answers(rows, CONTEXTS, c, np.float64) for c in "yz")
-            count = pairs[block.pair]
-            first = model.discounted(count, model.pair_discount) / divisor[block.context]
-            value = np.log10(np.where(count > 0, first, backoff[block.context] * model.word(words)[block.token]))
+            block = _Block(rows[0], order)
+            block.learn(rows, order)
+            words, token = block.count[1], block.code[1]
+            value = np.log10(block.probability(model, order, np.arange(len(token))))
             ends = np.concatenate([[0], np.cumsum(block.n)])
-            total = [np.add.reduceat(v, ends[:-1]) for v in (words[block.token] > 0, model.base(words)[block.token], value)]
+            total = [np.add.reduceat(v, ends[:-1]) for v in (words[token] > 0, model.base(words)[token], value)]
             docs, n = rows[0]["docs"], len(block.n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([d["doc_id"] for d in docs], pa.int64()), pa.array([d["held"] for d in docs]), pa.array(block.n), pa.array(total[0].astype(np.int64)), pa.array(np.full(n, model.tokens)), pa.array(total[1]), pa.array(total[2])], names=names
@@ -302,38 +327,44 @@ def _score(model: Model):
     return run
 
 
-def score(docs: DataFrame, *, bucket_tokens: int = 2_000_000, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def score(docs: DataFrame, *, order: int = 2, bucket_tokens: int = 2_000_000, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every row.
 
-    Rows whose crc32(doc_id as text) mod 10 is 0 are held out, the others train. A null or empty text is its end alone;
-    a null id counts as an empty text's id (held out) and is kept; repeated rows train as often as they occur; other
-    columns are ignored; an empty table gives no rows.
+    `order`: tokens in the longest n-grams, 1 or more. Rows whose crc32(doc_id as text) mod 10 is 0 are held out, the
+    others train. A null or empty text is its end alone; a null id counts as an empty text's id (held out) and is kept;
+    repeated rows train as often as they occur; other columns are ignored; an empty table gives no rows.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
     blocks = written(texts.mapInArrow(_tokenise, ROWS), "blocks")
     tokens = blocks.agg(F.sum(F.col("stats")[0])).first()[0] or 0
     buckets = 1 << max(3, (tokens // bucket_tokens).bit_length())
-    counts = blocks.mapInArrow(_ask_counts(buckets), ROWS).repartition("part", "bucket").sortWithinPartitions("part", "bucket", "block").mapInArrow(_sum_counts, ROWS)
-    counts = written(counts, "ngrams")
-    release_shuffles(docs.sparkSession)
     sums = [F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(TOP + 3)]
-    got = {r["part"]: [int(r[f"s{i}"]) for i in range(TOP + 3)] for r in counts.where(F.col("part").isin(TABLE_1, TABLE_2)).groupBy("part").agg(*sums).collect()}
-    model = Model(got.get(TABLE_1, [0] * (TOP + 3)), got.get(TABLE_2, [0] * (TOP + 3)))
-
-    def met(*tables: DataFrame) -> DataFrame:
+    answers, stats = [], []
+    for orders in ([1, 2][:order], *([m] for m in range(3, order + 1))):
+        asked = blocks.mapInArrow(_ask_counts(buckets, orders), ROWS).repartition("part", "bucket").sortWithinPartitions("part", "bucket", "block")
+        counts = written(asked.mapInArrow(_sum_counts, ROWS), "ngrams")
+        release_shuffles(docs.sparkSession)
+        got = {r["part"]: [int(r[f"s{i}"]) for i in range(TOP + 3)] for r in counts.where(F.col("part") >= TABLES).groupBy("part").agg(*sums).collect()}
+        stats += [got.get(TABLES + m, [0] * (TOP + 3)) for m in orders]
+        answers.append(counts.where(F.col("part") < TABLES))
+    model = Model(stats)
+
+    def met(speaking: int | None, weighted: list[DataFrame]) -> DataFrame:
         every = blocks
-        for t in tables:
+        for t in answers:
+            every = every.unionByName(t.where(F.col("part") <= COUNTS + (speaking or order)).withColumn("z", F.when(F.col("part") == COUNTS + (speaking or 0), F.col("z"))))
+        for t in weighted:
             every = every.unionByName(t)
         return every.repartition("block").sortWithinPartitions("block", "part", "bucket")
 
-    answers = counts.where(F.col("part").isin(WORDS, PAIRS))
-    asked = met(answers).mapInArrow(_ask_contexts(buckets, model), ROWS)
-    contexts = written(asked.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(_sum_contexts, ROWS), "contexts")
-    release_shuffles(docs.sparkSession)
-    return met(answers.drop("z").withColumn("z", F.lit(None).cast("binary")), contexts.where(F.col("part") == CONTEXTS)).mapInArrow(
-        _score(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    )
+    weighted: list[DataFrame] = []
+    for m in range(2, order + 1):
+        asked = met(m, weighted).mapInArrow(_ask_contexts(buckets, model, m), ROWS)
+        contexts = written(asked.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(_sum_contexts, ROWS), "contexts")
+        release_shuffles(docs.sparkSession)
+        weighted.append(contexts.where(F.col("part") == CONTEXTS + m))
+    return met(None, weighted).mapInArrow(_score(model, order), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op10_lm_scoring(spark, sf_dir: str) -> DataFrame:
-    return score(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return score(spark.read.parquet(f"{sf_dir}/documents.parquet"), order=3)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -73,6 +74,56 @@ def test_scores_beat_the_base_on_held_out_texts(spark):
     assert got and sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def brute_orders(rows, order):
+    """(doc_id, score) by the recursion itself."""
+    counts = [Counter() for _ in range(order + 1)]
+    texts = [(i, ["<s>"] * (order - 1) + words(t)) for i, t in rows]
+    for i, w in texts:
+        if not held(i):
+            for m in range(1, order + 1):
+                counts[m].update(tuple(w[k - m + 1 : k + 1]) for k in range(order - 1, len(w)))
+    discounts = [lm_scoring.good_turing([Counter(c.values())[r] for r in range(1, 7)]) for c in counts]
+    cut = lambda c, m: (discounts[m][c] if c <= 5 else 1.0) * c
+    n = sum(counts[1].values())
+    after = defaultdict(list)
+    for m in range(2, order + 1):
+        for g, c in counts[m].items():
+            after[g[:-1]].append((g[-1], c))
+    seen_words = sum(cut(c, 1) for c in counts[1].values())
+    n += n - seen_words < 1e-9 * n
+    unknown = 1 - seen_words / n
+
+    @functools.cache
+    def weight(h):
+        count, seen = sum(c for _, c in after[h]), sum(cut(c, len(h) + 1) for _, c in after[h])
+        divisor = count if count - seen > 1e-9 * count else count + 1
+        return divisor, (1 - seen / divisor) / (1 - sum(p(h[1:], w) for w, _ in after[h]))
+
+    @functools.cache
+    def p(h, w):
+        c = counts[len(h) + 1][(*h, w)]
+        if not h:
+            return cut(c, 1) / n if c else unknown
+        if h not in after:
+            return p(h[1:], w)
+        return cut(c, len(h) + 1) / weight(h)[0] if c else weight(h)[1] * p(h[1:], w)
+
+    return Counter((i, round(sum(math.log10(p(tuple(w[k - order + 1 : k]), w[k])) for k in range(order - 1, len(w))), 5)) for i, w in texts)
+
+
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_scores_of_any_order_match_brute_force(spark, order):
+    rows = [(i, " ".join(random.Random(i).choices("a b c d e f g".split() + [f"w{k}" for k in range(9)], weights=[9] * 7 + [1] * 9, k=i % 40))) for i in range(160)] + [(None, None)]
+    got = lm_scoring.score(table(spark, rows), order=order).collect()
+    assert Counter((r.doc_id, round(r.score, 5)) for r in got) == brute_orders(rows, order)
+
+
+def test_query_scores_trigrams(spark, tmp_path):
+    table(spark, corpus()).write.parquet(f"{tmp_path}/documents.parquet")
+    got = lm_scoring.op10_lm_scoring(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, round(r.score, 5)) for r in got) == brute_orders(corpus(), 3)
+
+
 def test_scores_without_training_texts(spark):
     rows = [(i, "some words") for i in range(400) if held(i)]
     got = lm_scoring.score(table(spark, rows)).collect()
