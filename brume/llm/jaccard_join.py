@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import byte_groups, fresh, is_space, sized_broadcast, text_bytes, text_or_empty, word_starts, written
 from .hashing import ByteHashes, mix
 
-SKETCHES = "kind string, row long, doc long, text_hash binary, n_bytes long, tree int, prefix long, signature binary, members array<long>"
+SKETCHES = "kind string, row long, doc long, text_hash binary, size long, tree int, prefix long, signature binary, members array<long>"
 BLOCK_BYTES = 16 << 20  # of texts in one block of a cluster
 
 
@@ -84,7 +84,7 @@ def _estimates(one: np.ndarray, many: np.ndarray) -> np.ndarray:
 def _sketch(trees: int, depth: int, prefix: int, near: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, labels = [], []
-        names = ["kind", "row", "doc", "text_hash", "n_bytes", "tree", "prefix", "signature", "members"]
+        names = ["kind", "row", "doc", "text_hash", "size", "tree", "prefix", "signature", "members"]
         for batch in batches:
             n = batch.num_rows
             data, at = text_bytes(batch.column(2))
@@ -115,7 +115,8 @@ def _sketch(trees: int, depth: int, prefix: int, near: float):
                     members.append(row[left[close][1:]].tolist())
                     left = left[~close]
             n = len(leaders)
-            yield pa.RecordBatch.from_arrays([pa.array(["leader"] * n), pa.array(row[leaders], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.array(np.full(n, tree, np.int32)), pa.array(key[leaders].view(np.int64)), pa.array([low[i].tobytes() for i in leaders], pa.binary()), pa.array(members, pa.list_(pa.int64()))], names=names)
+            _, node, here = np.unique(key[leaders], return_inverse=True, return_counts=True)  # this task's leaders in the node
+            yield pa.RecordBatch.from_arrays([pa.array(["leader"] * n), pa.array(row[leaders], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(here[node], pa.int64()), pa.array(np.full(n, tree, np.int32)), pa.array(key[leaders].view(np.int64)), pa.array([low[i].tobytes() for i in leaders], pa.binary()), pa.array(members, pa.list_(pa.int64()))], names=names)
 
     return run
 
@@ -303,14 +304,16 @@ def near_duplicates(
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("doc"), text_or_empty(text_column).alias("text"))
     prefix = prefix_length(threshold, trees, depth, recall)
     sketches = written(rows.mapInArrow(_sketch(trees, depth, prefix, threshold), SKETCHES), "sketches")
-    every = sketches.where("kind = 'doc'").select("row", "doc", "text_hash", "n_bytes")
+    every = sketches.where("kind = 'doc'").select("row", "doc", "text_hash", F.col("size").alias("n_bytes"))
     leaders = sketches.where("kind = 'leader'")
     room = max(0.05, 1 - 3 * (1 - threshold) - 0.15)  # three distances, and what signatures may err
     nodes = leaders.select("tree", "prefix", F.lit(0).alias("one"), F.lit(0).alias("two"), "row", "signature")
-    crowds = written(leaders.groupBy("tree", "prefix").agg(F.count("*").alias("n")).where(F.col("n") > block_leaders), "crowds")
-    n_crowds = crowds.count()
-    if n_crowds:
-        crowded = nodes.drop("one", "two").join(sized_broadcast(crowds, n_crowds, max_broadcast), ["tree", "prefix"], "left")
+    tasks = (every.agg(F.max(F.shiftright("row", 33))).first()[0] or 0) + 1
+    many = leaders.where(F.col("size") * tasks > block_leaders).select("tree", "prefix").distinct()  # no other node can have so many
+    n_many = many.count()
+    if n_many:
+        crowds = leaders.join(sized_broadcast(many, n_many, max_broadcast), ["tree", "prefix"], "left_semi").groupBy("tree", "prefix").agg(F.count("*").alias("n"))
+        crowded = nodes.drop("one", "two").join(sized_broadcast(crowds, n_many, max_broadcast), ["tree", "prefix"], "left")
         nodes = _met(crowded, F.ceil(F.coalesce("n", F.lit(1)) / block_leaders), False).select(*nodes.columns)
     nodes = nodes.repartition("tree", "prefix", "one", "two").sortWithinPartitions("tree", "prefix", "one", "two")
     edges = nodes.mapInArrow(_link_leaders(room), "a long, b long").union(leaders.select(F.col("row").alias("a"), F.explode("members").alias("b")))
