@@ -2,22 +2,49 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import struct
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path under the session's checkpoint folder; a local one only where the session names none."""
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's checkpoint folder.
+
+    Only a session that runs in one process, as in tests, gets a local folder where it names none.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="brume-"))
-    return f"{sc.getCheckpointDir()}/{uuid.uuid4().hex}-{name}"
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="brume-"))
+    return sc.getCheckpointDir()
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}-{name}"
+
+
+@contextlib.contextmanager
+def shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of an execution within this block when it ends: what it wrote is in a table then."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def shared_table(df: DataFrame, name: str, partitions: list[str] | None = None) -> DataFrame:
