@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import functools
-import gc
 import os
-import tempfile
-import time
+import re
 import uuid
 
 import numpy as np
@@ -15,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import checkpoint_folder, shuffles_end
+
 WORD_MODEL = "word_bpe_49k.json"
 BYTE_MODEL = "byte_bpe_50k.json"
 
@@ -27,36 +27,29 @@ def tokenizer_path(name: str) -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder that driver and executors share.
-
-    It lies in the checkpoint folder of the session. Only where the session names none, as in tests,
-    a local folder is set.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="brume-"))
-    return f"{sc.getCheckpointDir()}/{uuid.uuid4().hex}"
+    """A new folder that driver and executors share, in the checkpoint folder of the session."""
+    return f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a DataFrame once to the shared folder and read it back: its lineage ends there."""
+    """Write a DataFrame once to the shared folder and read it back: its lineage and its shuffle files end there."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}-{name}"
     schema = df.schema
-    df.write.parquet(path)
+    with shuffles_end(spark):
+        df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of what has been written.
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """`df`, or a copy of it, such that its rows have the same places in the same partitions whenever it is read.
 
-    Its cleaner follows the driver's garbage collection, which may be long in coming on its own.
+    What only selects from one scan or checkpoint is that already; all else is written once.
     """
-    gc.collect()
-    for _ in range(2):
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if all(re.match(r"[\s:+-]*(Project|Filter|Relation|LogicalRDD)\b", line) for line in plan.splitlines() if line.strip()):
+        return df
+    return written(df, name)
 
 
 def sized_broadcast(df: DataFrame, rows: int, max_rows: int) -> DataFrame:

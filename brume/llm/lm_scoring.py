@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_groups, is_space, release_shuffles, text_bytes, text_or_empty, word_starts, written
+from .common import byte_groups, is_space, text_bytes, text_or_empty, word_starts, written
 from .hashing import ByteHashes, mix
 
 BLOCK_BYTES = 16 << 20
@@ -343,7 +343,6 @@ def score(docs: DataFrame, *, order: int = 2, bucket_tokens: int = 2_000_000, id
     for orders in ([1, 2][:order], *([m] for m in range(3, order + 1))):
         asked = blocks.mapInArrow(_ask_counts(buckets, orders), ROWS).repartition("part", "bucket").sortWithinPartitions("part", "bucket", "block")
         counts = written(asked.mapInArrow(_sum_counts, ROWS), "ngrams")
-        release_shuffles(docs.sparkSession)
         got = {r["part"]: [int(r[f"s{i}"]) for i in range(TOP + 3)] for r in counts.where(F.col("part") >= TABLES).groupBy("part").agg(*sums).collect()}
         stats += [got.get(TABLES + m, [0] * (TOP + 3)) for m in orders]
         answers.append(counts.where(F.col("part") < TABLES))
@@ -361,7 +360,6 @@ def score(docs: DataFrame, *, order: int = 2, bucket_tokens: int = 2_000_000, id
     for m in range(2, order + 1):
         asked = met(m, weighted).mapInArrow(_ask_contexts(buckets, model, m), ROWS)
         contexts = written(asked.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(_sum_contexts, ROWS), "contexts")
-        release_shuffles(docs.sparkSession)
         weighted.append(contexts.where(F.col("part") == CONTEXTS + m))
     return met(None, weighted).mapInArrow(_score(model, order), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 

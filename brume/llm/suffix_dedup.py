@@ -4,15 +4,16 @@ A repeat is a string of `least` bytes that starts at two places. Each such windo
 bytes in it with the smallest hash (the last of equals). Equal windows have equal anchors, so windows can be compared
 anchor by anchor, with nothing missed:
 
-1. Each text gives its stretches: the run of windows that share an anchor, with the hash of all bytes they cover.
-   Stretches that are equal as a whole are settled by counting.
-2. Of the others, one text of each different stretch is fetched where an anchor has two or more. Stretches are brought
-   together by anchor and sorted by suffix; the longest-previous-factor array, from previous and next smaller positions
-   in suffix order, shows which windows have an earlier match (or, if all copies go, any match).
-3. Anchors with very many different stretches are not gathered: hashes of their windows are counted instead, after a
-   sum within each task.
-
-Texts are shuffled twice, to fetch stretches and to be cut; all else that moves is hashes and stretches. Both joins are
+1. Each text gives its stretches: the run of windows that share an anchor, with the hash of all bytes they cover. Before
+   anything is gathered, equal stretches are collapsed to their first copy.
+2. Where an anchor has two or more different stretches, their bytes are fetched, brought together by anchor and sorted by
+   suffix. The longest-previous-factor array, from the previous and next smaller positions in suffix order, shows which
+   windows have an earlier match; its mirror, from the larger positions, which have a later one.
+3. An anchor with more than `hot` different stretches is not gathered. Its stretches are cut by how far the anchor lies
+   from the start of a window, and each part is keyed by the longer piece that all its windows share; equal windows still
+   share a key. This is repeated with ever narrower parts, of one window in the end, and each round is steps 1 and 2 again.
+
+Texts are shuffled twice, to fetch stretches and to be cut; all else that moves is hashes and stretches. All joins are
 merge joins at every size, so a small corpus shows the cost of a large one, and Spark can split hot sides.
 """
 
@@ -23,22 +24,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_groups, fresh, release_shuffles, text_bytes, text_or_empty, written
-from .hashing import ByteHashes, sliding_min
+from .common import byte_groups, fresh, settled, text_bytes, text_or_empty, written
+from .hashing import ByteHashes, mix, sliding_min
 
 ANCHOR = 32
 SEGMENT = 1 << 20
-STRETCHES = "anchor long, stretch long, row long, doc long, first long, n int"
+STRETCHES = "anchor long, stretch long, row long, doc long, first long, n int, at int"
 
 
 def stretches(data: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
-    """anchor hash, stretch hash, first window and count of windows of each stretch; `at`: offsets of the texts."""
+    """anchor hash, stretch hash, first window, count of windows and place of the anchor; `at`: offsets of the texts."""
     none = np.zeros(0, np.int64)
     if len(data) < least:
-        return none.view(np.uint64), none.view(np.uint64), none, none
+        return none.view(np.uint64), none.view(np.uint64), none, none, none
     hashes = ByteHashes(data)
     pieces = hashes.windows(ANCHOR)
     low = np.uint64((1 << 24) - 1)
@@ -57,7 +58,7 @@ def stretches(data: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray,
     n = np.diff(np.append(first, len(anchor)))
     keep = valid[first]
     first, n = first[keep], n[keep]
-    return pieces[anchor[first]], hashes.ranges(first, first + n - 1 + least), first, n
+    return pieces[anchor[first]], hashes.ranges(first, first + n - 1 + least), first, n, anchor[first]
 
 
 def _segments(at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,12 +82,12 @@ def _find_stretches(least: int):
                 sizes = stop[a:b] - start[a:b]
                 part = np.concatenate([data[s:e] for s, e in zip(start[a:b].tolist(), stop[a:b].tolist(), strict=True)]) if b - a > 1 else data[start[a] : stop[a]]
                 ends = np.concatenate([[0], np.cumsum(sizes)])
-                anchor, stretch, first, n = stretches(part, ends, least)
+                anchor, stretch, first, n, anchored = stretches(part, ends, least)
                 seg = np.searchsorted(ends, first, "right") - 1
                 own = row[a:b][seg]
                 place = first - ends[seg] + start[a:b][seg] - at[own]
                 own = pa.array(own)
-                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(stretch.view(np.int64)), rows.take(own), docs.take(own), pa.array(place, pa.int64()), pa.array(n, pa.int32())], names=["anchor", "stretch", "row", "doc", "first", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(stretch.view(np.int64)), rows.take(own), docs.take(own), pa.array(place, pa.int64()), pa.array(n, pa.int32()), pa.array(anchored - first, pa.int32())], names=["anchor", "stretch", "row", "doc", "first", "n", "at"])
 
     return run
 
@@ -122,42 +123,64 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, least: int) -> tuple[np.n
     return starts[by], lcp
 
 
+def _match_before(position: np.ndarray, link: np.ndarray, joined: np.ndarray) -> np.ndarray:
+    """Match of each suffix with the nearest one before it in suffix order that has a smaller position; 0 if none.
+
+    `link`: common prefix with the suffix before, `joined`: whether the two are in one interval; none is crossed. Minima
+    over 1, 2, 4, ... suffixes let all suffixes step over the larger positions at once.
+    """
+    places = np.arange(len(position))
+    head = np.maximum.accumulate(np.where(joined, 0, places))
+    longest = int((places - head).max(initial=0))
+    lowest, shared = [position], [link]
+    while 1 << len(lowest) <= longest:
+        half = 1 << len(lowest) - 1
+        for table in (lowest, shared):
+            wider = table[-1].copy()
+            np.minimum(wider[half:], table[-1][:-half], out=wider[half:])
+            table.append(wider)
+    at, match = places - 1, link.copy()
+    for k in reversed(range(len(lowest))):
+        over = (at - (1 << k) + 1 >= head) & (lowest[k][at] > position)
+        match[over] = np.minimum(match[over], shared[k][at[over]])
+        at[over] -= 1 << k
+    return np.where(at >= head, match, 0)
+
+
 def longest_previous_factor(order: np.ndarray, lcp: np.ndarray, least: int) -> np.ndarray:
     """Length of the longest match that starts earlier, for each suffix of the order; 0 where none reaches `least`.
 
-    Only neighbours in suffix order that share `least` bytes can match, so each such interval is scanned on its own,
-    for the previous and for the next smaller position of each suffix.
+    It is the better of the matches with the previous and the next smaller position in suffix order. Only neighbours
+    that share `least` bytes can lie between, so each such interval is looked at on its own.
     """
-    best = np.zeros(len(order), np.int64)
+    best = np.zeros(len(order), np.int32)
     linked = lcp >= least
     inside = linked.copy()
     inside[:-1] |= linked[1:]
     places = np.flatnonzero(inside)
-    stack: list[tuple[int, int, int]] = []  # position, place in the order, match with the one below
-    for r, position, link, joined in zip(places.tolist(), order[places].tolist(), lcp[places].tolist(), linked[places].tolist(), strict=True):
-        if not joined:
-            stack = []
-        while stack and stack[-1][0] > position:  # its next smaller position is this one
-            _, top, below = stack.pop()
-            best[top] = max(best[top], link)
-            link = min(link, below)
-        if stack:
-            best[r] = max(best[r], link)
-        stack.append((position, r, link if stack else 1 << 60))
+    position, link, joined = order[places].astype(np.int32), lcp[places].astype(np.int32), linked[places]
+    back = np.append(0, np.arange(len(places) - 1, 0, -1))[: len(places)]  # the link of a reversed suffix with the one before it
+    after = _match_before(position[::-1], np.where(back, link[back], 0), joined[back] & (back > 0))[::-1]
+    best[places] = np.maximum(_match_before(position, link, joined), after)
     return best
 
 
+def longest_next_factor(order: np.ndarray, lcp: np.ndarray, least: int) -> np.ndarray:
+    """Length of the longest match that starts later: the mirror of `longest_previous_factor`."""
+    return longest_previous_factor(-order, lcp, least)
+
+
 def _windows_with_match(texts: list[bytes], n: np.ndarray, least: int, earlier: bool) -> list[np.ndarray]:
-    """For each stretch, which of its windows match another one (an earlier one, if asked)."""
+    """For each stretch, which of its windows match an earlier one, or, if not `earlier`, also a later one."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     order, lcp = suffix_order(data, np.repeat(at[:-1], n) + step, least)
+    longest = longest_previous_factor(order, lcp, least)
+    if not earlier:
+        longest = np.maximum(longest, longest_next_factor(order, lcp, least))
     hit = np.zeros(len(data), bool)
-    if earlier:
-        hit[order] = longest_previous_factor(order, lcp, least) >= least
-    else:
-        hit[order] = np.maximum(lcp, np.append(lcp[1:], 0)) >= least
+    hit[order] = longest >= least
     return [hit[s : s + k] for s, k in zip(at[:-1].tolist(), n.tolist(), strict=True)]
 
 
@@ -202,52 +225,74 @@ def _match_stretches(least: int, earlier: bool):
     return run
 
 
-def _window_hashes(least: int):
+def _narrow(least: int, width: int):
+    """(doc, row, first, n, at, body) of stretches -> their parts, of windows that start up to `width` bytes apart.
+
+    The anchor lies `at` bytes after the first window. A part's key is the hash of what all windows of its cell share,
+    the cell being how far before the anchor they start, in steps of `width`.
+    """
+    names = ["anchor", "stretch", "row", "doc", "first", "n", "at", "body"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, row, first, n = (batch.column(i) for i in range(4))
-            data, at = text_bytes(batch.column(4))
-            count = n.to_numpy()
-            owner = np.repeat(np.arange(len(count)), count)
-            step = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-            begin = at[:-1][owner] + step
-            hashes = ByteHashes(data).ranges(begin, begin + least) if len(begin) else np.zeros(0, np.uint64)
-            at_row = pa.array(owner)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), doc.take(at_row), row.take(at_row), pa.array(first.to_numpy()[owner] + step)], names=["window", "doc", "row", "first"])
+            doc, row = batch.column(0), batch.column(1)
+            first, n, at = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3, 4))
+            data, begin = text_bytes(batch.column(5))
+            low, high = (at - n + 1) // width, at // width
+            owner = np.repeat(np.arange(len(n)), high - low + 1)
+            count = np.cumsum(high - low + 1) - (high - low + 1)
+            cell = low[owner] + np.arange(len(owner)) - count[owner]
+            head = np.maximum(0, at[owner] - (cell + 1) * width + 1)
+            size = np.minimum(n[owner] - 1, at[owner] - cell * width) - head + 1
+            hashes, base = ByteHashes(data), begin[:-1][owner]
+            shared = base + at[owner] - cell * width
+            key = mix(hashes.ranges(shared, shared + least - width + 1) + cell.astype(np.uint64))
+            stretch = hashes.ranges(base + head, base + head + size - 1 + least)
+            bodies = pa.array([data[a:b].tobytes() for a, b in zip((base + head).tolist(), (base + head + size - 1 + least).tolist(), strict=True)], pa.binary())
+            own = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(stretch.view(np.int64)), row.take(own), doc.take(own), pa.array(first[owner] + head), pa.array(size.astype(np.int32)), pa.array((at[owner] - head).astype(np.int32)), bodies], names=names)
 
     return run
 
 
-def repeated_windows(docs: DataFrame, *, least: int = 400, keep_first: bool, hot: int = 4096) -> DataFrame:
+def _collapsed(seen: DataFrame, keep_first: bool, hot: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """The runs that go because a whole stretch has a copy; and one of each different stretch of the anchors that have several."""
+    place = F.struct("doc", "row", "first")
+    kinds = seen.groupBy("anchor", "stretch").agg(F.count("*").alias("times"), F.min(place).alias("p"), F.first("n").alias("n"), F.first("at").alias("at"))
+    several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    kinds = written(kinds.join(several, "anchor", "left").where("times > 1 or kinds is not null"), f"{name}-kinds")
+    copies = kinds.where("times > 1").select("anchor", "stretch", "p")
+    whole = seen.join(copies.hint("merge"), ["anchor", "stretch"])
+    if keep_first:
+        whole = whole.where(~place.eqNullSafe(F.col("p")))
+    single = kinds.where("kinds is not null").select("anchor", "stretch", "p.doc", "p.row", "p.first", "n", "at", (F.col("times") == 1).alias("alone"), (F.col("kinds") > hot).alias("crowd"))
+    return whole.select("row", "first", "n"), single
+
+
+def repeated_windows(docs: DataFrame, *, least: int = 400, keep_first: bool, hot: int = 1024) -> DataFrame:
     """(row, first, n): runs of n windows of `least` bytes, from byte `first` of the text, that must go.
 
     `docs`: row, doc, text. With `keep_first` those that start earlier too (by doc, row, place), else those that start
     anywhere else.
     """
     seen = written(docs.mapInArrow(_find_stretches(least), STRETCHES), "stretches")
-    place = F.struct("doc", "row", "first")
-    kinds = seen.groupBy("anchor", "stretch").agg(F.count("*").alias("times"), F.min(place).alias("p"), F.first("n").alias("n"))
-    kinds = written(kinds.withColumn("kinds", F.count("*").over(Window.partitionBy("anchor"))).where("times > 1 or kinds > 1"), "kinds")
-    copies = kinds.where("times > 1").select("anchor", "stretch", "p")
-    whole = seen.join(copies, ["anchor", "stretch"])
-    if keep_first:
-        whole = whole.where(~place.eqNullSafe(F.col("p")))
-    whole = whole.select("row", "first", "n")
-
-    single = kinds.where("kinds > 1").select("anchor", "p.doc", "p.row", "p.first", "n", (F.col("times") == 1).alias("alone"), (F.col("kinds") > hot).alias("crowd"))
+    gone, single = _collapsed(seen, keep_first, hot, "anchors")
     body = F.substring(F.encode("text", "UTF-8"), F.col("first").cast("int") + 1, F.col("n") + least - 1)
-    texts = docs.select("row", "text").join(single.hint("merge"), "row").select("anchor", "doc", "row", "first", "n", "alone", "crowd", body.alias("body"))
-    texts = written(texts, "bodies")
-    release_shuffles(docs.sparkSession)
-    calm = texts.where("not crowd").drop("crowd").repartition("anchor").sortWithinPartitions("anchor", "doc", "row", "first")
-    matched = calm.mapInArrow(_match_stretches(least, keep_first), "row long, first long, n int")
-
-    windows = texts.where("crowd").select("doc", "row", "first", "n", "body").mapInArrow(_window_hashes(least), "window long, doc long, row long, first long")
-    counted = windows.groupBy("window").agg(F.count("*").alias("times"), F.min(place).alias("p")).where("times > 1")
-    crowded = windows.join(counted, "window")
-    if keep_first:
-        crowded = crowded.where(~place.eqNullSafe(F.col("p")))
-    return whole.unionByName(matched).unionByName(crowded.select("row", "first", F.lit(1).alias("n")))
+    found = docs.select("row", "text").join(single.hint("merge"), "row").withColumn("body", body)
+    width = least - ANCHOR + 1
+    while True:
+        bodies = written(found.select("anchor", "doc", "row", "first", "n", "alone", "at", "crowd", "body"), "bodies")
+        calm = bodies.where("not crowd").select("anchor", "doc", "row", "first", "n", "alone", "body").repartition("anchor").sortWithinPartitions("anchor", "doc", "row", "first")
+        gone = gone.unionByName(calm.mapInArrow(_match_stretches(least, keep_first), "row long, first long, n int"))
+        crowd = bodies.where("crowd")
+        if width == 1 or crowd.isEmpty():
+            return gone
+        width = -(-width // 8)
+        parts = written(crowd.select("doc", "row", "first", "n", "at", "body").mapInArrow(_narrow(least, width), f"{STRETCHES}, body binary"), "parts")
+        more, single = _collapsed(parts, keep_first, hot, "parts")
+        gone = gone.unionByName(more)
+        place = ["anchor", "stretch", "row", "first"]
+        found = parts.select(*place, "body").join(single.hint("merge"), place)
 
 
 def _cut(least: int, text_at: int, as_text: bool, added: tuple[str, str, str]):
@@ -282,24 +327,21 @@ def _cut(least: int, text_at: int, as_text: bool, added: tuple[str, str, str]):
     return run
 
 
-def dedup(docs: DataFrame, *, least: int = 400, keep_first: bool = True, as_text: bool = False, added: tuple[str, str, str] = ("_kept", "_removed", "_spans"), hot: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, *, least: int = 400, keep_first: bool = True, as_text: bool = False, added: tuple[str, str, str] = ("_kept", "_removed", "_spans"), hot: int = 1024, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """All rows and columns of `docs`, with what is left of each text.
 
     Adds `_kept` (bytes; as text, without characters that a cut has split, if asked), `_removed` (how many bytes) and
     `_spans` (maximal removed runs), or what `added` calls them; input columns of these names go. A byte goes if a string of `least`
     bytes that covers it starts also at an earlier place (`keep_first`; order of id, row, place), or also anywhere else.
     Strings never cross texts. Null texts are empty; null ids come first; repeated rows are later copies of each other;
-    an empty table stays empty. `docs` must give the same rows in the same partitions when it is read again, as a scan
-    or a checkpoint does.
+    an empty table stays empty. A `docs` that is no scan or checkpoint is written first, as it is read twice.
     """
-    docs = docs.drop(*added)
+    docs = settled(docs.drop(*added), "texts")
     row, spans = fresh(docs, "_row"), fresh(docs, "_gone")
     rows = docs.withColumn(row, F.monotonically_increasing_id())
     keyed = rows.select(F.col(row).alias("row"), F.col(id_column).cast("long").alias("doc"), text_or_empty(text_column).alias("text"))
-    gone = repeated_windows(keyed, least=least, keep_first=keep_first, hot=hot)
-    gone = written(gone.groupBy("row").agg(F.collect_list(F.struct("first", "n")).alias(spans)), "gone")
-    release_shuffles(docs.sparkSession)
-    gone = gone.withColumnRenamed("row", row)
+    gone = repeated_windows(keyed, least=least, keep_first=keep_first, hot=hot).groupBy("row").agg(F.collect_list(F.struct("first", "n")).alias(spans))
+    gone = written(gone.withColumnRenamed("row", row), "gone")
     joined = rows.join(gone.hint("merge"), row, "left").select(*docs.columns, spans)
     schema = docs.withColumns({added[0]: F.lit("" if as_text else b""), added[1]: F.lit(0).cast("long"), added[2]: F.lit(0).cast("long")}).schema
     return joined.mapInArrow(_cut(least, docs.columns.index(text_column), as_text, added), schema)
@@ -309,4 +351,5 @@ def op9_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     left = dedup(docs, keep_first=False)
     n_bytes = F.octet_length(text_or_empty("text")).cast("long")
-    return left.select(F.col("doc_id").cast("long").alias("doc_id"), n_bytes.alias("n_bytes"), F.col("_removed").alias("n_removed"), F.col("_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))
+    kept = F.make_valid_utf8(F.col("_kept").cast("string"))  # U+FFFD where a cut has split a character
+    return left.select(F.col("doc_id").cast("long").alias("doc_id"), n_bytes.alias("n_bytes"), F.col("_removed").alias("n_removed"), F.col("_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"), kept.alias("text"))

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from brume.llm import decontamination, jaccard_join, quality_rules, suffix_dedup
+from brume.llm import decontamination, hashing, jaccard_join, quality_rules, suffix_dedup
 
 from .texts import corpus, empty, table
 
@@ -123,7 +123,7 @@ def brute_cuts(rows, least, first_stays):
 
 
 @pytest.mark.parametrize("keep_first", [False, True])
-@pytest.mark.parametrize("hot", [4096, 1])
+@pytest.mark.parametrize("hot", [1024, 3, 1])
 def test_repeated_strings_match_brute_force(spark, keep_first, hot):
     rows = sorted(((i, t) for i, t in corpus() if i is not None), key=lambda r: r[0])
     docs = table(spark, rows, 1)
@@ -150,6 +150,35 @@ def test_longest_previous_factor(values, least):
     hit[order] = suffix_dedup.longest_previous_factor(order, lcp, least) >= least
     body = data.tobytes()
     assert [bool(h) for h in hit[: len(starts)]] == [body[i : i + least] in {body[j : j + least] for j in range(i)} for i in starts]
+    hit[:] = False
+    hit[order] = suffix_dedup.longest_next_factor(order, lcp, least) >= least
+    assert [bool(h) for h in hit[: len(starts)]] == [body[i : i + least] in {body[j : j + least] for j in range(i + 1, len(starts))} for i in starts]
+
+
+@given(st.lists(st.tuples(st.integers(0, 1 << 20), st.integers(0, 9)), min_size=1, max_size=60, unique_by=lambda x: x[0]))
+@settings(max_examples=150, deadline=None)
+def test_factor_lengths_are_those_of_the_arrays(suffixes):
+    """Any positions and common prefixes: the longest match with a smaller position, within the interval."""
+    order, lcp = np.array([p for p, _ in suffixes]), np.array([0, *(n for _, n in suffixes[1:])])
+    got = suffix_dedup.longest_previous_factor(order, lcp, 4)
+    for i in range(len(order)):
+        best = 0
+        for j in range(len(order)):
+            shared = lcp[min(i, j) + 1 : max(i, j) + 1].min() if i != j else 0
+            if order[j] < order[i] and shared >= 4:
+                best = max(best, shared)
+        assert got[i] == best
+
+
+def test_hashes_tell_sequences_apart_that_defeat_powers_of_two():
+    word = np.zeros(1, np.uint8)
+    while len(word) < 2048:
+        word = np.concatenate([word, 1 - word])
+    got = hashing.ByteHashes(np.concatenate([word, 1 - word]) + np.uint8(97)).ranges(np.array([0, 2048]), np.array([2048, 4096]))
+    assert got[0] != got[1]
+    data = np.frombuffer(b"abcabc" * 50, np.uint8)
+    sums = hashing.ByteHashes(data)
+    assert (sums.ranges(np.array([0, 3]), np.array([90, 93]))[0] == sums.ranges(np.array([0, 3]), np.array([90, 93]))[1]) and len(set(sums.windows(30).tolist())) == 3
 
 
 def brute_quality(text):
