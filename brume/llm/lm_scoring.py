@@ -8,187 +8,80 @@ context h without its first token, and one unknown word of its own:
     P(w | h) = d(c(h w)) c(h w) / D(h)  if h w was seen, else a(h) P(w | h')
     a(h)     = (1 - sum of the seen P(w | h)) / (1 - sum of P(w | h') over the seen w)
 
-D(h) is the context's count, one more where nothing in it is discounted (N, the count of all tokens, likewise), so a(h) is never 0 and each context sums to 1.
-A context that was not seen has a(h) = 1. The weights of an order need those below it, so orders are worked one by one.
-
-The corpus is cut into blocks of texts. A block asks for each different n-gram and context once, whatever its
-frequency, with its own training counts; so an n-gram that a third of all rows share costs one entry per block.
-Requests are dealt by ranges of 64-bit hashes to buckets, which add up the counts, keep them as tables (`ngrams`:
-order, bucket, sorted keys, counts; `contexts`: bucket, keys, weights) and answer each block in the order of its keys.
+D(h) is the context's count, one more where nothing in it is discounted (N, the count of all tokens, likewise), so a(h) is
+never 0 and each context sums to 1. A context that was not seen has a(h) = 1.
+
+Nothing is identified by a hash. Words are gathered as they are and numbered; an n-gram is the number of its context, an
+n-gram of the order below, and that of its last word, and gets a number in turn. Hashes only say which bucket has a key.
+
+The corpus is cut into blocks of texts. A block asks for each different n-gram once, whatever its frequency, with its own
+training counts; so an n-gram that a third of all rows share costs one entry per block. Requests go to buckets by the
+hash of their context. A bucket adds up the counts, numbers the n-grams, keeps them as a row of the model's table of that
+order, and answers each block in the order in which it asked. As all n-grams of a context meet, its bucket also has what
+D(h) and a(h) need: the n-grams of the order below that a seen n-gram backs off to were all seen, so their sum is known
+from counts. A context with more than `hot` tokens is dealt to several buckets by its last words, and their few sums are
+added up and sent to all.
+
+A unit of requests is cut into at most 2 ** `fan_bits` rows. Where there are more buckets than that, units are first merged
+in groups, and the merged ones are cut further, and so on; answers come back the same way. So rows are in proportion to
+the corpus, times the number of such steps.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_groups, is_space, text_bytes, text_or_empty, word_starts, written
-from .hashing import ByteHashes, mix
+from .common import is_space, slices, text_bytes, text_or_empty, word_starts, written
+from .hashing import mix
 
-BLOCK_BYTES = 16 << 20
+SALT_BITS = 20
+MOST_HOT = 200_000  # a context is hot if it has over one in so many of all tokens, so there are fewer than that
 TOP = 5  # counts above it are not discounted
-END, BEGIN = np.uint64(0x454E44), np.uint64(0x424547494E)
-ROWS = "block long, part int, bucket int, docs array<struct<doc_id: long, held: boolean, n: long>>, x binary, y binary, z binary, w binary, stats array<long>"
-NAMES = ["block", "part", "bucket", "docs", "x", "y", "z", "w", "stats"]
-TEXTS, COUNTS, CONTEXTS, TABLES, WEIGHTS = range(0, 500, 100)  # values of `part`; all but TEXTS with the order added
-DOCS = pa.list_(pa.struct([("doc_id", pa.int64()), ("held", pa.bool_()), ("n", pa.int64())]))
+END = b"\n"  # no word has this byte
+BLOCK, ASK, ANSWER, TABLE, HOT = range(5)  # kinds of rows
+ROWS = "kind int, `order` int, unit long, bucket long, sub long, `to` long, docs array<struct<doc_id: long, held: boolean, n: long>>, parts array<binary>, stats array<long>"
+TYPES = {
+    "kind": pa.int32(), "order": pa.int32(), "unit": pa.int64(), "bucket": pa.int64(), "sub": pa.int64(), "to": pa.int64(),
+    "docs": pa.list_(pa.struct([("doc_id", pa.int64()), ("held", pa.bool_()), ("n", pa.int64())])), "parts": pa.list_(pa.binary()), "stats": pa.list_(pa.int64()),
+}
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """Bytes of equal weight together, then compressed."""
-    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1) if len(values) else np.zeros((0, 1), np.uint8)
-    return zstandard.ZstdCompressor(level=1).compress(raw.T.tobytes())
+    """Eight bytes a value, bytes of equal weight together, then compressed."""
+    values = np.ascontiguousarray(values if values.dtype == np.float64 else values.astype(np.int64))
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T))
 
 
-def _unpack(data: bytes, dtype) -> np.ndarray:
+def _unpack(data: bytes, dtype=np.int64) -> np.ndarray:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    width = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(raw.reshape(width, -1).T).view(dtype).ravel() if len(raw) else np.zeros(0, dtype)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view(dtype).ravel()
 
 
-def _pack_sorted(keys: np.ndarray) -> bytes:
-    return _pack(np.diff(keys, prepend=np.uint64(0)))
+def _pack_bytes(words: pa.Array) -> tuple[bytes, bytes]:
+    data, at = text_bytes(words)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(data)), _pack(np.diff(at))
 
 
-def _unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(_unpack(data, np.uint64), dtype=np.uint64)
+def _unpack_bytes(data: bytes, lengths: bytes) -> pa.Array:
+    body = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return slices(body, np.concatenate([[0], np.cumsum(_unpack(lengths))]))
 
 
-def _by_frequency(counts: np.ndarray) -> np.ndarray:
-    """Words from the most frequent on; frequent ones get small numbers, which pack well."""
-    return np.argsort(-counts.astype(np.int64), kind="stable")
+def _joined(arrays: list[np.ndarray], dtype=np.int64) -> np.ndarray:
+    return np.concatenate(arrays) if arrays else np.zeros(0, dtype)
 
 
 def _rows(rows: list[dict]) -> pa.RecordBatch:
-    types = {"block": pa.int64(), "part": pa.int32(), "bucket": pa.int32(), "docs": DOCS, "stats": pa.list_(pa.int64())}
-    return pa.RecordBatch.from_arrays([pa.array([r.get(k) for r in rows], types.get(k, pa.binary())) for k in NAMES], names=NAMES)
-
-
-def token_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens of some texts, and how many each text has."""
-    data = np.where((data >= 65) & (data <= 90), data | np.uint8(32), data)
-    space = is_space(data)
-    starts = np.flatnonzero(word_starts(data, at, space))
-    last = ~space
-    last[:-1] &= space[1:]
-    full = at[1:] > at[:-1]
-    last[at[1:][full] - 1] = ~space[at[1:][full] - 1]
-    first = np.searchsorted(starts, at)
-    return np.insert(ByteHashes(data).ranges(starts, np.flatnonzero(last) + 1), first[1:], END), np.diff(first) + 1
-
-
-def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> blocks.
-
-    x: sorted keys of the different words, y: their training counts, w: their counts, z: each token's word by frequency.
-    """
-    task, made = TaskContext.get().partitionId(), 0
-    ids: list = []
-    bodies: list[bytes] = []
-    size = 0
-
-    def block() -> pa.RecordBatch:
-        every, sizes = [], []
-        data, at = text_bytes(pa.array(bodies, pa.binary()))
-        for a, b in byte_groups(np.diff(at), 1 << 20):
-            hashes, n = token_hashes(data[at[a] : at[b]], at[a : b + 1] - at[a])
-            every.append(hashes)
-            sizes.append(n)
-        tokens, n = np.concatenate(every), np.concatenate(sizes)
-        held = np.array([zlib.crc32(b"" if i is None else str(i).encode()) % 10 == 0 for i in ids])
-        keys, codes = np.unique(tokens, return_inverse=True)
-        counts_here = np.bincount(codes)
-        rank = np.empty(len(keys), np.uint32)
-        rank[_by_frequency(counts_here)] = np.arange(len(keys))
-        trained = np.bincount(codes[np.repeat(~held, n)], minlength=len(keys)).astype(np.uint32)
-        docs = [{"doc_id": i, "held": bool(h), "n": int(k)} for i, h, k in zip(ids, held, n, strict=True)]
-        return _rows([{"block": task << 24 | made, "part": TEXTS, "docs": docs, "x": _pack_sorted(keys), "y": _pack(trained), "z": _pack(rank[codes]), "w": _pack(counts_here.astype(np.uint32)), "stats": [int(n.sum())]}])
-
-    for batch in batches:
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-            ids.append(i)
-            bodies.append(text)
-            size += len(text)
-            if size >= BLOCK_BYTES:
-                yield block()
-                made, ids, bodies, size = made + 1, [], [], 0
-    if ids:
-        yield block()
-
-
-class _Block:
-    """Tokens of one block, with the different n-grams and the contexts of each order up to `order`."""
-
-    def __init__(self, row: dict, order: int):
-        words = _unpack_sorted(row["x"])
-        token = _by_frequency(_unpack(row["w"], np.uint32))[_unpack(row["z"], np.uint32)].astype(np.int32)
-        self.n = np.array([d["n"] for d in row["docs"]], np.int64)
-        self.held = np.repeat(np.array([d["held"] for d in row["docs"]], bool), self.n)
-        starts, spread, begin = np.cumsum(self.n) - self.n, np.uint64(0x9E3779B97F4A7C15), np.array([BEGIN])
-        self.keys, self.code, self.first = {1: words}, {1: token}, {}  # sorted n-grams, each token's, where each is first
-        self.context, self.context_keys = {}, {}  # each token's context is the n-gram before it, or the beginning
-        for m in range(2, order + 1):
-            context = np.empty_like(token)
-            context[1:] = self.code[m - 1][:-1]
-            context[starts] = len(self.keys[m - 1])
-            self.context[m], self.context_keys[m] = context, np.append(self.keys[m - 1], begin)
-            begin = mix(begin * spread + BEGIN)
-            self.keys[m], self.first[m], code = np.unique(mix(self.context_keys[m][context] * spread + words[token]), return_index=True, return_inverse=True)
-            self.code[m] = code.astype(np.int32)
-
-    def used(self, m: int) -> np.ndarray:
-        """Codes of the contexts of an order in this block, in the order of their keys."""
-        used = np.flatnonzero(np.bincount(self.context[m], minlength=len(self.context_keys[m])))
-        return used[np.argsort(self.context_keys[m][used])]
-
-    def learn(self, rows: list[dict], order: int) -> None:
-        """Take the answers: counts of the orders up to `order`, and the weights that there are."""
-        self.count = {m: _answers(rows, COUNTS + m, "y", np.uint32) for m in range(1, order + 1)}
-        self.divisor, self.backoff = {}, {}
-        for m in range(2, order + 1):
-            divisor, backoff = (_answers(rows, CONTEXTS + m, c, np.float64) for c in "yz")
-            if len(divisor):
-                used = self.used(m)
-                self.divisor[m], self.backoff[m] = np.ones(len(self.context_keys[m])), np.ones(len(self.context_keys[m]))
-                self.divisor[m][used], self.backoff[m][used] = divisor, backoff
-
-    def probability(self, model: Model, m: int, at: np.ndarray) -> np.ndarray:
-        """P of the tokens at these places, given the m - 1 tokens before each."""
-        if m == 1:
-            return model.word(self.count[1])[self.code[1][at]]
-        out = np.empty(len(at))
-        count, context = self.count[m][self.code[m][at]], self.context[m][at]
-        seen = count > 0
-        out[seen] = model.discounted(count[seen], m) / self.divisor[m][context[seen]]
-        out[~seen] = self.backoff[m][context[~seen]] * self.probability(model, m - 1, at[~seen])
-        return out
-
-
-def _split(keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
-    """(bucket, begin, stop) of sorted keys by their leading bits."""
-    bits = buckets.bit_length() - 1
-    edges = np.searchsorted(keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys)), np.arange(buckets + 1)) if bits else np.array([0, len(keys)])
-    return [(b, int(edges[b]), int(edges[b + 1])) for b in range(buckets) if edges[b] < edges[b + 1]]
-
-
-def _ask_counts(buckets: int, orders: list[int]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = _Block(row, orders[-1])
-                for m in orders:
-                    keys = block.keys[m]
-                    counts = _unpack(row["y"], np.uint32) if m == 1 else np.bincount(block.code[m][~block.held], minlength=len(keys)).astype(np.uint32)
-                    yield _rows([{"block": row["block"], "part": COUNTS + m, "bucket": b, "x": _pack_sorted(keys[i:j]), "y": _pack(counts[i:j])} for b, i, j in _split(keys, buckets)])
-
-    return run
+    return pa.RecordBatch.from_arrays([pa.array([r.get(k) for r in rows], t) for k, t in TYPES.items()], names=list(TYPES))
 
 
 def _groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[list[dict]]:
@@ -205,25 +98,103 @@ def _groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[list[dict
         yield held
 
 
-def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Requests of one bucket -> its table, and an answer to each block: y: counts, z: whether the block speaks for the key."""
-    for rows in _groups(batches, "part", "bucket"):
-        asked = [_unpack_sorted(r["x"]) for r in rows]
-        keys, code = np.unique(np.concatenate(asked), return_inverse=True)
-        own = np.concatenate([_unpack(r["y"], np.uint32) for r in rows]).astype(np.int64)
-        total = np.bincount(code, own, len(keys)).astype(np.int64)
-        speaks = np.zeros(len(code), bool)
-        trained = np.flatnonzero(own)
-        speaks[trained[np.unique(code[trained], return_index=True)[1]]] = True
-        seen = total > 0
-        stats = [int(total.sum()), int(seen.sum()), *(int((total == r).sum()) for r in range(1, TOP + 2))]
-        part, bucket = rows[0]["part"], rows[0]["bucket"]
-        yield _rows([{"part": TABLES + part - COUNTS, "bucket": bucket, "x": _pack_sorted(keys[seen]), "y": _pack(total[seen]), "stats": stats}])
-        at = 0
-        for r, a in zip(rows, asked, strict=True):
-            part_of = slice(at, at + len(a))
-            at += len(a)
-            yield _rows([{"block": r["block"], "part": part, "bucket": bucket, "y": _pack(total[code[part_of]].astype(np.uint32)), "z": _pack(speaks[part_of])}])
+def _cuts(hashes: np.ndarray, bits: int, used: int) -> np.ndarray:
+    """The next `bits` bits of hashes, after the `used` leading ones."""
+    return (hashes << np.uint64(used) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+
+
+class Words:
+    """Requests for words: (their bytes, lengths, own counts), merged to different words in the order of the hash bits.
+
+    `code`: the word of each request, `count`: own counts together.
+    """
+
+    def __init__(self, rows: list[list[bytes]], bits: int = 0, used: int = 0):
+        coded = pa.concat_arrays([_unpack_bytes(r[0], r[1]) for r in rows]).dictionary_encode()
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.to_numpy(zero_copy_only=False).tolist()), np.uint64, len(coded.dictionary))
+        digit = _cuts(hashes, bits, used)
+        order = np.argsort(digit, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        self.words, self.digit = coded.dictionary.take(pa.array(order)), digit[order]
+        self.code = place[coded.indices.to_numpy(zero_copy_only=False)]
+        self.ends = np.cumsum([0] + [len(_unpack(r[2])) for r in rows])
+        self.count = np.zeros(len(order), np.int64)
+        np.add.at(self.count, self.code, _joined([_unpack(r[2]) for r in rows]))
+
+    def requests(self) -> Iterator[tuple[int, list[bytes]]]:
+        """Those of each run of hash bits."""
+        edges = np.append(np.flatnonzero(np.diff(self.digit, prepend=-1)), len(self.digit))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            yield int(self.digit[a]), [*_pack_bytes(self.words.slice(a, b - a)), _pack(self.count[a:b])]
+
+    def answers(self, known: tuple[np.ndarray, ...]) -> Iterator[list[bytes]]:
+        """To each row of requests: counts and numbers."""
+        for a, b in zip(self.ends[:-1].tolist(), self.ends[1:].tolist(), strict=True):
+            yield [_pack(x[self.code[a:b]]) for x in known]
+
+    def learn(self, answers: list[list[bytes]]) -> tuple[np.ndarray, ...]:
+        return tuple(_joined([_unpack(r[k]) for r in answers]) for k in range(2))
+
+
+class Grams:
+    """Requests for n-grams, merged to different contexts and n-grams, by the hash bits, context and word.
+
+    What asks is a list of contexts (number and salt, D(h'), count of h, whether its sums are wanted), each with some
+    words (number, own count, count of the n-gram of the order below). `code` and `context_code` say which different ones
+    these are.
+    """
+
+    def __init__(self, contexts: tuple[np.ndarray, ...], sizes: np.ndarray, words: tuple[np.ndarray, ...], bits: int = 0, used: int = 0):
+        every, lower_divisor, context_count, want = contexts
+        word, own, lower = words
+        different, first, code = np.unique(every, return_index=True, return_inverse=True)
+        digit = _cuts(mix(different.astype(np.uint64)), bits, used)
+        order = np.argsort(digit, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        self.digit, self.context, first = digit[order], different[order], first[order]
+        self.context_code = place[code]
+        self.lower_divisor, self.context_count = lower_divisor[first], context_count[first]
+        self.want = np.bincount(self.context_code, want, len(order)) > 0
+        kinds, word_code = np.unique(word, return_inverse=True)
+        key, first, self.code = np.unique(np.repeat(self.context_code, sizes) * max(1, len(kinds)) + word_code, return_index=True, return_inverse=True)
+        self.of = key // max(1, len(kinds))  # the context of each n-gram
+        self.word, self.lower = word[first], lower[first]
+        self.count = np.zeros(len(key), np.int64)
+        np.add.at(self.count, self.code, own)
+
+    @classmethod
+    def merged(cls, rows: list[list[bytes]], bits: int = 0, used: int = 0) -> Grams:
+        context, lower_divisor, context_count, want, sizes, word, own, lower = (_joined(x) for x in zip(*([np.cumsum(_unpack(r[0])), *map(_unpack, r[1:])] for r in rows), strict=True))
+        out = cls((context, lower_divisor, context_count, want), sizes, (word, own, lower), bits, used)
+        n = [len(_unpack(r[4])) for r in rows]
+        out.context_ends, out.asked = np.cumsum([0, *n]), want > 0
+        out.ends = np.concatenate([[0], np.cumsum(sizes)])[out.context_ends]
+        return out
+
+    def requests(self) -> Iterator[tuple[int, list[bytes]]]:
+        edges = np.append(np.flatnonzero(np.diff(self.digit, prepend=-1)), len(self.digit))
+        sizes = np.bincount(self.of, minlength=len(self.context))
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            c, w = slice(a, b), slice(ends[a], ends[b])
+            yield int(self.digit[a]), [_pack(np.diff(self.context[c], prepend=0)), *(_pack(x[c]) for x in (self.lower_divisor, self.context_count, self.want, sizes)), *(_pack(x[w]) for x in (self.word, self.count, self.lower))]
+
+    def answers(self, known: tuple[np.ndarray, ...]) -> Iterator[list[bytes]]:
+        """To each row of requests: counts and numbers of n-grams, marks of contexts, and sums of those that it wants."""
+        count, number, mark, kinds, mass = known
+        for k in range(len(self.ends) - 1):
+            of, context = self.code[self.ends[k] : self.ends[k + 1]], slice(self.context_ends[k], self.context_ends[k + 1])
+            wanted = self.context_code[context][self.asked[context]]
+            yield [_pack(count[of]), _pack(np.diff(number[of], prepend=0)), _pack(mark[self.context_code[context]]), _pack(kinds[wanted].ravel()), _pack(mass[wanted])]
+
+    def learn(self, answers: list[list[bytes]]) -> tuple[np.ndarray, ...]:
+        count, number, mark = _joined([_unpack(r[0]) for r in answers]), _joined([np.cumsum(_unpack(r[1])) for r in answers]), _joined([_unpack(r[2]) for r in answers])
+        kinds, mass = np.zeros((len(self.context), TOP), np.int64), np.zeros(len(self.context))
+        kinds[self.want] = _joined([_unpack(r[3]) for r in answers]).reshape(-1, TOP)
+        mass[self.want] = _joined([_unpack(r[4], np.float64) for r in answers], np.float64)
+        return count, number, mark, kinds, mass
 
 
 def good_turing(n_r: list[int]) -> np.ndarray:
@@ -242,13 +213,13 @@ def good_turing(n_r: list[int]) -> np.ndarray:
 
 
 class Model:
-    """The model's few numbers: totals, discounts of each order, and the mass of an unknown word."""
+    """The model's few numbers: totals, discounts of the orders that are known, hot contexts, and the mass of an unknown word."""
 
-    def __init__(self, stats: list[list[int]]):
-        words = stats[0]
-        self.tokens, self.kinds = words[0], words[1]
+    def __init__(self, stats: list[list[int]], trained: int, hot: int):
+        self.trained, self.hot = trained, hot  # training texts; tokens from which on a context is hot
         self.discounts = [good_turing(s[2:]) for s in stats]
-        low = sum((1 - self.discounts[0][r]) * r * words[1 + r] for r in range(1, TOP + 1))
+        self.tokens, self.kinds = stats[0][:2] if stats else (0, 0)
+        low = sum((1 - self.discounts[0][r]) * r * stats[0][1 + r] for r in range(1, TOP + 1)) if stats else 0
         self.total = self.tokens if low else self.tokens + 1
         self.unknown = (low or 1) / self.total if self.tokens else 1.0
 
@@ -261,107 +232,316 @@ class Model:
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.1) / (self.tokens + 0.1 * (self.kinds + 1)))
 
+    def backoff(self, order: int, count: np.ndarray, divisor: np.ndarray, kinds: np.ndarray, mass: np.ndarray) -> np.ndarray:
+        """a(h) from the count and divisor of h, its n-grams with counts 1 to TOP, and the mass of its n-grams in the order below."""
+        r = np.arange(1, TOP + 1)
+        seen = count - kinds @ (r * (1 - self.discounts[order - 1][1:]))
+        return (1 - seen / divisor) / np.maximum(1 - mass, 1e-12)
+
+
+class _Block:
+    """Tokens of one block, and what is known of their n-grams, order by order.
+
+    Of each token: `count` and `number` of its n-gram in the last order that is known, and in `orders` for each order
+    count, D(h) and a(h) of its context h.
+    """
+
+    def __init__(self, row: dict, bits: int):
+        self.words = Words([row["parts"][:3]], bits)
+        self.token = self.words.code[_unpack(row["parts"][3])]
+        self.n = np.array([d["n"] for d in row["docs"]], np.int64)
+        self.held = np.repeat(np.array([d["held"] for d in row["docs"]], bool), self.n)
+        self.start = np.cumsum(self.n) - self.n
+        self.orders: dict[int, tuple[np.ndarray, ...]] = {}
+
+    def learn_words(self, answers: list[list[bytes]], model: Model) -> None:
+        self.word_count, numbers = self.words.learn(answers)
+        self.count, self.number = self.word_count[self.token], numbers[self.token]
+        self.word = self.number
+        self.divisor = np.full(len(self.token), model.total)
+
+    def ask(self, m: int, model: Model, bits: int) -> Grams:
+        """Requests of order m. Only an n-gram whose context and whose n-gram below were seen can have been seen."""
+        self.context, self.context_count = np.empty_like(self.number), np.empty_like(self.count)
+        self.context[1:], self.context_count[1:] = self.number[:-1], self.count[:-1]
+        self.context[self.start], self.context_count[self.start] = 0, model.trained
+        seen = (self.context >= 0) & (self.context_count > 0)
+        self.hot = seen & (self.context_count > model.hot)
+        possible = seen & (self.count > 0)
+        self.known = np.flatnonzero(possible | seen & self.held & ~self.hot)
+        self.possible = np.flatnonzero(possible)
+        salts = -(-self.context_count // model.hot)
+        salt = np.where(self.hot, (mix(self.word.astype(np.uint64)) >> np.uint64(1)).astype(np.int64) % np.maximum(salts, 1), 0)
+        every = (self.context << SALT_BITS) | salt
+        k, p = self.known, self.possible
+        return Grams((every[k], self.divisor[k], self.context_count[k], (self.held & ~self.hot)[k]), possible[k].astype(np.int64), (self.word[p], (~self.held[p]).astype(np.int64), self.count[p]), bits)
+
+    def learn(self, m: int, asked: Grams, answers: list[list[bytes]], model: Model, hot: tuple[np.ndarray, ...]) -> None:
+        """`hot`: context numbers in order, kinds and mass of each."""
+        count, number, mark, kinds, mass = asked.learn(answers)
+        n, k = len(self.token), self.known
+        new, numbers, divisor, backoff = np.zeros(n, np.int64), np.full(n, -1, np.int64), np.ones(n, np.int64), np.ones(n)
+        new[self.possible], numbers[self.possible] = count[asked.code], number[asked.code]
+        divisor[k] = self.context_count[k] + mark[asked.context_code]
+        weight = model.backoff(m, asked.context_count, asked.context_count + mark, kinds, mass)
+        backoff[k] = weight[asked.context_code]
+        h = np.flatnonzero(self.hot)
+        if len(h):
+            at = np.searchsorted(hot[0], self.context[h])
+            whole = self.context_count[h] + (hot[1].sum(axis=1) == 0)[at]
+            divisor[h] = whole
+            backoff[h] = model.backoff(m, self.context_count[h], whole, hot[1][at], hot[2][at])
+        self.count, self.number, self.divisor = new, numbers, divisor
+        self.orders[m] = (new, divisor, backoff)
+
+    def probability(self, model: Model, m: int, at: np.ndarray) -> np.ndarray:
+        """P of the tokens at these places, given the m - 1 tokens before each."""
+        if m == 1:
+            return model.word(self.word_count[self.token[at]])
+        count, divisor, backoff = (x[at] for x in self.orders[m])
+        seen = count > 0
+        out = np.empty(len(at))
+        out[seen] = model.discounted(count[seen], m) / divisor[seen]
+        out[~seen] = backoff[~seen] * self.probability(model, m - 1, at[~seen])
+        return out
+
 
-def _answers(rows: list[dict], part: int, column: str, dtype) -> np.ndarray:
-    found = [_unpack(r[column], dtype) for r in rows if r["part"] == part]
-    return np.concatenate(found) if found else np.zeros(0, dtype)
+def _tokenise(block_bytes: int):
+    """(doc_id, text) -> blocks: bytes, lengths and training counts of the different words, and each token's word.
 
+    The most frequent words come first, as small numbers pack well.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made = TaskContext.get().partitionId(), 0
+        ids: list = []
+        bodies: list[bytes] = []
+        size = 0
+
+        def block() -> pa.RecordBatch:
+            data, at = text_bytes(pa.array(bodies, pa.binary()))
+            data = np.where((data >= 65) & (data <= 90), data | np.uint8(32), data)
+            space = is_space(data)
+            starts = np.flatnonzero(word_starts(data, at, space))
+            before = np.cumsum(~space) - ~space  # bytes of words before each byte
+            coded = slices(data[~space], np.append(before[starts], np.count_nonzero(~space))).dictionary_encode()
+            first = np.searchsorted(starts, at)
+            codes = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), first[1:], len(coded.dictionary))
+            words = pa.concat_arrays([coded.dictionary, pa.array([END], pa.large_binary())])
+            n = np.diff(first) + 1
+            held = np.array([zlib.crc32(b"" if i is None else str(i).encode()) % 10 == 0 for i in ids])
+            order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+            rank = np.empty(len(words), np.int64)
+            rank[order] = np.arange(len(words))
+            trained = np.bincount(codes[np.repeat(~held, n)], minlength=len(words))[order]
+            docs = [{"doc_id": i, "held": bool(h), "n": int(k)} for i, h, k in zip(ids, held, n, strict=True)]
+            return _rows([{"kind": BLOCK, "order": 0, "unit": task << 24 | made, "docs": docs, "parts": [*_pack_bytes(words.take(pa.array(order))), _pack(trained), _pack(rank[codes])], "stats": [int(n.sum()), int((~held).sum())]}])
+
+        for batch in batches:
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                ids.append(i)
+                bodies.append(text)
+                size += len(text)
+                if size >= block_bytes:
+                    yield block()
+                    made, ids, bodies, size = made + 1, [], [], 0
+        if ids:
+            yield block()
+
+    return run
 
-def _ask_contexts(buckets: int, model: Model, m: int):
-    """Blocks with their counts, and the weights below order m -> sums over the n-grams that a block speaks for, by context."""
+
+def _learned(rows: list[dict], order: int, bits: int, model: Model | None, hots: dict) -> _Block:
+    """The block of these rows, with the answers to all orders below `order`."""
+    answers: dict[int, list] = {m: [] for m in range(1, order)}
+    for r in rows[1:]:
+        answers[r["order"]].append(r["parts"])
+    block = _Block(rows[0], bits)
+    if order > 1:
+        block.learn_words(answers[1], model)
+    for m in range(2, order):
+        block.learn(m, block.ask(m, model, bits), answers[m], model, hots.get(m))
+    return block
+
+
+def _ask(order: int, bits: int, model: Model | None, hots: dict):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches, "unit"):
+            block = _learned(rows, order, bits, model, hots)
+            asked = block.words if order == 1 else block.ask(order, model, bits)
+            for digit, parts in asked.requests():
+                yield _rows([{"kind": ASK, "order": order, "unit": rows[0]["unit"], "bucket": digit, "parts": parts}])
+
+    return run
+
+
+def _gather(order: int) -> Callable:
+    return Words if order == 1 else Grams.merged
+
+
+def _combine(order: int, used: int, fan_bits: int):
+    """Requests of a group of units -> those of the group, cut by further hash bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _groups(batches, "block"):
-            block = _Block(rows[0], m)
-            block.learn(rows, m)
-            speaks = np.flatnonzero(_answers(rows, COUNTS + m, "z", bool))
-            at, counts = block.first[m][speaks], block.count[m][speaks]
-            keys = block.context_keys[m]
-            context, n = block.context[m][at], len(keys)
-            seen = np.bincount(context, model.discounted(counts, m), n)
-            mass = np.bincount(context, block.probability(model, m - 1, at), n)
-            count = np.bincount(context, counts, n)
-            used = block.used(m)
-            keys = keys[used]
-            yield _rows([{"block": rows[0]["block"], "part": CONTEXTS + m, "bucket": b, "x": _pack_sorted(keys[i:j]), "y": _pack(seen[used[i:j]]), "z": _pack(mass[used[i:j]]), "w": _pack(count[used[i:j]])} for b, i, j in _split(keys, buckets)])
+        for rows in _groups(batches, "bucket", "to"):
+            for digit, parts in _gather(order)([r["parts"] for r in rows], fan_bits, used).requests():
+                yield _rows([{"kind": ASK, "order": order, "unit": rows[0]["to"], "bucket": rows[0]["bucket"] << fan_bits | digit, "parts": parts}])
 
     return run
 
 
-def weights(seen: np.ndarray, mass: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """D(h) and a(h) from the discounted counts, the mass in the order below and the counts of what follows h."""
-    divisor = np.where(count == 0, 1.0, np.where(count - seen > 1e-9 * count, count, count + 1))
-    return divisor, np.where(count == 0, 1.0, (1 - seen / divisor) / np.maximum(1 - mass, 1e-12))
+def _spread(order: int, used: int, fan_bits: int):
+    """Requests of a group of units, and the answers to the group -> answers to the units."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches, "bucket", "to"):
+            asked = [r for r in rows if r["kind"] == ASK]
+            merged = _gather(order)([r["parts"] for r in asked], fan_bits, used)
+            known = merged.learn([r["parts"] for r in rows if r["kind"] == ANSWER])
+            for r, parts in zip(asked, merged.answers(known), strict=True):
+                yield _rows([{"kind": ANSWER, "order": order, "unit": r["unit"], "bucket": r["bucket"], "parts": parts}])
 
-def _sum_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return run
+
+
+def _stats(count: np.ndarray) -> list[int]:
+    return [int(count.sum()), int((count > 0).sum()), *(int((count == r).sum()) for r in range(1, TOP + 2))]
+
+
+def _numbers(seen: np.ndarray, rank: np.ndarray, buckets: int, bucket: int) -> np.ndarray:
+    """Numbers of the seen keys of a bucket, unlike those of any other bucket; -1 for others, 0 is the beginning."""
+    return np.where(seen, rank * buckets + bucket + 1, -1)
+
+
+def _settle_words(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches, "bucket"):
+            words, bucket = Words([r["parts"] for r in rows]), rows[0]["bucket"]
+            order = np.argsort(-words.count, kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            seen = words.count > 0
+            number = _numbers(seen, rank, buckets, bucket)
+            yield _rows([{"kind": TABLE, "order": 1, "bucket": bucket, "parts": [*_pack_bytes(words.words.filter(pa.array(seen))), _pack(words.count[seen]), _pack(number[seen])], "stats": _stats(words.count)}])
+            for r, parts in zip(rows, words.answers((words.count, number)), strict=True):
+                yield _rows([{"kind": ANSWER, "order": 1, "unit": r["unit"], "bucket": bucket, "parts": parts}])
+
+    return run
+
+
+def _settle_grams(order: int, buckets: int, model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches, "bucket"):
+            grams, bucket = Grams.merged([r["parts"] for r in rows]), rows[0]["bucket"]
+            seen = grams.count > 0
+            number = _numbers(seen, np.cumsum(seen) - 1, buckets, bucket)
+            of, n = grams.of[seen], len(grams.context)
+            kinds = np.stack([np.bincount(of[grams.count[seen] == r], minlength=n) for r in range(1, TOP + 1)], axis=1)
+            mass = np.bincount(of, model.discounted(grams.lower[seen], order - 1), n) / grams.lower_divisor
+            sizes = np.bincount(of, minlength=n)
+            has = sizes > 0
+            yield _rows([{"kind": TABLE, "order": order, "bucket": bucket, "parts": [_pack(np.diff(grams.context[has], prepend=0)), _pack(sizes[has]), _pack(grams.word[seen]), _pack(grams.count[seen])], "stats": _stats(grams.count)}])
+            hot = np.flatnonzero(grams.context_count > model.hot)
+            if len(hot):
+                yield _rows([{"kind": HOT, "order": order, "bucket": bucket, "parts": [_pack(grams.context[hot] >> SALT_BITS), _pack(kinds[hot].ravel()), _pack(mass[hot])]}])
+            mark = (kinds.sum(axis=1) == 0).astype(np.int64)
+            for r, parts in zip(rows, grams.answers((grams.count, number, mark, kinds, mass)), strict=True):
+                yield _rows([{"kind": ANSWER, "order": order, "unit": r["unit"], "bucket": bucket, "parts": parts}])
+
+    return run
+
+
+def _hot_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in _groups(batches, "bucket"):
-        asked = [_unpack_sorted(r["x"]) for r in rows]
-        keys, code = np.unique(np.concatenate(asked), return_inverse=True)
-        sums = [np.bincount(code, np.concatenate([_unpack(r[c], np.float64) for r in rows]), len(keys)) for c in "yzw"]
-        divisor, backoff = weights(*sums)
-        yield _rows([{"part": rows[0]["part"] + WEIGHTS - CONTEXTS, "bucket": rows[0]["bucket"], "x": _pack_sorted(keys), "y": _pack(divisor), "z": _pack(backoff)}])
-        at = 0
-        for r, a in zip(rows, asked, strict=True):
-            own = code[at : at + len(a)]
-            at += len(a)
-            yield _rows([{"block": r["block"], "part": r["part"], "bucket": r["bucket"], "y": _pack(divisor[own]), "z": _pack(backoff[own])}])
-
-
-def _score(model: Model, order: int):
+        for r in rows:
+            context, kinds, mass = _unpack(r["parts"][0]), _unpack(r["parts"][1]).reshape(-1, TOP), _unpack(r["parts"][2], np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array(context), *(pa.array(np.ascontiguousarray(kinds[:, k])) for k in range(TOP)), pa.array(mass)], names=["context", *(f"k{r}" for r in range(1, TOP + 1)), "mass"])
+
+
+def _score(order: int, bits: int, model: Model, hots: dict):
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _groups(batches, "block"):
-            block = _Block(rows[0], order)
-            block.learn(rows, order)
-            words, token = block.count[1], block.code[1]
+        for rows in _groups(batches, "unit"):
+            block = _learned(rows, order + 1, bits, model, hots)
+            words, token = block.word_count, block.token
             value = np.log10(block.probability(model, order, np.arange(len(token))))
-            ends = np.concatenate([[0], np.cumsum(block.n)])
-            total = [np.add.reduceat(v, ends[:-1]) for v in (words[token] > 0, model.base(words)[token], value)]
+            total = [np.add.reduceat(v, block.start) for v in ((words[token] > 0).astype(np.int64), model.base(words)[token], value)]
             docs, n = rows[0]["docs"], len(block.n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([d["doc_id"] for d in docs], pa.int64()), pa.array([d["held"] for d in docs]), pa.array(block.n), pa.array(total[0].astype(np.int64)), pa.array(np.full(n, model.tokens)), pa.array(total[1]), pa.array(total[2])], names=names
+                [pa.array([d["doc_id"] for d in docs], pa.int64()), pa.array([d["held"] for d in docs]), pa.array(block.n), pa.array(total[0]), pa.array(np.full(n, model.tokens)), pa.array(total[1]), pa.array(total[2])], names=names
             )
 
     return run
 
 
-def score(docs: DataFrame, *, order: int = 2, bucket_tokens: int = 2_000_000, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def _by(df: DataFrame, *keys: str) -> DataFrame:
+    return df.repartition(*keys).sortWithinPartitions(*keys, "kind", "order", "sub", "bucket", "unit")
+
+
+def first_bits(bits: int, fan_bits: int) -> int:
+    """Of the bits of a bucket, those by which units themselves are cut: what `fan_bits` at a time leaves."""
+    return bits - fan_bits * (max(1, -(-bits // fan_bits)) - 1)
+
+
+def _exchange(asked: DataFrame, order: int, bits: int, units: int, fan_bits: int, settle) -> tuple[DataFrame, DataFrame]:
+    """Answers to the units that ask, and the table of the order (with the sums of hot contexts).
+
+    `bits` of hash say the bucket. Units cut by `fan_bits` of them at a time; before each further cut they are merged in groups.
+    """
+    used = first_bits(bits, fan_bits)
+    sent: list[tuple[DataFrame, int]] = []
+    while used < bits:
+        units = -(-units >> fan_bits) or 1
+        dealt = written(asked, "asked").withColumn("to", F.pmod(F.xxhash64("unit"), F.lit(units)))
+        sent.append((dealt, used))
+        asked = _by(dealt, "bucket", "to").mapInArrow(_combine(order, used, fan_bits), ROWS)
+        used += fan_bits
+    settled = written(_by(asked, "bucket").mapInArrow(settle, ROWS), f"order-{order}")
+    answers = settled.where(F.col("kind") == ANSWER)
+    for dealt, used in reversed(sent):
+        back = answers.withColumns({"to": F.col("unit"), "sub": F.col("bucket"), "bucket": F.shiftright("bucket", fan_bits)})
+        answers = written(_by(dealt.unionByName(back), "bucket", "to").mapInArrow(_spread(order, used, fan_bits), ROWS), "answers")
+    return answers, settled.where(F.col("kind") > ANSWER)
+
+
+def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 8 << 20, bucket_tokens: int = 1_000_000, fan_bits: int = 9, hot: int | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every row.
 
     `order`: tokens in the longest n-grams, 1 or more. Rows whose crc32(doc_id as text) mod 10 is 0 are held out, the
     others train. A null or empty text is its end alone; a null id counts as an empty text's id (held out) and is kept;
-    repeated rows train as often as they occur; other columns are ignored; an empty table gives no rows.
+    repeated rows train as often as they occur; other columns are ignored; an empty table gives no rows. A context with
+    over `hot` tokens (as many as a bucket has, and one in MOST_HOT of all at least) is split. A text is never cut, so a
+    block holds `block_bytes` and one text more.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
-    blocks = written(texts.mapInArrow(_tokenise, ROWS), "blocks")
-    tokens = blocks.agg(F.sum(F.col("stats")[0])).first()[0] or 0
-    buckets = 1 << max(3, (tokens // bucket_tokens).bit_length())
-    sums = [F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(TOP + 3)]
-    answers, stats = [], []
-    for orders in ([1, 2][:order], *([m] for m in range(3, order + 1))):
-        asked = blocks.mapInArrow(_ask_counts(buckets, orders), ROWS).repartition("part", "bucket").sortWithinPartitions("part", "bucket", "block")
-        counts = written(asked.mapInArrow(_sum_counts, ROWS), "ngrams")
-        got = {r["part"]: [int(r[f"s{i}"]) for i in range(TOP + 3)] for r in counts.where(F.col("part") >= TABLES).groupBy("part").agg(*sums).collect()}
-        stats += [got.get(TABLES + m, [0] * (TOP + 3)) for m in orders]
-        answers.append(counts.where(F.col("part") < TABLES))
-    model = Model(stats)
-
-    def met(speaking: int | None, weighted: list[DataFrame]) -> DataFrame:
+    blocks = written(texts.mapInArrow(_tokenise(block_bytes), ROWS), "blocks")
+    units, tokens, trained = (int(x or 0) for x in blocks.agg(F.count("*"), F.sum(F.col("stats")[0]), F.sum(F.col("stats")[1])).first())
+    bits = max(3, (tokens // bucket_tokens).bit_length())
+    first, buckets = first_bits(bits, fan_bits), 1 << bits
+    hot = hot or max(bucket_tokens, tokens // MOST_HOT)
+    sums = [F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)).alias(f"s{i}") for i in range(TOP + 3)]
+    answers: list[DataFrame] = []
+    stats: list[list[int]] = []
+    hots: dict[int, tuple] = {}
+    model = None
+
+    def met() -> DataFrame:
         every = blocks
         for t in answers:
-            every = every.unionByName(t.where(F.col("part") <= COUNTS + (speaking or order)).withColumn("z", F.when(F.col("part") == COUNTS + (speaking or 0), F.col("z"))))
-        for t in weighted:
             every = every.unionByName(t)
-        return every.repartition("block").sortWithinPartitions("block", "part", "bucket")
-
-    weighted: list[DataFrame] = []
-    for m in range(2, order + 1):
-        asked = met(m, weighted).mapInArrow(_ask_contexts(buckets, model, m), ROWS)
-        contexts = written(asked.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(_sum_contexts, ROWS), "contexts")
-        weighted.append(contexts.where(F.col("part") == CONTEXTS + m))
-    return met(None, weighted).mapInArrow(_score(model, order), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        return every.repartition("unit").sortWithinPartitions("unit", "order", "bucket") if answers else every
+
+    for m in range(1, order + 1):
+        asked = met().mapInArrow(_ask(m, first, model, hots), ROWS)
+        got, table = _exchange(asked, m, bits, units, fan_bits, _settle_words(buckets) if m == 1 else _settle_grams(m, buckets, model))
+        answers.append(got)
+        stats.append([int(x) for x in table.where(F.col("kind") == TABLE).agg(*sums).first()])
+        heavy = table.where(F.col("kind") == HOT).mapInArrow(_hot_sums, f"context long, {', '.join(f'k{r} long' for r in range(1, TOP + 1))}, mass double")
+        heavy = heavy.groupBy("context").agg(*(F.sum(f"k{r}") for r in range(1, TOP + 1)), F.sum("mass").alias("mass")).toPandas().sort_values("context")  # under MOST_HOT rows
+        hots[m] = (heavy["context"].to_numpy(np.int64), heavy.iloc[:, 1 : TOP + 1].to_numpy(np.int64), heavy["mass"].to_numpy(np.float64))
+        model = Model(stats, trained, hot)
+    return met().mapInArrow(_score(order, first, model, hots), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op10_lm_scoring(spark, sf_dir: str) -> DataFrame:

@@ -118,6 +118,31 @@ def test_scores_of_any_order_match_brute_force(spark, order):
     assert Counter((r.doc_id, round(r.score, 5)) for r in got) == brute_orders(rows, order)
 
 
+@pytest.mark.parametrize("options", [{"bucket_tokens": 40, "fan_bits": 2}, {"block_bytes": 300, "bucket_tokens": 100, "fan_bits": 1, "hot": 5}, {"hot": 1}])
+def test_scores_by_many_buckets_and_split_contexts(spark, options):
+    """Units merged in groups in several steps, blocks of a text or two, and most contexts split."""
+    rows = [(i, " ".join(random.Random(i).choices("a b c d e f g".split() + [f"w{k}" for k in range(9)], weights=[9] * 7 + [1] * 9, k=i % 40))) for i in range(160)] + [(None, None)]
+    got = lm_scoring.score(table(spark, rows), order=3, **options).collect()
+    assert Counter((r.doc_id, round(r.score, 5)) for r in got) == brute_orders(rows, 3)
+
+
+def test_words_are_told_apart_by_themselves(spark):
+    """Two words that any polynomial modulo 2**64 confuses: one trains, the other is held out."""
+    one = "a"
+    while len(one) < 1024:
+        one += one.translate({97: "b", 98: "a"})
+    other = one.translate({97: "b", 98: "a"})
+    first, second = next(i for i in range(99) if not held(i)), next(i for i in range(99) if held(i))
+    got = {r.doc_id: r for r in lm_scoring.score(table(spark, [(first, one), (second, other)])).collect()}
+    assert (got[first].n_known, got[second].n_known) == (2, 1)
+
+
+def test_texts_of_more_than_a_block(spark):
+    rows = [(i, " ".join(random.Random(i).choices("a b c d e f g h".split(), k=3000 if i % 3 else 60))) for i in range(20)]
+    got = lm_scoring.score(table(spark, rows), order=3, block_bytes=1000).collect()
+    assert Counter((r.doc_id, round(r.score, 4)) for r in got) == Counter((i, round(x, 4)) for i, x in [(k[0], k[1]) for k in brute_orders(rows, 3)])
+
+
 def test_query_scores_trigrams(spark, tmp_path):
     table(spark, corpus()).write.parquet(f"{tmp_path}/documents.parquet")
     got = lm_scoring.op10_lm_scoring(spark, str(tmp_path)).collect()
