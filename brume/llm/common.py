@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 import uuid
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.scratch import checkpoint_folder, shuffles_end
 
@@ -52,9 +54,28 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return written(df, name)
 
 
-def sized_broadcast(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
-    """Broadcast `df` only if its counted rows stay within `max_rows`; else leave the join to Spark."""
-    return F.broadcast(df) if rows <= max_rows else df
+MOST_BROADCAST = 32 << 20
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """About how many bytes the rows take when Spark broadcasts them: 16 a column, and those of what has no fixed size."""
+
+    def varying(c: Column, kind: T.DataType) -> Column | None:
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return F.octet_length(c)
+        if isinstance(kind, T.ArrayType):
+            inner = varying(F.lit(None).cast(kind.elementType), kind.elementType)
+            return 16 * F.size(c) if inner is None else F.aggregate(c, F.lit(0), lambda a, x: a + 16 + F.coalesce(varying(x, kind.elementType), F.lit(0)))
+        return None
+
+    parts = [v for f in df.schema if (v := varying(F.col(f.name), f.dataType)) is not None]
+    row = sum((F.coalesce(v, F.lit(0)).cast("long") for v in parts), F.lit(16 * (1 + len(df.columns))).cast("long"))
+    return df.select(row.alias("n")).agg(F.sum("n")).first()[0] or 0
+
+
+def sized_broadcast(df: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
+    """Broadcast `df`, a written or small table, only if its measured bytes stay within `most`; else leave the join to Spark."""
+    return F.broadcast(df) if measured_bytes(df) <= most else df
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -127,6 +148,36 @@ def byte_groups(lengths: np.ndarray, limit: int) -> list[tuple[int, int]]:
     return out
 
 
+class _Memory:
+    """Ids of units: each unit's place, and by place where its ids begin and how many they are."""
+
+    def __init__(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
+        self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def places(self, units: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.known.get, units, itertools.repeat(-1)), np.int64, len(units))
+
+    def add(self, units: list[bytes], sizes: np.ndarray, ids: np.ndarray) -> None:
+        n = len(self.known)
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while n + len(units) > len(self.start):
+            self.start, self.size = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.size))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.start[n : n + len(units)] = self.used + np.cumsum(sizes) - sizes
+        self.size[n : n + len(units)] = sizes
+        self.used += len(ids)
+        self.known.update(zip(units, range(n, n + len(units)), strict=True))
+
+    def ids_of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each has, and all of them one after the other."""
+        sizes = self.size[places]
+        total = np.cumsum(sizes)
+        return sizes, self.ids[np.repeat(self.start[places] - total + sizes, sizes) + np.arange(total[-1] if len(total) else 0)]
+
+
 class UnitEncoder:
     """Encodes texts by their units, each distinct unit once, with the tokenizers library.
 
@@ -152,14 +203,7 @@ class UnitEncoder:
         self.tokenizer = load_tokenizer(path)
         self.model = self.tokenizer.model
         self.words, self.max_units = words, max_units
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ids = np.zeros(1 << 16, np.int32)
-        self.used = 0
-        self.start = np.zeros(1 << 14, np.int64)
-        self.size = np.zeros(1 << 14, np.int64)
+        self.memory, self.older = _Memory(), _Memory()
 
     def whole(self, texts: list[str]) -> list[int]:
         return [len(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -169,13 +213,14 @@ class UnitEncoder:
         rest = []
         for i, u in enumerate(units):
             bare = u.rstrip().lower() if self.words else u[u[:1] == b" " :]
-            if not bare.isalpha():
+            if bare.isalpha():
+                piece = bare.decode()
+            else:
                 letters = bare.decode()
                 if not (letters.isalpha() and max(letters) < "\u0180" and "\u0130" not in letters):
                     rest.append(i)
                     continue
-                bare = (letters.lower() if self.words else letters).encode()
-            piece = bare.decode("latin-1").translate(_BYTE_FORM)
+                piece = (letters.lower() if self.words else letters).encode().decode("latin-1").translate(_BYTE_FORM)
             if not self.words and u[:1] == b" ":
                 piece = _BYTE_FORM[32] + piece
             out[i] = [t.id for t in self.model.tokenize(piece)]
@@ -184,28 +229,22 @@ class UnitEncoder:
         return out
 
     def _learn(self, units: list[bytes]) -> np.ndarray:
-        known = self.known
-        places = [known.get(u, -1) for u in units]
-        new = [u for u, at in zip(units, places, strict=True) if at < 0]
-        if new and len(known) + len(new) > self.max_units:
-            self._clear()
-            known, new = self.known, units
-        if new:
+        """Places of these different units. What has not been met for long is forgotten, half of the memory at a time."""
+        places = self.memory.places(units)
+        if (places < 0).any():
+            if self.memory.known and len(self.memory.known) + int((places < 0).sum()) > self.max_units // 2:
+                self.memory, self.older = _Memory(), self.memory
+                places = self.memory.places(units)
+            new = [units[i] for i in np.flatnonzero(places < 0).tolist()]
+            before = self.older.places(new)
+            met = np.flatnonzero(before >= 0).tolist()
+            self.memory.add([new[i] for i in met], *self.older.ids_of(before[met]))
+            new = [new[i] for i in np.flatnonzero(before < 0).tolist()]
             got = self._encoded(new)
             sizes = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((x for ids in got for x in ids), np.int32, int(sizes.sum()))
-            n = len(known)
-            while self.used + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            while n + len(new) > len(self.start):
-                self.start, self.size = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.size))
-            self.ids[self.used : self.used + len(flat)] = flat
-            self.start[n : n + len(new)] = self.used + np.cumsum(sizes) - sizes
-            self.size[n : n + len(new)] = sizes
-            self.used += len(flat)
-            known.update(zip(new, range(n, n + len(new)), strict=True))
-            places = [known[u] if at < 0 else at for u, at in zip(units, places, strict=True)] if len(new) < len(units) else range(n, n + len(new))
-        return np.fromiter(places, np.int64, len(units))
+            self.memory.add(new, sizes, np.fromiter(itertools.chain.from_iterable(got), np.int32, int(sizes.sum())))
+            places = self.memory.places(units)
+        return places
 
     def _units(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place in the memory of each unit, and each text's first unit (n + 1)."""
@@ -227,20 +266,19 @@ class UnitEncoder:
         if not len(cuts):
             return np.zeros(0, np.int64), first
         coded = slices(plain, np.append(cuts, len(data))).dictionary_encode()
-        places = self._learn(coded.dictionary.to_pylist())
+        places = self._learn(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         return places[coded.indices.to_numpy(zero_copy_only=False)], first
 
     def counts(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         units, first = self._units(data, at)
-        total = np.concatenate([[0], np.cumsum(self.size[units])])
+        total = np.concatenate([[0], np.cumsum(self.memory.size[units])])
         return total[first[1:]] - total[first[:-1]]
 
     def encode(self, data: np.ndarray, at: np.ndarray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, each text followed by `end_id`, and n + 1 offsets."""
         units, first = self._units(data, at)
-        sizes = self.size[units]
+        sizes, ids = self.memory.ids_of(units)
         total = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.ids[np.repeat(self.start[units] - total[:-1], sizes) + np.arange(total[-1])]
         offsets = total[first]
         if end_id is not None:
             ids = np.insert(ids, offsets[1:], end_id)

@@ -5,14 +5,15 @@ Files (Parquet tables under one folder):
 * `objects`: `kind = 'chunk'` rows hold `digest` (BLAKE2b, 16 bytes) and `payload` (ids, unsigned little-endian,
   2 bytes where the vocabulary allows, else 4). Equal chunks are stored once. `kind = 'recipe'` rows hold a document's
   chunks as they leave the encoder.
-* `recipes`: in ascending doc_id order, one file per range of ids. `kind = 'doc'` rows hold the block, `local_start`
-  (ids before the document in its block), `n_tokens`, the document's root and its chunks (digest, `end` = ids up to
-  and with this chunk); one `kind = 'block'` row closes each block with the hash over its documents' roots.
-* `manifest`: block, start (ids before the block), n_tokens, root and the store's root over all blocks.
+* `recipes`: in ascending doc_id order, one file (block) per range of ids: block, `place` (in the block), `local_start`
+  (ids before the document in its block), `n_tokens`, the document's root and its chunks (digest, `end` = ids up to and
+  with this chunk).
+* `manifest`: block, start (ids before the block), n_docs, n_tokens, root, and the store's root over all blocks.
 
 Chunks end where a rolling hash over the last 16 ids has its low bits zero, so equal passages give equal chunks
-wherever they stand. Roots form a Merkle tree: chunk, document, block, store. Reading back checks every payload
-against its digest and every document's root and length, and fails on any difference.
+wherever they stand. Roots form a Merkle tree: chunks, document, page (PAGE documents), block, store. Reading back
+checks every payload against its digest, every document's root and length, and the roots of pages, blocks and store
+against the manifest; it fails on any difference, so on a row or a file that is gone as well.
 """
 
 from __future__ import annotations
@@ -26,15 +27,17 @@ from itertools import pairwise
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_MODEL, byte_groups, load_tokenizer, shared_dir, sized_broadcast, text_bytes, text_or_empty, tokenizer_path, unit_encoder
+from .common import WORD_MODEL, byte_groups, load_tokenizer, shared_dir, shuffles_end, text_bytes, text_or_empty, tokenizer_path, unit_encoder
 
-WINDOW, LEAST, MEAN, MOST = 16, 64, 256, 2048
+WINDOW, LEAST, MEAN, MOST = 16, 128, 512, 4096
+PAGE = 1024
 OBJECTS = "kind string, digest binary, payload binary, doc_id long, n_tokens long, chunks array<struct<digest: binary, end: long>>"
-RECIPES = "kind string, block int, doc_id long, local_start long, n_tokens long, root binary, chunks array<struct<digest: binary, end: long>>"
+RECIPES = "block int, place long, doc_id long, local_start long, n_tokens long, root binary, chunks array<struct<digest: binary, end: long>>"
 
 
 def digest_of(data: bytes) -> bytes:
@@ -102,34 +105,44 @@ def _encode(path: str, end_id: int, dtype: str):
 
 
 def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen = set()
+    """Rows sorted by kind and digest, without the chunks that repeat the one before."""
+    last = None
     for batch in batches:
-        keep = []
-        for kind, digest in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            keep.append(kind == "recipe" or digest not in seen)
-            if kind == "chunk":
-                seen.add(digest)
-        yield batch.filter(pa.array(keep, pa.bool_()))
+        if not batch.num_rows:
+            continue
+        digest, chunk = batch.column(1), pc.equal(batch.column(0), "chunk")
+        before = pa.concat_arrays([pa.array([last], pa.binary()), digest.slice(0, batch.num_rows - 1)])
+        last = digest[-1].as_py() if chunk[-1].as_py() else None
+        yield batch.filter(pc.invert(pc.and_(chunk, pc.fill_null(pc.equal(digest, before), False))))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number the ids of one sorted range of documents, and close it with its root."""
-    block, start, root = TaskContext.get().partitionId(), 0, hashlib.blake2b(digest_size=16)
-    names = ["kind", "block", "doc_id", "local_start", "n_tokens", "root", "chunks"]
-    last_type = None
+    """Number the documents and ids of one sorted range of documents."""
+    block, start, place = TaskContext.get().partitionId(), 0, 0
+    names = ["block", "place", "doc_id", "local_start", "n_tokens", "root", "chunks"]
     for batch in batches:
         n = batch.num_rows
-        if not n:
-            continue
-        tokens = batch.column(2).to_numpy(zero_copy_only=False)
-        ends = np.cumsum(tokens)
-        for r in batch.column(1).to_pylist():
-            root.update(r)
-        last_type = batch.column(3).type
-        yield pa.RecordBatch.from_arrays([pa.array(["doc"] * n), pa.array(np.full(n, block, np.int32)), batch.column(0), pa.array(start + ends - tokens, pa.int64()), batch.column(2), batch.column(1), batch.column(3)], names=names)
-        start += int(ends[-1])
-    if last_type is not None:
-        yield pa.RecordBatch.from_arrays([pa.array(["block"]), pa.array([block], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([start], pa.int64()), pa.array([root.digest()], pa.binary()), pa.nulls(1, last_type)], names=names)
+        if n:
+            tokens = batch.column(2).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(tokens)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block, np.int32)), pa.array(place + np.arange(n)), batch.column(0), pa.array(start + ends - tokens, pa.int64()), batch.column(2), batch.column(1), batch.column(3)], names=names)
+            start, place = start + int(ends[-1]), place + n
+
+
+def _root(key: str, root: Column) -> Column:
+    """SHA-256 over the roots of a group in the order of `key`."""
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), root.alias("r"))))
+    return F.sha2(F.array_join(F.transform(ordered, lambda x: x["r"]), ""), 256)
+
+
+def block_roots(recipes: DataFrame) -> DataFrame:
+    """block, n_docs, n_tokens and root of each block, from the roots of its documents; no group holds more than a page's or a block's."""
+    pages = recipes.groupBy("block", F.floor(F.col("place") / PAGE).alias("page")).agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), _root("place", F.hex("root")).alias("root"))
+    return pages.groupBy("block").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), _root("page", F.col("root")).alias("root"))
+
+
+def store_root(roots: list[str]) -> str:
+    return hashlib.sha256("".join(roots).encode()).hexdigest()
 
 
 def write_store(docs: DataFrame, path: str, *, tokenizer: str | None = None, end_id: int = 1, id_column: str = "doc_id", text_column: str = "text") -> None:
@@ -142,40 +155,48 @@ def write_store(docs: DataFrame, path: str, *, tokenizer: str | None = None, end
     vocabulary = tokenizer or tokenizer_path(WORD_MODEL)
     dtype = "<u2" if load_tokenizer(vocabulary).get_vocab_size() <= 1 << 16 else "<u4"
     encoded = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text")).mapInArrow(_encode(vocabulary, end_id, dtype), OBJECTS)
-    encoded.repartition("digest").mapInArrow(_first_of_each, OBJECTS).withColumn("dtype", F.lit(dtype)).write.option("compression", "zstd").parquet(f"{path}/objects")
+    spread = F.when(F.col("kind") == "recipe", F.xxhash64("doc_id"))  # copies of a text have one root, but each its own recipe
+    once = encoded.repartition("digest", spread).sortWithinPartitions("kind", "digest").mapInArrow(_first_of_each, OBJECTS).withColumn("dtype", F.lit(dtype))
+    with shuffles_end(spark):
+        once.write.option("compression", "zstd").parquet(f"{path}/objects")
     recipes = _objects(spark, path).where("kind = 'recipe'").select("doc_id", F.col("digest").alias("root"), "n_tokens", "chunks")
-    recipes.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "root").mapInArrow(_blocks, RECIPES).write.option("compression", "zstd").parquet(f"{path}/recipes")
-    ends = spark.read.schema(RECIPES).parquet(f"{path}/recipes").where("kind = 'block'").select("block", "n_tokens", "root").orderBy("block").collect()  # one row per file
-    store, start, rows = digest_of(b"".join(bytes(r["root"]) for r in ends)), 0, []
+    with shuffles_end(spark):
+        recipes.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "root").mapInArrow(_blocks, RECIPES).write.option("compression", "zstd").parquet(f"{path}/recipes")
+    ends = block_roots(spark.read.schema(RECIPES).parquet(f"{path}/recipes")).orderBy("block").collect()  # one row per file
+    store, start, rows = store_root([r["root"] for r in ends]), 0, []
     for r in ends:
-        rows.append((r["block"], start, r["n_tokens"], bytes(r["root"]), store))
+        rows.append((r["block"], start, r["n_docs"], r["n_tokens"], r["root"], store))
         start += r["n_tokens"]
-    spark.createDataFrame(rows, "block int, start long, n_tokens long, root binary, store_root binary").coalesce(1).write.parquet(f"{path}/manifest")
+    spark.createDataFrame(rows, "block int, start long, n_docs long, n_tokens long, root string, store_root string").coalesce(1).write.parquet(f"{path}/manifest")
 
 
 def _objects(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(f"{OBJECTS}, dtype string").parquet(f"{path}/objects")
 
 
+def verify(spark: SparkSession, path: str) -> None:
+    """Compare the roots of the recipes as they are with the manifest, and the manifest with the store's root."""
+    manifest = spark.read.parquet(f"{path}/manifest").orderBy("block").collect()  # one row per file
+    if any(r["store_root"] != store_root([x["root"] for x in manifest]) for r in manifest):
+        raise ValueError("the manifest differs from its root")
+    found = {r["block"]: (r["n_docs"], r["n_tokens"], r["root"]) for r in block_roots(spark.read.schema(RECIPES).parquet(f"{path}/recipes")).collect()}
+    if found != {r["block"]: (r["n_docs"], r["n_tokens"], r["root"]) for r in manifest}:
+        raise ValueError("the recipes differ from the manifest")
+
+
 def _recipes(spark: SparkSession, path: str) -> DataFrame:
     """A row for each document: start, doc_id, n_tokens, root, chunks."""
-    recipes = spark.read.schema(RECIPES).parquet(f"{path}/recipes").where("kind = 'doc'")
+    recipes = spark.read.schema(RECIPES).parquet(f"{path}/recipes")
     manifest = spark.read.parquet(f"{path}/manifest").select("block", "start")
-    blocks = sized_broadcast(manifest, manifest.count(), 1_000_000)
-    return recipes.join(blocks, "block").select((F.col("start") + F.col("local_start")).alias("start"), "doc_id", "n_tokens", "root", "chunks")
+    return recipes.join(manifest, "block").select((F.col("start") + F.col("local_start")).alias("start"), "doc_id", "n_tokens", "root", "chunks")
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """start, doc_id, n_tokens and all ids of each document (array<int>), rebuilt from the chunks."""
-
-    @F.pandas_udf("array<int>")
-    def ids(payload: pd.Series, dtype: pd.Series) -> pd.Series:
-        return pd.Series([np.frombuffer(p, d).astype(np.int32) for p, d in zip(payload, dtype, strict=True)])
-
-    chunks = _objects(spark, path).where("kind = 'chunk'").select("digest", ids("payload", "dtype").alias("ids"))
-    parts = _recipes(spark, path).select("start", "doc_id", "n_tokens", F.explode("chunks").alias("c"))
-    parts = parts.select("start", "doc_id", "n_tokens", F.col("c.end").alias("end"), F.col("c.digest").alias("digest")).join(chunks, "digest")
-    ordered = F.array_sort(F.collect_list(F.struct("end", "ids")))
+    """start, doc_id, n_tokens and all ids of each document (array<int>), rebuilt from the chunks, after `verify`."""
+    verify(spark, path)
+    chunks = _objects(spark, path).where("kind = 'chunk'").select("digest", "payload", "dtype").mapInArrow(_decoded, "digest binary, ids array<int>")
+    parts = _recipes(spark, path).mapInArrow(_rooted, "start long, doc_id long, n_tokens long, digest binary, after long").join(chunks, "digest")
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("after")).alias("k"), "ids")))
     return parts.groupBy("start", "doc_id", "n_tokens").agg(F.flatten(F.transform(ordered, lambda x: x["ids"])).alias("ids"))
 
 
@@ -212,18 +233,24 @@ def crc_shift(crc: np.ndarray, n_bytes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """CRC-32 of each chunk's ids as 32-bit integers, after a check of its digest."""
+def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    """Digests of chunks and their ids as 32-bit integers, after a check of each digest."""
     for batch in batches:
         digests, payloads, dtypes = (c.to_pylist() for c in batch.columns)
-        crc, n = [], []
-        for digest, payload, dtype in zip(digests, payloads, dtypes, strict=True):
-            if digest_of(payload) != digest:
-                raise ValueError("a chunk differs from its digest")
-            ids = np.frombuffer(payload, dtype).astype("<u4")
-            crc.append(zlib.crc32(ids))
-            n.append(len(ids))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(crc, pa.int64()), pa.array(n, pa.int64())], names=["digest", "crc", "n"])
+        if any(digest_of(payload) != digest for digest, payload in zip(digests, payloads, strict=True)):
+            raise ValueError("a chunk differs from its digest")
+        yield batch.column(0), [np.frombuffer(p, d).astype("<u4") for p, d in zip(payloads, dtypes, strict=True)]
+
+
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for digests, ids in _payloads(batches):
+        yield pa.RecordBatch.from_arrays([digests, pa.array([x.view(np.int32) for x in ids], pa.list_(pa.int32()))], names=["digest", "ids"])
+
+
+def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """CRC-32 of each chunk's ids."""
+    for digests, ids in _payloads(batches):
+        yield pa.RecordBatch.from_arrays([digests, pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array([len(x) for x in ids], pa.int64())], names=["digest", "crc", "n"])
 
 
 def _rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,8 +273,9 @@ def read_checks(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document, from the files.
 
     A document's CRC is put together from those of its chunks, so no payload is moved; every digest, root and length
-    is checked on the way.
+    is checked on the way, after `verify`.
     """
+    verify(spark, path)
 
     @F.pandas_udf("long")
     def shifted(crc: pd.Series, after: pd.Series) -> pd.Series:

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from brume.llm import packing, token_counts, token_store
 from brume.llm.common import BYTE_MODEL, WORD_MODEL, load_tokenizer, shared_dir, text_bytes, tokenizer_path, unit_encoder
@@ -113,6 +114,24 @@ def test_store_gives_every_id_back(spark, docs):
     assert objects.count() == objects.select("digest").distinct().count()
 
 
+def test_store_notices_rows_that_are_gone(spark, docs):
+    path = f"{shared_dir(spark)}-tokens"
+    token_store.write_store(docs, path)
+    recipes = spark.read.parquet(f"{path}/recipes")
+    for name, left in (("one", recipes.where("doc_id is null or doc_id <> 15")), ("block", recipes.where("block <> 0")), ("length", recipes.withColumn("n_tokens", F.col("n_tokens") + 1))):
+        left.write.parquet(f"{path}-{name}/recipes")
+        for table in ("objects", "manifest"):
+            spark.read.parquet(f"{path}/{table}").write.parquet(f"{path}-{name}/{table}")
+        with pytest.raises(ValueError, match="differ from the manifest"):
+            token_store.read_checks(spark, f"{path}-{name}")
+        with pytest.raises(ValueError, match="differ from the manifest"):
+            token_store.read_ids(spark, f"{path}-{name}")
+    other = spark.read.parquet(f"{path}/manifest").withColumn("root", F.sha2("root", 256))
+    other.write.parquet(f"{path}-short/manifest")
+    with pytest.raises(ValueError, match="differs from its root"):
+        token_store.verify(spark, f"{path}-short")
+
+
 def test_store_notices_a_changed_chunk(spark, docs):
     path = shared_dir(spark)
     token_store.write_store(docs, path)
