@@ -5,7 +5,7 @@ differ, so a hit survives substitutions there. Windows of the benchmark and of t
 (document, item, diagonal). Around each hit all words of item and document are compared along the diagonal, and the
 best run is taken where an equal word scores 1 and a substituted one -2.
 
-The benchmark's hashes are broadcast only if their counted rows stay within `max_broadcast`; beyond it Spark shuffles.
+The benchmark's hashes are broadcast only if their measured bytes stay within `max_broadcast`; beyond it Spark shuffles.
 Hits are grouped before they meet texts again; they are written once and counted, and broadcast on the same terms.
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, sized_broadcast, text_or_empty, written
+from .common import MOST_BROADCAST, fresh, sized_broadcast, text_or_empty, written
 
 #: Fixed seed masks: words at 1 are hashed. They let through a substitution in every third, and in every fifth word.
 MASKS = ("11011011", "1111011")
@@ -25,17 +25,19 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def _seeds(hashed: str, mask_no: int, mask: str) -> Column:
-    places = [i for i, c in enumerate(mask) if c == "1"]
-    window = F.transform(F.sequence(F.lit(0), F.size(hashed) - len(mask)), lambda i: F.xxhash64(F.lit(mask_no), *(F.get(hashed, i + k) for k in places)))
-    return F.when(F.size(hashed) >= len(mask), window).otherwise(F.array().cast("array<bigint>"))
-
-
 def seed_rows(table: DataFrame, key: str, position: str, masks=MASKS) -> DataFrame:
-    """A row (key, seed, position) for each window of each mask."""
-    hashed = table.select(key, F.transform("words", lambda w: F.xxhash64(w)).alias("hashed"))
-    seeds = [F.transform(_seeds("hashed", k, m), lambda h, i: F.struct(h.alias("seed"), i.alias(position))) for k, m in enumerate(masks)]
-    return hashed.select(key, F.explode(F.concat(*seeds)).alias("s")).select(key, "s.seed", f"s.{position}")
+    """A row (key, seed, position) for each window of each mask.
+
+    Windows are numbered by a generator and hashed after it, so the hashes are compiled with the join that follows.
+    """
+    hashed = table.select(key, F.transform("words", lambda w: F.xxhash64(w)).alias("hashed")).where(F.size("hashed") >= min(map(len, masks)))
+    windows = hashed.select(key, "hashed", F.explode(F.sequence(F.lit(0), F.size("hashed") * len(masks) - 1)).alias("j"))
+    windows = windows.select(key, "hashed", F.pmod("j", F.lit(len(masks))).alias("mask"), F.floor(F.col("j") / len(masks)).cast("int").alias(position))
+    seed = F.lit(None).cast("long")
+    for k, mask in enumerate(masks):
+        held = [F.get("hashed", F.col(position) + i) for i, c in enumerate(mask) if c == "1"]
+        seed = F.when((F.col("mask") == k) & (F.col(position) + len(mask) <= F.size("hashed")), F.xxhash64(F.lit(k), *held)).otherwise(seed)
+    return windows.select(key, seed.alias("seed"), position).where("seed is not null")
 
 
 def _best_run(flags: Column, start: Column) -> Column:
@@ -56,22 +58,22 @@ def _best_run(flags: Column, start: Column) -> Column:
     return F.aggregate(flags, zero, step, lambda a: F.struct(a["score"].alias("score"), a["length"].alias("length"), (a["first"] + start).alias("item_start")))
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, *, masks=MASKS, least: int = 12, max_broadcast: int = 1_000_000, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id") -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, *, masks=MASKS, least: int = 12, max_broadcast: int = MOST_BROADCAST, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id") -> DataFrame:
     """The best verified overlap of each document with each benchmark item.
 
     doc_id, item_id, score, length (words), equal_words, doc_start, item_start (in words), for scores of `least` or
-    more; an item of fewer words must be met but for one substitution. Null and empty texts have no words; null ids are
+    more; an item of fewer words must be met but for one substitution. An item of fewer words than the shortest mask has no
+    seed and is never found, nor is a passage in which every fourth word is changed. Null and empty texts have no words; null ids are
     kept and match as equal; rows that repeat an id count as one document; other columns are ignored; empty tables give
     no rows.
     """
     corpus = docs.select(F.col(id_column).cast("long").alias("doc_id"), words(text_or_empty(text_column)).alias("words"))
     items = benchmark.select(F.col(item_column).cast("long").alias("item_id"), words(text_or_empty("text")).alias("words"))
-    item_seeds = seed_rows(items, "item_id", "item_place", masks)
-    item_seeds = sized_broadcast(item_seeds, item_seeds.count(), max_broadcast)
+    item_seeds = sized_broadcast(written(seed_rows(items, "item_id", "item_place", masks), "seeds"), max_broadcast)
     hits = seed_rows(corpus, "doc_id", "doc_place", masks).join(item_seeds, "seed")
     hits = written(hits.groupBy("doc_id", "item_id", (F.col("doc_place") - F.col("item_place")).alias("diagonal")).agg(F.count("*").alias("seeds")), "hits")
-    hits = sized_broadcast(hits, hits.count(), max_broadcast)
-    items = sized_broadcast(items.withColumnRenamed("words", "item_words"), items.count(), max_broadcast // 10)
+    hits = sized_broadcast(hits, max_broadcast)
+    items = sized_broadcast(items.withColumnRenamed("words", "item_words"), max_broadcast)
     pairs = corpus.join(hits.withColumnRenamed("doc_id", "hit_id"), F.col("doc_id").eqNullSafe(F.col("hit_id"))).join(items, "item_id")
     low = F.greatest(F.lit(0), -F.col("diagonal"))
     high = F.least(F.size("item_words"), F.size("words") - F.col("diagonal")) - 1
@@ -88,7 +90,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     key = options.get("id_column", "doc_id")
     leak = fresh(docs, "_leak")
     leaks = written(overlaps(docs, benchmark, **options).select(F.col("doc_id").alias(leak)).distinct(), "leaks")
-    leaks = sized_broadcast(leaks, leaks.count(), options.get("max_broadcast", 1_000_000))
+    leaks = sized_broadcast(leaks, options.get("max_broadcast", MOST_BROADCAST))
     return docs.join(leaks, docs[key].cast("long").eqNullSafe(leaks[leak]), "left_anti")
 
 

@@ -1,13 +1,16 @@
 """Near-duplicate join on word 5-grams with a MinHash LSH forest and exact verification.
 
-Each text has a label of `depth` MinHash values in each of `trees` prefix tries. Two texts meet where their labels share
-a prefix; the prefix is shortened from the full label to the longest length at which a pair of similarity `threshold`
-still meets in some tree with probability `recall` (`prefix_length`). In each trie node
-
-* every task first sorts its own texts into stars: a leader and those whose signatures say they are as near as the
+Each text has a label of `depth` MinHash values in each of `trees` prefix tries, in which labels are sorted. In each trie a
+text is first compared with those that share its whole label, and the matched prefix is then shortened, one value at a
+time, until the text's target is met (`forest_links`): the chance that this trie misses a partner at `threshold` must
+not be over the trees-th root of 1 - `recall`. Each partner that was found lowers it, as the missing one is near to that
+one as well (triangle inequality of the Jaccard distance). So texts in dense places stop at long prefixes, others go on to
+the length at which even a lonely pair meets often enough (`prefix_length`). This is done twice:
+
+* every task sorts its own texts into stars: a leader and those whose signatures say they are as near as the
   threshold. Only leaders are shuffled, so a group of copies costs at most a few rows per task, however large it is;
-* leaders that meet are linked while their signatures leave room for two near members (triangle inequality of the
-  Jaccard distance), comparing only those that are not connected yet.
+* leaders that meet are linked while their signatures leave room for two near members, comparing only those that are not
+  connected yet.
 
 Links make candidate clusters (alternating large-star and small-star rounds). Each cluster's different texts are then
 fetched, and all their pairs are verified on the exact shingle sets by counting shared shingles.
@@ -27,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_groups, fresh, is_space, sized_broadcast, text_bytes, text_or_empty, word_starts, written
+from .common import MOST_BROADCAST, byte_groups, fresh, is_space, settled, sized_broadcast, text_bytes, text_or_empty, word_starts, written
 from .hashing import ByteHashes, mix
 
 SKETCHES = "kind string, row long, doc long, text_hash binary, size long, tree int, prefix long, signature binary, members array<long>"
@@ -35,7 +38,7 @@ BLOCK_BYTES = 16 << 20  # of texts in one block of a cluster
 
 
 def prefix_length(threshold: float, trees: int, depth: int, recall: float) -> int:
-    """Longest prefix at which a pair at the threshold still meets with the wanted probability."""
+    """Longest prefix at which a pair at the threshold still meets with the wanted probability: none is shortened below it."""
     for m in range(depth, 0, -1):
         if 1 - (1 - threshold**m) ** trees >= recall:
             return m
@@ -81,10 +84,54 @@ def _estimates(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return (same - 1 / 256) / (1 - 1 / 256)
 
 
-def _sketch(trees: int, depth: int, prefix: int, near: float):
+def forest_links(labels: np.ndarray, low: np.ndarray, *, enough: float, threshold: float, missed: float, shortest: int, stars: bool) -> list[tuple[int, int]]:
+    """Pairs of texts of one node of a trie whose signatures agree by `enough`, at adaptively shortened prefixes.
+
+    `labels` (texts x depth): the trie's labels, `low`: low bytes of the signatures, `missed`: the chance that this trie may
+    miss a partner at `threshold`. Connected texts are not compared again; with `stars`, pairs are (leader, member), and
+    a member has one leader and no members. No prefix is shortened below `shortest`.
+    """
+    n, depth = labels.shape
+    order = np.lexsort(labels.T[::-1])
+    common = np.cumprod(labels[order][1:] == labels[order][:-1], axis=1).sum(axis=1)  # with the label before, in the trie's order
+    lengths = np.arange(depth + 1)
+    chance = np.tile(np.log1p(-(threshold ** np.maximum(lengths, 1))), (n, 1))  # log of what is missed at each prefix length
+    group, member = np.arange(n), np.zeros(n, bool)
+    pairs: list[tuple[int, int]] = []
+    for length in range(depth, shortest - 1, -1):
+        heads = np.flatnonzero(np.append(True, common < length))
+        sizes = np.diff(np.append(heads, n))
+        for s, size in zip(heads[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
+            node = order[s : s + size]
+            for i in (node if length == depth else node[chance[node, length + 1] > np.log(missed)]).tolist():
+                if stars and member[i]:
+                    continue
+                others = node[group[node] == node] if stars else node[group[node] != group[i]]
+                if stars:
+                    others = others[(others != i) & ~np.isin(others, group[member])]
+                if not len(others):
+                    if not stars:
+                        break  # the node is connected
+                    continue
+                alike = _estimates(low[i], low[others])
+                close = others[alike >= enough]
+                if len(close):
+                    pairs += [(i, j) for j in close.tolist()]
+                    near = np.log1p(-(np.clip(alike[alike >= enough] + threshold - 1, 0, 0.999)[:, None] ** np.maximum(lengths, 1)))
+                    chance[i] += near.sum(axis=0)
+                    chance[close] += near
+                    if stars:
+                        group[close], member[close] = i, True
+                    else:
+                        group[np.isin(group, group[close])] = group[i]
+    return pairs
+
+
+def _sketch(trees: int, depth: int, prefix: int, near: float, missed: float):
+    names = ["kind", "row", "doc", "text_hash", "size", "tree", "prefix", "signature", "members"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, labels = [], []
-        names = ["kind", "row", "doc", "text_hash", "size", "tree", "prefix", "signature", "members"]
         for batch in batches:
             n = batch.num_rows
             data, at = text_bytes(batch.column(2))
@@ -99,24 +146,22 @@ def _sketch(trees: int, depth: int, prefix: int, near: float):
         label = np.concatenate(labels) if labels else np.zeros((0, trees * depth), np.uint32)
         low = (label & np.uint32(255)).astype(np.uint8)
         for tree in range(trees):
+            own = slice(tree * depth, (tree + 1) * depth)
             key = np.zeros(len(row), np.uint64)
             for k in range(prefix):
                 key = mix(key + label[:, tree * depth + k] + np.uint64(tree * depth + k + 1))
-            order = np.lexsort((*(label[:, tree * depth + k] for k in reversed(range(depth))), key))  # the trie's order below the node
+            order = np.argsort(key, kind="stable")
             heads = np.flatnonzero(np.concatenate([[True], np.diff(key[order].view(np.int64)) != 0])) if len(order) else np.zeros(0, np.int64)
             sizes = np.diff(np.append(heads, len(order)))
-            leaders, members = order[heads[sizes == 1]].tolist(), [[] for _ in range(int((sizes == 1).sum()))]
+            members: dict[int, list[int]] = {i: [] for i in order.tolist()}
             for s, n in zip(heads[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
-                left = order[s : s + n]
-                while len(left):
-                    close = _estimates(low[left[0]], low[left]) >= near
-                    close[0] = True
-                    leaders.append(int(left[0]))
-                    members.append(row[left[close][1:]].tolist())
-                    left = left[~close]
-            n = len(leaders)
+                node = order[s : s + n]
+                for i, j in forest_links(label[node, own], low[node], enough=near, threshold=near, missed=missed, shortest=prefix, stars=True):
+                    members[int(node[i])].append(int(row[node[j]]))
+                    del members[int(node[j])]
+            leaders, n = list(members), len(members)
             _, node, here = np.unique(key[leaders], return_inverse=True, return_counts=True)  # this task's leaders in the node
-            yield pa.RecordBatch.from_arrays([pa.array(["leader"] * n), pa.array(row[leaders], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(here[node], pa.int64()), pa.array(np.full(n, tree, np.int32)), pa.array(key[leaders].view(np.int64)), pa.array([low[i].tobytes() for i in leaders], pa.binary()), pa.array(members, pa.list_(pa.int64()))], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(["leader"] * n), pa.array(row[leaders], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(here[node], pa.int64()), pa.array(np.full(n, tree, np.int32)), pa.array(key[leaders].view(np.int64)), pa.array([low[i].tobytes() for i in leaders], pa.binary()), pa.array(list(members.values()), pa.list_(pa.int64()))], names=names)
 
     return run
 
@@ -155,7 +200,7 @@ def _met(df: DataFrame, blocks: Column, itself: bool) -> DataFrame:
     return df.withColumn("block", block).withColumn("_met", F.explode(pairs)).withColumns({"one": F.col("_met.one"), "two": F.col("_met.two")}).drop("_met")
 
 
-def _link_leaders(room: float):
+def _link_leaders(depth: int, prefix: int, threshold: float, room: float, missed: float):
     """Links (a, b) between leaders in one trie node, or in two blocks of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,17 +212,10 @@ def _link_leaders(room: float):
             one, two = [], []
             for s, n in zip(heads[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
                 low = np.frombuffer(b"".join(signature.slice(s, n).to_pylist()), np.uint8).reshape(n, -1)
-                own = row[s : s + n]
-                left = np.arange(n)
-                while len(left):
-                    queue, left = [left[0]], left[1:]
-                    while queue and len(left):
-                        i = queue.pop()
-                        close = _estimates(low[i], low[left]) >= room
-                        one += [int(own[i])] * int(close.sum())
-                        two += own[left[close]].tolist()
-                        queue += left[close].tolist()
-                        left = left[~close]
+                label = low[:, keys[0][s] * depth : (keys[0][s] + 1) * depth]  # low bytes: two that differ seem alike once in 256 times, which only adds a comparison
+                for i, j in forest_links(label, low, enough=room, threshold=threshold, missed=missed, shortest=prefix, stars=False):
+                    one.append(int(row[s + i]))
+                    two.append(int(row[s + j]))
             yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=["a", "b"])
 
     return run
@@ -288,7 +326,7 @@ def _verify(threshold: float, words: int):
 
 
 def near_duplicates(
-    docs: DataFrame, *, threshold: float = 0.8, words: int = 5, trees: int = 12, depth: int = 6, recall: float = 0.999, block_texts: int = 2048, block_leaders: int = 8192, max_broadcast: int = 1_000_000,
+    docs: DataFrame, *, threshold: float = 0.8, words: int = 5, trees: int = 12, depth: int = 6, recall: float = 0.999, block_texts: int = 2048, block_leaders: int = 8192, max_broadcast: int = MOST_BROADCAST,
     id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """One row per row of `docs`: row, doc_id, class_id, n_links, n_copies, is_first.
@@ -297,35 +335,35 @@ def near_duplicates(
     least doc_id. n_links: different texts that this text is linked to; n_copies: rows with exactly this text.
     is_first marks one row of each class: the least doc_id, then the least row. A text of fewer words is one shingle;
     texts without words, null ones too, are alike only if equal (null as empty). Null ids come last in a class; other
-    columns are ignored; an empty table gives no rows. `docs` must give the same rows in the same partitions when it is
-    read again, as a scan or a checkpoint does. Clusters of over `block_texts` different texts or BLOCK_BYTES, and trie
+    columns are ignored; an empty table gives no rows. A `docs` that is no scan or checkpoint is written first, as it is read
+    twice. Clusters of over `block_texts` different texts or BLOCK_BYTES, and trie
     nodes of over `block_leaders` leaders, are worked on two blocks at a time.
     """
+    docs = settled(docs, "texts")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("doc"), text_or_empty(text_column).alias("text"))
     prefix = prefix_length(threshold, trees, depth, recall)
-    sketches = written(rows.mapInArrow(_sketch(trees, depth, prefix, threshold), SKETCHES), "sketches")
+    missed = (1 - recall) ** (1 / trees)
+    sketches = written(rows.mapInArrow(_sketch(trees, depth, prefix, threshold, missed), SKETCHES), "sketches")
     every = sketches.where("kind = 'doc'").select("row", "doc", "text_hash", F.col("size").alias("n_bytes"))
     leaders = sketches.where("kind = 'leader'")
     room = max(0.05, 1 - 3 * (1 - threshold) - 0.15)  # three distances, and what signatures may err
     nodes = leaders.select("tree", "prefix", F.lit(0).alias("one"), F.lit(0).alias("two"), "row", "signature")
     tasks = (every.agg(F.max(F.shiftright("row", 33))).first()[0] or 0) + 1
     many = leaders.where(F.col("size") * tasks > block_leaders).select("tree", "prefix").distinct()  # no other node can have so many
-    n_many = many.count()
-    if n_many:
-        crowds = leaders.join(sized_broadcast(many, n_many, max_broadcast), ["tree", "prefix"], "left_semi").groupBy("tree", "prefix").agg(F.count("*").alias("n"))
-        crowded = nodes.drop("one", "two").join(sized_broadcast(crowds, n_many, max_broadcast), ["tree", "prefix"], "left")
+    if not many.isEmpty():
+        crowds = leaders.join(many, ["tree", "prefix"], "left_semi").groupBy("tree", "prefix").agg(F.count("*").alias("n"))
+        crowded = nodes.drop("one", "two").join(sized_broadcast(written(crowds, "crowds"), max_broadcast), ["tree", "prefix"], "left")
         nodes = _met(crowded, F.ceil(F.coalesce("n", F.lit(1)) / block_leaders), False).select(*nodes.columns)
     nodes = nodes.repartition("tree", "prefix", "one", "two").sortWithinPartitions("tree", "prefix", "one", "two")
-    edges = nodes.mapInArrow(_link_leaders(room), "a long, b long").union(leaders.select(F.col("row").alias("a"), F.explode("members").alias("b")))
+    edges = nodes.mapInArrow(_link_leaders(depth, prefix, threshold, room, missed), "a long, b long").union(leaders.select(F.col("row").alias("a"), F.explode("members").alias("b")))
     clusters = components(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
 
     texts = every.join(clusters, every["row"] == clusters["node"]).groupBy("root", "text_hash").agg(F.min("row").alias("row"), F.first("n_bytes").alias("n_bytes"))
     blocks = F.ceil(F.greatest(F.count("*") / block_texts, F.sum("n_bytes") / BLOCK_BYTES)).cast("int")
     several = texts.groupBy("root").agg(F.count("*").alias("n"), F.greatest(blocks, F.lit(1)).alias("blocks")).where("n > 1")
     texts = written(texts.join(several, "root").select(F.col("root").alias("cluster"), "text_hash", "row", "blocks"), "texts")
-    n_texts, n_split = texts.agg(F.count("*"), F.count_if(F.col("blocks") > 1)).first()
-    wanted = sized_broadcast(texts, n_texts, max_broadcast)
-    bodies = _met(rows.select("row", "text").join(wanted, "row"), F.col("blocks"), True).select("cluster", "one", "two", "block", "blocks", "row", "text_hash", "text")
+    n_split = texts.where("blocks > 1").count()
+    bodies = _met(rows.select("row", "text").join(sized_broadcast(texts, max_broadcast), "row"), F.col("blocks"), True).select("cluster", "one", "two", "block", "blocks", "row", "text_hash", "text")
     bodies = bodies.repartition("cluster", "one", "two").sortWithinPartitions("cluster", "one", "two", "text_hash")
     verified = written(bodies.mapInArrow(_verify(threshold, words), VERIFIED), "verified")
     if n_split:
@@ -343,12 +381,13 @@ def near_duplicates(
     return every.join(known, "text_hash").select("row", F.col("doc").alias("doc_id"), F.col("top.doc").alias("class_id"), "n_links", "n_copies", (F.col("row") == F.col("top.row")).alias("is_first"))
 
 
-def keep_firsts(docs: DataFrame, *, max_broadcast: int = 1_000_000, **options) -> DataFrame:
+def keep_firsts(docs: DataFrame, *, max_broadcast: int = MOST_BROADCAST, **options) -> DataFrame:
     """One row of each near-duplicate class (`is_first` of `near_duplicates`), with all columns of `docs`."""
+    docs = settled(docs, "texts")
     later = written(near_duplicates(docs, max_broadcast=max_broadcast, **options).where("not is_first").select("row"), "later")
     row = fresh(docs, "_row")
-    later = sized_broadcast(later, later.count(), max_broadcast)
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(later.withColumnRenamed("row", row), row, "left_anti").select(*docs.columns)
+    later = sized_broadcast(later.withColumnRenamed("row", row), max_broadcast)
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(later, row, "left_anti").select(*docs.columns)
 
 
 def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

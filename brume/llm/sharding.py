@@ -1,7 +1,7 @@
 """Uniform shuffle of rows into shards of exact size, by a hypergeometric communication matrix.
 
 How many rows each input partition sends to each shard is drawn at once from the law that a uniform shuffle gives:
-row by row of the matrix, multivariate hypergeometric in the room that the shards have left. Each partition then
+row by row of the matrix, multivariate hypergeometric in the room that the shards have left, by exact two-way draws. Each partition then
 permutes its own rows and deals them out by its counts, the rows are exchanged, and each shard orders what it got by a
 random 64-bit key. The result is a uniform permutation whose shards differ by one row at most.
 
@@ -10,6 +10,7 @@ The driver sees one count per partition and the matrix (partitions x shards), ne
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,71 @@ def partition_counts(docs: DataFrame) -> dict[int, int]:
     return {r["p"]: r["n"] for r in rows}
 
 
+def _log_chance(x: int, n: int, p: float) -> float:
+    """Log of the binomial chance of x in n, by the saddle-point expansion: precise however large the numbers are."""
+
+    def rest(n: int) -> float:  # log n! less Stirling's formula
+        if n < 16:
+            return math.lgamma(n + 1) - (n + 0.5) * math.log(n or 1) + n - 0.5 * math.log(2 * math.pi)
+        return (1 / 12 - (1 / 360 - 1 / 1260 / n / n) / n / n) / n
+
+    def deviance(x: int, mean: float) -> float:  # x log(x / mean) + mean - x
+        v = (x - mean) / (x + mean)
+        if abs(v) > 0.1:
+            return x * math.log(x / mean) + mean - x
+        total, term, k = (x - mean) * v, 2 * x * v, 1
+        while True:
+            term *= v * v
+            k += 2
+            if total + term / k == total:
+                return total
+            total += term / k
+
+    if x == 0:
+        return n * math.log1p(-p)
+    if x == n:
+        return n * math.log(p)
+    return rest(n) - rest(x) - rest(n - x) - deviance(x, n * p) - deviance(n - x, n * (1 - p)) + 0.5 * math.log(n / (2 * math.pi * x * (n - x)))
+
+
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of n rows drawn without replacement are among the good ones; for numbers of any size.
+
+    A few rows are drawn one by one, more by ratio of uniforms around the mode.
+    """
+    if n > (good + bad) // 2:
+        return good - hypergeometric(rng, good, bad, good + bad - n)
+    if n <= 12:
+        found = 0
+        for k in range(n):
+            found += int(rng.integers(good + bad - k)) < good - found
+        return found
+    low, high = max(0, n - bad), min(n, good)
+    if low == high:
+        return low
+    total, p = good + bad, n / (good + bad)
+    mode = min(high, max(low, (n + 1) * (good + 1) // (total + 2)))
+    log_f = lambda x: _log_chance(x, good, p) + _log_chance(n - x, bad, p)
+    top = log_f(mode)
+    share = good / total
+    spread = math.sqrt((total - n) / max(1, total - 1) * n * share * (1 - share) + 0.5)
+    width = 2 * math.sqrt(2 / math.e) * spread + 3 - 2 * math.sqrt(3 / math.e)
+    while True:
+        u = 1 - rng.random()
+        x = math.floor(n * share + 0.5 + width * (rng.random() - 0.5) / u)
+        if low <= x <= high and 2 * math.log(u) <= log_f(x) - top:
+            return x
+
+
+def _dealt(rng: np.random.Generator, room: np.ndarray, n: int) -> np.ndarray:
+    """n rows dealt at random to places of which each shard has `room`: by two-way draws between halves of the shards."""
+    if len(room) == 1:
+        return np.array([n], np.int64)
+    half = len(room) // 2
+    left = hypergeometric(rng, int(room[:half].sum()), int(room[half:].sum()), n)
+    return np.concatenate([_dealt(rng, room[:half], left), _dealt(rng, room[half:], n - left)])
+
+
 def communication_matrix(counts: dict[int, int], shards: int, seed: int) -> dict[int, np.ndarray]:
     """Rows sent by each partition to each shard: margins are the partition counts and near-equal shard sizes."""
     rng = np.random.default_rng(seed)
@@ -34,7 +100,7 @@ def communication_matrix(counts: dict[int, int], shards: int, seed: int) -> dict
     room[rng.permutation(shards)[: total % shards]] += 1
     matrix = {}
     for p in sorted(counts):
-        matrix[p] = rng.multivariate_hypergeometric(room, counts[p], method="marginals")
+        matrix[p] = _dealt(rng, room, counts[p])
         room -= matrix[p]
     return matrix
 

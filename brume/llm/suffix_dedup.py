@@ -32,6 +32,7 @@ from .hashing import ByteHashes, mix, sliding_min
 
 ANCHOR = 32
 SEGMENT = 1 << 20
+GATHERED = 1 << 18  # bytes of stretches that are sorted at a time, and one group more
 STRETCHES = "anchor long, stretch long, row long, doc long, first long, n int, at int"
 
 
@@ -78,7 +79,7 @@ def _find_stretches(least: int):
             rows, docs = batch.column(0), batch.column(1)
             data, at = text_bytes(batch.column(2))
             row, start, stop = _segments(at, least)
-            for a, b in byte_groups(stop - start, SEGMENT):
+            for a, b in byte_groups(stop - start, SEGMENT // 2):
                 sizes = stop[a:b] - start[a:b]
                 part = np.concatenate([data[s:e] for s, e in zip(start[a:b].tolist(), stop[a:b].tolist(), strict=True)]) if b - a > 1 else data[start[a] : stop[a]]
                 ends = np.concatenate([[0], np.cumsum(sizes)])
@@ -103,7 +104,7 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, least: int) -> tuple[np.n
     hashes = ByteHashes(data).windows(unit)
     order = np.argsort(hashes)
     fresh = np.concatenate([[True], np.diff(hashes[order].view(np.int64)) != 0])
-    symbol = np.empty(len(hashes), np.int64)
+    symbol = np.empty(len(hashes), np.int32)
     symbol[order] = np.cumsum(fresh) - 1
     common = np.bincount(symbol)[symbol] > 1
     steps = [*range(0, least - unit + 1, unit)]
@@ -215,7 +216,7 @@ def _match_stretches(least: int, earlier: bool):
                 if group and group[0][0] != x[0]:
                     held += group
                     group = []
-                    if size > 1 << 20:
+                    if size > GATHERED:
                         yield settle(held)
                         held, size = [], 0
                 group.append(x)
@@ -269,7 +270,7 @@ def _collapsed(seen: DataFrame, keep_first: bool, hot: int, name: str) -> tuple[
     return whole.select("row", "first", "n"), single
 
 
-def repeated_windows(docs: DataFrame, *, least: int = 400, keep_first: bool, hot: int = 1024) -> DataFrame:
+def repeated_windows(docs: DataFrame, *, least: int = 400, keep_first: bool, hot: int = 512) -> DataFrame:
     """(row, first, n): runs of n windows of `least` bytes, from byte `first` of the text, that must go.
 
     `docs`: row, doc, text. With `keep_first` those that start earlier too (by doc, row, place), else those that start
@@ -327,7 +328,7 @@ def _cut(least: int, text_at: int, as_text: bool, added: tuple[str, str, str]):
     return run
 
 
-def dedup(docs: DataFrame, *, least: int = 400, keep_first: bool = True, as_text: bool = False, added: tuple[str, str, str] = ("_kept", "_removed", "_spans"), hot: int = 1024, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, *, least: int = 400, keep_first: bool = True, as_text: bool = False, added: tuple[str, str, str] = ("_kept", "_removed", "_spans"), hot: int = 512, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """All rows and columns of `docs`, with what is left of each text.
 
     Adds `_kept` (bytes; as text, without characters that a cut has split, if asked), `_removed` (how many bytes) and

@@ -97,6 +97,48 @@ def test_components(spark):
     assert {(r.node, r.root) for r in got} == {(n, 2) for n in (2, 3, 4, 5, 20)} | {(n, 8) for n in (8, 9, 30)}
 
 
+def test_measured_recall_of_links(spark):
+    """Of 600 lonely pairs of similarity 0.8 to 0.9, dealt over partitions, 99.5 in 100 are linked, and none of 0.79 or less is."""
+    rows, near = [], []
+    for k in range(800):
+        changed = 3 + k % 6  # single words changed far apart, each in five of 296 shingles
+        base = [f"p{k}w{i}" for i in range(300)]
+        other = [f"new{i}" if i % 25 == 10 and i // 25 < changed else w for i, w in enumerate(base)]
+        shared = len(shingles(" ".join(base)) & shingles(" ".join(other)))
+        near.append(shared >= 0.8 * (2 * 296 - shared))
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    got = {r.doc_id: r for r in jaccard_join.near_duplicates(table(spark, rows, 5)).collect()}
+    linked = [got[2 * k + 1].class_id == 2 * k and got[2 * k].n_links == 1 for k in range(800)]
+    assert not any(found for found, right in zip(linked, near, strict=True) if not right)
+    assert sum(near) > 300 and sum(linked) >= 0.995 * sum(near)
+
+
+def test_prefixes_are_shortened_as_far_as_needed():
+    """Dense texts meet at whole labels and stop there; a lonely pair meets at the shortest prefix only."""
+    rng = np.random.default_rng(3)
+    low = np.tile(rng.integers(0, 256, 72, dtype=np.uint8), (12, 1))
+    options = {"enough": 0.25, "threshold": 0.8, "missed": 0.001 ** (1 / 12), "shortest": 3, "stars": False}
+    labels = low[:, :6].copy()
+    assert len(jaccard_join.forest_links(labels, low, **options)) == 11
+    labels[6:, 5] += 1  # two dense nodes of one parent: with five copies each at hand, nothing is shortened
+    assert len(jaccard_join.forest_links(labels, low, **options)) == 10
+    for length in (5, 4, 3):
+        pair = low[:2, :6].copy()
+        pair[1, length] += 1
+        assert jaccard_join.forest_links(pair, low[:2], **options) == [(0, 1)]
+    pair = low[:2, :6].copy()
+    pair[1, 2] += 1
+    assert jaccard_join.forest_links(pair, low[:2], **options) == []
+
+
+def test_near_duplicates_without_broadcasts(docs):
+    got = jaccard_join.near_duplicates(docs, max_broadcast=0).collect()
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in got) == brute_classes(corpus())
+    assert jaccard_join.keep_firsts(docs, max_broadcast=0).count() == sum(r.is_first for r in got)
+    again = jaccard_join.near_duplicates(docs.where("doc_id is null or doc_id >= 0").distinct()).collect()  # not a scan
+    assert {(r.doc_id, r.class_id, r.n_links) for r in again} == {(r.doc_id, r.class_id, r.n_links) for r in got}
+
+
 def test_prefix_reaches_the_recall():
     m = jaccard_join.prefix_length(0.8, 12, 6, 0.999)
     assert 1 - (1 - 0.8**m) ** 12 >= 0.999 > 1 - (1 - 0.8 ** (m + 1)) ** 12
