@@ -15,6 +15,10 @@ from brume.llm.common import fresh, written
 from brume.ship import shipped
 
 
+#: Bytes of a string whose later copies go: less than passages of 50 words have, more than phrases that texts share by chance.
+REPEAT_BYTES = 200
+
+
 @shipped
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
@@ -29,13 +33,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 @shipped
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the later copies of strings of 400 bytes; a text of which only white space is left goes.
+    """Texts without the later copies of strings of REPEAT_BYTES; a text of which only white space is left goes.
 
     Where a cut splits a character, what is left of it goes too. n_chars follows the text.
     """
 
     kept, removed, spans = (fresh(docs, n) for n in ("_kept", "_removed", "_spans"))
-    left = suffix_dedup.dedup(docs, keep_first=True, as_text=True, added=(kept, removed, spans))
+    left = suffix_dedup.dedup(docs, least=REPEAT_BYTES, keep_first=True, as_text=True, added=(kept, removed, spans))
     cut = F.col(removed) > 0
     left = left.where(~cut | F.col(kept).rlike(r"[^ \t\n\r\f\x0B]")).withColumn("text", F.when(cut, F.col(kept)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
