@@ -246,8 +246,8 @@ class UnitEncoder:
             places = self.memory.places(units)
         return places
 
-    def _units(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place in the memory of each unit, and each text's first unit (n + 1)."""
+    def _units(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place in the memory of each unit, each text's first unit (n + 1), and where the units begin."""
         space = is_space(data)
         letter = (data | 32) - np.uint8(97) < 26
         if self.words:
@@ -264,19 +264,21 @@ class UnitEncoder:
         cuts = np.flatnonzero(cut)
         first = np.searchsorted(cuts, at)
         if not len(cuts):
-            return np.zeros(0, np.int64), first
+            return np.zeros(0, np.int64), first, cuts
         coded = slices(plain, np.append(cuts, len(data))).dictionary_encode()
         places = self._learn(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        return places[coded.indices.to_numpy(zero_copy_only=False)], first
+        return places[coded.indices.to_numpy(zero_copy_only=False)], first, cuts
 
-    def counts(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
-        units, first = self._units(data, at)
-        total = np.concatenate([[0], np.cumsum(self.memory.size[units])])
-        return total[first[1:]] - total[first[:-1]]
+    def encode_chunks(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts, ids before each text (n + 1), where the units begin (with the end), and ids before each unit."""
+        units, first, cuts = self._units(data, at)
+        sizes, ids = self.memory.ids_of(units)
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        return ids, total[first], np.append(cuts, len(data)), total
 
     def encode(self, data: np.ndarray, at: np.ndarray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, each text followed by `end_id`, and n + 1 offsets."""
-        units, first = self._units(data, at)
+        units, first, _ = self._units(data, at)
         sizes, ids = self.memory.ids_of(units)
         total = np.concatenate([[0], np.cumsum(sizes)])
         offsets = total[first]

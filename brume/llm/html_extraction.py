@@ -22,11 +22,12 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import sized_broadcast, text_or_empty, written
+from .common import MOST_BROADCAST, sized_broadcast, text_or_empty, written
 
 # Fixed values of the HTML language.
 RAW = "script style noscript template iframe textarea title svg math select option button object canvas audio video head".split()
@@ -51,6 +52,7 @@ TOKEN = re.compile(
 )
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+DEPTH = 96  # elements nested deeper give their text to the one at this depth, those set apart stay elements
 
 
 class Node:
@@ -68,16 +70,19 @@ def _kind(tag: str, attrs: str) -> str:
 
 
 def parse(page: str) -> Node:
-    """The tree of block elements; inline markup is dropped, unclosed elements end with their parent."""
+    """The tree of block elements; inline markup is dropped, unclosed elements end with their parent.
+
+    The tree is at most DEPTH + 1 elements deep: `homes` says which one takes the text of each open element.
+    """
     root = Node("html", "html")
-    stack, words, linked, in_link, at = [root], [], 0, 0, 0
+    stack, homes, words, linked, in_link, at = [root], [root], [], 0, 0, 0
 
     def flush() -> None:
         nonlocal words, linked
         if words:
             text = " ".join(html.unescape("".join(words)).split())
             if text:
-                stack[-1].children.append((text, min(linked, len(text))))
+                homes[-1].children.append((text, min(linked, len(text))))
         words, linked = [], 0
 
     while True:
@@ -111,7 +116,7 @@ def parse(page: str) -> Node:
             if m["close"]:
                 for depth in range(len(stack) - 1, 0, -1):
                     if stack[depth].tag == tag:
-                        del stack[depth:]
+                        del stack[depth:], homes[depth:]
                         break
                     if stack[depth].tag in CONTAINERS and tag in FLOW:
                         break
@@ -120,10 +125,14 @@ def parse(page: str) -> Node:
             else:
                 while len(stack) > 1 and tag in CLOSED_BY.get(stack[-1].tag, ()):
                     stack.pop()
-                node = Node(tag, _kind(tag, m["attrs"] or ""))
-                stack[-1].children.append(node)
+                    homes.pop()
+                node, home = Node(tag, _kind(tag, m["attrs"] or "")), homes[-1]
+                if len(stack) <= DEPTH or len(stack) > DEPTH and home is homes[DEPTH] and _apart(node.kind):
+                    home.children.append(node)
+                    home = node
                 if tag not in VOID:
                     stack.append(node)
+                    homes.append(home)
     flush()
     return root
 
@@ -180,26 +189,45 @@ def wrapper_of(node: Node, page: int | None = None) -> list:
     return [node.kind, 1, children, [mark]] if whole else [node.kind, 1, children]
 
 
+def _lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of `a` with each beginning of `b`."""
+    row = np.zeros(len(b) + 1, np.int32)
+    for x in a:
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == x)))
+    return row
+
+
+def _common(a: np.ndarray, b: np.ndarray, at: int, to: int) -> list[tuple[int, int]]:
+    """Pairs of a longest common subsequence, `at` and `to` being the places of the first ones.
+
+    Halves of `a` are matched with the parts of `b` that suit them best, so memory stays in proportion to the lengths.
+    """
+    head = 0
+    while head < min(len(a), len(b)) and a[head] == b[head]:
+        head += 1
+    tail = 0
+    while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    pairs = [(at + k, to + k) for k in range(head)]
+    x, y = a[head : len(a) - tail], b[head : len(b) - tail]
+    if len(x) == 1:
+        pairs += [(at + head, to + head + int(k)) for k in np.flatnonzero(y == x[0])[:1]]
+    elif len(x) and len(y):
+        half = len(x) // 2
+        cut = int(np.argmax(_lengths(x[:half], y) + _lengths(x[half:][::-1], y[::-1])[::-1]))
+        pairs += _common(x[:half], y[:cut], at + head, to + head) + _common(x[half:], y[cut:], at + head + half, to + head + cut)
+    return pairs + [(at + len(a) - tail + k, to + len(b) - tail + k) for k in range(tail)]
+
+
 def _aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     """Pairs of a longest common subsequence; -1 for what only one side has, in order."""
-    n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
-    i = j = 0
-    out = []
-    while i < n or j < m:
-        if i < n and j < m and a[i] == b[j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
-            out.append((i, -1))
-            i += 1
-        else:
-            out.append((-1, j))
-            j += 1
-    return out
+    numbers: dict[str, int] = {}
+    one, two = (np.array([numbers.setdefault(k, len(numbers)) for k in x], np.int32) for x in (a, b))
+    out, i, j = [], 0, 0
+    for x, y in [*_common(one, two, 0, 0), (len(a), len(b))]:
+        out += [(k, -1) for k in range(i, x)] + [(-1, k) for k in range(j, y)] + [(x, y)]
+        i, j = x + 1, y + 1
+    return out[:-1]
 
 
 def _marks(a: list[int], b: list[int]) -> list[int]:
@@ -348,16 +376,16 @@ def wrappers(pages: DataFrame, *, url_column: str = "url", html_column: str = "h
     return some.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(_fold, "host string, wrapper string")
 
 
-def extract(pages: DataFrame, *, max_broadcast: int = 10_000, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
+def extract(pages: DataFrame, *, max_broadcast: int = MOST_BROADCAST, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """page_id, url, text and n_chars of every row of `pages`.
 
     Blocks are joined by a line feed; white space in a block is one space. Null and empty pages, and pages without main
     text, give an empty text; pages without a host share one wrapper; null ids and repeated rows are kept; other columns
-    are ignored; an empty table gives no rows. The wrappers are broadcast only if their counted hosts stay within
-    `max_broadcast`.
+    are ignored; an empty table gives no rows. The wrappers are broadcast only if their measured bytes stay within
+    `max_broadcast`. Nesting deeper than DEPTH elements is read as DEPTH.
     """
     known = written(wrappers(pages, url_column=url_column, html_column=html_column), "wrappers")
-    known = sized_broadcast(known, known.count(), max_broadcast)
+    known = sized_broadcast(known, max_broadcast)
     rows = pages.select(F.col(id_column).cast("long").alias("page_id"), F.col(url_column).cast("string").alias("url"), host_of(F.col(url_column).cast("string")).alias("host"), text_or_empty(html_column).alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -245,6 +245,43 @@ def test_a_page_of_template_text_is_not_empty():
     assert texts_of(pages) == ["Same on all pages", *(f"Text {i}" for i in range(5))]
 
 
+def test_generated_pages_give_their_blocks():
+    """Hosts with furniture, titles and blocks of their own; what each page was made of is what comes out."""
+    rng = random.Random(11)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 8))) for _ in range(n))
+    for _ in range(12):
+        around, nav, foot = rng.choice(["article", 'div class="post"', 'div id="content"', "main"]), words(6), words(9)
+        side, comment = rng.random() < 0.6, rng.random() < 0.6
+        pages, want = [], []
+        for _ in range(rng.randint(4, 14)):
+            blocks = [words(5), *(words(rng.randint(8, 60)) for _ in range(rng.randint(1, 9)))]
+            tags = ["h1", *rng.choices(["p", "blockquote", "pre", "p"], k=len(blocks) - 1)]
+            body = "\n  ".join(f"<{t}>{x.replace(' ', rng.choice([' ', '  ', chr(10)]), 3)}</{t}>" for t, x in zip(tags, blocks, strict=True))
+            page = f"<html><head><title>{words(3)}</title><style>p {{}}</style></head><body><header><p>{nav}</p></header><nav><ul><li><a href=/>{nav}</a></li></ul></nav><{around}>{body}</{around.split()[0]}>"
+            page += f"<aside><p>{words(9)}</p></aside>" * side + f'<div class="comments"><p>{words(12)}</p></div>' * comment + f"<script>var x = '{words(4)}';</script><footer><p>{foot}</p></footer></body></html>"
+            pages.append(page)
+            want.append("\n".join(blocks))
+        assert texts_of(pages) == want
+
+
+def test_deeply_nested_pages():
+    page = "<body>" + "<div>" * 10_000 + "<p>Deep {0}</p><div class=ad>buy<div>more</div></div>tail {0}" + "</div>" * 10_000 + "<p>After {0}</p></body>"
+    assert texts_of([page.format(i) for i in range(4)]) == [f"Deep {i}\ntail {i}\nAfter {i}" for i in range(4)]
+
+
+def test_alignment_is_a_longest_common_subsequence():
+    for k in range(300):
+        rng = random.Random(k)
+        a, b = ("".join(rng.choices("abcd", k=rng.randint(0, 12))) for _ in range(2))
+        pairs = html_extraction._aligned(list(a), list(b))
+        assert [i for i, _ in pairs if i >= 0] == list(range(len(a))) and [j for _, j in pairs if j >= 0] == list(range(len(b)))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in reversed(range(len(a))):
+            for j in reversed(range(len(b))):
+                best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+        assert all(a[i] == b[j] for i, j in pairs if i >= 0 <= j) and sum(i >= 0 <= j for i, j in pairs) == best[0][0]
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -36,8 +38,6 @@ def crc(ids):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(PIECES), max_size=60).map("".join), max_size=4))
 def test_units_encode_as_whole_texts(texts):
-    import pyarrow as pa
-
     data, at = text_bytes(pa.array(texts, pa.string()))
     words, library = unit_encoder(tokenizer_path(WORD_MODEL), True), load_tokenizer(tokenizer_path(WORD_MODEL))
     ids, offsets = words.encode(data, at, 1)
@@ -45,7 +45,7 @@ def test_units_encode_as_whole_texts(texts):
     plain = [t.replace(" ", "") for t in texts]
     data, at = text_bytes(pa.array(plain, pa.string()))
     byte = unit_encoder(tokenizer_path(BYTE_MODEL), False)
-    assert byte.counts(data, at).tolist() == [len(load_tokenizer(tokenizer_path(BYTE_MODEL)).encode(t, add_special_tokens=False).ids) for t in plain]
+    assert np.diff(byte.encode(data, at)[1]).tolist() == [len(load_tokenizer(tokenizer_path(BYTE_MODEL)).encode(t, add_special_tokens=False).ids) for t in plain]
 
 
 def test_packing_places_every_id_once(docs):
@@ -85,7 +85,7 @@ def test_differencing_deals_each_item_once(sizes):
 def test_token_counts_match_the_library(docs):
     library = load_tokenizer(tokenizer_path(BYTE_MODEL))
     want = Counter((i, len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in corpus())
-    for options in ({}, {"huge": 300, "chunk": 200, "overlap": 8}):
+    for options in ({}, {"chunk": 200, "overlap": 40}, {"chunk": 64, "overlap": 3}):
         got = token_counts.token_counts(docs, **options).collect()
         assert Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in got) == want
         assert all(r.over_limit == (r.n_tokens > 1024) for r in got)
@@ -98,6 +98,26 @@ def test_chunks_splice_to_the_whole(text, chunk, overlap):
     assert token_counts.count_huge(library, text, chunk, overlap) == len(library.encode(text, add_special_tokens=False).ids)
 
 
+@given(st.lists(st.sampled_from([*"ab é.'  \n", "word ", "<|endoftext|>", "零", " and then"]), max_size=400).map("".join), st.integers(30, 90), st.integers(1, 29))
+@settings(max_examples=150, deadline=None)
+def test_chunks_of_units_splice_to_the_whole(text, chunk, overlap):
+    """Either the exact count, or none where the overlap has no common boundary."""
+    path = tokenizer_path(BYTE_MODEL)
+    texts = pa.array([text, "", text * 2])
+    got = token_counts._counted(unit_encoder(path, False), *text_bytes(texts), chunk, overlap).tolist()
+    want = [len(load_tokenizer(path).encode(t, add_special_tokens=False).ids) for t in texts.to_pylist()]
+    assert all(g in (-1, w) for g, w in zip(got, want, strict=True))
+    assert overlap < 25 or " " * 2 in text or len(text) > 60 or got[0] == want[0]
+
+
+def test_usual_texts_are_spliced():
+    """Prose needs no wider overlap: no text falls back to the library."""
+    path = tokenizer_path(BYTE_MODEL)
+    texts = pa.array([" ".join(random.Random(i).choices(["one", "other", "naïve", "words,", "x."], k=40 * i)) for i in range(60)])
+    got = token_counts._counted(unit_encoder(path, False), *text_bytes(texts), 512, 64).tolist()
+    assert got == [len(load_tokenizer(path).encode(t, add_special_tokens=False).ids) for t in texts.to_pylist()]
+
+
 def test_store_gives_every_id_back(spark, docs):
     path = shared_dir(spark)
     token_store.write_store(docs, path)
