@@ -11,12 +11,12 @@ context h without its first token, and one unknown word of its own:
 D(h) is the context's count, one more where nothing in it is discounted (N, the count of all tokens, likewise), so a(h) is
 never 0 and each context sums to 1. A context that was not seen has a(h) = 1.
 
-Nothing is identified by a hash. Words are gathered as they are and numbered; an n-gram is the number of its context, an
-n-gram of the order below, and that of its last word, and gets a number in turn. Hashes only say which bucket has a key.
+Nothing is identified by a hash, which only says which bucket has a word. Words are gathered as they are and numbered; an n-gram is the number of its context, an
+n-gram of the order below, and that of its last word, and gets a number in turn.
 
 The corpus is cut into blocks of texts. A block asks for each different n-gram once, whatever its frequency, with its own
-training counts; so an n-gram that a third of all rows share costs one entry per block. Requests go to buckets by the
-hash of their context. A bucket adds up the counts, numbers the n-grams, keeps them as a row of the model's table of that
+training counts; so an n-gram that a third of all rows share costs one entry per block. Words go to buckets by their hash,
+n-grams to the bucket that numbered their context. A bucket adds up the counts, numbers the n-grams, keeps them as a row of the model's table of that
 order, and answers each block in the order in which it asked. As all n-grams of a context meet, its bucket also has what
 D(h) and a(h) need: the n-grams of the order below that a seen n-gram backs off to were all seen, so their sum is known
 from counts. A context with more than `hot` tokens is dealt to several buckets by its last words, and their few sums are
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import is_space, slices, text_bytes, text_or_empty, word_starts, written
 from .hashing import mix
 
-SALT_BITS = 20
+NUMBER_BITS = 40  # of a number, those that count within a bucket; the others are the bucket
 MOST_HOT = 200_000  # a context is hot if it has over one in so many of all tokens, so there are fewer than that
 TOP = 5  # counts above it are not discounted
 END = b"\n"  # no word has this byte
@@ -98,9 +98,25 @@ def _groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[list[dict
         yield held
 
 
-def _cuts(hashes: np.ndarray, bits: int, used: int) -> np.ndarray:
-    """The next `bits` bits of hashes, after the `used` leading ones."""
-    return (hashes << np.uint64(used) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+def _different(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different values in order, a place of each, and which one each value is."""
+    order = np.argsort(values)
+    ordered = values[order]
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    which = np.empty(len(values), np.int32)
+    which[order] = np.cumsum(fresh, dtype=np.int32) - 1
+    return ordered[fresh], order[fresh], which
+
+
+class Cut:
+    """Which bits of a bucket's number say how requests are cut: `take` bits after the `used` leading ones of all `bits`."""
+
+    def __init__(self, bits: int, take: int = 0, used: int = 0):
+        self.bits, self.take, self.used = bits, take, used
+
+    def __call__(self, buckets: np.ndarray) -> np.ndarray:
+        return (buckets >> (self.bits - self.used - self.take)) & ((1 << self.take) - 1)
 
 
 class Words:
@@ -109,10 +125,10 @@ class Words:
     `code`: the word of each request, `count`: own counts together.
     """
 
-    def __init__(self, rows: list[list[bytes]], bits: int = 0, used: int = 0):
+    def __init__(self, rows: list[list[bytes]], cut: Cut):
         coded = pa.concat_arrays([_unpack_bytes(r[0], r[1]) for r in rows]).dictionary_encode()
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.to_numpy(zero_copy_only=False).tolist()), np.uint64, len(coded.dictionary))
-        digit = _cuts(hashes, bits, used)
+        digit = cut((hashes >> np.uint64(64 - cut.bits)).astype(np.int64))
         order = np.argsort(digit, kind="stable")
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
@@ -138,38 +154,46 @@ class Words:
 
 
 class Grams:
-    """Requests for n-grams, merged to different contexts and n-grams, by the hash bits, context and word.
+    """Requests for n-grams, merged to different contexts and n-grams, in the order of the cut, context and word.
 
-    What asks is a list of contexts (number and salt, D(h'), count of h, whether its sums are wanted), each with some
-    words (number, own count, count of the n-gram of the order below). `code` and `context_code` say which different ones
-    these are.
+    What asks is a list of entries: a context (its rank in that order, its number and salt, whether its sums are wanted and
+    whether it is hot) and mostly a word (its rank, number, own count, and count of the n-gram of the order below).
+    `context_code` and `code` say which different ones these are; `context_at` is an entry of each context.
     """
 
-    def __init__(self, contexts: tuple[np.ndarray, ...], sizes: np.ndarray, words: tuple[np.ndarray, ...], bits: int = 0, used: int = 0):
-        every, lower_divisor, context_count, want = contexts
+    def __init__(self, digit: np.ndarray, context_rank: np.ndarray, contexts: tuple[np.ndarray, ...], has: np.ndarray, word_rank: np.ndarray, words: tuple[np.ndarray, ...]):
+        number, salt, want, hot = contexts
         word, own, lower = words
-        different, first, code = np.unique(every, return_index=True, return_inverse=True)
-        digit = _cuts(mix(different.astype(np.uint64)), bits, used)
-        order = np.argsort(digit, kind="stable")
-        place = np.empty_like(order)
-        place[order] = np.arange(len(order))
-        self.digit, self.context, first = digit[order], different[order], first[order]
-        self.context_code = place[code]
-        self.lower_divisor, self.context_count = lower_divisor[first], context_count[first]
-        self.want = np.bincount(self.context_code, want, len(order)) > 0
-        kinds, word_code = np.unique(word, return_inverse=True)
-        key, first, self.code = np.unique(np.repeat(self.context_code, sizes) * max(1, len(kinds)) + word_code, return_index=True, return_inverse=True)
-        self.of = key // max(1, len(kinds))  # the context of each n-gram
-        self.word, self.lower = word[first], lower[first]
-        self.count = np.zeros(len(key), np.int64)
-        np.add.at(self.count, self.code, own)
+        kinds = int(word_rank.max(initial=0)) + 2
+        if (int(context_rank.max(initial=0)) + 1) * kinds >= 1 << 62:
+            context_rank = _different(context_rank)[2].astype(np.int64)
+        key, at, which = _different(context_rank * kinds + np.where(has, word_rank + 1, 0))
+        context = key // kinds
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = context[1:] != context[:-1]
+        of, worded = np.cumsum(fresh) - 1, key % kinds > 0
+        self.context_at, self.context_code = at[fresh], of[which]
+        self.context, self.salt, self.hot, self.digit = number[self.context_at], salt[self.context_at], hot[self.context_at], digit[self.context_at]
+        self.want = np.bincount(self.context_code, want, len(self.context)) > 0
+        self.of, at = of[worded], at[worded]
+        self.word, self.lower = word[at], lower[at]
+        self.code = (np.cumsum(worded) - 1)[which[has]]
+        self.count = np.bincount(self.code, own[has], len(self.of)).astype(np.int64)
 
     @classmethod
-    def merged(cls, rows: list[list[bytes]], bits: int = 0, used: int = 0) -> Grams:
-        context, lower_divisor, context_count, want, sizes, word, own, lower = (_joined(x) for x in zip(*([np.cumsum(_unpack(r[0])), *map(_unpack, r[1:])] for r in rows), strict=True))
-        out = cls((context, lower_divisor, context_count, want), sizes, (word, own, lower), bits, used)
-        n = [len(_unpack(r[4])) for r in rows]
-        out.context_ends, out.asked = np.cumsum([0, *n]), want > 0
+    def merged(cls, rows: list[list[bytes]], cut: Cut) -> Grams:
+        number, salt, want, hot, sizes, word, own, lower = (_joined(x) for x in zip(*([np.cumsum(_unpack(r[0])), *map(_unpack, r[1:])] for r in rows), strict=True))
+        n = np.maximum(sizes, 1)  # a context without words is an entry too
+        has = np.repeat(sizes > 0, n)
+        spread = np.zeros((3, len(has)), np.int64)
+        spread[:, has] = word, own, lower
+        rank = _different(number)[2].astype(np.int64) * (int(salt.max(initial=0)) + 1) + salt
+        digit = cut(((number >> NUMBER_BITS) + salt) & ((1 << cut.bits) - 1))
+        rank += digit * (int(rank.max(initial=0)) + 1)
+        each = np.repeat(np.arange(len(n)), n)
+        out = cls(digit[each], rank[each], (number[each], salt[each], want[each], hot[each]), has, _different(spread[0])[2].astype(np.int64), tuple(spread))
+        out.row_contexts = out.context_code[np.cumsum(n) - n]
+        out.context_ends, out.asked = np.cumsum([0] + [len(_unpack(r[4])) for r in rows]), want > 0
         out.ends = np.concatenate([[0], np.cumsum(sizes)])[out.context_ends]
         return out
 
@@ -179,15 +203,15 @@ class Grams:
         ends = np.concatenate([[0], np.cumsum(sizes)])
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             c, w = slice(a, b), slice(ends[a], ends[b])
-            yield int(self.digit[a]), [_pack(np.diff(self.context[c], prepend=0)), *(_pack(x[c]) for x in (self.lower_divisor, self.context_count, self.want, sizes)), *(_pack(x[w]) for x in (self.word, self.count, self.lower))]
+            yield int(self.digit[a]), [_pack(np.diff(self.context[c], prepend=0)), *(_pack(x[c]) for x in (self.salt, self.want, self.hot, sizes)), *(_pack(x[w]) for x in (self.word, self.count, self.lower))]
 
     def answers(self, known: tuple[np.ndarray, ...]) -> Iterator[list[bytes]]:
         """To each row of requests: counts and numbers of n-grams, marks of contexts, and sums of those that it wants."""
         count, number, mark, kinds, mass = known
         for k in range(len(self.ends) - 1):
             of, context = self.code[self.ends[k] : self.ends[k + 1]], slice(self.context_ends[k], self.context_ends[k + 1])
-            wanted = self.context_code[context][self.asked[context]]
-            yield [_pack(count[of]), _pack(np.diff(number[of], prepend=0)), _pack(mark[self.context_code[context]]), _pack(kinds[wanted].ravel()), _pack(mass[wanted])]
+            wanted = self.row_contexts[context][self.asked[context]]
+            yield [_pack(count[of]), _pack(np.diff(number[of], prepend=0)), _pack(mark[self.row_contexts[context]]), _pack(kinds[wanted].ravel()), _pack(mass[wanted])]
 
     def learn(self, answers: list[list[bytes]]) -> tuple[np.ndarray, ...]:
         count, number, mark = _joined([_unpack(r[0]) for r in answers]), _joined([np.cumsum(_unpack(r[1])) for r in answers]), _joined([_unpack(r[2]) for r in answers])
@@ -233,7 +257,7 @@ class Model:
         return np.log10((counts + 0.1) / (self.tokens + 0.1 * (self.kinds + 1)))
 
     def backoff(self, order: int, count: np.ndarray, divisor: np.ndarray, kinds: np.ndarray, mass: np.ndarray) -> np.ndarray:
-        """a(h) from the count and divisor of h, its n-grams with counts 1 to TOP, and the mass of its n-grams in the order below."""
+        """a(h) from the count and divisor of h, its n-grams with counts 1 to TOP, and the mass of those in the order below."""
         r = np.arange(1, TOP + 1)
         seen = count - kinds @ (r * (1 - self.discounts[order - 1][1:]))
         return (1 - seen / divisor) / np.maximum(1 - mass, 1e-12)
@@ -242,12 +266,13 @@ class Model:
 class _Block:
     """Tokens of one block, and what is known of their n-grams, order by order.
 
-    Of each token: `count` and `number` of its n-gram in the last order that is known, and in `orders` for each order
-    count, D(h) and a(h) of its context h.
+    Of each token: `count`, `number` and `code` (among those of the block) of its n-gram in the last order that is known,
+    and in `orders` for each order count, D(h) and a(h) of its context h.
     """
 
-    def __init__(self, row: dict, bits: int):
-        self.words = Words([row["parts"][:3]], bits)
+    def __init__(self, row: dict, cut: Cut):
+        self.cut = cut
+        self.words = Words([row["parts"][:3]], cut)
         self.token = self.words.code[_unpack(row["parts"][3])]
         self.n = np.array([d["n"] for d in row["docs"]], np.int64)
         self.held = np.repeat(np.array([d["held"] for d in row["docs"]], bool), self.n)
@@ -256,42 +281,53 @@ class _Block:
 
     def learn_words(self, answers: list[list[bytes]], model: Model) -> None:
         self.word_count, numbers = self.words.learn(answers)
-        self.count, self.number = self.word_count[self.token], numbers[self.token]
-        self.word = self.number
+        rank = np.empty(len(numbers), np.int64)
+        rank[np.argsort(numbers, kind="stable")] = np.arange(len(numbers))
+        self.word, self.rank = numbers[self.token], rank[self.token]
+        self.count, self.number, self.code = self.word_count[self.token], self.word, self.rank
         self.divisor = np.full(len(self.token), model.total)
 
-    def ask(self, m: int, model: Model, bits: int) -> Grams:
+    def _before(self, values: np.ndarray, first: int) -> np.ndarray:
+        """The value of the token before each; `first` at the start of a text."""
+        out = np.empty_like(values)
+        out[1:] = values[:-1]
+        out[self.start] = first
+        return out
+
+    def ask(self, m: int, model: Model) -> Grams:
         """Requests of order m. Only an n-gram whose context and whose n-gram below were seen can have been seen."""
-        self.context, self.context_count = np.empty_like(self.number), np.empty_like(self.count)
-        self.context[1:], self.context_count[1:] = self.number[:-1], self.count[:-1]
-        self.context[self.start], self.context_count[self.start] = 0, model.trained
-        seen = (self.context >= 0) & (self.context_count > 0)
-        self.hot = seen & (self.context_count > model.hot)
-        possible = seen & (self.count > 0)
-        self.known = np.flatnonzero(possible | seen & self.held & ~self.hot)
-        self.possible = np.flatnonzero(possible)
-        salts = -(-self.context_count // model.hot)
-        salt = np.where(self.hot, (mix(self.word.astype(np.uint64)) >> np.uint64(1)).astype(np.int64) % np.maximum(salts, 1), 0)
-        every = (self.context << SALT_BITS) | salt
-        k, p = self.known, self.possible
-        return Grams((every[k], self.divisor[k], self.context_count[k], (self.held & ~self.hot)[k]), possible[k].astype(np.int64), (self.word[p], (~self.held[p]).astype(np.int64), self.count[p]), bits)
+        context = self._before(self.number, 0)
+        self.context_count = self._before(self.count, model.trained)
+        seen = (context >= 0) & (self.context_count > 0)
+        hot, possible = seen & (self.context_count > model.hot), seen & (self.count > 0)
+        self.hot = np.flatnonzero(hot)
+        self.hot_context = context[self.hot]
+        self.known = k = np.flatnonzero(possible | seen & self.held & ~hot)
+        salt = np.zeros(len(context), np.int64)
+        salt[self.hot] = (mix(self.word[self.hot].astype(np.uint64)) >> np.uint64(1)).astype(np.int64) % -(-self.context_count[self.hot] // model.hot)
+        context, salt, has = context[k], salt[k], possible[k]
+        self.possible = k[has]
+        digit = self.cut(((context >> NUMBER_BITS) + salt) & ((1 << self.cut.bits) - 1))
+        code = self._before(self.code + 1, 0)[k].astype(np.int64)
+        rank = (digit * (int(salt.max(initial=0)) + 1) + salt) * (int(code.max(initial=0)) + 1) + code
+        return Grams(digit, rank, (context, salt, (self.held & ~hot)[k], hot[k]), has, self.rank[k], (self.word[k], (~self.held)[k], self.count[k]))
 
     def learn(self, m: int, asked: Grams, answers: list[list[bytes]], model: Model, hot: tuple[np.ndarray, ...]) -> None:
         """`hot`: context numbers in order, kinds and mass of each."""
         count, number, mark, kinds, mass = asked.learn(answers)
         n, k = len(self.token), self.known
-        new, numbers, divisor, backoff = np.zeros(n, np.int64), np.full(n, -1, np.int64), np.ones(n, np.int64), np.ones(n)
-        new[self.possible], numbers[self.possible] = count[asked.code], number[asked.code]
+        new, numbers, divisor, backoff, code = np.zeros(n, np.int64), np.full(n, -1, np.int64), np.ones(n, np.int64), np.ones(n), np.zeros(n, np.int64)
+        new[self.possible], numbers[self.possible], code[self.possible] = count[asked.code], number[asked.code], asked.code
         divisor[k] = self.context_count[k] + mark[asked.context_code]
-        weight = model.backoff(m, asked.context_count, asked.context_count + mark, kinds, mass)
+        at = k[asked.context_at]
+        weight = model.backoff(m, self.context_count[at], divisor[at], kinds, mass / self.divisor[at])
         backoff[k] = weight[asked.context_code]
-        h = np.flatnonzero(self.hot)
+        h = self.hot
         if len(h):
-            at = np.searchsorted(hot[0], self.context[h])
-            whole = self.context_count[h] + (hot[1].sum(axis=1) == 0)[at]
-            divisor[h] = whole
-            backoff[h] = model.backoff(m, self.context_count[h], whole, hot[1][at], hot[2][at])
-        self.count, self.number, self.divisor = new, numbers, divisor
+            at = np.searchsorted(hot[0], self.hot_context)
+            divisor[h] = self.context_count[h] + (hot[1].sum(axis=1) == 0)[at]
+            backoff[h] = model.backoff(m, self.context_count[h], divisor[h], hot[1][at], hot[2][at] / self.divisor[h])
+        self.count, self.number, self.divisor, self.code = new, numbers, divisor, code
         self.orders[m] = (new, divisor, backoff)
 
     def probability(self, model: Model, m: int, at: np.ndarray) -> np.ndarray:
@@ -351,24 +387,24 @@ def _tokenise(block_bytes: int):
     return run
 
 
-def _learned(rows: list[dict], order: int, bits: int, model: Model | None, hots: dict) -> _Block:
+def _learned(rows: list[dict], order: int, cut: Cut, model: Model | None, hots: dict) -> _Block:
     """The block of these rows, with the answers to all orders below `order`."""
     answers: dict[int, list] = {m: [] for m in range(1, order)}
     for r in rows[1:]:
         answers[r["order"]].append(r["parts"])
-    block = _Block(rows[0], bits)
+    block = _Block(rows[0], cut)
     if order > 1:
         block.learn_words(answers[1], model)
     for m in range(2, order):
-        block.learn(m, block.ask(m, model, bits), answers[m], model, hots.get(m))
+        block.learn(m, block.ask(m, model), answers.pop(m), model, hots.get(m))
     return block
 
 
-def _ask(order: int, bits: int, model: Model | None, hots: dict):
+def _ask(order: int, cut: Cut, model: Model | None, hots: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, "unit"):
-            block = _learned(rows, order, bits, model, hots)
-            asked = block.words if order == 1 else block.ask(order, model, bits)
+            block = _learned(rows, order, cut, model, hots)
+            asked = block.words if order == 1 else block.ask(order, model)
             for digit, parts in asked.requests():
                 yield _rows([{"kind": ASK, "order": order, "unit": rows[0]["unit"], "bucket": digit, "parts": parts}])
 
@@ -379,24 +415,24 @@ def _gather(order: int) -> Callable:
     return Words if order == 1 else Grams.merged
 
 
-def _combine(order: int, used: int, fan_bits: int):
+def _combine(order: int, cut: Cut):
     """Requests of a group of units -> those of the group, cut by further hash bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, "bucket", "to"):
-            for digit, parts in _gather(order)([r["parts"] for r in rows], fan_bits, used).requests():
-                yield _rows([{"kind": ASK, "order": order, "unit": rows[0]["to"], "bucket": rows[0]["bucket"] << fan_bits | digit, "parts": parts}])
+            for digit, parts in _gather(order)([r["parts"] for r in rows], cut).requests():
+                yield _rows([{"kind": ASK, "order": order, "unit": rows[0]["to"], "bucket": rows[0]["bucket"] << cut.take | digit, "parts": parts}])
 
     return run
 
 
-def _spread(order: int, used: int, fan_bits: int):
+def _spread(order: int, cut: Cut):
     """Requests of a group of units, and the answers to the group -> answers to the units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, "bucket", "to"):
             asked = [r for r in rows if r["kind"] == ASK]
-            merged = _gather(order)([r["parts"] for r in asked], fan_bits, used)
+            merged = _gather(order)([r["parts"] for r in asked], cut)
             known = merged.learn([r["parts"] for r in rows if r["kind"] == ANSWER])
             for r, parts in zip(asked, merged.answers(known), strict=True):
                 yield _rows([{"kind": ANSWER, "order": order, "unit": r["unit"], "bucket": r["bucket"], "parts": parts}])
@@ -408,20 +444,20 @@ def _stats(count: np.ndarray) -> list[int]:
     return [int(count.sum()), int((count > 0).sum()), *(int((count == r).sum()) for r in range(1, TOP + 2))]
 
 
-def _numbers(seen: np.ndarray, rank: np.ndarray, buckets: int, bucket: int) -> np.ndarray:
+def _numbers(seen: np.ndarray, rank: np.ndarray, bucket: int) -> np.ndarray:
     """Numbers of the seen keys of a bucket, unlike those of any other bucket; -1 for others, 0 is the beginning."""
-    return np.where(seen, rank * buckets + bucket + 1, -1)
+    return np.where(seen, (bucket << NUMBER_BITS) + rank + 1, -1)
 
 
-def _settle_words(buckets: int):
+def _settle_words(cut: Cut):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, "bucket"):
-            words, bucket = Words([r["parts"] for r in rows]), rows[0]["bucket"]
+            words, bucket = Words([r["parts"] for r in rows], cut), rows[0]["bucket"]
             order = np.argsort(-words.count, kind="stable")
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             seen = words.count > 0
-            number = _numbers(seen, rank, buckets, bucket)
+            number = _numbers(seen, rank, bucket)
             yield _rows([{"kind": TABLE, "order": 1, "bucket": bucket, "parts": [*_pack_bytes(words.words.filter(pa.array(seen))), _pack(words.count[seen]), _pack(number[seen])], "stats": _stats(words.count)}])
             for r, parts in zip(rows, words.answers((words.count, number)), strict=True):
                 yield _rows([{"kind": ANSWER, "order": 1, "unit": r["unit"], "bucket": bucket, "parts": parts}])
@@ -429,23 +465,23 @@ def _settle_words(buckets: int):
     return run
 
 
-def _settle_grams(order: int, buckets: int, model: Model):
+def _settle_grams(order: int, cut: Cut, model: Model, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, "bucket"):
-            grams, bucket = Grams.merged([r["parts"] for r in rows]), rows[0]["bucket"]
+            grams, bucket = Grams.merged([r["parts"] for r in rows], cut), rows[0]["bucket"]
             seen = grams.count > 0
-            number = _numbers(seen, np.cumsum(seen) - 1, buckets, bucket)
+            number = _numbers(seen, np.cumsum(seen) - 1, bucket)
             of, n = grams.of[seen], len(grams.context)
             kinds = np.stack([np.bincount(of[grams.count[seen] == r], minlength=n) for r in range(1, TOP + 1)], axis=1)
-            mass = np.bincount(of, model.discounted(grams.lower[seen], order - 1), n) / grams.lower_divisor
+            mass = np.bincount(of, model.discounted(grams.lower[seen], order - 1), n)  # times D(h')
             sizes = np.bincount(of, minlength=n)
             has = sizes > 0
             yield _rows([{"kind": TABLE, "order": order, "bucket": bucket, "parts": [_pack(np.diff(grams.context[has], prepend=0)), _pack(sizes[has]), _pack(grams.word[seen]), _pack(grams.count[seen])], "stats": _stats(grams.count)}])
-            hot = np.flatnonzero(grams.context_count > model.hot)
+            hot = np.flatnonzero(grams.hot)
             if len(hot):
-                yield _rows([{"kind": HOT, "order": order, "bucket": bucket, "parts": [_pack(grams.context[hot] >> SALT_BITS), _pack(kinds[hot].ravel()), _pack(mass[hot])]}])
+                yield _rows([{"kind": HOT, "order": order, "bucket": bucket, "parts": [_pack(grams.context[hot]), _pack(kinds[hot].ravel()), _pack(mass[hot])]}])
             mark = (kinds.sum(axis=1) == 0).astype(np.int64)
-            for r, parts in zip(rows, grams.answers((grams.count, number, mark, kinds, mass)), strict=True):
+            for r, parts in zip(rows, grams.answers((grams.count, np.zeros_like(number) if last else number, mark, kinds, mass)), strict=True):
                 yield _rows([{"kind": ANSWER, "order": order, "unit": r["unit"], "bucket": bucket, "parts": parts}])
 
     return run
@@ -458,12 +494,12 @@ def _hot_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(context), *(pa.array(np.ascontiguousarray(kinds[:, k])) for k in range(TOP)), pa.array(mass)], names=["context", *(f"k{r}" for r in range(1, TOP + 1)), "mass"])
 
 
-def _score(order: int, bits: int, model: Model, hots: dict):
+def _score(order: int, cut: Cut, model: Model, hots: dict):
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, "unit"):
-            block = _learned(rows, order + 1, bits, model, hots)
+            block = _learned(rows, order + 1, cut, model, hots)
             words, token = block.word_count, block.token
             value = np.log10(block.probability(model, order, np.arange(len(token))))
             total = [np.add.reduceat(v, block.start) for v in ((words[token] > 0).astype(np.int64), model.base(words)[token], value)]
@@ -490,22 +526,22 @@ def _exchange(asked: DataFrame, order: int, bits: int, units: int, fan_bits: int
     `bits` of hash say the bucket. Units cut by `fan_bits` of them at a time; before each further cut they are merged in groups.
     """
     used = first_bits(bits, fan_bits)
-    sent: list[tuple[DataFrame, int]] = []
+    sent: list[tuple[DataFrame, Cut]] = []
     while used < bits:
         units = -(-units >> fan_bits) or 1
         dealt = written(asked, "asked").withColumn("to", F.pmod(F.xxhash64("unit"), F.lit(units)))
-        sent.append((dealt, used))
-        asked = _by(dealt, "bucket", "to").mapInArrow(_combine(order, used, fan_bits), ROWS)
+        sent.append((dealt, Cut(bits, fan_bits, used)))
+        asked = _by(dealt, "bucket", "to").mapInArrow(_combine(order, sent[-1][1]), ROWS)
         used += fan_bits
     settled = written(_by(asked, "bucket").mapInArrow(settle, ROWS), f"order-{order}")
     answers = settled.where(F.col("kind") == ANSWER)
-    for dealt, used in reversed(sent):
+    for dealt, cut in reversed(sent):
         back = answers.withColumns({"to": F.col("unit"), "sub": F.col("bucket"), "bucket": F.shiftright("bucket", fan_bits)})
-        answers = written(_by(dealt.unionByName(back), "bucket", "to").mapInArrow(_spread(order, used, fan_bits), ROWS), "answers")
+        answers = written(_by(dealt.unionByName(back), "bucket", "to").mapInArrow(_spread(order, cut), ROWS), "answers")
     return answers, settled.where(F.col("kind") > ANSWER)
 
 
-def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 8 << 20, bucket_tokens: int = 1_000_000, fan_bits: int = 9, hot: int | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 6 << 20, bucket_tokens: int = 1_000_000, fan_bits: int = 9, hot: int | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every row.
 
     `order`: tokens in the longest n-grams, 1 or more. Rows whose crc32(doc_id as text) mod 10 is 0 are held out, the
@@ -518,7 +554,7 @@ def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 8 << 20, bucket
     blocks = written(texts.mapInArrow(_tokenise(block_bytes), ROWS), "blocks")
     units, tokens, trained = (int(x or 0) for x in blocks.agg(F.count("*"), F.sum(F.col("stats")[0]), F.sum(F.col("stats")[1])).first())
     bits = max(3, (tokens // bucket_tokens).bit_length())
-    first, buckets = first_bits(bits, fan_bits), 1 << bits
+    first, whole = Cut(bits, first_bits(bits, fan_bits)), Cut(bits, 0, bits)
     hot = hot or max(bucket_tokens, tokens // MOST_HOT)
     sums = [F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)).alias(f"s{i}") for i in range(TOP + 3)]
     answers: list[DataFrame] = []
@@ -534,7 +570,7 @@ def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 8 << 20, bucket
 
     for m in range(1, order + 1):
         asked = met().mapInArrow(_ask(m, first, model, hots), ROWS)
-        got, table = _exchange(asked, m, bits, units, fan_bits, _settle_words(buckets) if m == 1 else _settle_grams(m, buckets, model))
+        got, table = _exchange(asked, m, bits, units, fan_bits, _settle_words(whole) if m == 1 else _settle_grams(m, whole, model, m == order))
         answers.append(got)
         stats.append([int(x) for x in table.where(F.col("kind") == TABLE).agg(*sums).first()])
         heavy = table.where(F.col("kind") == HOT).mapInArrow(_hot_sums, f"context long, {', '.join(f'k{r} long' for r in range(1, TOP + 1))}, mass double")
