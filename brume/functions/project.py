@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import base64  # noqa: F401  the inverse of unbase64 in tests
-
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,17 +37,21 @@ def valid_time(df: DataFrame, run_time: str = "run_time", step: str = "step_h")
     return df.withColumn("valid_time", F.col(run_time) + hours(F.col(step)))
 
 
-def run_time_of(df: DataFrame, valid: str = "valid_time", step: str = "step_h") -> DataFrame:
-    return df.withColumn("time", F.col(valid) - hours(F.col(step)))
-
-
 def standardize_index(df: DataFrame) -> DataFrame:
-    """Index rows with common names; step and level are numbers, 0 where they are none."""
-    return df.select(
+    """Index rows with common names; step and level are numbers, 0 where they are none.
+
+    Forecast hour (`-<h>h-`) and date (`/<yyyyMMdd>...`) come from the path; `time` is the run's, `valid_time` the step later.
+    A table without one of the needed columns is an error.
+    """
+    missing = {"param", "levtype", "levelist", "step", "uri", "offset", "length"} - set(df.columns)
+    if missing:
+        raise ValueError(f"the index lacks {', '.join(sorted(missing))}")
+    named = df.select(
         F.col("param").alias("varname"), F.col("levtype").alias("typeOfLevel"), F.coalesce(F.expr("try_cast(levelist AS DOUBLE)"), F.lit(0.0)).alias("level"),
-        F.lit("instant").alias("stepType"), F.coalesce(F.expr("try_cast(step AS INT)"), F.lit(0)).alias("step_h"),
-        F.coalesce(F.expr("try_cast(regexp_extract(uri, '-([0-9]+)h-', 1) AS INT)"), F.lit(0)).alias("forecast_hour"), "uri", "offset", "length",
+        F.lit("instant").alias("stepType"), F.coalesce(F.expr("try_cast(step AS INT)"), F.lit(0)).alias("step_h"), F.coalesce(F.expr("try_cast(regexp_extract(uri, '-([0-9]+)h-', 1) AS INT)"), F.lit(0)).alias("forecast_hour"),
+        F.try_to_timestamp(extract(F.col("uri"), r"/(\d{8})(?:\d{6})?-"), F.lit("yyyyMMdd")).cast("timestamp_ntz").alias("time"), "uri", "offset", "length",
     )
+    return valid_time(named, "time")
 
 
 def standardize_index_cf(df: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -65,9 +66,14 @@ def standardize_index_cf(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def parse_ref_key(df: DataFrame, key: str = "key") -> DataFrame:
-    """step_h, varname, level and member of `step_SSS/var/level/member/0.0.0`."""
-    k, pattern = F.col(key), r"^step_(\d+)/([^/]+)/([^/]+)/([^/]+)/0\.0\.0$"
-    return df.withColumns({"step_h": extract(k, pattern, 1).cast("int"), "varname": extract(k, pattern, 2), "level": extract(k, pattern, 3), "member": extract(k, pattern, 4)})
+    """step_h, varname, level and member of a key, by the first of the archives' forms that fits.
+
+    `step_SSS/var/level/member/0.0.0`, the same without the step, or `var/level/step/member/0...`; null where none fits.
+    """
+    k = F.col(key)
+    forms = ((r"^step_(\d+)/([^/]+)/([^/]+)/([^/]+)/0[\d.]*$", (1, 2, 3, 4)), (r"^([^/]+)/([^/]+)/(\d+)/([^/]+)/0[\d.]*$", (3, 1, 2, 4)), (r"^([^/]+)/([^/]+)/([^/]+)/0[\d.]*$", (0, 1, 2, 3)))
+    part = lambda n: F.coalesce(*(extract(k, p, g[n]) if g[n] else F.lit(None).cast("string") for p, g in forms))
+    return df.withColumns({"step_h": part(0).cast("int"), "varname": part(1), "level": part(2), "member": part(3)})
 
 
 def parse_chunk_key(df: DataFrame, key: str = "key") -> DataFrame:
@@ -88,23 +94,28 @@ def build_hier_key(df: DataFrame) -> DataFrame:
 
 
 def normalize_member(df: DataFrame, column: str = "number") -> DataFrame:
-    """member_no (0: control) and member (control, ens01 ...) from a number or a name in any of the archives' forms."""
-    digits = F.regexp_extract(F.col(column).cast("string"), r"^(?:ens_?)?(-?\d+)(?:\.0+)?$", 1)
-    n = F.coalesce(F.expr("try_cast(d AS INT)"), F.lit(0))
-    out = df.withColumn("d", digits).withColumn("member_no", F.greatest(n, F.lit(0))).drop("d")
-    return out.withColumn("member", F.when(F.col("member_no") == 0, "control").otherwise(F.format_string("ens%02d", "member_no")))
+    """member_no (0: control) and member (control, ens01 ...) from a number or a name in any of the archives' forms.
+
+    Null, negative numbers and the control's names are the control; what is no member at all is null.
+    """
+    c = F.col(column).cast("string")
+    digits = F.expr("try_cast(_digits AS INT)")
+    control = F.col("_name").isNull() | F.col("_name").rlike("^(?i)(control|cf|oper)?$")
+    out = df.withColumns({"_digits": F.regexp_extract(c, r"^(?:ens_?)?(-?\d+)(?:\.0+)?$", 1), "_name": c})
+    out = out.withColumn("member_no", F.when(control, 0).otherwise(F.when(digits.isNotNull(), F.greatest(digits, F.lit(0))))).drop("_digits", "_name")
+    return out.withColumn("member", F.when(F.col("member_no") == 0, "control").when(F.col("member_no").isNotNull(), F.format_string("ens%02d", "member_no")))
 
 
 def alias_variable(wanted: DataFrame, stored: DataFrame, aliases: DataFrame) -> DataFrame:
     """For each requested name the stored name of the best priority (1 first); null where none is stored."""
-    options = wanted.join(F.broadcast(aliases), "requested", "left").join(stored.select(F.col("varname").alias("candidate"), F.lit(True).alias("there")).distinct(), "candidate", "left")
+    options = wanted.join(aliases, "requested", "left").join(stored.select(F.col("varname").alias("candidate"), F.lit(True).alias("there")).distinct(), "candidate", "left")
     return options.groupBy("requested").agg(F.min_by(F.when(F.col("there"), F.col("candidate")), F.when(F.col("there"), F.col("priority"))).alias("varname"))
 
 
 def convert_units(df: DataFrame, units: DataFrame) -> DataFrame:
     """`value * scale + shift` for the variables of a small table (varname, scale, shift)."""
     scale, shift = F.coalesce("scale", F.lit(1.0)), F.coalesce("shift", F.lit(0.0))
-    return df.join(F.broadcast(units), "varname", "left").withColumn("value", F.col("value") * scale + shift).drop("scale", "shift")
+    return df.join(units, "varname", "left").withColumn("value", F.col("value") * scale + shift).drop("scale", "shift")
 
 
 def geopotential(df: DataFrame) -> DataFrame:
@@ -137,7 +148,9 @@ def decode_inline(df: DataFrame, value: str = "value", dtype: str = "<f8") -> Da
 
     @F.pandas_udf("array<double>")
     def numbers(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda b: None if b is None else np.frombuffer(b, dtype).astype(float))
+        from ..operators.store import split_numbers
+
+        return split_numbers(raw, dtype)
 
     return df.withColumn("values", numbers(F.when(F.col(value).startswith("base64:"), F.unbase64(F.expr(f"substring({value}, 8)")))))
 

@@ -33,7 +33,7 @@ def exceedance_prob_valid(totals: DataFrame, keys: tuple[str, ...] = ("varname",
     """Percent of the members that have any value at all (over the whole variable)."""
     alive = totals.where(real(value).isNotNull()).groupBy(keys[0]).agg(F.count_distinct("member").alias("n"))
     counts = [F.count_if(real(value) >= t).alias(str(i)) for i, t in enumerate(thresholds)]
-    wide = totals.groupBy(*keys).agg(*counts).join(F.broadcast(alive), keys[0])
+    wide = totals.groupBy(*keys).agg(*counts).join(alive, keys[0])
     long = F.explode(F.array(*(F.struct(F.lit(t).alias("threshold"), F.col(str(i)).alias("hits")) for i, t in enumerate(thresholds))))
     return wide.select(*keys, "n", long.alias("t")).select(*keys, "t.threshold", F.round(100.0 * F.col("t.hits") / F.col("n"), 6).alias("probability"))
 
@@ -61,7 +61,9 @@ def prob_summary(probabilities: DataFrame) -> DataFrame:
 
 
 def percentile_thresholds(cells: DataFrame, at: tuple[float, ...] = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)) -> DataFrame:
-    return cells.groupBy("varname").agg(*(F.round(F.percentile(real(), p), 6).alias(f"p{round(100 * p)}") for p in at))
+    """Exact percentiles of each variable, all from one count of its different values."""
+    found = cells.groupBy("varname").agg(F.percentile(real(), list(at)).alias("p"))
+    return found.select("varname", *(F.round(F.get("p", k), 6).alias(f"p{round(100 * p)}") for k, p in enumerate(at)))
 
 
 def compare_stats(aligned: DataFrame, tolerance: float = 1e-4) -> DataFrame:
@@ -84,14 +86,16 @@ def skill_stats(aligned: DataFrame, by: str = "step_h") -> DataFrame:
     )
 
 
-def pair_summary(pairs: DataFrame) -> DataFrame:
-    """Percent of files found, sizes, and the first 5 that miss a part."""
+def pair_summary(pairs: DataFrame, first: int = 5) -> DataFrame:
+    """Percent of files found, sizes, and the first files that miss a part."""
     missing = F.when(~F.col("both_exist"), F.col("file"))
     pct = lambda c: F.round(100.0 * F.count_if(F.col(c)) / F.count("*"), 6)
-    return pairs.agg(
+    totals = pairs.agg(
         pct("grb2_exists").alias("grb2_percent"), pct("idx_exists").alias("idx_percent"), pct("both_exist").alias("both_percent"), F.sum(F.col("grb2_size_mb").cast("decimal(18,2)")).cast("double").alias("total_mb"),
-        F.round(F.avg("grb2_size_mb"), 6).alias("mean_mb"), F.count(missing).alias("n_missing"), F.min(missing).alias("first_missing"),
+        F.round(F.avg("grb2_size_mb"), 6).alias("mean_mb"), F.count(missing).alias("n_missing"),
     )
+    top = pairs.where("NOT both_exist").select("file").orderBy("file").limit(first).agg(F.array_join(F.sort_array(F.collect_list("file")).cast("array<string>"), ",").alias("first_missing"))
+    return totals.crossJoin(F.broadcast(top))  # one row each
 
 
 def unique_groups(chunks: DataFrame) -> DataFrame:
@@ -107,8 +111,9 @@ def uniqueness_check(index: DataFrame, keys: tuple[str, ...] = ("file", "attrs")
 
 
 def member_profile(messages: DataFrame) -> DataFrame:
-    """Rows by member and in all (null), share of rows without a number, distinct members and their range."""
-    return messages.rollup("number").agg(F.count("*").alias("n"), F.count_distinct("file").alias("files"), F.min("number").alias("low"), F.max("number").alias("high"))
+    """Rows by member, and in all (`overall`): files, share of rows without a number, different members and their range."""
+    without = F.round(F.count_if(F.col("number").isNull()) / F.count("*"), 6)
+    return messages.rollup("number").agg((F.grouping_id() == 1).alias("overall"), F.count("*").alias("n"), F.count_distinct("file").alias("files"), without.alias("null_share"), F.min("number").alias("low"), F.max("number").alias("high"))
 
 
 def param_profile(messages: DataFrame, n: int = 10) -> DataFrame:
@@ -150,9 +155,16 @@ def field_completeness(messages: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def store_profile(refs: DataFrame) -> DataFrame:
-    """Keys by their first part and depth (5 and more together)."""
+    """Keys by their first part and depth (5 and more together), and how many of them name an ensemble member."""
     parts = F.split("key", "/")
-    return refs.groupBy(F.get(parts, 0).alias("first"), F.least(F.size(parts) - 1, F.lit(5)).alias("depth")).agg(F.count("*").alias("n"))
+    member = F.col("key").rlike(r"(^|/)(number/\d+|number_\d+|ens_?\d+|control)(/|$)")
+    return refs.groupBy(F.get(parts, 0).alias("first"), F.least(F.size(parts) - 1, F.lit(5)).alias("depth")).agg(F.count("*").alias("n"), F.count_if(member).alias("n_ensemble"))
+
+
+def compare_profiles(one: DataFrame, two: DataFrame) -> DataFrame:
+    """Profiles of two stores side by side; 0 where a store has no such keys."""
+    a, b = (store_profile(x).select("first", "depth", *(F.col(c).alias(f"{c}_{k}") for c in ("n", "n_ensemble"))) for k, x in ((1, one), (2, two)))
+    return a.join(b, ["first", "depth"], "full_outer").na.fill(0)
 
 
 def nan_diagnostics(cells: DataFrame) -> DataFrame:
@@ -163,10 +175,12 @@ def nan_diagnostics(cells: DataFrame) -> DataFrame:
 
 
 def run_summary(messages: DataFrame) -> DataFrame:
-    """Files, bytes, control and perturbed members of each run date."""
-    return messages.groupBy(F.to_date("run_time").alias("run_date")).agg(
-        F.count_distinct("file").alias("n_files"), F.sum("length").alias("bytes"), F.bool_or(F.col("number") == 0).alias("has_control"), F.count_distinct(F.when(F.col("number") > 0, F.col("number"))).alias("n_perturbed")
-    )
+    """Files, bytes, control and perturbed members of each run date, and how many files of each member hold messages of some length."""
+    dated = messages.withColumn("run_date", F.to_date("run_time"))
+    by_member = dated.groupBy("run_date", "number").agg(F.count_distinct(F.when(F.col("length") > 0, F.col("file"))).alias("valid"))
+    listed = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("number", "valid"))), lambda x: F.concat_ws(":", x["number"].cast("string"), x["valid"].cast("string"))), ",")
+    totals = dated.groupBy("run_date").agg(F.count_distinct("file").alias("n_files"), F.sum("length").alias("bytes"), F.bool_or(F.col("number") == 0).alias("has_control"), F.count_distinct(F.when(F.col("number") > 0, F.col("number"))).alias("n_perturbed"))
+    return totals.join(by_member.groupBy("run_date").agg(listed.alias("valid_files")), "run_date")
 
 
 def spread_range(stats: DataFrame) -> DataFrame:

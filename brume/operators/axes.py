@@ -34,16 +34,16 @@ def axes_cfs(runs: DataFrame, max_hours: int = 240) -> DataFrame:
 
 def horizon(valid: DataFrame, ranges: DataFrame) -> DataFrame:
     """Grid of step ranges (horizon_pos, steps) and numbered valid times (j, valid_time): range steps repeat along time."""
-    grid = valid.crossJoin(F.broadcast(ranges)).withColumn("step_h", F.get("steps", F.pmod(F.col("j"), F.size("steps"))))
+    grid = valid.crossJoin(ranges).withColumn("step_h", F.get("steps", F.pmod(F.col("j"), F.size("steps"))))
     return grid.withColumn("time", F.col("valid_time") - hours(F.col("step_h"))).drop("steps")
 
 
 def by_valid_time(valid: DataFrame, steps: DataFrame) -> DataFrame:
-    return valid.crossJoin(F.broadcast(steps)).withColumn("time", F.col("valid_time") - hours(F.col("step_h")))
+    return valid.crossJoin(steps).withColumn("time", F.col("valid_time") - hours(F.col("step_h")))
 
 
 def by_run_time(runs: DataFrame, steps: DataFrame) -> DataFrame:
-    return runs.crossJoin(F.broadcast(steps)).withColumn("valid_time", F.col("time") + hours(F.col("step_h")))
+    return runs.crossJoin(steps).withColumn("valid_time", F.col("time") + hours(F.col("step_h")))
 
 
 def best_available(valid: DataFrame, as_of: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .aggregates import real
+from .windows import place_on_axis
 
 
 def norm_stats(cells: DataFrame) -> DataFrame:
@@ -17,7 +18,7 @@ def norm_stats(cells: DataFrame) -> DataFrame:
 def normalize_field(cells: DataFrame, stats: DataFrame, kinds: dict[str, str], columns: tuple[str, ...] = ("value",)) -> DataFrame:
     """Values by kind: log (log10(1 + max(x, 0))), standard, max, symmetric; unchanged without kind or statistics."""
     kind = F.coalesce(F.create_map(*(F.lit(x) for kv in kinds.items() for x in kv))[F.col("varname")], F.lit("none"))
-    joined = cells.join(F.broadcast(stats), "varname", "left").withColumn("kind", kind)
+    joined = cells.join(stats, "varname", "left").withColumn("kind", kind)
     for c in columns:
         x = F.col(c).cast("double")
         out = (
@@ -35,7 +36,7 @@ def four_channel(stats: DataFrame, pairs: DataFrame) -> DataFrame:
     """[mean_1, std_1, mean_2, std_2] of each variable, cell and pair of steps (step_1, step_2)."""
     a = stats.select("varname", "cell", F.col("step_h").alias("step_1"), F.col("mean").alias("mean_1"), F.col("std").alias("std_1"))
     b = stats.select("varname", "cell", F.col("step_h").alias("step_2"), F.col("mean").alias("mean_2"), F.col("std").alias("std_2"))
-    return F.broadcast(pairs).join(a, "step_1").join(b, ["varname", "cell", "step_2"])
+    return pairs.join(a, "step_1").join(b, ["varname", "cell", "step_2"])
 
 
 def feature_tensor(channels: DataFrame, fields: list[str]) -> DataFrame:
@@ -47,9 +48,8 @@ def feature_tensor(channels: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def restructure(cells: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-
-    return cells.select("varname", F.col("member").alias("ensemble"), (F.dense_rank().over(Window.partitionBy("varname").orderBy("step_h")) - 1).alias("time_index"), "cell", "value")
+    """Cells with the place of their step among those of their variable."""
+    return place_on_axis(cells, "step_h", "time_index").select("varname", F.col("member").alias("ensemble"), "time_index", "cell", "value")
 
 
 def input_state(cells: DataFrame) -> DataFrame:

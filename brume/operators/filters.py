@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.project import extract
@@ -10,10 +10,16 @@ from ..schemas import PRESSURE_LEVELS, REGIONS, SOIL_LEVELS
 
 
 def match_attrs(messages: DataFrame, patterns: DataFrame, regex: bool = False) -> DataFrame:
-    """For each pattern the first message of each file whose attrs match, counted from 0; 9999 if there is none."""
-    found = messages.select("file", "idx", "attrs").join(F.broadcast(patterns), F.col("attrs").rlike(F.col("pattern")) if regex else F.contains("attrs", "pattern"))
-    first = found.groupBy("file", "pattern").agg((F.min("idx") - 1).alias("position"))
-    grid = messages.select("file").distinct().crossJoin(F.broadcast(patterns))
+    """For each pattern the first message of each file whose attrs match, counted from 0; 9999 if there is none.
+
+    Patterns are a caller's short list: they are gathered in one row, and each message tests it in place.
+    """
+    listed = patterns.select("pattern").distinct().agg(F.sort_array(F.collect_list("pattern")).alias("patterns"))  # one row
+    fits = (lambda p: F.col("attrs").rlike(p)) if regex else (lambda p: F.contains(F.col("attrs"), p))
+    met = messages.select("file", "idx", "attrs").crossJoin(F.broadcast(listed))
+    hits = met.select("file", "idx", F.explode(F.filter("patterns", fits)).alias("pattern"))
+    first = hits.groupBy("file", "pattern").agg((F.min("idx") - 1).alias("position"))
+    grid = messages.select("file").distinct().crossJoin(F.broadcast(listed)).select("file", F.explode("patterns").alias("pattern"))
     return grid.join(first, ["file", "pattern"], "left").withColumn("position", F.coalesce("position", F.lit(9999)))
 
 
@@ -35,7 +41,7 @@ def parse_targets(codes: DataFrame) -> DataFrame:
 
 
 def select_targets(messages: DataFrame, codes: DataFrame) -> DataFrame:
-    return messages.withColumn("levelist", F.coalesce("levelist", F.lit("null"))).join(F.broadcast(parse_targets(codes)), ["param", "levtype", "levelist"], "left_semi")
+    return messages.withColumn("levelist", F.coalesce("levelist", F.lit("null"))).join(parse_targets(codes), ["param", "levtype", "levelist"], "left_semi")
 
 
 def crop_region(cells: DataFrame, region: str | tuple[float, float, float, float]) -> DataFrame:
@@ -44,10 +50,16 @@ def crop_region(cells: DataFrame, region: str | tuple[float, float, float, float
 
 
 def select_steps(cells: DataFrame, targets: DataFrame, tolerance: float = 0.5) -> DataFrame:
-    """For each target hour the nearest step within a tolerance; null where none is near."""
-    steps = cells.select("step_h").distinct()
-    near = targets.join(steps, F.abs(F.col("step_h") - F.col("target_h")) < tolerance, "left")
-    return near.groupBy("target_h").agg(F.min_by("step_h", F.struct(F.abs(F.col("step_h") - F.col("target_h")), "step_h")).alias("step_h"))
+    """For each target hour the nearest step within a tolerance (the earlier of two); null where none is near.
+
+    Hours are dealt to bins of the tolerance's width, so near ones lie in the same or the next bin.
+    """
+    bin_of = lambda c: F.floor(F.col(c) / tolerance).cast("long")
+    steps = cells.select("step_h").distinct().withColumn("bin", bin_of("step_h"))
+    asked = targets.withColumn("bin", F.explode(F.sequence(bin_of("target_h") - 1, bin_of("target_h") + 1)))
+    distance = F.abs(F.col("step_h") - F.col("target_h"))
+    near = F.when(distance < tolerance, F.struct(distance.alias("d"), "step_h"))
+    return asked.join(steps, "bin", "left").groupBy("target_h").agg(F.min(near)["step_h"].alias("step_h"))
 
 
 def select_pressure(df: DataFrame, levels: list[int]) -> DataFrame:
@@ -67,7 +79,7 @@ def drop_unmapped(df: DataFrame, name: str = "mapped") -> DataFrame:
 
 def select_variables(df: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of the wanted variables, the names that are missing)."""
-    return df.join(F.broadcast(wanted), "varname", "left_semi"), wanted.join(df.select("varname").distinct(), "varname", "left_anti")
+    return df.join(wanted, "varname", "left_semi"), wanted.join(df.select("varname").distinct(), "varname", "left_anti")
 
 
 def size_outliers(files: DataFrame, size: str = "size") -> DataFrame:
@@ -97,7 +109,3 @@ def monthly_sample_dates(dates: DataFrame, seed: int = 42, date: str = "date") -
 
 def max_hour(df: DataFrame, hour: int, column: str = "step_h") -> DataFrame:
     return df.where(F.col(column) <= hour)
-
-
-def first_per_group(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")

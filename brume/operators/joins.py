@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.project import hours, valid_time
+from ..functions.project import valid_time
 from ..schemas import CHUNK_INDEX
 from .windows import dedupe_attrs, dedupe_largest
 
@@ -15,6 +17,19 @@ def small(df: DataFrame, rows: int | None, limit: int = 500_000) -> DataFrame:
     return F.broadcast(df) if rows is not None and rows <= limit else df
 
 
+Mapper = Callable[[DataFrame], DataFrame]
+
+
+def mapped(messages: DataFrame, mapper: Mapper | None) -> DataFrame:
+    """Messages as a caller's function leaves them; it must keep their columns."""
+    if mapper is None:
+        return messages
+    out = messages.transform(mapper)
+    if set(messages.columns) - set(out.columns):
+        raise ValueError("the mapper has dropped columns")
+    return out
+
+
 def build_mapping(index: DataFrame, grib: DataFrame) -> DataFrame:
     """Index rows with the metadata of their message (by uri and idx); the index's offset and length count.
 
@@ -38,9 +53,12 @@ def map_from_index(index: DataFrame, mapping: DataFrame, keys: tuple[str, ...] =
     return timed.select(*CHUNK_INDEX, *(c for c in ("file", "idx") if c in timed.columns))
 
 
-def mapped_index_run(index: DataFrame, mapping: DataFrame, conditions: DataFrame, mapping_rows: int | None = None) -> DataFrame:
-    """All files of all runs in one job: first message per attrs, template, largest message per variable and time."""
-    return dedupe_largest(map_from_index(dedupe_attrs(index), mapping, mapping_rows=mapping_rows), conditions)
+def mapped_index_run(index: DataFrame, mapping: DataFrame, conditions: DataFrame, mapping_rows: int | None = None, mapper: Mapper | None = None) -> DataFrame:
+    """All files of all runs in one job: first message per attrs, template, largest message per variable and time.
+
+    `mapper`: a caller's own function on the messages before anything else is done with them.
+    """
+    return dedupe_largest(map_from_index(dedupe_attrs(mapped(index, mapper)), mapping, mapping_rows=mapping_rows), conditions)
 
 
 def mapping_run(index: DataFrame, grib: DataFrame) -> DataFrame:
@@ -98,30 +116,40 @@ def file_pairs(expected: DataFrame, data: DataFrame, index: DataFrame) -> DataFr
     return out.withColumn("both_exist", F.col("grb2_exists") & F.col("idx_exists")).drop("g", "i")
 
 
+def _value_before(cells: DataFrame, window: int) -> DataFrame:
+    """Each cell with `start`, its value exactly `window` hours before: one window, no self join."""
+    span = Window.partitionBy("varname", "member", "cell").orderBy("step_h").rangeBetween(-window, -window)
+    return cells.select("varname", "member", "cell", "step_h", "value", F.max("value").over(span).alias("start"))
+
+
 def diff_24h(cells: DataFrame, window: int = 24) -> DataFrame:
     """24-hour totals from totals since the start: max(0, end - start). Without any pair, the values as they are."""
-    key = ["varname", "member", "cell"]
-    start = cells.select(*key, (F.col("step_h") + window).alias("step_h"), F.col("value").alias("start"))
-    pairs = cells.select(*key, "step_h", "value").join(start, [*key, "step_h"]).select(*key, "step_h", F.greatest(F.col("value") - F.col("start"), F.lit(0)).alias("total"))
-    none = pairs.agg((F.count("*") == 0).alias("none"))
-    raw = cells.select(*key, "step_h", F.col("value").alias("total")).crossJoin(F.broadcast(none)).where("none").drop("none")
-    return pairs.unionByName(raw)
+    ends = _value_before(cells, window)
+    flag = F.broadcast(ends.agg((F.count("start") == 0).alias("none")))  # one row
+    total = F.when(F.col("none"), F.col("value")).otherwise(F.greatest(F.col("value") - F.col("start"), F.lit(0)))
+    return ends.crossJoin(flag).where("none OR start IS NOT NULL").select("varname", "member", "cell", "step_h", total.alias("total"))
 
 
 def precip_window(cells: DataFrame, window: int) -> DataFrame:
     """Total of the last `window` hours, from the start of the run for the first ones."""
-    key = ["varname", "member", "cell"]
-    start = cells.select(*key, F.col("step_h").alias("from_h"), F.col("value").alias("start"))
-    ends = cells.select(*key, "step_h", "value").withColumn("from_h", F.greatest(F.lit(0), F.col("step_h") - window))
-    joined = ends.join(start, [*key, "from_h"], "left")
-    return joined.select(*key, "step_h", F.when(F.col("from_h") == 0, F.col("value")).otherwise(F.greatest(F.col("value") - F.col("start"), F.lit(0))).alias("total"))
+    whole = F.col("step_h") <= window
+    return _value_before(cells, window).select("varname", "member", "cell", "step_h", F.when(whole, F.col("value")).otherwise(F.greatest(F.col("value") - F.col("start"), F.lit(0))).alias("total"))
 
 
 def nearest_run(targets: DataFrame, runs: DataFrame, on: str, target: str = "target_date", run: str = "run_date") -> DataFrame:
-    """For each target date of a key the nearest run of that key (the later of two); the key's last run without a date."""
-    met = targets.join(runs, on, "left")
-    near = F.struct(F.coalesce(F.abs(F.datediff(target, run)), F.lit(0)), -F.unix_date(run))
-    return met.groupBy(on, target).agg(F.min_by(run, near).alias(run))
+    """For each target date of a key the nearest run of that key (the later of two); the key's last run without a date.
+
+    Runs and targets of a key are put in one order; the run before and the run after a target are the nearest ones.
+    """
+    both = targets.select(on, F.col(target).alias("day"), F.lit(None).cast("date").alias("run"), F.lit(True).alias("asks")).distinct()
+    both = both.unionByName(runs.select(on, F.col(run).alias("day"), F.col(run).alias("run"), F.lit(False).alias("asks")))
+    by_day = Window.partitionBy(on).orderBy("day", "asks")
+    before = F.last("run", True).over(by_day.rowsBetween(Window.unboundedPreceding, 0))
+    after = F.first("run", True).over(by_day.rowsBetween(0, Window.unboundedFollowing))
+    last = F.max("run").over(Window.partitionBy(on))
+    met = both.select(on, F.col("day").alias(target), "asks", before.alias("before"), after.alias("after"), last.alias("last")).where("asks")
+    nearer = F.col("before").isNull() | (F.datediff("after", F.col(target)) <= F.datediff(F.col(target), "before"))
+    return met.select(on, target, F.when(F.col(target).isNull(), F.col("last")).when(nearer, F.coalesce("after", "before")).otherwise(F.col("before")).alias(run))
 
 
 def align_grids(a: DataFrame, b: DataFrame, on: tuple[str, ...] = ("varname", "step_h", "cell")) -> DataFrame:
@@ -137,19 +165,17 @@ def align_steps(cells: DataFrame) -> DataFrame:
     """All variables at their common steps (at all steps, if none is common); missing values are null."""
     steps = cells.groupBy("step_h").agg(F.count_distinct("varname").alias("k"))
     names = cells.select("varname").distinct()
-    n = names.agg(F.count("*").alias("n"))
-    common = steps.crossJoin(F.broadcast(n)).withColumn("any", F.max((F.col("k") == F.col("n")).cast("int")).over(Window.partitionBy()))
-    axis = common.where("k = n OR any = 0").select("step_h")
+    most = steps.agg(F.max("k").alias("most")).crossJoin(names.agg(F.count("*").alias("n")))  # one row
+    axis = steps.crossJoin(F.broadcast(most)).where("k = n OR most < n").select("step_h")
     first = cells.groupBy("varname", "step_h").agg(F.sum("value").alias("value"))
-    return axis.crossJoin(F.broadcast(names)).join(first, ["varname", "step_h"], "left")
+    return axis.crossJoin(names).join(first, ["varname", "step_h"], "left")
 
 
 def nearest_step_pair(cells: DataFrame, pairs: DataFrame) -> DataFrame:
-    """For each (h1, h2) the nearest steps, whatever their distance."""
-    steps = cells.select("step_h").distinct()
-    near = lambda h: F.min_by("step_h", F.struct(F.abs(F.col("step_h") - F.col(h)), "step_h"))
-    return pairs.crossJoin(F.broadcast(steps)).groupBy("h1", "h2").agg(near("h1").alias("step_1"), near("h2").alias("step_2"))
-
+    """For each (h1, h2) the nearest steps (the earlier of two), whatever their distance.
 
-def at_step(df: DataFrame, h: int) -> DataFrame:
-    return df.withColumn("valid_time", F.col("run_time") + hours(F.lit(h)))
+    The steps of an axis are gathered once, in order, and each pair looks its own up in that one row.
+    """
+    axis = cells.agg(F.sort_array(F.collect_set("step_h")).alias("steps"))  # one row
+    near = lambda h: F.array_min(F.transform("steps", lambda s: F.struct(F.abs(s - F.col(h)).alias("d"), s.alias("s"))))["s"]
+    return pairs.crossJoin(F.broadcast(axis)).select("h1", "h2", near("h1").alias("step_1"), near("h2").alias("step_2"))

@@ -6,50 +6,67 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.project import build_ref_key, extract, parse_chunk_key
+from .windows import place_on_axis
 
 
-def extract_chunk_index(refs: DataFrame, coords: DataFrame) -> DataFrame:
-    """One row per chunk of `path/i.j...` keys, with the coordinate values of its first two dims (time, step).
+def extract_chunk_index(refs: DataFrame, coords: DataFrame, arrays: DataFrame) -> DataFrame:
+    """One row per chunk of `path/i.j...` keys: path, chunk, uri, offset, length and `at`, its coordinate by dim.
 
-    `coords`: path, dim, i, coord. Inline values have offset and length -1.
+    `coords`: path, dim, i, coord. `arrays`: path, pos (place of the dim), dim, chunk_size, size. A dim with chunks of one
+    is indexed by its coordinate, one with a single chunk of its whole size is left out; any other chunking, and an indexed
+    dim without that coordinate, fails the job. Inline values have offset and length -1; chunks that are not there give no row.
     """
-    chunks = parse_chunk_key(refs).where("path IS NOT NULL").select("path", F.get("chunk", 0).alias("i"), F.get("chunk", 1).alias("j"), "uri", F.coalesce("offset", F.lit(-1)).alias("offset"), F.coalesce("length", F.lit(-1)).alias("length"))
-    axis = lambda dim, i, name: coords.where(F.col("dim") == dim).select("path", F.col("i").alias(i), F.col("coord").alias(name))
-    return chunks.join(axis("time", "i", "time_value"), ["path", "i"]).join(axis("step", "j", "step_value"), ["path", "j"])
+    chunks = parse_chunk_key(refs).where("path IS NOT NULL").select("key", "path", "chunk", "uri", F.coalesce("offset", F.lit(-1)).alias("offset"), F.coalesce("length", F.lit(-1)).alias("length"))
+    each = chunks.select("key", "path", F.posexplode("chunk").alias("pos", "i")).join(arrays, ["path", "pos"], "left")
+    bad = F.raise_error(F.concat(F.lit("no rule for a dim of "), F.col("key"))).cast("string")
+    indexed = each.withColumn("dim", F.when(F.col("chunk_size") == 1, F.col("dim")).when(F.col("chunk_size") == F.col("size"), F.lit(None)).otherwise(bad)).where("dim IS NOT NULL")
+    placed = indexed.join(coords, ["path", "dim", "i"], "left")
+    found = F.when(F.col("coord").isNotNull(), F.col("coord")).otherwise(F.raise_error(F.concat(F.lit("no coordinate for "), F.col("key"))).cast("bigint"))
+    at = placed.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("dim", found.alias("coord")))).alias("at"))
+    return chunks.join(at, "key", "left")
 
 
-def coord_metadata(coords: DataFrame) -> DataFrame:
-    """Coordinate arrays as rows: shape, new dim name and the bytes (little-endian f8) as base64."""
-    names = {"time": "run_times", "valid_time": "valid_times", "step": "model_horizons"}
-    renamed = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))
+def packed_values(column: str) -> Column:
+    """Arrays of numbers as little-endian doubles; all rows of a batch are laid out at once."""
 
-    @F.pandas_udf("string")
-    def packed(values: pd.Series) -> pd.Series:
-        import base64
+    @F.pandas_udf("binary")
+    def pack(values: pd.Series) -> pd.Series:
+        sizes = [0 if v is None else len(v) for v in values]
+        flat = np.concatenate([np.zeros(0), *(v for v in values if v is not None)]).astype("<f8").tobytes()
+        ends = np.cumsum(sizes) * 8
+        return pd.Series([None if v is None else flat[e - 8 * n : e] for v, n, e in zip(values, sizes, ends, strict=True)], dtype=object)
 
-        return values.map(lambda v: "base64:" + base64.b64encode(np.asarray(v, "<f8").tobytes()).decode())
+    return pack(column)
 
+
+def coord_metadata(coords: DataFrame) -> DataFrame:
+    """Coordinate arrays as rows: shape, chunks, new dim name and the bytes (little-endian f8) as base64."""
+    names = {"time": "run_times", "valid_time": "valid_times", "step": "model_horizons"}
+    renamed = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("i", "coord"))), lambda x: x["coord"].cast("double"))
-    return coords.groupBy("path", "dim").agg(F.count("*").alias("shape"), ordered.alias("v")).select("path", "dim", F.coalesce(renamed[F.col("dim")], F.col("dim")).alias("dim_name"), "shape", packed("v").alias("inline"))
+    out = coords.groupBy("path", "dim").agg(F.count("*").alias("shape"), ordered.alias("v"))
+    return out.select("path", "dim", F.coalesce(renamed[F.col("dim")], F.col("dim")).alias("dim_name"), "shape", F.col("shape").alias("chunks"), F.concat(F.lit("base64:"), F.base64(packed_values("v"))).alias("inline"))
 
 
 def datavar_metadata(chunks: DataFrame, n_lat: int = 721, n_lon: int = 1440) -> DataFrame:
-    """`.zarray` JSON of each variable, and how many chunk keys `i.j.0.0` it has."""
+    """`.zarray` JSON of each variable (one chunk per time and step, whole grids, NaN as fill) with its dims, and how many chunks it has."""
     sizes = chunks.groupBy("varname").agg(F.count_distinct("time").alias("nt"), F.count_distinct("step_h").alias("ns"), F.count("*").alias("n_chunks"))
-    doc = F.to_json(F.struct(F.array("nt", "ns", F.lit(n_lat), F.lit(n_lon)).alias("shape"), F.array(F.lit(1), F.lit(1), F.lit(n_lat), F.lit(n_lon)).alias("chunks"), F.lit("NaN").alias("fill_value")))
+    dims = F.array(*map(F.lit, ("time", "step", "latitude", "longitude")))
+    doc = F.to_json(F.struct(F.array("nt", "ns", F.lit(n_lat), F.lit(n_lon)).alias("shape"), F.array(F.lit(1), F.lit(1), F.lit(n_lat), F.lit(n_lon)).alias("chunks"), F.lit("NaN").alias("fill_value"), dims.alias("dims")))
     return sizes.select("varname", "n_chunks", doc.alias("zarray"))
 
 
-def chunk_keys(chunks: DataFrame) -> DataFrame:
-    """Key `i.j.0.0` of each chunk by its places on the time and step axes."""
-    from pyspark.sql import Window
-
-    place = lambda c: F.dense_rank().over(Window.partitionBy("varname").orderBy(c)) - 1
-    return chunks.withColumn("key", F.concat_ws(".", place("time").cast("string"), place("step_h").cast("string"), F.lit("0"), F.lit("0")))
+def chunk_keys(chunks: DataFrame, dims: tuple[str, ...] = ("time", "step_h"), key: str = "varname") -> DataFrame:
+    """Key `i.j.0.0` (with a level `i.j.k.0.0`) of each chunk by its places on the axes of its variable."""
+    places = [f"_place{n}" for n in range(len(dims))]
+    placed = chunks
+    for dim, place in zip(dims, places, strict=True):
+        placed = place_on_axis(placed, dim, place, key)
+    return placed.withColumn("key", F.concat_ws(".", *(F.col(p).cast("string") for p in places), F.lit("0"), F.lit("0"))).drop(*places)
 
 
 def drop_member_dim(refs: DataFrame) -> DataFrame:
@@ -59,16 +76,34 @@ def drop_member_dim(refs: DataFrame) -> DataFrame:
     return p.select(F.get("chunk", 2).alias("member"), F.concat(F.col("path"), F.lit("/"), F.array_join(F.transform(rest, lambda x: x.cast("string")), ".")).alias("key"), "uri", "offset", "length")
 
 
+def drop_member_arrays(arrays: DataFrame) -> DataFrame:
+    """Arrays (path, shape, chunks, dims) of a store of all members as those of one member: no `number` dim, and no array of it.
+
+    `single_member` marks the root's attributes (path '').
+    """
+    at = F.array_position("dims", "number").cast("int")
+    without = lambda c: F.when(at > 0, F.concat(F.slice(c, F.lit(1), at - 1), F.slice(c, at + 1, F.lit(99)))).otherwise(F.col(c))
+    kept = arrays.where(~F.col("path").rlike("(^|/)number$"))
+    return kept.select(*(c for c in arrays.columns if c not in ("shape", "chunks", "dims")), without("shape").alias("shape"), without("chunks").alias("chunks"), without("dims").alias("dims"), (F.col("path") == "").alias("single_member"))
+
+
 def add_member_dim(arrays: DataFrame, members: int = 51) -> DataFrame:
     """`number` after `step` (or first) in dims, and the member count at the same place in the shape."""
     place = F.array_position("dims", "step").cast("int") + 1
     return arrays.withColumns({"shape": F.array_insert("shape", place, F.lit(members)), "chunks": F.array_insert("chunks", place, F.lit(1)), "dims": F.array_insert("dims", place, F.lit("number"))})
 
 
-def split_members(refs: DataFrame, key: str = "key") -> DataFrame:
-    """Member of each key, by the first form that matches; `combined_data` where none does."""
+def split_members(refs: DataFrame, key: str = "key", value: str | None = None) -> DataFrame:
+    """Member of each key: by the first form of the key that matches, the number in its attributes, or a form of its value.
+
+    `combined_data` where none does.
+    """
     forms = [extract(F.col(key), p) for p in (r"/number/(\d+)/", r"number_(\d+)", r"ens_?(\d+)")]
-    return refs.withColumn("member_group", F.coalesce(*(F.concat(F.lit("ens"), f) for f in forms), F.when(F.col(key).contains("control"), "control"), F.lit("combined_data")))
+    ways = [*(F.concat(F.lit("ens"), f) for f in forms), F.when(F.col(key).contains("control"), "control")]
+    if value is not None:
+        attrs = F.when(F.col(key).endswith(".zattrs"), F.get_json_object(value, "$.number"))
+        ways += [F.concat(F.lit("ens"), attrs), F.concat(F.lit("ens"), extract(F.col(value), r"[/._-]ens_?(\d+)[/._-]"))]
+    return refs.withColumn("member_group", F.coalesce(*ways, F.lit("combined_data")))
 
 
 def hierarchical_layout(messages: DataFrame) -> DataFrame:
@@ -82,10 +117,17 @@ def tag_messages(keyed: DataFrame) -> DataFrame:
 
 
 def refs_from_index(index: DataFrame, with_level: bool = True) -> DataFrame:
-    """References of all members and hours in one job. Length -1 runs to the end of the file, or goes if that is unknown."""
+    """References of all members and hours in one job, and a metadata row for each run (key `_run/<time>`).
+
+    Length -1 runs to the end of the file; a message goes if that is unknown.
+    """
     length = F.when(F.col("length") == -1, F.col("file_size") - F.col("offset")).otherwise(F.col("length"))
     rows = build_ref_key(index.withColumn("length", length).where("length IS NOT NULL"), with_level)
-    return rows.select("key", "uri", "offset", "length")
+    refs = rows.select("key", "uri", "offset", "length", F.lit(None).cast("string").alias("meta"))
+    time = F.date_format("run_time", "yyyy-MM-dd'T'HH:mm:ss")
+    runs = rows.groupBy(time.alias("run_time")).agg(F.count_distinct("member").alias("n_members"), F.count("*").alias("n_refs"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("uri", "string"), ("offset", "bigint"), ("length", "bigint"))]
+    return refs.unionByName(runs.select(F.concat(F.lit("_run/"), "run_time").alias("key"), *none, F.to_json(F.struct("run_time", "n_members", "n_refs")).alias("meta")))
 
 
 def cells_from_grid(grids: DataFrame, lon0: float = -180.0, step: float = 0.25, width: int = 1440) -> DataFrame:
@@ -105,10 +147,19 @@ def flatten_tree(cells: DataFrame, names: list[str]) -> DataFrame:
     return cells.groupBy("step_h", "member", "cell").pivot("varname", names).agg(F.first("value"))
 
 
+def split_numbers(raw: pd.Series, dtype: str) -> pd.Series:
+    """Numbers of each value: all bytes of a batch are read at once, then divided by the values' lengths."""
+    width = np.dtype(dtype).itemsize
+    sizes = np.array([0 if b is None else len(b) // width for b in raw])
+    numbers = np.frombuffer(b"".join(b[: n * width] for b, n in zip(raw, sizes, strict=True) if b is not None), dtype).astype(float)
+    ends = np.cumsum(sizes)
+    return pd.Series([None if b is None else numbers[e - n : e] for b, n, e in zip(raw, sizes, ends, strict=True)], dtype=object)
+
+
 def bytes_to_array(df: DataFrame, column: str = "data", dtype: str = "<f4") -> DataFrame:
     @F.pandas_udf("array<double>")
     def numbers(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda b: None if b is None else np.frombuffer(b, dtype).astype(float))
+        return split_numbers(raw, dtype)
 
     return df.withColumn("values", numbers(column))
 
@@ -134,6 +185,30 @@ def decode_chunks(df: DataFrame, decoders: dict[str, object], column: str = "dat
     return df.mapInPandas(run, df.withColumns({"values": F.lit(None).cast("array<double>"), "status": F.lit("")}).schema)
 
 
-def reinflate(axis: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Chunks of an aggregation axis (time, step_h, ...), with their variable's group: the store of that axis."""
-    return axis.join(chunks, ["time", "step_h"])
+def reinflate(axis: DataFrame, chunks: DataFrame, n_lat: int = 721, n_lon: int = 1440) -> DataFrame:
+    """The store of an aggregation axis (time, step_h, valid_time): key, kind, uri, offset, length and meta of each entry.
+
+    Chunks on the axis are keyed `group/variable/i.k.0.0` by the places of their valid time and level; of several for a key
+    the first by uri and offset counts. Each variable has an `array` row, each group a `coord` row with its valid times, whose
+    inline value is the seconds as base64.
+    """
+    path = F.concat_ws("/", "varname", "stepType", "typeOfLevel")
+    met = axis.join(chunks, ["time", "step_h"]).withColumn("path", path)
+    times = axis.select("valid_time").distinct()
+    placed = met.join(place_on_axis(times.withColumn("all", F.lit(1)), "valid_time", "i", "all").select("valid_time", "i"), "valid_time")
+    placed = place_on_axis(placed, "level", "k", "path")
+    key = F.concat(F.col("path"), F.lit("/"), F.col("varname"), F.lit("/"), F.concat_ws(".", F.col("i").cast("string"), F.col("k").cast("string"), F.lit("0.0")))
+    first = placed.groupBy(key.alias("key")).agg(F.min_by(F.struct("uri", "offset", "length"), F.struct("uri", "offset")).alias("c"))
+    none = {"uri": "string", "offset": "bigint", "length": "bigint", "meta": "string", "inline": "string"}
+    empty = lambda *names: [F.lit(None).cast(none[n]).alias(n) for n in names]
+    entries = first.select("key", F.lit("chunk").alias("kind"), "c.uri", "c.offset", "c.length", *empty("meta", "inline"))
+    n_times = times.agg(F.count("*").alias("n_times"))  # one row
+    shape = F.array("n_times", "n_levels", F.lit(n_lat), F.lit(n_lon))
+    groups = met.groupBy("path", "varname").agg(F.count_distinct("level").alias("n_levels")).crossJoin(F.broadcast(n_times))
+    doc = F.to_json(F.struct(shape.alias("shape"), F.array(F.lit(1), F.lit(1), F.lit(n_lat), F.lit(n_lon)).alias("chunks"), F.array(*map(F.lit, ("valid_times", "level", "latitude", "longitude"))).alias("dims")))
+    arrays = groups.select(F.concat_ws("/", "path", "varname", F.lit(".zarray")).alias("key"), F.lit("array").alias("kind"), *empty("uri", "offset", "length"), doc.alias("meta"), *empty("inline"))
+    seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', valid_time)")
+    axes = groups.select("path").distinct().crossJoin(times).select("path", F.lit("valid_time").alias("dim"), seconds.alias("i"), seconds.alias("coord"))
+    coords = coord_metadata(axes)
+    described = F.to_json(F.struct(F.array("shape").alias("shape"), F.array("chunks").alias("chunks"), F.array("dim_name").alias("dims")))
+    return entries.unionByName(arrays).unionByName(coords.select(F.concat_ws("/", "path", "dim", F.lit("0")).alias("key"), F.lit("coord").alias("kind"), *empty("uri", "offset", "length"), described.alias("meta"), "inline"))

@@ -15,14 +15,13 @@ def message_length(df: DataFrame, file: str = "file") -> DataFrame:
 def dedupe_largest(df: DataFrame, conditions: DataFrame, keys: tuple[str, ...] = ("varname", "typeOfLevel", "time")) -> DataFrame:
     """The largest message for each key of the listed (varname, typeOfLevel); other variables stay as they are.
 
-    Listed variables at other level types are dropped. Ties go to the lower idx, then the uri.
+    Listed variables at other level types are dropped. Ties go to the lower idx, then the uri. One join and one window:
+    rows of other variables go through the window, but their rank does not count.
     """
-    listed = F.broadcast(conditions.select("varname").distinct().withColumn("listed", F.lit(True)))
-    wanted = F.broadcast(conditions.select("varname", "typeOfLevel").distinct().withColumn("wanted", F.lit(True)))
-    marked = df.join(listed, "varname", "left").join(wanted, ["varname", "typeOfLevel"], "left").where("listed IS NULL OR wanted")
+    levels = conditions.groupBy("varname").agg(F.collect_set("typeOfLevel").alias("_levels"))
+    marked = df.join(levels, "varname", "left").where(F.col("_levels").isNull() | F.array_contains("_levels", F.col("typeOfLevel")))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("length"), "idx", "uri"))
-    best = marked.where("listed").withColumn("n", rank).where("n = 1").drop("n")
-    return best.unionByName(marked.where("listed IS NULL")).drop("listed", "wanted")
+    return marked.withColumn("_n", rank).where("_n = 1 OR _levels IS NULL").drop("_n", "_levels")
 
 
 def dedupe_attrs(df: DataFrame, keys: tuple[str, ...] = ("file", "attrs")) -> DataFrame:
@@ -30,16 +29,27 @@ def dedupe_attrs(df: DataFrame, keys: tuple[str, ...] = ("file", "attrs")) -> Da
     return df.withColumn("n", rank).where("n = 1").drop("n")
 
 
+def place_on_axis(df: DataFrame, column: str, name: str, key: str = "varname") -> DataFrame:
+    """`name`: place of a row's value among the different values of its key; only these are ranked."""
+    axis = df.select(key, column).distinct()
+    ranked = axis.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(column)) - 1)
+    return df.join(ranked, [key, column])
+
+
 def step_position(df: DataFrame) -> DataFrame:
-    return df.withColumn("position", F.dense_rank().over(Window.partitionBy("varname").orderBy("step_h")) - 1)
+    return place_on_axis(df, "step_h", "position")
+
 
+def hour_index(df: DataFrame, hour: str = "step_h", mode: str = "fail") -> DataFrame:
+    """Position of a forecast hour on the 3-hourly (to 144) and 6-hourly (150 to 360) axis.
 
-def hour_index(df: DataFrame, hour: str = "step_h") -> DataFrame:
-    """Position of a forecast hour on the 3-hourly (to 144) and 6-hourly (150 to 360) axis; null where it is on neither."""
+    An hour that is on neither fails the job; in mode 'null' its position is null.
+    """
     h = F.col(hour)
     early = (h >= 0) & (h <= 144) & (h % 3 == 0)
     late = (h >= 150) & (h <= 360) & ((h - 150) % 6 == 0)
-    return df.withColumn("hour_index", F.when(early, (h / 3).cast("int")).when(late, (49 + (h - 150) / 6).cast("int")))
+    other = F.lit(None).cast("int") if mode == "null" else F.raise_error(F.concat(F.lit("no forecast hour of the axis: "), F.coalesce(h.cast("string"), F.lit("null")))).cast("int")
+    return df.withColumn("hour_index", F.when(early, (h / 3).cast("int")).when(late, (49 + (h - 150) / 6).cast("int")).otherwise(other))
 
 
 def latest_run(df: DataFrame, run: str = "run_time", keys: tuple[str, ...] = ()) -> DataFrame:
@@ -47,12 +57,13 @@ def latest_run(df: DataFrame, run: str = "run_time", keys: tuple[str, ...] = ())
 
 
 def first_variable_rows(df: DataFrame) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("varname").orderBy("file", "idx"))
-    return df.withColumn("n", rank).where("n = 1").drop("n")
+    """The first row of each variable by file and idx."""
+    rest = [c for c in df.columns if c != "varname"]
+    return df.groupBy("varname").agg(F.min_by(F.struct(*rest), F.struct("file", "idx")).alias("r")).select("varname", "r.*")
 
 
-def sort_index(df: DataFrame) -> DataFrame:
-    return df.orderBy("run_time", "varname", "file", "idx")
+def sort_index(df: DataFrame, time: str = "time") -> DataFrame:
+    return df.orderBy(time, "varname", "file", "idx")
 
 
 def member_files_sorted(files: DataFrame, member: str) -> DataFrame:

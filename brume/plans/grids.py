@@ -12,13 +12,14 @@ from ..operators import filters as L
 from ..operators import joins as J
 from ..operators import sets as S
 from ..operators import store as R
-from ..schemas import REGIONS, THRESHOLDS_MM, UNITS
+from ..schemas import REGIONS, UNITS
 from ..sources import stores as O
 from . import views as V
 from .messages import KINDEX, kindex, sql
 from .registry import query
 
 KEYS = "varname, member, cell"
+NAMES = ["click", "error", "purchase", "signup", "view"]
 FC = """fc AS (SELECT varname, member, cell, CAST(ceil(step_h / 24.0) AS INT) AS day, CAST(sum(CASE WHEN isnan(CAST(value AS DOUBLE)) THEN 0 ELSE CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) AS value FROM {src} WHERE step_h > 0 GROUP BY ALL HAVING count(*) = 8)"""
 PROB = """prob AS (SELECT varname, day, cell, threshold, round(100.0 * count_if(value >= threshold) / count(*), 6) AS probability FROM fc, (SELECT unnest([5.0, 25.0, 50.0, 75.0, 100.0, 125.0]::DOUBLE[]) AS threshold) GROUP BY ALL)"""
 STATS = """stats AS (SELECT varname, step_h, cell, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, max(v) AS max, min(v) AS min FROM (SELECT *, CASE WHEN NOT isnan(value) THEN value END AS v FROM nans) GROUP BY ALL)"""
@@ -145,12 +146,12 @@ def valid_numeric(spark, d):
     return L.valid_numeric(V.cells_nan(spark, d)).select("varname", "member", "step_h", "cell", "value")
 
 
-@query(sql("SELECT e.varname, e.member, e.cell, e.step_h, CAST(greatest(e.value - s.value, 0) AS DOUBLE) AS total FROM cum e JOIN cum s ON s.varname = e.varname AND s.member = e.member AND s.cell = e.cell AND s.step_h = e.step_h - 24", "cum"))
+@query(sql("SELECT varname, member, cell, step_h, CAST(greatest(value - start, 0) AS DOUBLE) AS total FROM (SELECT *, max(value) OVER (PARTITION BY varname, member, cell ORDER BY step_h RANGE BETWEEN 24 PRECEDING AND 24 PRECEDING) AS start FROM cum) WHERE start IS NOT NULL", "cum"))
 def diff_24h(spark, d):
     return as_double(J.diff_24h(V.cells_cumulative(spark, d)), "total")
 
 
-@query(sql("SELECT e.varname, e.member, e.cell, e.step_h, CAST(CASE WHEN e.step_h <= 48 THEN e.value ELSE greatest(e.value - s.value, 0) END AS DOUBLE) AS total FROM cum e LEFT JOIN cum s ON s.varname = e.varname AND s.member = e.member AND s.cell = e.cell AND s.step_h = e.step_h - 48", "cum"))
+@query(sql("SELECT varname, member, cell, step_h, CAST(CASE WHEN step_h <= 48 THEN value ELSE greatest(value - start, 0) END AS DOUBLE) AS total FROM (SELECT *, max(value) OVER (PARTITION BY varname, member, cell ORDER BY step_h RANGE BETWEEN 48 PRECEDING AND 48 PRECEDING) AS start FROM cum)", "cum"))
 def precip_window(spark, d):
     return as_double(J.precip_window(V.cells_cumulative(spark, d), 48), "total")
 
@@ -194,10 +195,10 @@ def concat_members(spark, d):
     return S.concat_members(parts)
 
 
-@query(sql("SELECT varname, member, step_h, cell FROM dense WHERE step_h <= 48", "dense"))
+@query(sql("SELECT varname, member, step_h, cell FROM dense", "dense"))
 def combine_hours(spark, d):
     c = V.cells_dense(spark, d)
-    return S.combine_hours([c.where("step_h <= 24"), c.where("step_h > 24 AND step_h <= 48")]).select("varname", "member", "step_h", "cell")
+    return S.combine_hours([c.where("step_h <= 24"), c.where("step_h > 24 AND step_h <= 48"), c.where("step_h > 48")]).select("varname", "member", "step_h", "cell")
 
 
 @query(sql("SELECT varname, member, step_h, cell FROM cells WHERE step_h NOT IN (SELECT step_h FROM cells WHERE step_h % 2 = 0)", "cells"))
@@ -206,9 +207,15 @@ def append_new_times(spark, d):
     return O.new_times(c, c.where("step_h % 2 = 0"), "step_h").select("varname", "member", "step_h", "cell")
 
 
-@query(sql("SELECT step_h, cell, " + ", ".join(f"round(avg(v) FILTER (varname = '{n}'), 6) AS {n}_ensemble_mean, round(stddev_pop(v) FILTER (varname = '{n}'), 6) AS {n}_ensemble_standard_deviation" for n in ("click", "purchase")) + " FROM (SELECT *, CASE WHEN NOT isnan(value) THEN value END AS v FROM nans) WHERE varname IN ('click', 'purchase') GROUP BY ALL", "nans"))
+@query(sql("SELECT step_h, TIMESTAMP '2024-01-01' + to_hours(step_h) AS valid_time, cell, " + ", ".join(f"round(CAST(CAST(avg(v) FILTER (varname = '{n}') AS FLOAT) AS DOUBLE), 3) AS {n}_ensemble_mean, round(CAST(CAST(stddev_pop(v) FILTER (varname = '{n}') AS FLOAT) AS DOUBLE), 3) AS {n}_ensemble_standard_deviation" for n in NAMES) + " FROM (SELECT *, CASE WHEN NOT isnan(value) THEN value END AS v FROM nans) GROUP BY ALL", "nans"))
 def write_feature_cube(spark, d):
-    return O.feature_cube(V.cells_nan(spark, d).where("varname IN ('click', 'purchase')"), ["click", "purchase"])
+    """The cube of all variables, written and read back; float32 values are compared at three places."""
+    from ..sources.scratch import shared_table
+
+    timed = V.cells_nan(spark, d).withColumn("valid_time", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("step_h")))
+    cube = shared_table(O.feature_cube(timed, NAMES), "cube")
+    assert all(t == "float" for c, t in cube.dtypes if "ensemble" in c)
+    return cube.select("step_h", "valid_time", "cell", *(F.round(F.col(c).cast("double"), 3).alias(c) for c in cube.columns if "ensemble" in c))
 
 
 RUNS = "runs AS (SELECT DISTINCT CAST(o_orderdate AS TIMESTAMP) AS run_time FROM orders)"
@@ -246,10 +253,9 @@ VALID = "valid AS (SELECT valid_time, CAST(row_number() OVER (ORDER BY valid_tim
 
 
 def valid_times(spark, d):
-    from pyspark.sql import Window
-
-    times = kindex(spark, d).select(F.col("time").alias("valid_time")).distinct()
-    return times.withColumn("j", F.row_number().over(Window.orderBy("valid_time")) - 1)
+    """Run times in order, numbered: one row of all of them, as they are the axis of an array."""
+    times = kindex(spark, d).agg(F.sort_array(F.collect_set("time")).alias("t"))
+    return times.select(F.posexplode("t").alias("j", "valid_time"))
 
 
 @query(sql("SELECT pos AS horizon_pos, j, valid_time, CAST(steps[j % len(steps) + 1] AS INT) AS step_h, valid_time - to_hours(CAST(steps[j % len(steps) + 1] AS INT)) AS \"time\" FROM valid, (SELECT 0 AS pos, [0, 3, 6, 9] AS steps UNION ALL SELECT 1, [12, 15])", "msg", "mapping", also=f"{KINDEX},\n{VALID}"))
@@ -273,6 +279,11 @@ def fmrc_run_time(spark, d):
 BEST = """grid AS (SELECT valid_time, least(valid_time, r) AS "time", CAST(date_diff('hour', least(valid_time, r), valid_time) AS INT) AS step_h FROM (SELECT DISTINCT valid_time FROM kindex), (SELECT quantile_disc("time", 0.5) AS r FROM (SELECT DISTINCT "time" FROM kindex)))"""
 
 
+STORE = """vt AS (SELECT valid_time, row_number() OVER (ORDER BY valid_time) - 1 AS i FROM (SELECT DISTINCT valid_time FROM grid)),
+met AS (SELECT k.* EXCLUDE (valid_time), g.valid_time, varname || '/' || "stepType" || '/' || "typeOfLevel" AS path FROM grid g JOIN kindex k ON k."time" = g."time" AND k.step_h = g.step_h),
+placed AS (SELECT met.*, i, dense_rank() OVER (PARTITION BY path ORDER BY level) - 1 AS k FROM met JOIN vt USING (valid_time))"""
+
+
 def best_grid(spark, d):
     k = kindex(spark, d)
     days = k.select("time").distinct()
@@ -285,9 +296,12 @@ def fmrc_best_available(spark, d):
     return best_grid(spark, d)
 
 
-@query(sql("SELECT k.file, k.idx, g.valid_time, g.\"time\", g.step_h, k.uri, k.\"offset\" FROM grid g JOIN kindex k ON k.\"time\" = g.\"time\" AND k.step_h = g.step_h", "msg", "mapping", also=f"{KINDEX},\n{BEST}"))
+@query(sql("""SELECT path || '/' || varname || '/' || i || '.' || k || '.0.0' AS key, 'chunk' AS kind, min_by(uri, (uri, "offset")) AS uri, min_by("offset", (uri, "offset")) AS "offset", min_by(length, (uri, "offset")) AS length, NULL AS meta FROM placed GROUP BY path, varname, i, k
+UNION ALL SELECT path || '/' || varname || '/.zarray', 'array', NULL, NULL, NULL, '{"shape":[' || (SELECT count(*) FROM vt) || ',' || count(DISTINCT level) || ',721,1440],"chunks":[1,1,721,1440],"dims":["valid_times","level","latitude","longitude"]}' FROM met GROUP BY path, varname
+UNION ALL SELECT DISTINCT path || '/valid_time/0', 'coord', NULL, NULL, NULL, '{"shape":[' || (SELECT count(*) FROM vt) || '],"chunks":[' || (SELECT count(*) FROM vt) || '],"dims":["valid_times"]}' FROM met""", "msg", "mapping", also=f"{KINDEX},\n{BEST},\n{STORE}"))
 def reinflate(spark, d):
-    return R.reinflate(best_grid(spark, d), kindex(spark, d).drop("valid_time")).select("file", "idx", "valid_time", "time", "step_h", "uri", "offset")
+    """The whole store of the best-available axis: chunks, array and coordinate entries."""
+    return R.reinflate(best_grid(spark, d), kindex(spark, d).drop("valid_time")).drop("inline")
 
 
 @query(sql("SELECT file, idx, \"time\" + INTERVAL 30 DAY AS \"time\", valid_time + INTERVAL 30 DAY AS valid_time FROM kindex", "msg", "mapping", also=KINDEX))
@@ -303,44 +317,38 @@ def cells_from_grid(spark, d):
     return R.cells_from_grid(e, width=8)
 
 
-@query("SELECT label AS \"array\", CAST(vec_id * 64 + i - 1 AS BIGINT) AS place, CAST(embedding[i] AS DOUBLE) AS value FROM embeddings, unnest(range(1, 65)) AS u(i) WHERE vec_id * 64 + i - 1 < 10000")
+@query("SELECT label AS \"array\", CAST(vec_id * 64 + i - 1 AS BIGINT) AS place, CAST(embedding[i] AS DOUBLE) AS value FROM embeddings, unnest(range(1, 65)) AS u(i) WHERE vec_id * 64 + i - 1 < (SELECT max(vec_id) * 64 + 50 FROM embeddings)")
 def assemble_grid(spark, d):
     e = V.table(spark, d, "embeddings").select(F.col("label").alias("array"), F.col("vec_id").alias("chunk_idx"), F.transform("embedding", lambda x: x.cast("double")).alias("values"))
-    return R.assemble_grid(e, 10_000, 64)
+    size = e.agg(F.max("chunk_idx")).first()[0] * 64 + 50  # the last chunk hangs over the edge
+    return R.assemble_grid(e, size, 64)
 
 
-@query("SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS first, CAST(embedding[64] AS DOUBLE) AS last, 'doubles' AS status FROM embeddings")
+@query("SELECT vec_id, CAST(i - 1 AS INT) AS pos, CAST(embedding[i] AS DOUBLE) AS value, 'doubles' AS status FROM embeddings, unnest(range(1, 65)) AS u(i)")
 def decoder(spark, d):
-    """Values packed as bytes, read back by the first decoder that can."""
-    import struct
-
-    from ..sources.scratch import packed_doubles
+    """All values packed as bytes, read back by the first decoder that can."""
+    import numpy as np
 
-    e = V.table(spark, d, "embeddings").select("vec_id", F.get("embedding", 0).cast("double").alias("a"), F.get("embedding", 63).cast("double").alias("b"))
+    e = V.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
 
     def whole(raw):
         if len(raw) != 3:
             raise ValueError("not three bytes")
         return list(raw)
 
-    def doubles(raw):
-        return struct.unpack(f"<{len(raw) // 8}d", raw)
-
-    out = R.decode_chunks(e.withColumn("data", packed_doubles("a", "b")), {"whole": whole, "doubles": doubles})
-    return out.select("vec_id", F.get("values", 0).alias("first"), F.get("values", 1).alias("last"), "status")
+    out = R.decode_chunks(e.select("vec_id", R.packed_values("v").alias("data")), {"whole": whole, "doubles": lambda raw: np.frombuffer(raw, "<f8")})
+    return out.select("vec_id", F.posexplode("values").alias("pos", "value"), "status")
 
 
-@query("SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS first FROM embeddings")
+@query("SELECT vec_id, CAST(i - 1 AS INT) AS pos, CAST(embedding[i] AS DOUBLE) AS value FROM embeddings, unnest(range(1, 65)) AS u(i)")
 def bytes_to_array(spark, d):
-    from ..sources.scratch import packed_doubles
+    e = V.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    return R.bytes_to_array(e.select("vec_id", R.packed_values("v").alias("data")), dtype="<f8").select("vec_id", F.posexplode("values").alias("pos", "value"))
 
-    e = V.table(spark, d, "embeddings").select("vec_id", F.get("embedding", 0).cast("double").alias("a"))
-    return R.bytes_to_array(e.withColumn("data", packed_doubles("a")), dtype="<f8").select("vec_id", F.get("values", 0).alias("first"))
 
-
-@query(sql("SELECT step_h, member, cell, CAST(max(value) FILTER (varname = 'click') AS DOUBLE) AS click, CAST(max(value) FILTER (varname = 'purchase') AS DOUBLE) AS purchase FROM dense GROUP BY ALL", "dense"))
+@query(sql("SELECT step_h, member, cell, " + ", ".join(f"CAST(max(value) FILTER (varname = '{n}') AS DOUBLE) AS {n}" for n in NAMES) + " FROM dense GROUP BY ALL", "dense"))
 def flatten_tree(spark, d):
-    return R.flatten_tree(as_double(V.cells_dense(spark, d)), ["click", "purchase"])
+    return R.flatten_tree(as_double(V.cells_dense(spark, d)), NAMES)
 
 
 NORM = """ns AS (SELECT varname, round(avg(v), 6) AS f_mean, round(stddev_pop(v), 6) AS f_std, min(v) AS f_min, max(v) AS f_max FROM (SELECT varname, CASE WHEN NOT isnan(value) THEN value END AS v FROM nans) GROUP BY 1)"""
@@ -360,20 +368,26 @@ def normalize_field(spark, d):
 CHANNELS = """hs AS (SELECT DISTINCT step_h AS step_1, step_h + 3 AS step_2 FROM cells), ch AS (SELECT a.varname, a.cell, step_1, step_2, a.mean AS mean_1, a.std AS std_1, b.mean AS mean_2, b.std AS std_2 FROM hs JOIN stats a ON a.step_h = step_1 JOIN stats b ON b.step_h = step_2 AND b.varname = a.varname AND b.cell = a.cell)"""
 
 
+NCH = """nm AS (SELECT varname, round(avg(mean), 6) AS f_mean, round(stddev_pop(mean), 6) AS f_std, max(mean) AS f_max FROM stats GROUP BY 1),
+nch AS (SELECT varname, cell, step_1, step_2, """ + ", ".join(f"round(CASE varname WHEN 'purchase' THEN log10(1 + greatest({c}, 0)) WHEN 'click' THEN ({c} - f_mean) / f_std WHEN 'view' THEN {c} / f_max ELSE {c} END, 6) AS {c}" for c in ("mean_1", "std_1", "mean_2", "std_2")) + " FROM ch JOIN nm USING (varname))"
+
+
 def channels(spark, d):
     c = V.cells_nan(spark, d)
-    return M.four_channel(A.ensemble_stats(c), V.cells(spark, d).select(F.col("step_h").alias("step_1"), (F.col("step_h") + 3).alias("step_2")).distinct())
+    stats = A.ensemble_stats(c)
+    known = M.norm_stats(stats.select("varname", F.col("mean").alias("value")))
+    return M.four_channel(M.normalize_field(stats, known, KINDS, ("mean", "std")), V.cells(spark, d).select(F.col("step_h").alias("step_1"), (F.col("step_h") + 3).alias("step_2")).distinct())
 
 
-@query(sql("SELECT * FROM ch", "nans", also=f"{STATS},\n{CHANNELS}"))
+@query(sql("SELECT * FROM nch", "nans", also=f"{STATS},\n{CHANNELS},\n{NCH}"))
 def four_channel(spark, d):
     return channels(spark, d)
 
 
-@query(sql("SELECT step_1, step_2, cell, CAST(4 * count(*) AS INT) AS n, max(mean_1) FILTER (varname = 'click') AS first FROM ch WHERE varname IN ('click', 'purchase') GROUP BY ALL", "nans", also=f"{STATS},\n{CHANNELS}"))
+@query(sql("SELECT step_1, step_2, cell, CAST(4 * count(*) AS INT) AS n, max(mean_1) FILTER (varname = 'click') AS first, max(std_2) FILTER (varname = 'view') AS last FROM nch GROUP BY ALL", "nans", also=f"{STATS},\n{CHANNELS},\n{NCH}"))
 def feature_tensor(spark, d):
-    t = M.feature_tensor(channels(spark, d).where("varname IN ('click', 'purchase')"), ["click", "absent", "purchase"])
-    return t.select("step_1", "step_2", "cell", F.size("features").alias("n"), F.get("features", 0).alias("first"))
+    t = M.feature_tensor(channels(spark, d), ["click", "absent", "error", "purchase", "signup", "view"])
+    return t.select("step_1", "step_2", "cell", F.size("features").alias("n"), F.get("features", 0).alias("first"), F.element_at("features", -1).alias("last"))
 
 
 @query(sql("SELECT varname, member AS ensemble, CAST(dense_rank() OVER (PARTITION BY varname ORDER BY step_h) - 1 AS INT) AS time_index, cell, CAST(value AS DOUBLE) AS value FROM cells", "cells"))
@@ -391,7 +405,3 @@ def input_state(spark, d):
 def extract_all_steps(spark, d):
     steps = V.cells(spark, d).select((F.col("step_h") * 2).alias("step_h")).distinct()
     return as_double(M.extract_all_steps(V.cells(spark, d), "purchase", steps)).select("step_h", "member", "cell", "value", "missing")
-
-
-def thresholds() -> list[float]:
-    return THRESHOLDS_MM

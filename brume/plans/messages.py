@@ -45,6 +45,14 @@ def json_index(spark, d):
     return m.select("file", F.concat(F.to_json(doc), F.lit(",")).alias("value"))
 
 
+def lenient_lines(spark, d):
+    """Index lines with their number in the file, and four broken ones in each file."""
+    m = V.msg_index(spark, d)
+    good = m.select("file", F.col("idx").alias("line_num"), F.concat_ws(":", F.col("idx").cast("string"), F.col("offset").cast("string"), F.concat(F.lit("d="), F.date_format("run_time", "yyyyMMddHH")), "code", F.format_string("%d mb", F.col("level_no") * 100), F.format_string("%d hour fcst", "step_h"), F.lit("")).alias("value"))
+    bad = m.select("file").distinct().select("file", F.lit(0).alias("line_num"), F.explode(F.array(F.lit(""), F.lit("x:1"), F.lit("12.1:0:d=1:a:b:c:"), F.lit("12:end:d=1:a:b:c:"))).alias("value"))
+    return good.unionByName(bad)
+
+
 def typed(spark, d):
     """Messages with the archive's JSON names."""
     m = V.msg_index(spark, d)
@@ -56,13 +64,24 @@ def refs(spark, d):
     return P.build_ref_key(named).select("key", F.lit("ref").alias("kind"), "uri", "offset", "length", "file", "idx", "step_h", "number")
 
 
+def template(spark, d):
+    """The template, worked out once and written: Spark knows its size from then on."""
+    from ..sources.scratch import shared_table
+
+    return shared_table(V.mapping(spark, d), "template")
+
+
 def kindex(spark, d):
     return J.map_from_index(W.dedupe_attrs(V.msg_index(spark, d)), V.mapping(spark, d))
 
 
-def conditions(spark, d):
+def listed(mapping):
     """Variables whose largest message is wanted: those with an instant form."""
-    return V.mapping(spark, d).where("stepType = 'instant'").select("varname", "typeOfLevel").distinct()
+    return mapping.where("stepType = 'instant'").select("varname", "typeOfLevel").distinct()
+
+
+def conditions(spark, d):
+    return listed(V.mapping(spark, d))
 
 
 CONDITIONS = """cond AS (SELECT DISTINCT varname, "typeOfLevel" FROM mapping WHERE "stepType" = 'instant')"""
@@ -79,12 +98,14 @@ def read_idx_json(spark, d):
     return I.read_idx_json(json_index(spark, d)).drop("time")
 
 
-@query(sql("SELECT file, idx AS record, \"offset\", 'd=' || strftime(run_time, '%Y%m%d%H') AS date, code AS varname, (level_no * 100) || ' mb' AS level, step_h || ' hour fcst' AS forecast FROM msg", "msg"))
+@query(sql("SELECT file, CAST(idx AS INT) AS line_num, idx AS record, \"offset\", 'd=' || strftime(run_time, '%Y%m%d%H') AS date, code AS varname, (level_no * 100) || ' mb' AS level, step_h || ' hour fcst' AS forecast FROM msg", "msg"))
 def read_idx_lenient(spark, d):
-    m = V.msg_index(spark, d)
-    good = m.select("file", F.concat_ws(":", F.col("idx").cast("string"), F.col("offset").cast("string"), F.concat(F.lit("d="), F.date_format("run_time", "yyyyMMddHH")), "code", F.format_string("%d mb", F.col("level_no") * 100), F.format_string("%d hour fcst", "step_h"), F.lit("")).alias("value"))
-    bad = m.select("file").distinct().select("file", F.explode(F.array(F.lit(""), F.lit("x:1"), F.lit("12.1:0:d=1:a:b:c:"))).alias("value"))
-    return I.read_idx_lenient(good.unionByName(bad))
+    return I.read_idx_lenient(lenient_lines(spark, d))
+
+
+@query(sql("SELECT file, count(*) + 4 AS n_lines, CAST(2 AS BIGINT) AS n_short, CAST(2 AS BIGINT) AS n_not_integer FROM msg GROUP BY file", "msg"))
+def bad_lines(spark, d):
+    return I.bad_lines(lenient_lines(spark, d), "file")
 
 
 @query(sql("SELECT key, 'ref' AS kind, uri, \"offset\", length FROM refs", "msg", also=REFS))
@@ -94,10 +115,11 @@ def read_reference_table(spark, d):
 
 @query(sql("SELECT DISTINCT attrs, varname, level, map_step_h AS forecast_hour FROM mapping", "msg", "mapping"))
 def read_mapping(spark, d):
-    from ..sources.scratch import shared_table
+    from ..sources.scratch import shared_path
 
-    m = V.mapping(spark, d).withColumns({"member": F.lit("control"), "forecast_hour": F.col("map_step_h")})
-    return shared_table(m, "mapping", ["member", "forecast_hour"]).select("attrs", "varname", "level", F.col("forecast_hour").cast("int").alias("forecast_hour"))
+    path = shared_path(spark, "mapping")
+    O.write_mapping(V.mapping(spark, d).withColumns({"member": F.lit("control"), "forecast_hour": F.col("map_step_h")}), path)
+    return O.read_mapping(spark, path).select("attrs", "varname", "level", F.col("forecast_hour").cast("int").alias("forecast_hour"))
 
 
 @query(sql("SELECT number AS member, key, uri, \"offset\", length FROM (SELECT *, row_number() OVER (PARTITION BY number, key ORDER BY step_h DESC, uri DESC, \"offset\" DESC) AS n FROM (SELECT * REPLACE (replace(key, printf('step_%03d/', step_h), '') AS key) FROM refs)) WHERE n = 1", "msg", also=REFS))
@@ -106,9 +128,16 @@ def load_member_hours(spark, d):
     return O.load_member_hours(r).select("member", "key", "uri", "offset", "length")
 
 
-@query(sql("SELECT path, size FROM listing WHERE regexp_matches(path, 'gep[0-2]')", "listing"))
+@query("SELECT name AS file FROM (SELECT unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'benchmark']) || '.parquet' AS name) WHERE NOT contains(name, 'nation')")
 def list_files(spark, d):
-    return O.select_files(V.listing(spark, d), "gep[0-2]").select("path", "size")
+    """Files in the folder of the tables; those of tables that may be folders are left out."""
+    found = O.list_files(spark, d, r"/(region|nation|customer|supplier|part|orders|lineitem|events|benchmark)\.parquet$", "nation")
+    return found.where("size > 0").select(F.substring_index("path", "/", -1).alias("file"))
+
+
+@query(sql("SELECT path, size FROM listing WHERE regexp_matches(path, 'gep') AND NOT regexp_matches(path, 'f000$')", "listing"))
+def select_files(spark, d):
+    return O.select_files(V.listing(spark, d), "gep", "f000$").select("path", "size")
 
 
 @query("WITH r AS (SELECT DISTINCT o_orderdate AS run_time FROM orders) SELECT CAST(run_time AS TIMESTAMP) AS run_time, CAST(m AS INT) AS member, CAST(h AS INT) AS forecast_hour, printf('s3://bucket/%s/%s/ge%02d.f%03d', strftime(run_time, '%Y%m%d'), strftime(run_time, '%H'), m, h) AS path FROM r, unnest(range(1, 4)) AS a(m), unnest(range(0, 25, 6)) AS b(h)")
@@ -137,9 +166,9 @@ def valid_time(spark, d):
     return P.valid_time(V.msg_index(spark, d)).select("file", "idx", "valid_time")
 
 
-@query(sql("SELECT file, param AS varname, levtype AS \"typeOfLevel\", CAST(levelist AS DOUBLE) AS level, 'instant' AS \"stepType\", step_h, step_h AS forecast_hour, \"offset\", length FROM js", "msg", also=JSONS))
+@query(sql("SELECT file, param AS varname, levtype AS \"typeOfLevel\", CAST(levelist AS DOUBLE) AS level, 'instant' AS \"stepType\", step_h, step_h AS forecast_hour, \"offset\", length, date_trunc('day', run_time) AS \"time\", date_trunc('day', run_time) + to_hours(step_h) AS valid_time FROM js", "msg", also=JSONS))
 def standardize_index(spark, d):
-    t = typed(spark, d).withColumn("uri", F.format_string("s3://a/20240101-%dh-oper.grib2", "step_h"))
+    t = typed(spark, d).withColumn("uri", F.concat(F.lit("s3://a/"), F.date_format("run_time", "yyyyMMdd"), F.format_string("000000-%dh-oper.grib2", "step_h")))
     named = t.withColumn("uri", F.concat_ws("|", "uri", F.col("file").cast("string")))
     return P.standardize_index(named).withColumn("file", F.substring_index("uri", "|", -1).cast("bigint")).drop("uri")
 
@@ -149,9 +178,12 @@ def standardize_index_cf(spark, d):
     return P.standardize_index_cf(typed(spark, d), {"ao": "air_one", "ro": "rain_one"}).select("file", "idx", "varname", "typeOfLevel", "level", "stepType", "step_h")
 
 
-@query(sql("SELECT key, step_h, split_part(key, '/', 2) AS varname, split_part(key, '/', 3) AS level, split_part(key, '/', 4) AS member FROM refs", "msg", also=REFS))
+@query(sql("SELECT key, CASE WHEN idx % 3 <> 2 THEN step_h END AS step_h, split_part(own, '/', 2) AS varname, split_part(own, '/', 3) AS level, split_part(own, '/', 4) AS member FROM (SELECT key AS own, idx, step_h, CASE idx % 3 WHEN 0 THEN key WHEN 1 THEN split_part(key, '/', 2) || '/' || split_part(key, '/', 3) || '/' || step_h || '/' || split_part(key, '/', 4) || '/0.0' ELSE split_part(key, '/', 2) || '/' || split_part(key, '/', 3) || '/' || split_part(key, '/', 4) || '/0.0.0' END AS key FROM refs)", "msg", also=REFS))
 def parse_ref_key(spark, d):
-    return P.parse_ref_key(refs(spark, d).select("key"))
+    part = lambda n: F.split_part("key", F.lit("/"), F.lit(n))
+    middle = F.concat_ws("/", part(2), part(3), F.col("step_h").cast("string"), part(4), F.lit("0.0"))
+    form = F.when(F.col("idx") % 3 == 0, F.col("key")).when(F.col("idx") % 3 == 1, middle).otherwise(F.concat_ws("/", part(2), part(3), part(4), F.lit("0.0.0")))
+    return P.parse_ref_key(refs(spark, d).select(form.alias("key")))
 
 
 @query(sql("SELECT file, idx, code || '/instant/pl/' || code AS path, step_h // 3 AS i, level_no AS j FROM msg", "msg"))
@@ -171,10 +203,12 @@ def build_hier_key(spark, d):
     return P.build_hier_key(t).select("file", "idx", "key")
 
 
-@query(sql("SELECT file, idx, number AS member_no, CASE WHEN number = 0 THEN 'control' ELSE printf('ens%02d', number) END AS member FROM msg", "msg"))
+@query(sql("SELECT file, idx, CASE WHEN number % 10 <> 9 THEN number END AS member_no, CASE WHEN number % 10 = 9 THEN NULL WHEN number = 0 THEN 'control' ELSE printf('ens%02d', number) END AS member FROM msg", "msg"))
 def normalize_member(spark, d):
+    """Numbers and names in all forms; each tenth is no member's name."""
     form = F.when(F.col("number") % 3 == 0, F.col("number").cast("string")).when(F.col("number") % 3 == 1, F.format_string("ens%02d", "number")).otherwise(F.concat(F.lit("ens_"), F.col("number").cast("string")))
-    m = V.msg_index(spark, d).withColumn("number", F.when(F.col("number") == 0, F.when(F.col("idx") % 2 == 0, "-1")).otherwise(form))
+    control = F.element_at(F.array(F.lit("-1"), F.lit(None), F.lit("control")), F.col("idx") % 3 + 1)
+    m = V.msg_index(spark, d).withColumn("number", F.when(F.col("number") == 0, control).when(F.col("number") % 10 == 9, "mean").otherwise(form))
     return P.normalize_member(m).select("file", "idx", "member_no", "member")
 
 
@@ -315,12 +349,14 @@ RUN = """best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY varna
 
 @query(sql("SELECT file, idx, varname, \"time\", valid_time, uri, \"offset\", length FROM best", "msg", "mapping", also=f"{KINDEX},\n{CONDITIONS},\n{RUN}"))
 def mapped_index_run(spark, d):
-    return J.mapped_index_run(V.msg_index(spark, d), V.mapping(spark, d), conditions(spark, d)).select("file", "idx", "varname", "time", "valid_time", "uri", "offset", "length")
+    m = template(spark, d)
+    return J.mapped_index_run(V.msg_index(spark, d), m, listed(m)).select("file", "idx", "varname", "time", "valid_time", "uri", "offset", "length")
 
 
 @query(sql("SELECT file, idx, varname, length FROM best", "msg", "mapping", also=f"{KINDEX},\n{CONDITIONS},\n{RUN}"))
 def dedupe_largest(spark, d):
-    return W.dedupe_largest(kindex(spark, d), conditions(spark, d)).select("file", "idx", "varname", "length")
+    m = template(spark, d)
+    return W.dedupe_largest(J.map_from_index(W.dedupe_attrs(V.msg_index(spark, d)), m), listed(m)).select("file", "idx", "varname", "length")
 
 
 @query(sql("SELECT file, idx, attrs, varname FROM (SELECT m.file, m.idx, attrs, varname, row_number() OVER (PARTITION BY m.file, attrs ORDER BY m.idx) AS n FROM msg m LEFT JOIN grib USING (uri, idx)) WHERE n = 1", "msg", also=GRIB))
@@ -392,7 +428,7 @@ def file_pairs(spark, d):
     return pairs(spark, d)
 
 
-@query(sql("SELECT round(100.0 * count_if(grb2_exists) / count(*), 6) AS grb2_percent, round(100.0 * count_if(idx_exists) / count(*), 6) AS idx_percent, round(100.0 * count_if(both_exist) / count(*), 6) AS both_percent, CAST(sum(CAST(grb2_size_mb AS DECIMAL(18,2))) AS DOUBLE) AS total_mb, round(avg(grb2_size_mb), 6) AS mean_mb, count_if(NOT both_exist) AS n_missing, min(file) FILTER (NOT both_exist) AS first_missing FROM pairs", "listing", also=PAIRS))
+@query(sql("SELECT round(100.0 * count_if(grb2_exists) / count(*), 6) AS grb2_percent, round(100.0 * count_if(idx_exists) / count(*), 6) AS idx_percent, round(100.0 * count_if(both_exist) / count(*), 6) AS both_percent, CAST(sum(CAST(grb2_size_mb AS DECIMAL(18,2))) AS DOUBLE) AS total_mb, round(avg(grb2_size_mb), 6) AS mean_mb, count_if(NOT both_exist) AS n_missing, (SELECT string_agg(CAST(file AS VARCHAR), ',' ORDER BY file) FROM (SELECT file FROM pairs WHERE NOT both_exist ORDER BY file LIMIT 5)) AS first_missing FROM pairs", "listing", also=PAIRS))
 def pair_summary(spark, d):
     return A.pair_summary(pairs(spark, d))
 
@@ -420,7 +456,7 @@ def step_position(spark, d):
 
 @query(sql("SELECT DISTINCT step_h, CAST(CASE WHEN step_h <= 144 THEN step_h // 3 WHEN step_h >= 150 AND (step_h - 150) % 6 = 0 THEN 49 + (step_h - 150) // 6 END AS INT) AS hour_index FROM msg", "msg"))
 def hour_index(spark, d):
-    return W.hour_index(V.msg_index(spark, d).select("step_h").distinct())
+    return W.hour_index(V.msg_index(spark, d).select("step_h").distinct(), mode="null")
 
 
 @query(sql("SELECT number, max(run_time) AS latest_run, arg_max(uri, (run_time, uri)) AS latest_uri FROM msg GROUP BY number", "msg"))
@@ -435,7 +471,7 @@ def first_variable_rows(spark, d):
 
 @query(sql("SELECT \"time\", varname, file, idx FROM kindex ORDER BY 1, 2, 3, 4", "msg", "mapping", also=KINDEX))
 def sort_index(spark, d):
-    return kindex(spark, d).orderBy("time", "varname", "file", "idx").select("time", "varname", "file", "idx")
+    return W.sort_index(kindex(spark, d)).select("time", "varname", "file", "idx")
 
 
 @query(sql("SELECT path, forecast_hour FROM (SELECT path, regexp_extract(path, '/(gep[0-9]{2})[.]', 1) AS member, CAST(regexp_extract(path, 'f([0-9]{3})$', 1) AS INT) AS forecast_hour FROM listing) WHERE member = 'gep05' ORDER BY forecast_hour, path", "listing"))
@@ -463,9 +499,9 @@ def uniqueness_check(spark, d):
     return A.uniqueness_check(V.msg_index(spark, d))
 
 
-@query(sql("SELECT number, count(*) AS n, count(DISTINCT file) AS files, min(number) AS low, max(number) AS high FROM msg GROUP BY ROLLUP (number)", "msg"))
+@query(sql("SELECT number, grouping(number) = 1 AS overall, count(*) AS n, count(DISTINCT file) AS files, round(count_if(number IS NULL) / count(*), 6) AS null_share, min(number) AS low, max(number) AS high FROM (SELECT * REPLACE (CASE WHEN level_no <> 5 THEN number END AS number) FROM msg) GROUP BY ROLLUP (number)", "msg"))
 def member_profile(spark, d):
-    return A.member_profile(V.msg_index(spark, d))
+    return A.member_profile(V.msg_index(spark, d).withColumn("number", F.when(F.col("level_no") != 5, F.col("number"))))
 
 
 @query(sql("SELECT kind, name, n, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, name) AS rank FROM (SELECT 'param' AS kind, code AS name, count(*) AS n FROM msg GROUP BY ALL UNION ALL SELECT 'level', CAST(level_no AS VARCHAR), count(*) FROM msg GROUP BY ALL)) WHERE rank <= 10", "msg"))
@@ -499,12 +535,18 @@ def field_completeness(spark, d):
     return A.field_completeness(m, m.select("code").distinct().withColumn("level_no", F.explode(F.sequence(F.lit(0), F.lit(9)))))
 
 
-@query(sql("SELECT split_part(key, '/', 1) AS first, CAST(least(len(string_split(key, '/')) - 1, 5) AS INT) AS depth, count(*) AS n FROM refs GROUP BY ALL", "msg", also=REFS))
+@query(sql("SELECT split_part(key, '/', 1) AS first, CAST(least(len(string_split(key, '/')) - 1, 5) AS INT) AS depth, count(*) AS n, count(*) AS n_ensemble FROM refs GROUP BY ALL", "msg", also=REFS))
 def store_profile(spark, d):
     return A.store_profile(refs(spark, d))
 
 
-@query(sql("SELECT strftime(run_time, '%Y-%m-%d') AS run_date, count(DISTINCT file) AS n_files, CAST(sum(length) AS BIGINT) AS bytes, bool_or(number = 0) AS has_control, count(DISTINCT CASE WHEN number > 0 THEN number END) AS n_perturbed FROM msg GROUP BY 1", "msg"))
+@query(sql("SELECT coalesce(a.first, b.first) AS first, CAST(4 AS INT) AS depth, coalesce(a.n, 0) AS n_1, coalesce(a.n, 0) AS n_ensemble_1, coalesce(b.n, 0) AS n_2, coalesce(b.n, 0) AS n_ensemble_2 FROM (SELECT split_part(key, '/', 1) AS first, count(*) AS n FROM refs WHERE idx <= 2 GROUP BY 1) a FULL JOIN (SELECT split_part(key, '/', 1) AS first, count(*) AS n FROM refs WHERE idx >= 2 GROUP BY 1) b USING (first)", "msg", also=REFS))
+def compare_profiles(spark, d):
+    r = refs(spark, d)
+    return A.compare_profiles(r.where("idx <= 2"), r.where("idx >= 2"))
+
+
+@query(sql("SELECT strftime(run_time, '%Y-%m-%d') AS run_date, count(DISTINCT file) AS n_files, CAST(sum(length) AS BIGINT) AS bytes, bool_or(number = 0) AS has_control, count(DISTINCT CASE WHEN number > 0 THEN number END) AS n_perturbed, any_value(listed) AS valid_files FROM msg JOIN (SELECT run_time, string_agg(number || ':' || n, ',' ORDER BY number) AS listed FROM (SELECT run_time, number, count(DISTINCT file) AS n FROM msg GROUP BY ALL) GROUP BY 1) USING (run_time) GROUP BY 1", "msg"))
 def run_summary(spark, d):
     return dated(A.run_summary(V.msg_index(spark, d)))
 
@@ -539,19 +581,32 @@ def drop_member_dim(spark, d):
     return R.drop_member_dim(carried).select(F.col("length").alias("file"), "key", "member")
 
 
-@query(sql("SELECT file, idx, CASE idx % 4 WHEN 0 THEN 'ens' || number WHEN 1 THEN 'ens' || number WHEN 2 THEN 'control' ELSE 'combined_data' END AS member_group FROM msg", "msg"))
+@query(sql("SELECT file, idx, CASE idx % 6 WHEN 2 THEN 'control' WHEN 3 THEN 'combined_data' ELSE 'ens' || number END AS member_group FROM msg", "msg"))
 def split_members(spark, d):
-    k = F.col("idx") % 4
+    k = F.col("idx") % 6
     n = F.col("number").cast("string")
-    key = F.when(k == 0, F.concat(F.lit("a/number/"), n, F.lit("/0"))).when(k == 1, F.concat(F.lit("a/number_"), n)).when(k == 2, "a/control/0").otherwise("a/b")
-    return R.split_members(V.msg_index(spark, d).withColumn("key", key)).select("file", "idx", "member_group")
+    key = F.when(k == 0, F.concat(F.lit("a/number/"), n, F.lit("/0"))).when(k == 1, F.concat(F.lit("a/number_"), n)).when(k == 2, "a/control/0").when(k == 4, "a/b/.zattrs").otherwise("a/b")
+    value = F.when(k == 4, F.concat(F.lit('{"number": '), n, F.lit("}"))).when(k == 5, F.concat(F.lit('["s3://a/x-ens'), n, F.lit('-0.grib2", 0, 1]')))
+    return R.split_members(V.msg_index(spark, d).withColumns({"key": key, "value": value}), value="value").select("file", "idx", "member_group")
 
 
-@query(sql("SELECT DISTINCT file, '721,51,' || file AS shape, 'step,number,x' AS dims FROM msg WHERE idx = 1", "msg"))
+@query(sql("SELECT file, idx, CASE idx % 3 WHEN 0 THEN '' WHEN 1 THEN 'a/v' ELSE 'a/lat' END AS path, CASE idx % 3 WHEN 0 THEN '' WHEN 1 THEN file || ',9' ELSE '7' END AS shape, CASE idx % 3 WHEN 0 THEN '' WHEN 1 THEN 'step,x' ELSE 'lat' END AS dims, idx % 3 = 0 AS single_member FROM msg WHERE idx < 7 OR idx % 3 <> 2", "msg"))
+def drop_member_arrays(spark, d):
+    """Arrays with and without the member dim; from the seventh on, each third is the member coordinate itself."""
+    k = F.col("idx") % 3
+    long, word = (lambda *x: F.array(*(c.cast("bigint") for c in x))), (lambda *x: F.array(*map(F.lit, x)))
+    path = F.when(k == 0, "").when(k == 1, "a/v").when(F.col("idx") < 7, "a/lat").otherwise("a/number")
+    shape = F.when(k == 0, F.array().cast("array<bigint>")).when(k == 1, long(F.col("file"), F.lit(51), F.lit(9))).otherwise(long(F.lit(7)))
+    dims = F.when(k == 0, F.array().cast("array<string>")).when(k == 1, word("step", "number", "x")).otherwise(word("lat"))
+    out = R.drop_member_arrays(V.msg_index(spark, d).select("file", "idx", path.alias("path"), shape.alias("shape"), shape.alias("chunks"), dims.alias("dims")))
+    return out.select("file", "idx", "path", F.array_join(F.transform("shape", lambda x: x.cast("string")), ",").alias("shape"), F.array_join("dims", ",").alias("dims"), "single_member")
+
+
+@query(sql("SELECT file, idx, CASE WHEN idx % 2 = 1 THEN '721,51,' || file ELSE '51,721,' || file END AS shape, CASE WHEN idx % 2 = 1 THEN 'step,number,x' ELSE 'number,y,x' END AS dims FROM msg", "msg"))
 def add_member_dim(spark, d):
-    m = V.msg_index(spark, d).where("idx = 1").select("file", F.array(F.lit(721).cast("bigint"), "file").alias("shape"), F.array(F.lit(1), F.lit(2)).alias("chunks"), F.array(F.lit("step"), F.lit("x")).alias("dims"))
+    m = V.msg_index(spark, d).select("file", "idx", F.array(F.lit(721).cast("bigint"), "file").alias("shape"), F.array(F.lit(1), F.lit(2)).alias("chunks"), F.array(F.when(F.col("idx") % 2 == 1, "step").otherwise("y"), F.lit("x")).alias("dims"))
     out = R.add_member_dim(m)
-    return out.select("file", F.array_join(F.transform("shape", lambda x: x.cast("string")), ",").alias("shape"), F.array_join("dims", ",").alias("dims"))
+    return out.select("file", "idx", F.array_join(F.transform("shape", lambda x: x.cast("string")), ",").alias("shape"), F.array_join("dims", ",").alias("dims"))
 
 
 @query(sql("SELECT m.varname || '/' || m.\"stepType\" || '/' || m.\"typeOfLevel\" AS path, count(DISTINCT m.level) AS n_levels, count(DISTINCT msg.number) AS n_members, count(*) AS n, CASE WHEN count(DISTINCT m.level) > 1 THEN 'concat' ELSE 'identical' END AS level_dim, count(DISTINCT msg.number) > 1 AS member_dim FROM msg JOIN mapping m USING (attrs) GROUP BY 1", "msg", "mapping"))
@@ -567,13 +622,13 @@ def tag_messages(spark, d):
     return R.tag_messages(J.ensemble_key_join(m, keys)).select("file", "idx", "ensemble_member", "ensemble_key")
 
 
-@query(sql("SELECT r.key, r.uri, r.\"offset\", CASE WHEN m.idx % 4 = 0 THEN file_size - m.\"offset\" ELSE m.length END AS length FROM refs r JOIN msg m ON m.file = r.file AND m.idx = r.idx", "msg", also=REFS))
+@query(sql("SELECT r.key, r.uri, r.\"offset\", CASE WHEN m.idx % 4 = 0 THEN file_size - m.\"offset\" ELSE m.length END AS length, NULL AS meta FROM refs r JOIN msg m ON m.file = r.file AND m.idx = r.idx UNION ALL SELECT '_run/' || strftime(run_time, '%Y-%m-%dT%H:%M:%S'), NULL, NULL, NULL, '{\"run_time\":\"' || strftime(run_time, '%Y-%m-%dT%H:%M:%S') || '\",\"n_members\":' || count(DISTINCT number) || ',\"n_refs\":' || count(*) || '}' FROM msg GROUP BY run_time", "msg", also=REFS))
 def refs_from_index(spark, d):
     t = P.normalize_member(typed(spark, d)).withColumn("length", F.when(F.col("idx") % 4 == 0, -1).otherwise(F.col("length")))
     return R.refs_from_index(t)
 
 
-@query(sql("SELECT varname, count(*) AS n_chunks, '{\"shape\":[' || count(DISTINCT \"time\") || ',' || count(DISTINCT step_h) || ',721,1440],\"chunks\":[1,1,721,1440],\"fill_value\":\"NaN\"}' AS zarray FROM kindex GROUP BY varname", "msg", "mapping", also=KINDEX))
+@query(sql("SELECT varname, count(*) AS n_chunks, '{\"shape\":[' || count(DISTINCT \"time\") || ',' || count(DISTINCT step_h) || ',721,1440],\"chunks\":[1,1,721,1440],\"fill_value\":\"NaN\",\"dims\":[\"time\",\"step\",\"latitude\",\"longitude\"]}' AS zarray FROM kindex GROUP BY varname", "msg", "mapping", also=KINDEX))
 def datavar_metadata(spark, d):
     return R.datavar_metadata(kindex(spark, d))
 
@@ -585,20 +640,26 @@ def chunk_keys(spark, d):
 
 @query(sql("SELECT file, idx, \"offset\", length, CAST(epoch(run_time) AS BIGINT) AS time_value, step_h AS step_value FROM msg", "msg"))
 def extract_chunk_index(spark, d):
+    """Arrays with chunks of one along time and step, and one chunk along the cells."""
     m = V.msg_index(spark, d)
-    keyed = m.select(F.concat(F.lit("v"), F.col("file").cast("string"), F.lit("/"), (F.col("idx") - 1).cast("string"), F.lit(".0.0")).alias("key"), F.col("uri"), "offset", "length")
     path = F.concat(F.lit("v"), F.col("file").cast("string"))
+    keyed = m.select(F.concat(path, F.lit("/"), (F.col("idx") - 1).cast("string"), F.lit(".0.0")).alias("key"), "uri", "offset", "length")
     seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01', run_time)")
     times = m.select(path.alias("path"), F.lit("time").alias("dim"), (F.col("idx") - 1).alias("i"), seconds.alias("coord"))
-    steps = m.where("idx = 1").select(path.alias("path"), F.lit("step").alias("dim"), F.lit(0).alias("i"), F.col("step_h").cast("bigint").alias("coord"))
-    out = R.extract_chunk_index(keyed, times.unionByName(steps))
-    return out.select(F.substring("path", 2, 20).cast("bigint").alias("file"), (F.col("i") + 1).alias("idx"), "offset", "length", "time_value", F.col("step_value").cast("int").alias("step_value"))
+    first = m.where("idx = 1")  # an array for each file
+    steps = first.select(path.alias("path"), F.lit("step").alias("dim"), F.lit(0).alias("i"), F.col("step_h").cast("bigint").alias("coord"))
+    dim = lambda n, name, chunk, size: F.struct(F.lit(n).alias("pos"), F.lit(name).alias("dim"), F.lit(chunk).alias("chunk_size"), F.lit(size).alias("size"))
+    arrays = first.select(path.alias("path"), F.explode(F.array(dim(0, "time", 1, 9), dim(1, "step", 1, 1), dim(2, "cell", 5, 5))).alias("a")).select("path", "a.*")
+    out = R.extract_chunk_index(keyed, times.unionByName(steps), arrays)
+    return out.select(F.substring("path", 2, 20).cast("bigint").alias("file"), (F.get("chunk", 0) + 1).alias("idx"), "offset", "length", F.element_at("at", "time").alias("time_value"), F.element_at("at", "step").cast("int").alias("step_value"))
 
 
-@query(sql("SELECT code AS path, 'step' AS dim, 'model_horizons' AS dim_name, count(DISTINCT step_h) AS shape FROM msg GROUP BY code", "msg"))
+@query(sql("SELECT code AS path, 'step' AS dim, 'model_horizons' AS dim_name, count(DISTINCT step_h) AS shape, count(DISTINCT step_h) AS chunks, CAST(min(step_h) AS DOUBLE) AS first, CAST(max(step_h) AS DOUBLE) AS last, CAST(sum(DISTINCT step_h) AS DOUBLE) AS total FROM msg GROUP BY code", "msg"))
 def coord_metadata(spark, d):
+    """The packed values are read back: their first, last and sum."""
     coords = V.msg_index(spark, d).select(F.col("code").alias("path"), F.lit("step").alias("dim"), F.col("step_h").alias("i"), F.col("step_h").alias("coord")).distinct()
-    return R.coord_metadata(coords).drop("inline")
+    out = P.decode_inline(R.coord_metadata(coords), "inline")
+    return out.select("path", "dim", "dim_name", "shape", "chunks", F.get("values", 0).alias("first"), F.element_at("values", -1).alias("last"), F.aggregate("values", F.lit(0.0), lambda a, x: a + x).alias("total"))
 
 
 @query(sql("SELECT key, uri, \"offset\", length FROM refs", "msg", also=REFS))
@@ -609,21 +670,28 @@ def write_reference_table(spark, d):
     return O.read_reference_table(reread(lambda p: O.write_reference_table(r, p), spark)).select("key", "uri", "offset", "length")
 
 
-@query(sql("SELECT strftime(date_trunc('month', run_time), '%Y%m') AS date, count(*) AS n FROM msg GROUP BY 1", "msg"))
+@query(sql("SELECT key, strftime(date_trunc('month', run_time), '%Y%m') AS date, '00' AS run, 'archive' AS source, r.uri, r.\"offset\", r.length FROM refs r JOIN msg USING (file, idx)", "msg", also=REFS))
 def tag_and_write(spark, d):
-    from ..sources.scratch import shared_table
+    from ..sources.scratch import shared_path
 
-    m = V.msg_index(spark, d)
-    tagged = m.select("uri", "offset", F.date_format("run_time", "yyyyMM").alias("date"), F.lit("00").alias("run"), F.lit("archive").alias("source"))
-    return shared_table(tagged, "tagged", ["date", "run"]).groupBy(F.col("date").cast("string").alias("date")).agg(F.count("*").alias("n"))
+    path = shared_path(spark, "tagged")
+    month = V.msg_index(spark, d).select("file", "idx", F.date_format("run_time", "yyyyMM").alias("date"))
+    r = refs(spark, d).join(month, ["file", "idx"]).withColumns({"meta": F.lit(None).cast("string"), "inline": F.lit(None).cast("string")})
+    O.tag_and_write(r, path, "00", "archive")
+    tagged = spark.read.option("inferSchema", "false").schema("key STRING, value BINARY, source STRING, date STRING, run STRING").parquet(path)
+    triple = F.from_json(F.decode("value", "UTF-8"), "array<string>")
+    return tagged.select("key", "date", "run", "source", F.get(triple, 0).alias("uri"), F.get(triple, 1).cast("bigint").alias("offset"), F.get(triple, 2).cast("bigint").alias("length"))
 
 
-@query(sql("SELECT count(*) AS total_keys, 1 AS schema_version FROM msg", "msg"))
+@query(sql("SELECT key, uri, \"offset\", length FROM refs", "msg", also=REFS))
 def write_chunked(spark, d):
+    """Written in files, and read back against the manifest."""
     from ..sources.scratch import shared_path
 
     r = refs(spark, d).withColumns({"meta": F.lit(None).cast("string"), "inline": F.lit(None).cast("string")})
-    return O.write_chunked(r, shared_path(spark, "chunked")).select("total_keys", "schema_version")
+    path = shared_path(spark, "chunked")
+    O.write_chunked(r, path)
+    return O.read_chunked(spark, path).select("key", "uri", "offset", "length")
 
 
 @query(sql("SELECT (SELECT count(*) FROM a WHERE key NOT IN (SELECT key FROM b)) AS only_written, (SELECT count(*) FROM b WHERE key NOT IN (SELECT key FROM a)) AS only_source, (SELECT count(*) FROM a JOIN b USING (key) WHERE a.v <> b.v) AS different", "msg", also=REFS + ", a AS (SELECT key, max(uri) AS v FROM refs WHERE idx <= 4 GROUP BY key), b AS (SELECT key, max(uri) AS v FROM refs WHERE idx >= 2 GROUP BY key)"))
@@ -638,20 +706,20 @@ def select_dates_copy(spark, d):
     return O.select_dates(m, m.where("month(run_time) = 1").select(F.to_date("run_time").alias("date")), "run_time").select("file", "idx", "attrs")
 
 
-@query(sql("SELECT strftime(run_time, '%Y-%m-%d') AS run_date, count(*) AS n_messages FROM msg GROUP BY 1", "msg"))
+@query(sql("SELECT strftime(run_time, '%Y-%m-%d') AS run_date, count(*) AS n_messages, count(DISTINCT number) AS n_members, count(DISTINCT number) >= 50 AS valid FROM msg GROUP BY 1", "msg"))
 def write_run_report(spark, d):
     from ..sources.scratch import shared_path
 
     path = shared_path(spark, "report")
     O.write_run_report(A.index_validation(V.msg_index(spark, d)), path)
-    return spark.read.schema("run_date DATE, n_messages LONG, n_members LONG, valid BOOLEAN").json(path).select(F.col("run_date").cast("string").alias("run_date"), "n_messages")
+    return spark.read.schema("run_date DATE, n_messages LONG, n_members LONG, valid BOOLEAN").json(path).select(F.col("run_date").cast("string").alias("run_date"), "n_messages", "n_members", "valid")
 
 
 @query(sql("SELECT file, idx, CASE WHEN step_h > 100 THEN step_h - 100 ELSE step_h END AS step_h FROM msg", "msg"))
 def mapper(spark, d):
     """A caller's own function on messages before they are indexed."""
     fix = lambda m: m.withColumn("step_h", F.when(F.col("step_h") > 100, F.col("step_h") - 100).otherwise(F.col("step_h")))
-    return V.msg_index(spark, d).transform(fix).select("file", "idx", "step_h")
+    return J.mapped(V.msg_index(spark, d), fix).select("file", "idx", "step_h")
 
 
 @query()

@@ -28,23 +28,43 @@ def read_idx(lines: DataFrame, file_sizes: DataFrame | None = None, key: str = "
     return rows if file_sizes is None else message_length(rows.join(file_sizes, key), key)
 
 
-def read_idx_json(lines: DataFrame) -> DataFrame:
-    """JSON lines (a trailing comma is allowed) with the archives' defaults for what is missing."""
-    m = F.from_json(F.rtrim(F.trim("value"), F.lit(",")), MESSAGE_JSON)
+def read_idx_json(lines: DataFrame, mode: str = "fail") -> DataFrame:
+    """JSON lines (a trailing comma is allowed) with the archives' defaults for what is missing.
+
+    A line that is no JSON object fails the job; in mode 'skip' it is left out (see `bad_json_lines`).
+    """
+    text = F.rtrim(F.trim("value"), F.lit(","))
+    whole = F.try_parse_json(text).isNotNull() & text.startswith("{")
     keep = [c for c in lines.columns if c != "value"]
-    return lines.select(*keep, m.alias("m")).select(
+    good = lines.where(whole) if mode == "skip" else lines.withColumn("value", _checked(whole, F.col("value")))
+    return good.select(*keep, F.from_json(text, MESSAGE_JSON).alias("m")).select(
         *keep, F.coalesce("m._offset", F.lit(0)).alias("offset"), F.coalesce("m._length", F.lit(0)).alias("length"), "m.param", "m.levtype", "m.levelist", "m.step",
         F.coalesce(F.expr("try_cast(m.number AS INT)"), F.lit(-1)).alias("number"), F.coalesce("m.date", F.lit("Unknown Date")).alias("date"), "m.time",
     )
 
 
+def bad_json_lines(lines: DataFrame) -> DataFrame:
+    text = F.rtrim(F.trim("value"), F.lit(","))
+    whole = F.try_parse_json(text).isNotNull() & text.startswith("{")
+    return lines.agg(F.count("*").alias("n_lines"), F.count_if(~F.coalesce(whole, F.lit(False))).alias("n_broken"))
+
+
+def _lenient(lines: DataFrame) -> DataFrame:
+    field = lambda n, kind: F.expr(f"try_cast(get(split(value, ':'), {n}) AS {kind})")
+    return lines.withColumns({"fields": F.size(F.split("value", ":")), "record": field(0, "INT"), "offset": field(1, "BIGINT")})
+
+
 def read_idx_lenient(lines: DataFrame) -> DataFrame:
-    """`record:offset:date:var:level:forecast`; short and non-integer lines are left out. Count them with `bad_lines`."""
+    """`record:offset:date:var:level:forecast`; short and non-integer lines are left out. Count them with `bad_lines`.
+
+    Other columns, such as a file and `line_num`, stay.
+    """
     parts = F.split("value", ":")
     keep = [c for c in lines.columns if c != "value"]
-    return lines.select(*keep, F.expr("try_cast(split(value, ':')[0] AS INT)").alias("record"), F.expr("try_cast(get(split(value, ':'), 1) AS BIGINT)").alias("offset"), F.get(parts, 2).alias("date"), F.get(parts, 3).alias("varname"), F.get(parts, 4).alias("level"), F.get(parts, 5).alias("forecast"), F.size(parts).alias("fields")).where("fields >= 6 AND record IS NOT NULL AND offset IS NOT NULL").drop("fields")
+    return _lenient(lines).where("fields >= 6 AND record IS NOT NULL AND offset IS NOT NULL").select(*keep, "record", "offset", *(F.get(parts, n).alias(c) for n, c in ((2, "date"), (3, "varname"), (4, "level"), (5, "forecast"))))
 
 
-def bad_lines(lines: DataFrame) -> DataFrame:
-    parsed = lines.select(F.size(F.split("value", ":")).alias("fields"), F.expr("try_cast(split(value, ':')[0] AS INT)").alias("record"))
-    return parsed.agg(F.count("*").alias("n_lines"), F.count_if(F.col("fields") < 6).alias("n_short"), F.count_if((F.col("fields") >= 6) & F.col("record").isNull()).alias("n_not_integer"))
+def bad_lines(lines: DataFrame, *keys: str) -> DataFrame:
+    """Lines in all, short ones, and long ones without a whole number for record or offset; by `keys`, if asked."""
+    number = F.col("record").isNull() | F.col("offset").isNull()
+    return _lenient(lines).groupBy(*keys).agg(F.count("*").alias("n_lines"), F.count_if(F.col("fields") < 6).alias("n_short"), F.count_if((F.col("fields") >= 6) & number).alias("n_not_integer"))

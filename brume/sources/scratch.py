@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import contextlib
 import re
-import struct
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +65,7 @@ def packed_doubles(*columns: str) -> Column:
 
     @F.pandas_udf("binary")
     def pack(*values: pd.Series) -> pd.Series:
-        return pd.Series([struct.pack(f"<{len(row)}d", *row) for row in zip(*values, strict=True)])
+        whole, width = np.column_stack(values).astype("<f8").tobytes(), 8 * len(values)
+        return pd.Series([whole[i * width : (i + 1) * width] for i in range(len(values[0]))], dtype=object)
 
     return pack(*(F.col(c) for c in columns))

@@ -55,32 +55,57 @@ def expected_files(runs: DataFrame, members: int, hours: tuple[int, int, int], p
     return grid.withColumn("path", F.format_string(pattern, F.date_format("run_time", "yyyyMMdd"), F.date_format("run_time", "HH"), "member", "forecast_hour"))
 
 
-def fetch_ranges(refs: DataFrame, partitions: int, retries: int = 3) -> DataFrame:
-    """`data` (bytes) and `status` of each (uri, offset, length), read in order of offset from each file.
+def fetch_ranges(refs: DataFrame, partitions: int, retries: int = 3, suffix: str = ".grib2") -> DataFrame:
+    """`data` (bytes) and `status` of each (uri, offset, length), read in order of offset, each file opened once in a task.
 
-    Reading goes through fsspec if it is there, else only local files can be read; a failed read is a null and its error.
+    A path that is not there is tried with `suffix`; a `base64:` value is its own data. Reading goes through fsspec if it is there,
+    else only local files can be read; a failed read is a null and its error.
     """
 
     def fetch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import base64
+
         try:
             from fsspec import open as opener
         except ImportError:
             opener = None
+        held: list = [None, None]  # the last path and its open file
+
+        def read(uri: str, offset: int, length: int) -> bytes:
+            if held[0] != uri:
+                close()
+                held[:] = uri, (opener(uri, "rb").open() if opener else open(uri.removeprefix("file:"), "rb"))  # noqa: SIM115
+            held[1].seek(offset)
+            return held[1].read(length)
+
+        def close() -> None:
+            if held[1] is not None:
+                held[1].close()
+            held[:] = None, None
+
         for part in parts:
             data, status = [], []
             for uri, offset, length in zip(part.uri, part.offset, part.length, strict=True):
                 got, said = None, "ok"
+                if uri.startswith("base64:"):
+                    data.append(base64.b64decode(uri[7:]))
+                    status.append("inline")
+                    continue
                 for _ in range(retries):
                     try:
-                        with opener(uri, "rb") if opener else open(uri.removeprefix("file:"), "rb") as f:  # type: ignore[union-attr]
-                            f.seek(int(offset))
-                            got, said = f.read(int(length)), "ok"
+                        try:
+                            got = read(uri, int(offset), int(length))
+                        except FileNotFoundError:
+                            got = read(uri + suffix, int(offset), int(length))
+                        said = "ok"
                         break
                     except OSError as e:
                         said = type(e).__name__
+                        close()
                 data.append(got)
                 status.append(said)
             yield part.assign(data=data, status=status)
+        close()
 
     near = refs.repartition(partitions, "uri").sortWithinPartitions("uri", "offset")
     return near.mapInPandas(fetch, refs.withColumns({"data": F.lit(None).cast("binary"), "status": F.lit("")}).schema)
@@ -103,16 +128,29 @@ def write_reference_table(refs: DataFrame, path: str, partition: str | None = No
     (out.partitionBy(partition) if partition else out).parquet(path)
 
 
-def tag_and_write(refs: DataFrame, path: str, date: str, run: str, source: str) -> None:
-    tagged = wire_form(refs).withColumns({"date": F.lit(date), "run": F.lit(run), "source": F.lit(source)})
+def tag_and_write(refs: DataFrame, path: str, run: str, source: str) -> None:
+    """Append references under their date (a column) and run, with the source they came from."""
+    tagged = wire_form(refs).withColumns({"run": F.lit(run), "source": F.lit(source)})
     tagged.write.mode("append").partitionBy("date", "run").parquet(path)
 
 
 def write_chunked(refs: DataFrame, path: str, max_keys: int = 10_000) -> DataFrame:
-    """Files of at most `max_keys` keys, and their manifest."""
-    wire_form(refs).write.mode("overwrite").option("maxRecordsPerFile", max_keys).option("compression", "zstd").parquet(path)
-    files = refs.sparkSession.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("keys"))
-    return files.agg(F.count("*").alias("num_chunks"), F.sum("keys").alias("total_keys"), F.max("keys").alias("largest")).withColumn("schema_version", F.lit(1))
+    """Files of at most `max_keys` keys, and a manifest beside them, which is returned."""
+    wire_form(refs).write.mode("overwrite").option("maxRecordsPerFile", max_keys).option("compression", "zstd").parquet(f"{path}/chunks")
+    files = refs.sparkSession.read.parquet(f"{path}/chunks").groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("keys"))
+    manifest = files.agg(F.count("*").alias("num_chunks"), F.sum("keys").alias("total_keys"), F.max("keys").alias("largest")).withColumn("schema_version", F.lit(1))
+    manifest.write.mode("overwrite").parquet(f"{path}/manifest")
+    return refs.sparkSession.read.parquet(f"{path}/manifest")
+
+
+def read_chunked(spark: SparkSession, path: str, schema_version: int = 1) -> DataFrame:
+    """The references of all chunks; fails if the manifest is of another version or counts other chunks or keys."""
+    said = spark.read.parquet(f"{path}/manifest").first()
+    table = spark.read.parquet(f"{path}/chunks")
+    found = table.groupBy(F.col("_metadata.file_name")).count().agg(F.count("*").alias("chunks"), F.sum("count").alias("keys")).first()
+    if said["schema_version"] != schema_version or (found["chunks"], found["keys"]) != (said["num_chunks"], said["total_keys"]):
+        raise ValueError("the chunks differ from their manifest")
+    return read_reference_table(table)
 
 
 def verify_write(written: DataFrame, source: DataFrame) -> DataFrame:
@@ -148,10 +186,10 @@ def append_new_times(new: DataFrame, path: str, time: str = "valid_time") -> int
 
 
 def feature_cube(cells: DataFrame, variables: list[str]) -> DataFrame:
-    """`{v}_ensemble_mean` and `{v}_ensemble_standard_deviation` per step and cell."""
+    """`{v}_ensemble_mean` and `{v}_ensemble_standard_deviation` (float32) per step, valid time (if there is one) and cell."""
     value = F.nanvl(F.col("value").cast("double"), F.lit(None))
-    wide = cells.groupBy("step_h", "cell").pivot("varname", variables).agg(F.round(F.avg(value), 6).alias("ensemble_mean"), F.round(F.stddev_pop(value), 6).alias("ensemble_standard_deviation"))
-    return wide
+    dims = [c for c in ("step_h", "valid_time", "cell") if c in cells.columns]
+    return cells.groupBy(*dims).pivot("varname", variables).agg(F.avg(value).cast("float").alias("ensemble_mean"), F.stddev_pop(value).cast("float").alias("ensemble_standard_deviation"))
 
 
 def write_run_report(report: DataFrame, path: str) -> None:
@@ -160,4 +198,4 @@ def write_run_report(report: DataFrame, path: str) -> None:
 
 def select_dates(table: DataFrame, dates: DataFrame, time: str = "valid_time") -> DataFrame:
     """Rows on the given dates (a small table with column `date`)."""
-    return table.join(F.broadcast(dates.select("date").distinct()), F.to_date(time) == F.col("date"), "left_semi")
+    return table.join(dates.select("date").distinct(), F.to_date(time) == F.col("date"), "left_semi")
