@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import datetime
 import json
 import struct
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from brume.functions import project
 from brume.operators import aggregates, axes, filters, joins, sets, store, windows
-from brume.sources import index_files, stores
+from brume.sources import index_files, scratch, stores
 
 
 def test_strict_index_fails_on_a_bad_line(spark, tmp_path):
@@ -143,3 +144,95 @@ def test_entry_and_queries_import():
     import __spark_entry__
 
     assert "exceedance_prob" in __spark_entry__.queries() and "exceedance_prob" in __spark_entry__.oracle_sql()
+
+
+def test_broken_json_lines_fail_or_are_skipped_and_counted(spark):
+    lines = spark.createDataFrame([('{"_offset": 5, "_length": 7, "param": "t"},',), ("{broken",), ("[1]",), ("",)], "value STRING")
+    with pytest.raises(Exception, match="Could not parse line"):
+        index_files.read_idx_json(lines).collect()
+    assert [(r.offset, r.length, r.param) for r in index_files.read_idx_json(lines, mode="skip").collect()] == [(5, 7, "t")]
+    assert index_files.bad_json_lines(lines).first()[:] == (4, 3)
+
+
+def test_hours_off_the_axis_fail(spark):
+    hours = spark.createDataFrame([(3,), (147,)], "step_h INT")
+    with pytest.raises(Exception, match="no forecast hour"):
+        windows.hour_index(hours).collect()
+    assert {r.step_h: r.hour_index for r in windows.hour_index(hours, mode="null").collect()} == {3: 1, 147: None}
+
+
+def test_chunk_rules(spark):
+    refs = spark.createDataFrame([("a/0.1", "u", 5, 6), ("a/1.0", None, None, None), ("a/.zarray", None, None, None)], "key STRING, uri STRING, offset LONG, length LONG")
+    coords = spark.createDataFrame([("a", "time", 0, 100), ("a", "time", 1, 200)], "path STRING, dim STRING, i INT, coord LONG")
+    arrays = lambda chunk, size: spark.createDataFrame([("a", 0, "time", 1, 2), ("a", 1, "x", chunk, size)], "path STRING, pos INT, dim STRING, chunk_size INT, size INT")
+    got = store.extract_chunk_index(refs, coords, arrays(4, 4)).collect()
+    assert {(r.key, r["at"]["time"], r.offset, r.length) for r in got} == {("a/0.1", 100, 5, 6), ("a/1.0", 200, -1, -1)}
+    with pytest.raises(Exception, match="no rule for a dim"):
+        store.extract_chunk_index(refs, coords, arrays(2, 4)).collect()
+    with pytest.raises(Exception, match="no coordinate"):
+        store.extract_chunk_index(refs, coords.where("i = 0"), arrays(4, 4)).collect()
+
+
+def test_keys_with_a_level(spark):
+    rows = spark.createDataFrame([("v", 10, 3, 500), ("v", 20, 3, 850), ("v", 20, 6, 500)], "varname STRING, time INT, step_h INT, level INT")
+    assert {r.key for r in store.chunk_keys(rows, ("time", "step_h", "level")).collect()} == {"0.0.0.0.0", "1.0.1.0.0", "1.1.0.0.0"}
+
+
+def test_manifest_is_checked_on_reload(spark, tmp_path):
+    refs = spark.createDataFrame([(f"k{i}", "ref", "u", i, 1, None, None) for i in range(25)], "key STRING, kind STRING, uri STRING, offset LONG, length LONG, inline STRING, meta STRING")
+    manifest = stores.write_chunked(refs.coalesce(1), str(tmp_path), 10).first()
+    assert (manifest.num_chunks, manifest.total_keys, manifest.largest) == (3, 25, 10)
+    assert stores.read_chunked(spark, str(tmp_path)).count() == 25
+    refs.limit(1).transform(stores.wire_form).write.mode("append").parquet(f"{tmp_path}/chunks")
+    with pytest.raises(ValueError, match="manifest"):
+        stores.read_chunked(spark, str(tmp_path))
+
+
+def test_inline_values_and_suffixes_are_read(spark, tmp_path):
+    (tmp_path / "f.grib2").write_bytes(bytes(range(50)))
+    refs = spark.createDataFrame([(f"file:{tmp_path}/f", 4, 2), ("base64:AAEC", 0, 3)], "uri STRING, offset LONG, length LONG")
+    assert {(bytes(r.data), r.status) for r in stores.fetch_ranges(refs, 2).collect()} == {(b"\x04\x05", "ok"), (b"\x00\x01\x02", "inline")}
+
+
+def test_mapper_must_keep_columns(spark):
+    rows = spark.createDataFrame([(1, 2)], "a INT, b INT")
+    assert joins.mapped(rows, None) is rows
+    with pytest.raises(ValueError, match="dropped"):
+        joins.mapped(rows, lambda m: m.drop("b"))
+
+
+def test_totals_without_any_pair_are_the_values(spark):
+    cells = spark.createDataFrame([("v", 1, 0, 3, 5.0), ("v", 1, 0, 9, 7.0)], "varname STRING, member INT, cell INT, step_h INT, value DOUBLE")
+    assert {(r.step_h, r.total) for r in joins.diff_24h(cells).collect()} == {(3, 5.0), (9, 7.0)}
+
+
+def test_nearest_runs(spark):
+    day = lambda n: datetime.date(2024, 1, n)
+    runs = spark.createDataFrame([("k", day(3)), ("k", day(9)), ("j", day(5))], "k STRING, run_date DATE")
+    targets = spark.createDataFrame([("k", day(1)), ("k", day(6)), ("k", day(7)), ("k", day(20)), ("k", None), ("j", day(5)), ("none", day(5))], "k STRING, target_date DATE")
+    got = {(r.k, r.target_date): r.run_date for r in joins.nearest_run(targets, runs, "k").collect()}
+    assert got == {("k", day(1)): day(3), ("k", day(6)): day(9), ("k", day(7)): day(9), ("k", day(20)): day(9), ("k", None): day(9), ("j", day(5)): day(5), ("none", day(5)): None}
+
+
+def test_largest_messages_in_one_window(spark):
+    rows = [("a", "pl", 1, 5, 1), ("a", "pl", 1, 9, 2), ("a", "sfc", 1, 50, 3), ("b", "pl", 1, 1, 4), ("b", "pl", 1, 2, 5)]
+    df = spark.createDataFrame([(*r, "u") for r in rows], "varname STRING, typeOfLevel STRING, time INT, length INT, idx INT, uri STRING")
+    kept = windows.dedupe_largest(df, spark.createDataFrame([("a", "pl")], "varname STRING, typeOfLevel STRING"))
+    assert {r.idx for r in kept.collect()} == {2, 4, 5} and kept.columns == df.columns
+
+
+def test_a_named_folder_is_needed_on_a_cluster(spark, monkeypatch):
+    class Context:
+        master = "spark://there"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        scratch.checkpoint_folder(Session())
