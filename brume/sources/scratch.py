@@ -32,6 +32,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}-{name}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a table, or a part of one, that was written on the way and is not read again."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextlib.contextmanager
 def shuffles_end(spark: SparkSession) -> Iterator[None]:
     """Spark deletes the shuffle files of an execution within this block when it ends: what it wrote is in a table then."""
