@@ -40,14 +40,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_space, slices, text_bytes, text_or_empty, word_starts, written
+from ..sources.scratch import delete
+from .common import is_space, shared_dir, slices, text_bytes, text_or_empty, word_starts, written
 from .hashing import mix
 
 NUMBER_BITS = 40  # of a number, those that count within a bucket; the others are the bucket
 MOST_HOT = 200_000  # a context is hot if it has over one in so many of all tokens, so there are fewer than that
 TOP = 5  # counts above it are not discounted
 END = b"\n"  # no word has this byte
-BLOCK, ASK, ANSWER, TABLE, HOT = range(5)  # kinds of rows
+BLOCK, ASK, ANSWER, TABLE, HOT, WORDS = range(6)  # kinds of rows
 ROWS = "kind int, `order` int, unit long, bucket long, sub long, `to` long, docs array<struct<doc_id: long, held: boolean, n: long>>, parts array<binary>, stats array<long>"
 TYPES = {
     "kind": pa.int32(), "order": pa.int32(), "unit": pa.int64(), "bucket": pa.int64(), "sub": pa.int64(), "to": pa.int64(),
@@ -66,6 +67,32 @@ def _unpack(data: bytes, dtype=np.int64) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(8, -1).T).view(dtype).ravel()
 
 
+def _pack_codes(values: np.ndarray) -> bytes:
+    """Small numbers of very uneven frequency: the bit length of each, then what is below the first bit, length by length."""
+    length = np.frexp(values + 1.0)[1].astype(np.uint8)
+    parts = [length.tobytes()]
+    for n in range(2, int(length.max(initial=1)) + 1):
+        below = (values[length == n] + 1 - (1 << n - 1)).astype(np.uint32)
+        parts += [(below >> np.uint32(8 * k)).astype(np.uint8).tobytes() for k in reversed(range((n + 6) // 8))]
+    packed = [zstandard.ZstdCompressor(level=1).compress(x) for x in parts]
+    return np.array([len(packed), *map(len, packed)], "<u4").tobytes() + b"".join(packed)
+
+
+def _unpack_codes(data: bytes) -> np.ndarray:
+    sizes = np.frombuffer(data, "<u4", int(np.frombuffer(data, "<u4", 1)[0]) + 1)[1:]
+    ends = 4 * (len(sizes) + 1) + np.cumsum(sizes.astype(np.int64))
+    parts = [np.frombuffer(zstandard.ZstdDecompressor().decompress(data[e - n : e]), np.uint8) for n, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
+    length, at = parts[0], 1
+    out = np.zeros(len(length), np.int64)
+    for n in range(2, int(length.max(initial=1)) + 1):
+        below = np.zeros(np.count_nonzero(length == n), np.int64)
+        for _ in range((n + 6) // 8):
+            below = below << 8 | parts[at]
+            at += 1
+        out[length == n] = below + (1 << n - 1) - 1
+    return out
+
+
 def _pack_bytes(words: pa.Array) -> tuple[bytes, bytes]:
     data, at = text_bytes(words)
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(data)), _pack(np.diff(at))
@@ -76,6 +103,12 @@ def _unpack_bytes(data: bytes, lengths: bytes) -> pa.Array:
     return slices(body, np.concatenate([[0], np.cumsum(_unpack(lengths))]))
 
 
+def _by_hash(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The order of different words by their hashes, and these."""
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_numpy(zero_copy_only=False).tolist()), np.uint64, len(words))
+    return np.argsort(hashes, kind="stable"), hashes
+
+
 def _joined(arrays: list[np.ndarray], dtype=np.int64) -> np.ndarray:
     return np.concatenate(arrays) if arrays else np.zeros(0, dtype)
 
@@ -120,16 +153,15 @@ class Cut:
 
 
 class Words:
-    """Requests for words: (their bytes, lengths, own counts), merged to different words in the order of the hash bits.
+    """Requests for words: (their bytes, lengths, own counts), merged to different words in the order of their hashes.
 
     `code`: the word of each request, `count`: own counts together.
     """
 
     def __init__(self, rows: list[list[bytes]], cut: Cut):
         coded = pa.concat_arrays([_unpack_bytes(r[0], r[1]) for r in rows]).dictionary_encode()
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.to_numpy(zero_copy_only=False).tolist()), np.uint64, len(coded.dictionary))
+        order, hashes = _by_hash(coded.dictionary)
         digit = cut((hashes >> np.uint64(64 - cut.bits)).astype(np.int64))
-        order = np.argsort(digit, kind="stable")
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
         self.words, self.digit = coded.dictionary.take(pa.array(order)), digit[order]
@@ -149,7 +181,8 @@ class Words:
         for a, b in zip(self.ends[:-1].tolist(), self.ends[1:].tolist(), strict=True):
             yield [_pack(x[self.code[a:b]]) for x in known]
 
-    def learn(self, answers: list[list[bytes]]) -> tuple[np.ndarray, ...]:
+    @staticmethod
+    def learn(answers: list[list[bytes]]) -> tuple[np.ndarray, ...]:
         return tuple(_joined([_unpack(r[k]) for r in answers]) for k in range(2))
 
 
@@ -272,15 +305,14 @@ class _Block:
 
     def __init__(self, row: dict, cut: Cut):
         self.cut = cut
-        self.words = Words([row["parts"][:3]], cut)
-        self.token = self.words.code[_unpack(row["parts"][3])]
+        self.token = _unpack(row["parts"][0])[_unpack_codes(row["parts"][1])]
         self.n = np.array([d["n"] for d in row["docs"]], np.int64)
         self.held = np.repeat(np.array([d["held"] for d in row["docs"]], bool), self.n)
         self.start = np.cumsum(self.n) - self.n
         self.orders: dict[int, tuple[np.ndarray, ...]] = {}
 
     def learn_words(self, answers: list[list[bytes]], model: Model) -> None:
-        self.word_count, numbers = self.words.learn(answers)
+        self.word_count, numbers = Words.learn(answers)
         rank = np.empty(len(numbers), np.int64)
         rank[np.argsort(numbers, kind="stable")] = np.arange(len(numbers))
         self.word, self.rank = numbers[self.token], rank[self.token]
@@ -343,7 +375,7 @@ class _Block:
 
 
 def _tokenise(block_bytes: int):
-    """(doc_id, text) -> blocks: bytes, lengths and training counts of the different words, and each token's word.
+    """(doc_id, text) -> for each block its words (bytes, lengths, training counts), and each token's word and the words' order by hash.
 
     The most frequent words come first, as small numbers pack well.
     """
@@ -371,7 +403,15 @@ def _tokenise(block_bytes: int):
             rank[order] = np.arange(len(words))
             trained = np.bincount(codes[np.repeat(~held, n)], minlength=len(words))[order]
             docs = [{"doc_id": i, "held": bool(h), "n": int(k)} for i, h, k in zip(ids, held, n, strict=True)]
-            return _rows([{"kind": BLOCK, "order": 0, "unit": task << 24 | made, "docs": docs, "parts": [*_pack_bytes(words.take(pa.array(order))), _pack(trained), _pack(rank[codes])], "stats": [int(n.sum()), int((~held).sum())]}])
+            words = words.take(pa.array(order))
+            by_hash = _by_hash(words)[0]
+            place = np.empty_like(by_hash)
+            place[by_hash] = np.arange(len(by_hash))
+            unit = task << 24 | made
+            return _rows([
+                {"kind": BLOCK, "order": 0, "unit": unit, "docs": docs, "parts": [_pack(place), _pack_codes(rank[codes])], "stats": [int(n.sum()), int((~held).sum())]},
+                {"kind": WORDS, "order": 0, "unit": unit, "parts": [*_pack_bytes(words), _pack(trained)]},
+            ])
 
         for batch in batches:
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
@@ -387,25 +427,32 @@ def _tokenise(block_bytes: int):
     return run
 
 
-def _learned(rows: list[dict], order: int, cut: Cut, model: Model | None, hots: dict) -> _Block:
+def _learned(rows: list[dict], order: int, cut: Cut, model: Model, hots: dict) -> _Block:
     """The block of these rows, with the answers to all orders below `order`."""
     answers: dict[int, list] = {m: [] for m in range(1, order)}
     for r in rows[1:]:
         answers[r["order"]].append(r["parts"])
     block = _Block(rows[0], cut)
-    if order > 1:
-        block.learn_words(answers[1], model)
+    block.learn_words(answers[1], model)
     for m in range(2, order):
         block.learn(m, block.ask(m, model), answers.pop(m), model, hots.get(m))
     return block
 
 
-def _ask(order: int, cut: Cut, model: Model | None, hots: dict):
+def _ask_words(cut: Cut):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                for digit, parts in Words([row["parts"]], cut).requests():
+                    yield _rows([{"kind": ASK, "order": 1, "unit": row["unit"], "bucket": digit, "parts": parts}])
+
+    return run
+
+
+def _ask(order: int, cut: Cut, model: Model, hots: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, "unit"):
-            block = _learned(rows, order, cut, model, hots)
-            asked = block.words if order == 1 else block.ask(order, model)
-            for digit, parts in asked.requests():
+            for digit, parts in _learned(rows, order, cut, model, hots).ask(order, model).requests():
                 yield _rows([{"kind": ASK, "order": order, "unit": rows[0]["unit"], "bucket": digit, "parts": parts}])
 
     return run
@@ -541,7 +588,7 @@ def _exchange(asked: DataFrame, order: int, bits: int, units: int, fan_bits: int
     return answers, settled.where(F.col("kind") > ANSWER)
 
 
-def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 6 << 20, bucket_tokens: int = 1_000_000, fan_bits: int = 9, hot: int | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 6 << 20, bucket_tokens: int = 1_500_000, fan_bits: int = 9, hot: int | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every row.
 
     `order`: tokens in the longest n-grams, 1 or more. Rows whose crc32(doc_id as text) mod 10 is 0 are held out, the
@@ -551,9 +598,13 @@ def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 6 << 20, bucket
     block holds `block_bytes` and one text more.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
-    blocks = written(texts.mapInArrow(_tokenise(block_bytes), ROWS), "blocks")
+    spark = docs.sparkSession
+    path = f"{shared_dir(spark)}-blocks"
+    texts.mapInArrow(_tokenise(block_bytes), ROWS).write.partitionBy("kind").parquet(path)
+    made = spark.read.schema(ROWS).parquet(path).select("kind", *(c for c in TYPES if c != "kind"))
+    blocks, words = made.where(F.col("kind") == BLOCK), made.where(F.col("kind") == WORDS)
     units, tokens, trained = (int(x or 0) for x in blocks.agg(F.count("*"), F.sum(F.col("stats")[0]), F.sum(F.col("stats")[1])).first())
-    bits = max(3, (tokens // bucket_tokens).bit_length())
+    bits = max(3, (-(-tokens // bucket_tokens) - 1).bit_length())
     first, whole = Cut(bits, first_bits(bits, fan_bits)), Cut(bits, 0, bits)
     hot = hot or max(bucket_tokens, tokens // MOST_HOT)
     sums = [F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)).alias(f"s{i}") for i in range(TOP + 3)]
@@ -566,12 +617,14 @@ def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 6 << 20, bucket
         every = blocks
         for t in answers:
             every = every.unionByName(t)
-        return every.repartition("unit").sortWithinPartitions("unit", "order", "bucket") if answers else every
+        return every.repartition("unit").sortWithinPartitions("unit", "order", "bucket")
 
     for m in range(1, order + 1):
-        asked = met().mapInArrow(_ask(m, first, model, hots), ROWS)
+        asked = words.mapInArrow(_ask_words(first), ROWS) if m == 1 else met().mapInArrow(_ask(m, first, model, hots), ROWS)
         got, table = _exchange(asked, m, bits, units, fan_bits, _settle_words(whole) if m == 1 else _settle_grams(m, whole, model, m == order))
         answers.append(got)
+        if m == 1:
+            delete(spark, f"{path}/kind={WORDS}")  # these are in the table of words now
         stats.append([int(x) for x in table.where(F.col("kind") == TABLE).agg(*sums).first()])
         heavy = table.where(F.col("kind") == HOT).mapInArrow(_hot_sums, f"context long, {', '.join(f'k{r} long' for r in range(1, TOP + 1))}, mass double")
         heavy = heavy.groupBy("context").agg(*(F.sum(f"k{r}") for r in range(1, TOP + 1)), F.sum("mass").alias("mass")).toPandas().sort_values("context")  # under MOST_HOT rows

@@ -8,6 +8,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,6 +127,13 @@ def test_scores_by_many_buckets_and_split_contexts(spark, options):
     assert Counter((r.doc_id, round(r.score, 5)) for r in got) == brute_orders(rows, 3)
 
 
+@pytest.mark.parametrize("values", [[], [0], [5, 0, 0, 300, 70_000, 1, 2, 16_777_216], list(range(3000))])
+def test_codes_are_packed_without_loss(values):
+    values = np.array(values, np.int64)
+    assert lm_scoring._unpack_codes(lm_scoring._pack_codes(values)).tolist() == values.tolist()
+    assert lm_scoring._unpack(lm_scoring._pack(values - 7)).tolist() == (values - 7).tolist()
+
+
 def test_words_are_told_apart_by_themselves(spark):
     """Two words that any polynomial modulo 2**64 confuses: one trains, the other is held out."""
     one = "a"
