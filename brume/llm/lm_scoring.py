@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import delete
-from .common import is_space, shared_dir, slices, text_bytes, text_or_empty, word_starts, written
+from .common import is_space, shared_dir, shuffles_end, slices, text_bytes, text_or_empty, word_starts, written
 from .hashing import mix
 
 NUMBER_BITS = 40  # of a number, those that count within a bucket; the others are the bucket
@@ -68,12 +68,17 @@ def _unpack(data: bytes, dtype=np.int64) -> np.ndarray:
 
 
 def _pack_codes(values: np.ndarray) -> bytes:
-    """Small numbers of very uneven frequency: the bit length of each, then what is below the first bit, length by length."""
-    length = np.frexp(values + 1.0)[1].astype(np.uint8)
-    parts = [length.tobytes()]
-    for n in range(2, int(length.max(initial=1)) + 1):
-        below = (values[length == n] + 1 - (1 << n - 1)).astype(np.uint32)
-        parts += [(below >> np.uint32(8 * k)).astype(np.uint8).tobytes() for k in reversed(range((n + 6) // 8))]
+    """Whole numbers from 0 on, of very uneven frequency: the bit length of each, then what is below its first bit, length by length."""
+    values = values.astype(np.int64)
+    length = np.zeros(len(values), np.uint8)
+    for k in (32, 16, 8, 4, 2, 1):
+        length += np.uint8(k) * ((values >> length.astype(np.int64)) >= 1 << k)
+    length += values > 0
+    parts = [length]
+    for n in np.flatnonzero(np.bincount(length, minlength=1)).tolist():
+        if n > 1:
+            below = values[length == n] - (1 << n - 1)
+            parts += [(below >> 8 * k).astype(np.uint8) for k in reversed(range((n + 6) // 8))]
     packed = [zstandard.ZstdCompressor(level=1).compress(x) for x in parts]
     return np.array([len(packed), *map(len, packed)], "<u4").tobytes() + b"".join(packed)
 
@@ -83,13 +88,15 @@ def _unpack_codes(data: bytes) -> np.ndarray:
     ends = 4 * (len(sizes) + 1) + np.cumsum(sizes.astype(np.int64))
     parts = [np.frombuffer(zstandard.ZstdDecompressor().decompress(data[e - n : e]), np.uint8) for n, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
     length, at = parts[0], 1
-    out = np.zeros(len(length), np.int64)
-    for n in range(2, int(length.max(initial=1)) + 1):
-        below = np.zeros(np.count_nonzero(length == n), np.int64)
-        for _ in range((n + 6) // 8):
-            below = below << 8 | parts[at]
-            at += 1
-        out[length == n] = below + (1 << n - 1) - 1
+    out = (length > 0).astype(np.int64)
+    for n in np.flatnonzero(np.bincount(length, minlength=1)).tolist():
+        if n > 1:
+            places = np.flatnonzero(length == n)
+            below = np.zeros(len(places), np.int64)
+            for _ in range((n + 6) // 8):
+                below = below << 8 | parts[at]
+                at += 1
+            out[places] = below + (1 << n - 1)
     return out
 
 
@@ -200,7 +207,9 @@ class Grams:
         kinds = int(word_rank.max(initial=0)) + 2
         if (int(context_rank.max(initial=0)) + 1) * kinds >= 1 << 62:
             context_rank = _different(context_rank)[2].astype(np.int64)
-        key, at, which = _different(context_rank * kinds + np.where(has, word_rank + 1, 0))
+        key = context_rank * kinds
+        key[has] += word_rank[has] + 1
+        key, at, which = _different(key)
         context = key // kinds
         fresh = np.ones(len(key), bool)
         fresh[1:] = context[1:] != context[:-1]
@@ -215,7 +224,7 @@ class Grams:
 
     @classmethod
     def merged(cls, rows: list[list[bytes]], cut: Cut) -> Grams:
-        number, salt, want, hot, sizes, word, own, lower = (_joined(x) for x in zip(*([np.cumsum(_unpack(r[0])), *map(_unpack, r[1:])] for r in rows), strict=True))
+        number, salt, want, hot, sizes, word, own, lower = (_joined(x) for x in zip(*([np.cumsum(_unpack(r[0])), *map(_unpack, r[1:7]), _unpack_codes(r[7])] for r in rows), strict=True))
         n = np.maximum(sizes, 1)  # a context without words is an entry too
         has = np.repeat(sizes > 0, n)
         spread = np.zeros((3, len(has)), np.int64)
@@ -236,7 +245,7 @@ class Grams:
         ends = np.concatenate([[0], np.cumsum(sizes)])
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             c, w = slice(a, b), slice(ends[a], ends[b])
-            yield int(self.digit[a]), [_pack(np.diff(self.context[c], prepend=0)), *(_pack(x[c]) for x in (self.salt, self.want, self.hot, sizes)), *(_pack(x[w]) for x in (self.word, self.count, self.lower))]
+            yield int(self.digit[a]), [_pack(np.diff(self.context[c], prepend=0)), *(_pack(x[c]) for x in (self.salt, self.want, self.hot, sizes)), _pack(self.word[w]), _pack(self.count[w]), _pack_codes(self.lower[w])]
 
     def answers(self, known: tuple[np.ndarray, ...]) -> Iterator[list[bytes]]:
         """To each row of requests: counts and numbers of n-grams, marks of contexts, and sums of those that it wants."""
@@ -305,7 +314,7 @@ class _Block:
 
     def __init__(self, row: dict, cut: Cut):
         self.cut = cut
-        self.token = _unpack(row["parts"][0])[_unpack_codes(row["parts"][1])]
+        self.token = _unpack(row["parts"][0]).astype(np.int32)[_unpack_codes(row["parts"][1])]
         self.n = np.array([d["n"] for d in row["docs"]], np.int64)
         self.held = np.repeat(np.array([d["held"] for d in row["docs"]], bool), self.n)
         self.start = np.cumsum(self.n) - self.n
@@ -313,7 +322,7 @@ class _Block:
 
     def learn_words(self, answers: list[list[bytes]], model: Model) -> None:
         self.word_count, numbers = Words.learn(answers)
-        rank = np.empty(len(numbers), np.int64)
+        rank = np.empty(len(numbers), np.int32)
         rank[np.argsort(numbers, kind="stable")] = np.arange(len(numbers))
         self.word, self.rank = numbers[self.token], rank[self.token]
         self.count, self.number, self.code = self.word_count[self.token], self.word, self.rank
@@ -348,7 +357,7 @@ class _Block:
         """`hot`: context numbers in order, kinds and mass of each."""
         count, number, mark, kinds, mass = asked.learn(answers)
         n, k = len(self.token), self.known
-        new, numbers, divisor, backoff, code = np.zeros(n, np.int64), np.full(n, -1, np.int64), np.ones(n, np.int64), np.ones(n), np.zeros(n, np.int64)
+        new, numbers, divisor, backoff, code = np.zeros(n, np.int64), np.full(n, -1, np.int64), np.ones(n, np.int64), np.ones(n), np.zeros(n, np.int32)
         new[self.possible], numbers[self.possible], code[self.possible] = count[asked.code], number[asked.code], asked.code
         divisor[k] = self.context_count[k] + mark[asked.context_code]
         at = k[asked.context_at]
@@ -567,35 +576,46 @@ def first_bits(bits: int, fan_bits: int) -> int:
     return bits - fan_bits * (max(1, -(-bits // fan_bits)) - 1)
 
 
-def _exchange(asked: DataFrame, order: int, bits: int, units: int, fan_bits: int, settle) -> tuple[DataFrame, DataFrame]:
+def _exchange(asked: DataFrame, order: int, bits: int, units: int, fan_bits: int, shares: int, settle) -> tuple[DataFrame, DataFrame]:
     """Answers to the units that ask, and the table of the order (with the sums of hot contexts).
 
-    `bits` of hash say the bucket. Units cut by `fan_bits` of them at a time; before each further cut they are merged in groups.
+    Buckets have `bits` bits. Units are cut by `fan_bits` of them at a time; before each further cut they are merged in
+    groups. Requests are written, and the buckets worked on in shares, so that not all are on their way at once.
     """
-    used = first_bits(bits, fan_bits)
-    sent: list[tuple[DataFrame, Cut]] = []
-    while used < bits:
+    spark, used = asked.sparkSession, first_bits(bits, fan_bits)
+    sent: list[tuple[DataFrame, Cut, str]] = []
+    while True:
+        path = f"{shared_dir(spark)}-asked"
+        with shuffles_end(spark):
+            asked.write.parquet(path)
+        asked = spark.read.schema(ROWS).parquet(path)
+        if used == bits:
+            break
         units = -(-units >> fan_bits) or 1
-        dealt = written(asked, "asked").withColumn("to", F.pmod(F.xxhash64("unit"), F.lit(units)))
-        sent.append((dealt, Cut(bits, fan_bits, used)))
-        asked = _by(dealt, "bucket", "to").mapInArrow(_combine(order, sent[-1][1]), ROWS)
+        sent.append((asked.withColumn("to", F.pmod(F.xxhash64("unit"), F.lit(units))), Cut(bits, fan_bits, used), path))
+        asked = _by(sent[-1][0], "bucket", "to").mapInArrow(_combine(order, sent[-1][1]), ROWS)
         used += fan_bits
-    settled = written(_by(asked, "bucket").mapInArrow(settle, ROWS), f"order-{order}")
+    settled = None
+    for share in range(shares):
+        part = written(_by(asked.where(F.col("bucket") % shares == share), "bucket").mapInArrow(settle, ROWS), f"order-{order}")
+        settled = part if settled is None else settled.unionByName(part)
+    delete(spark, path)
     answers = settled.where(F.col("kind") == ANSWER)
-    for dealt, cut in reversed(sent):
+    for dealt, cut, path in reversed(sent):
         back = answers.withColumns({"to": F.col("unit"), "sub": F.col("bucket"), "bucket": F.shiftright("bucket", fan_bits)})
         answers = written(_by(dealt.unionByName(back), "bucket", "to").mapInArrow(_spread(order, cut), ROWS), "answers")
+        delete(spark, path)
     return answers, settled.where(F.col("kind") > ANSWER)
 
 
-def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 6 << 20, bucket_tokens: int = 1_500_000, fan_bits: int = 9, hot: int | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 4 << 20, bucket_tokens: int = 1_500_000, fan_bits: int = 9, shares: int = 2, hot: int | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every row.
 
     `order`: tokens in the longest n-grams, 1 or more. Rows whose crc32(doc_id as text) mod 10 is 0 are held out, the
     others train. A null or empty text is its end alone; a null id counts as an empty text's id (held out) and is kept;
     repeated rows train as often as they occur; other columns are ignored; an empty table gives no rows. A context with
     over `hot` tokens (as many as a bucket has, and one in MOST_HOT of all at least) is split. A text is never cut, so a
-    block holds `block_bytes` and one text more.
+    block holds `block_bytes` and one text more. Each order's buckets are worked on in so many `shares`, one after the other.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
     spark = docs.sparkSession
@@ -621,7 +641,7 @@ def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 6 << 20, bucket
 
     for m in range(1, order + 1):
         asked = words.mapInArrow(_ask_words(first), ROWS) if m == 1 else met().mapInArrow(_ask(m, first, model, hots), ROWS)
-        got, table = _exchange(asked, m, bits, units, fan_bits, _settle_words(whole) if m == 1 else _settle_grams(m, whole, model, m == order))
+        got, table = _exchange(asked, m, bits, units, fan_bits, shares, _settle_words(whole) if m == 1 else _settle_grams(m, whole, model, m == order))
         answers.append(got)
         if m == 1:
             delete(spark, f"{path}/kind={WORDS}")  # these are in the table of words now
