@@ -608,13 +608,13 @@ def _exchange(asked: DataFrame, order: int, bits: int, units: int, fan_bits: int
     return answers, settled.where(F.col("kind") > ANSWER)
 
 
-def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 4 << 20, bucket_tokens: int = 1_500_000, fan_bits: int = 9, shares: int = 2, hot: int | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 3 << 20, bucket_tokens: int = 1_500_000, fan_bits: int = 9, shares: int = 2, hot: int | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every row.
 
     `order`: tokens in the longest n-grams, 1 or more. Rows whose crc32(doc_id as text) mod 10 is 0 are held out, the
     others train. A null or empty text is its end alone; a null id counts as an empty text's id (held out) and is kept;
     repeated rows train as often as they occur; other columns are ignored; an empty table gives no rows. A context with
-    over `hot` tokens (as many as a bucket has, and one in MOST_HOT of all at least) is split. A text is never cut, so a
+    over `hot` tokens (an eighth of what a bucket has, and one in MOST_HOT of all at least) is split. A text is never cut, so a
     block holds `block_bytes` and one text more. Each order's buckets are worked on in so many `shares`, one after the other.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
@@ -626,7 +626,7 @@ def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 4 << 20, bucket
     units, tokens, trained = (int(x or 0) for x in blocks.agg(F.count("*"), F.sum(F.col("stats")[0]), F.sum(F.col("stats")[1])).first())
     bits = max(3, (-(-tokens // bucket_tokens) - 1).bit_length())
     first, whole = Cut(bits, first_bits(bits, fan_bits)), Cut(bits, 0, bits)
-    hot = hot or max(bucket_tokens, tokens // MOST_HOT)
+    hot = hot or max(bucket_tokens // 8, tokens // MOST_HOT)
     sums = [F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)).alias(f"s{i}") for i in range(TOP + 3)]
     answers: list[DataFrame] = []
     stats: list[list[int]] = []
