@@ -17,6 +17,9 @@ _MODULES = {
     "op8_token_store": "token_store",
     "op9_suffix_array_dedup": "suffix_dedup",
     "op10_lm_scoring": "lm_scoring",
+    "op11_nearest_neighbours": "nearest_neighbours",
+    "op12_fill_in_middle": "fill_in_middle",
+    "op13_conversation_trie": "conversation_trie",
 }
 
 
@@ -25,6 +28,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    from .decontamination import ORACLE_SQL
+    from . import conversation_trie, decontamination, fill_in_middle
 
-    return {"op5_benchmark_decontamination": ORACLE_SQL}
+    return {"op5_benchmark_decontamination": decontamination.ORACLE_SQL, "op12_fill_in_middle": fill_in_middle.ORACLE_SQL, "op13_conversation_trie": conversation_trie.ORACLE_SQL}
