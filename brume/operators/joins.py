@@ -131,9 +131,10 @@ def diff_24h(cells: DataFrame, window: int = 24) -> DataFrame:
 
 
 def precip_window(cells: DataFrame, window: int) -> DataFrame:
-    """Total of the last `window` hours, from the start of the run for the first ones."""
+    """Total of the last `window` hours, from the start of the run for the first ones; null where the step that it starts from is missing."""
     whole = F.col("step_h") <= window
-    return _value_before(cells, window).select("varname", "member", "cell", "step_h", F.when(whole, F.col("value")).otherwise(F.greatest(F.col("value") - F.col("start"), F.lit(0))).alias("total"))
+    part = F.when(F.col("start").isNotNull(), F.greatest(F.col("value") - F.col("start"), F.lit(0)))
+    return _value_before(cells, window).select("varname", "member", "cell", "step_h", F.when(whole, F.col("value")).otherwise(part).alias("total"))
 
 
 def nearest_run(targets: DataFrame, runs: DataFrame, on: str, target: str = "target_date", run: str = "run_date") -> DataFrame:

@@ -40,10 +40,20 @@ def keyset_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     return only_a.crossJoin(only_b).crossJoin(common).withColumn("equal", (F.col("only_a") == 0) & (F.col("only_b") == 0))
 
 
+def grid_fingerprints(cells: DataFrame, by: str, grid: tuple[str, ...] = ("lat", "lon")) -> DataFrame:
+    """What tells the sets of points of several grids apart, whatever the order of their rows: count, xor and sum of hashes.
+
+    Each point is hashed twice, so that equal points of one grid must be made different first; hashing merges in partial
+    aggregates, and only one row for each grid moves on.
+    """
+    one, two = F.xxhash64(*grid), F.xxhash64(F.lit(1), *grid)
+    return cells.select(by, *grid).distinct().groupBy(by).agg(F.count("*").alias("points"), F.bit_xor(one).alias("xor_hash"), F.sum(two.bitwiseAND(0xFFFFFFFF)).alias("sum_hash"))
+
+
 def combine_hours(parts: list[DataFrame], grid: tuple[str, ...] = ("lat", "lon")) -> DataFrame:
-    """Tables of several hours as one; a table with another grid is an error when rows are read."""
-    size = [p.select(*grid).distinct().agg(F.count("*").alias("n")) for p in parts]
+    """Tables of several hours as one; a table with another grid (other points, be they as many) is an error when rows are read. Empty tables have no grid."""
     both = reduce(lambda a, b: a.unionByName(b), parts)
-    checked = reduce(lambda a, b: a.unionByName(b), size).agg(F.count_distinct("n").alias("sizes"))
-    fine = F.when(F.col("sizes") <= 1, True).otherwise(F.raise_error(F.lit("the grids differ")).cast("boolean"))
-    return both.crossJoin(F.broadcast(checked)).where(fine).drop("sizes")
+    numbered = reduce(lambda a, b: a.unionByName(b), [p.select(*grid, F.lit(i).alias("_part")) for i, p in enumerate(parts)])
+    checked = grid_fingerprints(numbered, "_part", grid).agg(F.count_distinct(F.struct("points", "xor_hash", "sum_hash")).alias("grids"))
+    fine = F.when(F.col("grids") <= 1, True).otherwise(F.raise_error(F.lit("the grids differ")).cast("boolean"))
+    return both.crossJoin(F.broadcast(checked)).where(fine).drop("grids")

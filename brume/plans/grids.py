@@ -151,7 +151,7 @@ def diff_24h(spark, d):
     return as_double(J.diff_24h(V.cells_cumulative(spark, d)), "total")
 
 
-@query(sql("SELECT varname, member, cell, step_h, CAST(CASE WHEN step_h <= 48 THEN value ELSE greatest(value - start, 0) END AS DOUBLE) AS total FROM (SELECT *, max(value) OVER (PARTITION BY varname, member, cell ORDER BY step_h RANGE BETWEEN 48 PRECEDING AND 48 PRECEDING) AS start FROM cum)", "cum"))
+@query(sql("SELECT varname, member, cell, step_h, CAST(CASE WHEN step_h <= 48 THEN value WHEN start IS NOT NULL THEN greatest(value - start, 0) END AS DOUBLE) AS total FROM (SELECT *, max(value) OVER (PARTITION BY varname, member, cell ORDER BY step_h RANGE BETWEEN 48 PRECEDING AND 48 PRECEDING) AS start FROM cum)", "cum"))
 def precip_window(spark, d):
     return as_double(J.precip_window(V.cells_cumulative(spark, d), 48), "total")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import functions as F
 
 from ..sources.scratch import shared_path
@@ -62,8 +64,40 @@ def stream_accumulate_24h(spark, d):
     return ended.select("varname", "cell", "window_end", F.round("total", 6).alias("total"))
 
 
+@query(sql("SELECT varname, cell, w AS window_end, CAST(sum(value) AS DOUBLE) AS total FROM (SELECT varname, cell, value, TIMESTAMP '2024-01-01' + to_hours(CAST((step_h // 6 + k) * 6 AS INT)) AS w FROM cells, (SELECT unnest([1, 2, 3, 4]) AS k)) GROUP BY ALL", "cells"))
+def stream_accumulate_sliding(spark, d):
+    """24-hour totals each 6 hours, open windows too."""
+    at = (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("step_h"))).cast("timestamp")
+    timed = V.cells(spark, d).select("varname", "cell", F.col("value").cast("double").alias("value"), at.alias("valid_time"))
+    path = shared_path(spark, "sliding")
+    T.stream_totals(landed(timed, spark, "sliding-cells"), path, f"{path}-checkpoint", slide="6 hours").awaitTermination()
+    totals = T.latest_totals(spark.read.parquet(path))
+    return totals.select("varname", "cell", F.col("window_end").cast("timestamp_ntz").alias("window_end"), F.round("total", 6).alias("total"))
+
+
+@contextlib.contextmanager
+def rocks(spark):
+    """The state store that streams with timers and maps need, for the time of a stream."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+@query(sql("""SELECT run_date, CAST(n AS INT) AS n_members, n >= 36 AS complete FROM (SELECT run_date, min(first) AS first, count(DISTINCT number) AS n FROM (SELECT *, min(run_time) OVER (PARTITION BY run_date) AS first FROM (SELECT strftime(run_time, '%Y%m') AS run_date, number, run_time FROM msg))
+WHERE run_time <= first + INTERVAL 240 HOURS GROUP BY 1) WHERE n >= 36 OR first + INTERVAL 240 HOURS <= (SELECT max(run_time) FROM msg) - INTERVAL 1 HOUR""", "msg"))
+def stream_run_timeout(spark, d):
+    """Runs (months) whose 36 members came within ten days of the first, and those that ran out of time."""
+    m = V.msg_index(spark, d).select(F.date_format("run_time", "yyyyMM").alias("run_date"), "number", F.col("run_time").cast("timestamp").alias("arrived"))
+    with rocks(spark):
+        return drained(T.stream_run_timeout(landed(m, spark, "arrivals"), least=36, timeout_hours=240), spark, "stream-timeout")
+
+
 @query(sql("SELECT strftime(run_time, '%Y%m') AS run_date FROM msg GROUP BY 1 HAVING count(DISTINCT number) >= 50", "msg"))
 def stream_run_complete(spark, d):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     m = V.msg_index(spark, d).select(F.date_format("run_time", "yyyyMM").alias("run_date"), "number")
-    return drained(T.stream_run_complete(landed(m, spark, "members")), spark, "stream-complete").select("run_date")
+    with rocks(spark):
+        return drained(T.stream_run_complete(landed(m, spark, "members")), spark, "stream-complete").select("run_date")

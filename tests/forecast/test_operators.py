@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import datetime
 import json
+import os
 import struct
 
 import pytest
@@ -236,3 +237,52 @@ def test_a_named_folder_is_needed_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="checkpoint"):
         scratch.checkpoint_folder(Session())
+
+
+def test_a_window_without_its_start_is_missing(spark):
+    cells = spark.createDataFrame([("tp", 0, 0, s, v) for s, v in ((24, 1.0), (48, 2.0), (96, 5.0), (120, 9.0))], "varname STRING, member INT, cell INT, step_h INT, value DOUBLE")
+    assert {r.step_h: r.total for r in joins.precip_window(cells, 48).collect()} == {24: 1.0, 48: 2.0, 96: 3.0, 120: None}
+
+
+def test_hours_of_other_points_do_not_combine(spark):
+    grid = lambda *lats: spark.createDataFrame([(float(x), 0.0, 1) for x in lats], "lat DOUBLE, lon DOUBLE, step_h INT")
+    with pytest.raises(Exception, match="the grids differ"):
+        sets.combine_hours([grid(1, 2), grid(7, 8)]).collect()
+    assert sets.combine_hours([grid(1, 2), grid(2, 1, 1), grid()]).count() == 5
+
+
+def landing(spark, tmp_path, schema, *batches):
+    """A stream that reads one batch after the other."""
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in-{i}")
+        (part,) = [f for f in os.listdir(f"{tmp_path}/in-{i}") if f.startswith("part")]
+        os.makedirs(f"{tmp_path}/in", exist_ok=True)
+        os.rename(f"{tmp_path}/in-{i}/{part}", f"{tmp_path}/in/{i}.parquet")
+        os.utime(f"{tmp_path}/in/{i}.parquet", (1_700_000_000 + i, 1_700_000_000 + i))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+
+
+def test_runs_time_out_once(spark, tmp_path):
+    from brume.plans.streamed import drained, rocks
+    from brume.streaming import streams
+
+    at = lambda h: datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=h)
+    batches = [[("a", 1, at(0)), ("a", 2, at(1)), ("b", 1, at(2)), ("b", 1, at(3)), ("c", 1, at(4)), (None, 5, at(0)), ("d", None, at(1))], [("c", 2, at(20)), ("a", 3, at(5))], [("c", 3, at(40)), ("e", 1, at(90))], [("b", 7, at(91)), ("c", 4, at(91))], [("z", 1, at(200))]]
+    with rocks(spark):
+        stream = landing(spark, tmp_path, "run_date STRING, number INT, arrived TIMESTAMP", *batches)
+        out = drained(streams.stream_run_timeout(stream, least=3, timeout_hours=24), spark, "timeouts").collect()
+    found = sorted((r.run_date or "", r.n_members, r.complete) for r in out)
+    assert found == [("", 1, False), ("a", 3, True), ("b", 1, False), ("c", 2, False), ("e", 1, False)]
+
+
+def test_late_rows_are_counted_and_open_windows_kept(spark, tmp_path):
+    from brume.streaming import streams
+
+    at = lambda h: datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=h)
+    batches = [[("tp", 0, 1.0, at(0)), ("tp", 0, 2.0, at(7))], [("tp", 0, 4.0, at(8)), ("tp", 0, 8.0, at(300))], [("tp", 0, 32.0, at(301))], [("tp", 0, 16.0, at(1))]]
+    stream = landing(spark, tmp_path, "varname STRING, cell INT, value DOUBLE, valid_time TIMESTAMP", *batches)
+    run = streams.stream_totals(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint", slide="12 hours")
+    run.awaitTermination()
+    assert streams.late_rows(run) == 2  # one row, in two windows
+    totals = {(r.window_end - at(0)).total_seconds() / 3600: r.total for r in streams.latest_totals(spark.read.parquet(f"{tmp_path}/out")).collect()}
+    assert totals == {12: 7.0, 24: 7.0, 312: 40.0, 324: 40.0}
