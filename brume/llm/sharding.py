@@ -111,7 +111,7 @@ def shuffle_into_shards(docs: DataFrame, *, shards: int = 24, seed: int = 20, ro
     Input columns of these two names go.
 
     Nulls, repeated rows and empty texts are rows like any other; an empty table stays empty. `docs` must give the same
-    partitions when it is computed again, as a scan or a checkpoint does; a partition that has grown raises an error.
+    partitions when it is computed again, as a scan or a checkpoint does; a partition that has grown or shrunk raises an error.
     A shard of more than `rows_per_block` rows is ordered in blocks, by ranges of the random key, so no task holds it
     whole.
     """
@@ -126,16 +126,16 @@ def shuffle_into_shards(docs: DataFrame, *, shards: int = 24, seed: int = 20, ro
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = TaskContext.get().partitionId()
         rng = np.random.default_rng([seed, p])
-        goes, at = None, 0
+        goes, at = rng.permutation(np.repeat(np.arange(shards, dtype=np.int32), sent.value.get(p, np.zeros(shards, np.int64)))), 0
         for batch in batches:
-            if goes is None:
-                goes = rng.permutation(np.repeat(np.arange(shards, dtype=np.int32), sent.value.get(p, np.zeros(shards, np.int64))))
             n = batch.num_rows
             if at + n > len(goes):
                 raise RuntimeError("the input gave other partitions when it was read again")
             key = rng.integers(0, 1 << 62, n)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(goes[at : at + n]), pa.array(key)], names=[*batch.schema.names, "_shard", key_name])
             at += n
+        if at != len(goes):
+            raise RuntimeError("the input gave other partitions when it was read again")
 
     block = F.floor(F.col(key_name) / F.lit((1 << 62) / blocks)).cast("int")
     dealt = docs.mapInArrow(deal, schema).withColumn(block_name, F.least(block, F.lit(blocks - 1)))
