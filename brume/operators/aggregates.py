@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import N_MEMBERS, THRESHOLDS_MM
+from ..sources.scratch import delete_table, shared_table
 
 
 def real(column: str = "value") -> Column:
@@ -60,10 +61,49 @@ def prob_summary(probabilities: DataFrame) -> DataFrame:
     return probabilities.groupBy("varname", "day", "threshold").agg(F.max("probability").alias("max_probability"), F.count_if(F.col("probability") >= 50).alias("cells_50"))
 
 
-def percentile_thresholds(cells: DataFrame, at: tuple[float, ...] = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)) -> DataFrame:
-    """Exact percentiles of each variable, all from one count of its different values."""
-    found = cells.groupBy("varname").agg(F.percentile(real(), list(at)).alias("p"))
-    return found.select("varname", *(F.round(F.get("p", k), 6).alias(f"p{round(100 * p)}") for k, p in enumerate(at)))
+def percentile_thresholds(cells: DataFrame, at: tuple[float, ...] = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99), small: int = 100_000) -> DataFrame:
+    """Exact percentiles of each variable, between neighbouring values in proportion; null where a variable has no value.
+
+    Selection in rounds: a mergeable sketch gives bounds within each interval that holds a wanted rank, counts within the
+    bounds give the interval of the next round, until an interval has at most `small` values or one different value. No task holds more
+    values than that; a bound is a value of the data and a class of its own, so each round leaves less, ties included.
+    Values are worked out once and written, as each round reads them; the rounds' tables have a row for each wanted rank.
+    """
+    values = shared_table(cells.select("varname", real().alias("v")), "values")
+    known = values.where("v IS NOT NULL")
+    whole = known.groupBy("varname").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    places = F.array(*(F.struct(F.floor((F.col("n") - 1) * p + up).alias("rank")) for p in at for up in (0, 1)))
+    fields = ["varname", "rank", "lo", "hi", "below", "n_in"]
+    ranks = whole.withColumn("rank", F.explode(F.array_distinct(places))).withColumn("rank", F.least(F.col("rank.rank"), F.col("n") - 1))
+    wanted = shared_table(ranks.select("varname", "rank", "lo", "hi", F.lit(0).cast("bigint").alias("below"), F.col("n").alias("n_in")).distinct(), "ranks")
+    open_ = (F.col("n_in") > small) & (F.col("lo") < F.col("hi"))
+    while not wanted.where(open_).isEmpty():
+        wanted = shared_table(wanted.where(~open_).unionByName(_narrowed(known, wanted.where(open_)).select(*fields)), "ranks")
+    rest = wanted.where("lo < hi").select("varname", "lo", "hi").distinct()
+    inside = known.join(rest, (known["varname"] == rest["varname"]) & (known["v"].between(rest["lo"], rest["hi"]))).select(known["varname"], "lo", "v")
+    sorted_ = inside.groupBy("varname", "lo").agg(F.sort_array(F.collect_list("v")).alias("vs"))  # at most `small`
+    found = wanted.join(sorted_, ["varname", "lo"], "left").select("varname", "rank", F.when(F.col("lo") < F.col("hi"), F.get("vs", (F.col("rank") - F.col("below")).cast("int"))).otherwise(F.col("lo")).alias("v"))
+    by_rank = shared_table(found.groupBy("varname").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("m")).join(whole.select("varname", "n"), "varname"), "selected")
+    names = shared_table(values.select("varname").distinct(), "names")
+    delete_table(values)
+    h = lambda p: (F.col("n") - 1) * F.lit(p)
+    value = lambda p, up: F.col("m")[F.least(F.floor(h(p)) + up, F.col("n") - 1)]
+    between = lambda p: value(p, 0) + (value(p, 1) - value(p, 0)) * (h(p) - F.floor(h(p)))
+    return names.join(by_rank, "varname", "left").select("varname", *(F.round(between(p), 6).alias(f"p{round(100 * p)}") for p in at))
+
+
+def _narrowed(known: DataFrame, wanted: DataFrame, parts: int = 64) -> DataFrame:
+    """The wanted ranks, each in the part of its interval that holds it."""
+    spans = wanted.select("varname", "lo", "hi").distinct()
+    within = lambda s: known.withColumnRenamed("varname", "_name").join(s, (F.col("_name") == F.col("varname")) & F.col("v").between(F.col("lo"), F.col("hi")))
+    bounds = within(spans).groupBy("varname", "lo", "hi").agg(F.percentile_approx("v", [k / parts for k in range(1, parts)], 1000).alias("bounds"))
+    bounded = shared_table(bounds.withColumn("bounds", F.array_distinct("bounds")), "bounds")
+    place = F.size(F.filter("bounds", lambda b: b < F.col("v"))) + F.size(F.filter("bounds", lambda b: b <= F.col("v")))
+    counts = within(bounded).groupBy("varname", "lo", "hi", place.alias("part")).agg(F.count("*").alias("k"), F.min("v").alias("low"), F.max("v").alias("high"))
+    before = F.sum("k").over(Window.partitionBy("varname", "lo", "hi").orderBy("part")) - F.col("k")  # at most 2 x parts rows
+    met = wanted.join(counts.withColumn("before", before), ["varname", "lo", "hi"])
+    met = met.where((F.col("rank") >= F.col("below") + F.col("before")) & (F.col("rank") < F.col("below") + F.col("before") + F.col("k")))
+    return met.select("varname", "rank", F.col("low").alias("lo"), F.col("high").alias("hi"), (F.col("below") + F.col("before")).alias("below"), F.col("k").alias("n_in"))
 
 
 def compare_stats(aligned: DataFrame, tolerance: float = 1e-4) -> DataFrame:

@@ -137,20 +137,32 @@ def precip_window(cells: DataFrame, window: int) -> DataFrame:
     return _value_before(cells, window).select("varname", "member", "cell", "step_h", F.when(whole, F.col("value")).otherwise(part).alias("total"))
 
 
-def nearest_run(targets: DataFrame, runs: DataFrame, on: str, target: str = "target_date", run: str = "run_date") -> DataFrame:
+def nearest_run(targets: DataFrame, runs: DataFrame, on: str, target: str = "target_date", run: str = "run_date", bucket_days: int = 256) -> DataFrame:
     """For each target date of a key the nearest run of that key (the later of two); the key's last run without a date.
 
-    Runs and targets of a key are put in one order; the run before and the run after a target are the nearest ones.
+    Different runs and targets of a key are put in order within buckets of days, so a task orders at most two rows for each day
+    of a bucket however hot a key is. The last and first run of each bucket are carried to the others in a table of
+    one row for each key and bucket (a date type has fewer than 46,000 buckets of 256 days). A null key is a key of its own.
     """
-    both = targets.select(on, F.col(target).alias("day"), F.lit(None).cast("date").alias("run"), F.lit(True).alias("asks")).distinct()
-    both = both.unionByName(runs.select(on, F.col(run).alias("day"), F.col(run).alias("run"), F.lit(False).alias("asks")))
-    by_day = Window.partitionBy(on).orderBy("day", "asks")
+    both = targets.select(F.col(on).alias("_key"), F.col(target).alias("day"), F.lit(None).cast("date").alias("run"), F.lit(True).alias("asks"))
+    both = both.unionByName(runs.select(F.col(on).alias("_key"), F.col(run).alias("day"), F.col(run).alias("run"), F.lit(False).alias("asks"))).distinct()
+    both = both.withColumn("bucket", F.floor(F.datediff("day", F.lit("1970-01-01").cast("date")) / bucket_days))
+    edges = both.groupBy("_key", "bucket").agg(F.min("run").alias("first"), F.max("run").alias("final"))
+    of_key = Window.partitionBy("_key").orderBy("bucket")
+    carried = edges.select(
+        F.col("_key").alias("_k"), F.col("bucket").alias("_b"),
+        F.last("final", True).over(of_key.rowsBetween(Window.unboundedPreceding, -1)).alias("came"),
+        F.first("first", True).over(of_key.rowsBetween(1, Window.unboundedFollowing)).alias("comes"),
+        F.max("final").over(Window.partitionBy("_key")).alias("last"),
+    )
+    by_day = Window.partitionBy("_key", "bucket").orderBy("day", "asks")
     before = F.last("run", True).over(by_day.rowsBetween(Window.unboundedPreceding, 0))
     after = F.first("run", True).over(by_day.rowsBetween(0, Window.unboundedFollowing))
-    last = F.max("run").over(Window.partitionBy(on))
-    met = both.select(on, F.col("day").alias(target), "asks", before.alias("before"), after.alias("after"), last.alias("last")).where("asks")
-    nearer = F.col("before").isNull() | (F.datediff("after", F.col(target)) <= F.datediff(F.col(target), "before"))
-    return met.select(on, target, F.when(F.col(target).isNull(), F.col("last")).when(nearer, F.coalesce("after", "before")).otherwise(F.col("before")).alias(run))
+    near = both.select("_key", "bucket", "day", "asks", before.alias("before"), after.alias("after")).where("asks")
+    met = near.join(carried, F.col("_key").eqNullSafe(F.col("_k")) & F.col("bucket").eqNullSafe(F.col("_b")))
+    met = met.withColumns({"before": F.coalesce("before", "came"), "after": F.coalesce("after", "comes")})
+    nearer = F.col("before").isNull() | (F.datediff("after", "day") <= F.datediff("day", "before"))
+    return met.select(F.col("_key").alias(on), F.col("day").alias(target), F.when(F.col("day").isNull(), F.col("last")).when(nearer, F.coalesce("after", "before")).otherwise(F.col("before")).alias(run))
 
 
 def align_grids(a: DataFrame, b: DataFrame, on: tuple[str, ...] = ("varname", "step_h", "cell")) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,13 +44,18 @@ def packed_values(column: str) -> Column:
     return pack(column)
 
 
+def inline_value(column: str) -> Column:
+    """Numbers as a `base64:` value of one line: Spark breaks long ones, which readers of stores need not accept."""
+    return F.concat(F.lit("base64:"), F.translate(F.base64(packed_values(column)), "\r\n", ""))
+
+
 def coord_metadata(coords: DataFrame) -> DataFrame:
     """Coordinate arrays as rows: shape, chunks, new dim name and the bytes (little-endian f8) as base64."""
     names = {"time": "run_times", "valid_time": "valid_times", "step": "model_horizons"}
     renamed = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("i", "coord"))), lambda x: x["coord"].cast("double"))
     out = coords.groupBy("path", "dim").agg(F.count("*").alias("shape"), ordered.alias("v"))
-    return out.select("path", "dim", F.coalesce(renamed[F.col("dim")], F.col("dim")).alias("dim_name"), "shape", F.col("shape").alias("chunks"), F.concat(F.lit("base64:"), F.base64(packed_values("v"))).alias("inline"))
+    return out.select("path", "dim", F.coalesce(renamed[F.col("dim")], F.col("dim")).alias("dim_name"), "shape", F.col("shape").alias("chunks"), inline_value("v").alias("inline"))
 
 
 def datavar_metadata(chunks: DataFrame, n_lat: int = 721, n_lon: int = 1440) -> DataFrame:
@@ -136,10 +142,31 @@ def cells_from_grid(grids: DataFrame, lon0: float = -180.0, step: float = 0.25,
     return flat.withColumns({"lat": 90.0 - step * F.floor(F.col("pos") / width), "lon": lon0 + step * F.pmod("pos", F.lit(width))})
 
 
-def assemble_grid(chunks: DataFrame, size: int, chunk: int) -> DataFrame:
-    """Cells of a one-dimensional array from its chunks (array, chunk_idx, values); what hangs over the edge goes."""
-    flat = chunks.select("array", "chunk_idx", F.posexplode("values").alias("pos", "value"))
-    return flat.withColumn("place", F.col("chunk_idx") * chunk + F.col("pos")).where(F.col("place") < size).select("array", "place", "value")
+def assemble_grid(chunks: DataFrame, arrays: DataFrame) -> DataFrame:
+    """Cells of arrays of any number of dimensions: array, at (index in each dimension), place (row-major in the whole) and value.
+
+    chunks: array, chunk (the chunk's number in each dimension) and values (row-major, whole chunks). arrays: array, shape and
+    chunks (the chunk's size in each dimension). What hangs over an edge goes. A chunk that is not there has no cells; one with
+    another number of dimensions or values than its array says fails. Arrays without metadata are left out, as are null values
+    of a whole chunk. An array of no dimensions has one chunk with one value.
+    """
+    sizes = arrays.select("array", F.transform("shape", lambda n: n.cast("bigint")).alias("_shape"), F.transform("chunks", lambda n: n.cast("bigint")).alias("_sizes"))
+    one = F.lit(1).cast("bigint")
+    product = lambda v: F.aggregate(v, one, lambda a, x: a * x)
+    dims = F.sequence(F.lit(1), F.size("_shape"))
+    none = F.array().cast("array<bigint>")
+    strides = lambda c: F.when(F.size("_shape") == 0, none).otherwise(F.transform(dims, lambda d: product(F.slice(c, d + 1, F.size(c)))))
+    met = chunks.join(sizes, "array").where("values IS NOT NULL")
+    fits = (F.size("chunk") == F.size("_shape")) & (F.size("_sizes") == F.size("_shape")) & (F.size("values") == product(F.col("_sizes")))
+    told = F.concat(F.lit("chunk of another form than its array: "), F.col("array").cast("string"))
+    met = met.withColumn("values", F.when(fits, F.col("values")).otherwise(F.raise_error(told).cast(met.schema["values"].dataType)))
+    met = met.withColumns({"_in": strides(F.col("_sizes")), "_out": strides(F.col("_shape")), "_from": F.zip_with("chunk", "_sizes", lambda c, n: c * n)})
+    flat = met.select("array", "_shape", "_sizes", "_in", "_out", "_from", F.posexplode("values").alias("_pos", "value"))
+    within = F.transform("_in", lambda stride, d: F.floor(F.col("_pos") / stride) % F.get("_sizes", d))
+    flat = flat.withColumn("at", F.zip_with("_from", within, lambda a, b: a + b))
+    inside = F.forall(F.zip_with("at", "_shape", lambda i, n: i < n), lambda x: x)
+    place = F.aggregate(F.zip_with("at", "_out", lambda i, n: i * n), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return flat.where(inside).select("array", "at", place.alias("place"), "value")
 
 
 def flatten_tree(cells: DataFrame, names: list[str]) -> DataFrame:
@@ -164,51 +191,149 @@ def bytes_to_array(df: DataFrame, column: str = "data", dtype: str = "<f4") -> D
     return df.withColumn("values", numbers(column))
 
 
-def decode_chunks(df: DataFrame, decoders: dict[str, object], column: str = "data") -> DataFrame:
-    """Values of each chunk by the first decoder that can read it; `status` names it, or is 'failed'."""
+def decode_chunks(df: DataFrame, decoders: dict[str, Callable[[bytes], object]], column: str = "data") -> DataFrame:
+    """`decode_batches` with decoders of one chunk, which raise ValueError or TypeError for a chunk that they cannot read."""
+    return decode_batches(df, {name: each(decode) for name, decode in decoders.items()}, column)
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            values, status = [], []
-            for raw in part[column]:
-                got, said = None, "failed"
-                for name, decode in decoders.items():
-                    try:
-                        got, said = [float(x) for x in decode(raw)], name
-                        break
-                    except (ValueError, TypeError):
-                        continue
-                values.append(got)
-                status.append(said)
-            yield part.assign(values=values, status=status)
 
-    return df.mapInPandas(run, df.withColumns({"values": F.lit(None).cast("array<double>"), "status": F.lit("")}).schema)
+def decode_batches(df: DataFrame, decoders: dict[str, Callable[[list[bytes]], list]], column: str = "data") -> DataFrame:
+    """Values of each chunk by the first decoder that can read it; `status` names it, or is 'failed' or, of null bytes, 'missing'.
 
+    A decoder gets a list of chunks (bytes) and gives one array of numbers for each, None for those that it cannot read; if it
+    raises ValueError or TypeError it has read none of them. The next decoder gets what is left, so each is called once for a
+    batch and no number passes through Python by itself. A NaN stays a NaN.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = batch.column(column).to_pylist()
+            values: list = [None] * len(raw)
+            status = ["missing" if x is None else "failed" for x in raw]
+            left = [i for i, x in enumerate(raw) if x is not None]
+            for name, decode in decoders.items():
+                if not left:
+                    break
+                try:
+                    got = decode([raw[i] for i in left])
+                except (ValueError, TypeError):
+                    continue
+                for i, v in zip(left, got, strict=True):
+                    if v is not None:
+                        values[i], status[i] = np.asarray(v, "f8").ravel(), name
+                left = [i for i in left if values[i] is None]
+            sizes = np.array([0 if v is None else len(v) for v in values], "i8")
+            known = [v for v in values if v is not None]
+            flat = pa.array(np.concatenate(known) if known else np.zeros(0))
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            if ends[-1] >= 2**31:
+                raise ValueError("a batch decodes to over 2^31 numbers: lower spark.sql.execution.arrow.maxRecordsPerBatch")
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=pa.array([v is None for v in values], pa.bool_()))
+            columns = [c for n, c in zip(batch.schema.names, batch.columns) if n not in ("values", "status")]
+            names = [n for n in batch.schema.names if n not in ("values", "status")]
+            yield pa.RecordBatch.from_arrays([*columns, lists, pa.array(status, pa.string())], [*names, "values", "status"])
+
+    kept = df.drop("values", "status")
+    return kept.mapInArrow(run, kept.withColumns({"values": F.lit(None).cast("array<double>"), "status": F.lit("")}).schema)
+
+
+def each(decode: Callable[[bytes], object]) -> Callable[[list[bytes]], list]:
+    """A decoder of one chunk as a decoder of a list of chunks: those that raise ValueError or TypeError are None."""
+
+    def decode_list(chunks: list[bytes]) -> list:
+        out = []
+        for raw in chunks:
+            try:
+                out.append(decode(raw))
+            except (ValueError, TypeError):
+                out.append(None)
+        return out
+
+    return decode_list
+
+
+def decoder_counts(decoded: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Chunks and numbers of each status."""
+    return decoded.groupBy(*by, "status").agg(F.count("*").alias("n_chunks"), F.sum(F.coalesce(F.size("values"), F.lit(0)).cast("bigint")).alias("n_values"))
+
+
+#: The dims that stand for time in the arrays of each axis, in order; an axis table numbers its cells by them in `place`.
+AXIS_DIMS = {"horizon": ("step", "valid_time"), "valid_time": ("valid_time", "step"), "run_time": ("time", "step"), "best_available": ("valid_time",)}
+_STORE = {"axis": "string", "key": "string", "kind": "string", "uri": "string", "offset": "bigint", "length": "bigint", "meta": "string", "inline": "string"}
+
+
+def place_levels(chunks: DataFrame) -> DataFrame:
+    """A chunk index with `path`, all `levels` of its path in order and `k`, the place of its own level among them.
+
+    Levels of a path are gathered in one row: they are the values of an axis of one array. Null levels have no place.
+    """
+    keyed = chunks.withColumn("path", F.concat_ws("/", "varname", "stepType", "typeOfLevel"))
+    levels = keyed.groupBy("path").agg(F.sort_array(F.collect_set("level")).alias("levels"))
+    return keyed.join(levels, "path").withColumn("k", F.array_position("levels", F.col("level")) - 1).where("k >= 0")
 
-def reinflate(axis: DataFrame, chunks: DataFrame, n_lat: int = 721, n_lon: int = 1440) -> DataFrame:
-    """The store of an aggregation axis (time, step_h, valid_time): key, kind, uri, offset, length and meta of each entry.
 
-    Chunks on the axis are keyed `group/variable/i.k.0.0` by the places of their valid time and level; of several for a key
-    the first by uri and offset counts. Each variable has an `array` row, each group a `coord` row with its valid times, whose
-    inline value is the seconds as base64.
+def store_chunks(axes: DataFrame, placed: DataFrame) -> DataFrame:
+    """Chunk rows of the stores of all axes: `path/variable/i.j.k.0.0` by place on the axis and, of several levels, by level.
+
+    `axes`: axis, time, step_h, valid_time, place (array<bigint>). Of several chunks for a key the first by uri and offset counts.
+    All axes are joined with the index at once, so it is read and shuffled once whatever their number.
+    """
+    met = axes.select("axis", "time", "step_h", "place").join(placed.drop("valid_time"), ["time", "step_h"])
+    level = F.when(F.size("levels") > 1, F.array("k")).otherwise(F.array().cast("array<bigint>"))
+    zero = F.array(F.lit(0).cast("bigint"), F.lit(0).cast("bigint"))
+    number = F.array_join(F.concat("place", level, zero).cast("array<string>"), ".")
+    first = met.groupBy("axis", F.concat("path", F.lit("/"), "varname", F.lit("/"), number).alias("key")).agg(F.min_by(F.struct("uri", "offset", "length"), F.struct("uri", "offset")).alias("c"))
+    return first.select("axis", "key", F.lit("chunk").alias("kind"), "c.uri", "c.offset", "c.length", F.lit(None).cast("string").alias("meta"), F.lit(None).cast("string").alias("inline"))
+
+
+def store_metadata(axes: DataFrame, placed: DataFrame, n_lat: int = 721, n_lon: int = 1440) -> DataFrame:
+    """Array and coordinate rows of the stores of all axes.
+
+    Each group has an `array` row and `coord` rows for time, valid_time, step (hours) and its levels. A coordinate is its values
+    in row-major order of its dims as little-endian doubles in base64 (times as seconds since 1970); it runs over one dim if it
+    depends on that alone. The values of an axis are gathered in one row, as the store keeps them in one value.
     """
-    path = F.concat_ws("/", "varname", "stepType", "typeOfLevel")
-    met = axis.join(chunks, ["time", "step_h"]).withColumn("path", path)
-    times = axis.select("valid_time").distinct()
-    placed = met.join(place_on_axis(times.withColumn("all", F.lit(1)), "valid_time", "i", "all").select("valid_time", "i"), "valid_time")
-    placed = place_on_axis(placed, "level", "k", "path")
-    key = F.concat(F.col("path"), F.lit("/"), F.col("varname"), F.lit("/"), F.concat_ws(".", F.col("i").cast("string"), F.col("k").cast("string"), F.lit("0.0")))
-    first = placed.groupBy(key.alias("key")).agg(F.min_by(F.struct("uri", "offset", "length"), F.struct("uri", "offset")).alias("c"))
-    none = {"uri": "string", "offset": "bigint", "length": "bigint", "meta": "string", "inline": "string"}
-    empty = lambda *names: [F.lit(None).cast(none[n]).alias(n) for n in names]
-    entries = first.select("key", F.lit("chunk").alias("kind"), "c.uri", "c.offset", "c.length", *empty("meta", "inline"))
-    n_times = times.agg(F.count("*").alias("n_times"))  # one row
-    shape = F.array("n_times", "n_levels", F.lit(n_lat), F.lit(n_lon))
-    groups = met.groupBy("path", "varname").agg(F.count_distinct("level").alias("n_levels")).crossJoin(F.broadcast(n_times))
-    doc = F.to_json(F.struct(shape.alias("shape"), F.array(F.lit(1), F.lit(1), F.lit(n_lat), F.lit(n_lon)).alias("chunks"), F.array(*map(F.lit, ("valid_times", "level", "latitude", "longitude"))).alias("dims")))
-    arrays = groups.select(F.concat_ws("/", "path", "varname", F.lit(".zarray")).alias("key"), F.lit("array").alias("kind"), *empty("uri", "offset", "length"), doc.alias("meta"), *empty("inline"))
-    seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', valid_time)")
-    axes = groups.select("path").distinct().crossJoin(times).select("path", F.lit("valid_time").alias("dim"), seconds.alias("i"), seconds.alias("coord"))
-    coords = coord_metadata(axes)
-    described = F.to_json(F.struct(F.array("shape").alias("shape"), F.array("chunks").alias("chunks"), F.array("dim_name").alias("dims")))
-    return entries.unionByName(arrays).unionByName(coords.select(F.concat_ws("/", "path", "dim", F.lit("0")).alias("key"), F.lit("coord").alias("kind"), *empty("uri", "offset", "length"), described.alias("meta"), "inline"))
+    names = {"time": "run_times", "valid_time": "valid_times", "step": "model_horizons"}
+    seconds = lambda c: F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {c})").cast("double")
+    own = {"time": seconds("time"), "valid_time": seconds("valid_time"), "step": F.col("step_h").cast("double")}
+    by_axis = lambda rule: F.coalesce(*(F.when(F.col("axis") == a, rule(d)) for a, d in AXIS_DIMS.items()))
+    strings = lambda d: F.array(*map(F.lit, d))
+    # a coordinate that is itself a dim (but of horizons, whose steps repeat along time) runs over that dim alone
+    alone = lambda n, d: n in d and d != AXIS_DIMS["horizon"]
+    at = {n: by_axis(lambda d, n=n: F.lit(d.index(n) if alone(n, d) else -1)) for n in own}
+    first, second = F.get("place", 0), F.get("place", 1)
+    needed = {n: (at[n] < 0) | (F.coalesce(F.get("place", 1 - F.greatest(at[n], F.lit(0))), F.lit(0)) == 0) for n in own}
+    gathered = axes.groupBy("axis").agg(
+        F.max(first).alias("last_0"), F.max(second).alias("last_1"),
+        *(F.sort_array(F.collect_list(F.when(needed[n], F.struct(first.alias("p"), second.alias("q"), v.alias("v"))))).alias(n) for n, v in own.items()),
+    )
+    ends = F.filter(F.array(F.col("last_0") + 1, F.col("last_1") + 1), lambda n: n.isNotNull())
+    coords = []
+    for n in own:
+        dims = by_axis(lambda d, n=n: strings([names[n]] if alone(n, d) else [names[x] for x in d]))
+        shape = F.when(at[n] < 0, F.col("ends")).otherwise(F.array(F.get("ends", F.greatest(at[n], F.lit(0)))))
+        coords.append(F.struct(F.lit(n).alias("name"), shape.alias("shape"), dims.alias("dims"), F.col(n)["v"].alias("v")))
+    per_axis = gathered.withColumn("ends", ends).withColumn("coords", F.array(*coords)).select("axis", "ends", "coords")
+    packed = per_axis.select("axis", F.explode("coords").alias("c")).select("axis", "c.name", "c.shape", "c.dims", "c.v")
+    groups = placed.groupBy("path", "varname", "typeOfLevel").agg(F.first("levels").alias("levels"))
+    several = F.size("levels") > 1
+    described = lambda shape, chunks, dims: F.to_json(F.struct(shape.alias("shape"), chunks.alias("chunks"), dims.alias("dims")))
+    ones = lambda a: F.transform(a, lambda x: F.lit(1).cast("bigint"))
+    whole = F.array(F.lit(n_lat).cast("bigint"), F.lit(n_lon).cast("bigint"))
+    with_levels = lambda a, extra: F.when(several, F.concat(a, F.array(extra))).otherwise(a)
+    time_dims = by_axis(lambda d: strings([names[x] for x in d]))
+    shape = with_levels(F.col("ends"), F.size("levels").cast("bigint"))
+    dims = F.concat(with_levels(time_dims, F.col("typeOfLevel")), strings(["latitude", "longitude"]))
+    pairs = groups.crossJoin(per_axis.select("axis", "ends"))
+    empty = lambda *columns: [F.lit(None).cast(_STORE[c]).alias(c) for c in columns]
+    place = ("uri", "offset", "length")
+    arrays = pairs.select("axis", F.concat_ws("/", "path", "varname", F.lit(".zarray")).alias("key"), F.lit("array").alias("kind"), *empty(*place), described(F.concat(shape, whole), F.concat(ones(shape), whole), dims).alias("meta"), *empty("inline"))
+    inline = inline_value("v").alias("inline")
+    number = F.array_join(F.transform("shape", lambda x: F.lit("0")), ".")
+    once = packed.select("axis", "name", described(F.col("shape"), F.col("shape"), F.col("dims")).alias("meta"), number.alias("number"), inline)
+    timed = groups.select("path").crossJoin(once).select("axis", F.concat_ws("/", "path", "name", "number").alias("key"), F.lit("coord").alias("kind"), *empty(*place), "meta", "inline")
+    n_levels = F.when(several, F.array(F.size("levels"))).otherwise(F.array().cast("array<int>"))
+    level_dims = F.when(several, F.array("typeOfLevel")).otherwise(F.array().cast("array<string>"))
+    levels = groups.select("path", "typeOfLevel", "levels", described(n_levels, n_levels, level_dims).alias("meta"), F.transform("levels", lambda x: x.cast("double")).alias("v"))
+    levels = levels.select(F.concat_ws("/", "path", "typeOfLevel", F.when(F.size("v") > 1, "0")).alias("key"), F.lit("coord").alias("kind"), *empty(*place), "meta", inline)
+    leveled = levels.crossJoin(per_axis.select("axis")).select(*_STORE)
+    return arrays.unionByName(timed).unionByName(leveled)

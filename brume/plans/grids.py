@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..functions import project as P
@@ -279,11 +281,6 @@ def fmrc_run_time(spark, d):
 BEST = """grid AS (SELECT valid_time, least(valid_time, r) AS "time", CAST(date_diff('hour', least(valid_time, r), valid_time) AS INT) AS step_h FROM (SELECT DISTINCT valid_time FROM kindex), (SELECT quantile_disc("time", 0.5) AS r FROM (SELECT DISTINCT "time" FROM kindex)))"""
 
 
-STORE = """vt AS (SELECT valid_time, row_number() OVER (ORDER BY valid_time) - 1 AS i FROM (SELECT DISTINCT valid_time FROM grid)),
-met AS (SELECT k.* EXCLUDE (valid_time), g.valid_time, varname || '/' || "stepType" || '/' || "typeOfLevel" AS path FROM grid g JOIN kindex k ON k."time" = g."time" AND k.step_h = g.step_h),
-placed AS (SELECT met.*, i, dense_rank() OVER (PARTITION BY path ORDER BY level) - 1 AS k FROM met JOIN vt USING (valid_time))"""
-
-
 def best_grid(spark, d):
     k = kindex(spark, d)
     days = k.select("time").distinct()
@@ -296,12 +293,59 @@ def fmrc_best_available(spark, d):
     return best_grid(spark, d)
 
 
-@query(sql("""SELECT path || '/' || varname || '/' || i || '.' || k || '.0.0' AS key, 'chunk' AS kind, min_by(uri, (uri, "offset")) AS uri, min_by("offset", (uri, "offset")) AS "offset", min_by(length, (uri, "offset")) AS length, NULL AS meta FROM placed GROUP BY path, varname, i, k
-UNION ALL SELECT path || '/' || varname || '/.zarray', 'array', NULL, NULL, NULL, '{"shape":[' || (SELECT count(*) FROM vt) || ',' || count(DISTINCT level) || ',721,1440],"chunks":[1,1,721,1440],"dims":["valid_times","level","latitude","longitude"]}' FROM met GROUP BY path, varname
-UNION ALL SELECT DISTINCT path || '/valid_time/0', 'coord', NULL, NULL, NULL, '{"shape":[' || (SELECT count(*) FROM vt) || '],"chunks":[' || (SELECT count(*) FROM vt) || '],"dims":["valid_times"]}' FROM met""", "msg", "mapping", also=f"{KINDEX},\n{BEST},\n{STORE}"))
+STORE = """t AS (SELECT DISTINCT "time" FROM kindex), s AS (SELECT DISTINCT step_h FROM kindex), v AS (SELECT DISTINCT valid_time FROM kindex),
+tn AS (SELECT "time", row_number() OVER (ORDER BY "time") - 1 AS i FROM t), sn AS (SELECT step_h, row_number() OVER (ORDER BY step_h) - 1 AS i FROM s), vn AS (SELECT valid_time, row_number() OVER (ORDER BY valid_time) - 1 AS i FROM v),
+axes AS (SELECT 'horizon' AS axis, valid_time - to_hours(h) AS "time", h AS step_h, valid_time, [pos, j] AS place FROM (SELECT pos, j, valid_time, CAST(steps[j % len(steps) + 1] AS INT) AS h FROM (SELECT valid_time, i AS j FROM vn), (SELECT 0 AS pos, [0, 3, 6, 9] AS steps UNION ALL SELECT 1, [12, 15]))
+  UNION ALL SELECT 'valid_time', valid_time - to_hours(step_h), step_h, valid_time, [vn.i, sn.i] FROM vn, sn
+  UNION ALL SELECT 'run_time', "time", step_h, "time" + to_hours(step_h), [tn.i, sn.i] FROM tn, sn
+  UNION ALL SELECT 'best_available', "time", step_h, valid_time, [i] FROM grid JOIN vn USING (valid_time)),
+pathed AS (SELECT *, varname || '/' || "stepType" || '/' || "typeOfLevel" AS path FROM kindex),
+placed AS (SELECT *, dense_rank() OVER (PARTITION BY path ORDER BY level) - 1 AS k FROM pathed),
+groups AS (SELECT path, varname, "typeOfLevel", count(DISTINCT level) AS n FROM pathed GROUP BY ALL),
+nt AS (SELECT count(*) AS n FROM t), ns AS (SELECT count(*) AS n FROM s), nv AS (SELECT count(*) AS n FROM v),
+shapes AS (SELECT 'horizon' AS axis, '2,' || n AS shape, '1,1' AS ones, '"model_horizons","valid_times"' AS dims FROM nv UNION ALL SELECT 'valid_time', nv.n || ',' || ns.n, '1,1', '"valid_times","model_horizons"' FROM nv, ns
+  UNION ALL SELECT 'run_time', nt.n || ',' || ns.n, '1,1', '"run_times","model_horizons"' FROM nt, ns UNION ALL SELECT 'best_available', n || '', '1', '"valid_times"' FROM nv),
+kinds AS (SELECT axis, unnest(['time', 'valid_time', 'step']) AS name, shape, dims FROM shapes),
+told AS (SELECT axis, name, CASE WHEN one THEN (SELECT CASE name WHEN 'time' THEN nt.n WHEN 'step' THEN ns.n ELSE nv.n END || '' FROM nt, ns, nv) ELSE shape END AS shape,
+  CASE WHEN one THEN CASE name WHEN 'time' THEN '"run_times"' WHEN 'step' THEN '"model_horizons"' ELSE '"valid_times"' END ELSE dims END AS dims,
+  CASE WHEN one OR axis = 'best_available' THEN '0' ELSE '0.0' END AS number FROM (SELECT *, axis <> 'horizon' AND ((name = 'step' AND axis <> 'best_available') OR (name = 'valid_time' AND axis <> 'run_time') OR (name = 'time' AND axis = 'run_time')) AS one FROM kinds)),
+long AS (SELECT axis, place, unnest([{'name': 'time', 'v': epoch("time")}, {'name': 'valid_time', 'v': epoch(valid_time)}, {'name': 'step', 'v': CAST(step_h AS DOUBLE)}]) AS c FROM axes),
+wanted AS (SELECT axis, c.name AS name, place, c.v AS v FROM long WHERE CASE WHEN axis = 'valid_time' AND c.name = 'step' THEN place[1] = 0 WHEN axis = 'valid_time' AND c.name = 'valid_time' THEN place[2] = 0
+  WHEN axis = 'run_time' AND c.name = 'step' THEN place[1] = 0 WHEN axis = 'run_time' AND c.name = 'time' THEN place[2] = 0 ELSE true END),
+hexed AS (SELECT axis, name, place, hex(CAST(CAST(CAST(v AS DOUBLE) AS BIT) AS BLOB)) AS h FROM wanted),
+packed AS (SELECT axis, name, 'base64:' || base64(unhex(string_agg(h[15:16] || h[13:14] || h[11:12] || h[9:10] || h[7:8] || h[5:6] || h[3:4] || h[1:2], '' ORDER BY place))) AS inline FROM hexed GROUP BY ALL),
+lhex AS (SELECT path, level, hex(CAST(CAST(level AS BIT) AS BLOB)) AS h FROM (SELECT DISTINCT path, CAST(level AS DOUBLE) AS level FROM pathed)),
+lpacked AS (SELECT path, 'base64:' || base64(unhex(string_agg(h[15:16] || h[13:14] || h[11:12] || h[9:10] || h[7:8] || h[5:6] || h[3:4] || h[1:2], '' ORDER BY level))) AS inline FROM lhex GROUP BY ALL)"""
+
+
+def all_axes(spark, index):
+    """Cells of the four axes of a chunk index, numbered by their dims; horizons are the steps 0 to 9 and 12 to 15 in turn."""
+    place = lambda *columns: F.array(*(F.col(c).cast("bigint") for c in columns))
+    own = index.agg(*(F.sort_array(F.collect_set(c)).alias(n) for c, n in (("time", "times"), ("valid_time", "valids"), ("step_h", "steps"))))  # one row: the axes
+    numbered = lambda column, name, i: own.select(F.posexplode(column).alias(i, name))
+    times, valids, steps = numbered("times", "time", "t"), numbered("valids", "valid_time", "j"), numbered("steps", "step_h", "s")
+    ranges = spark.range(1).select(F.explode(F.array(F.struct(F.lit(0).alias("horizon_pos"), F.array(*map(F.lit, (0, 3, 6, 9))).alias("steps")), F.struct(F.lit(1).alias("horizon_pos"), F.array(F.lit(12), F.lit(15)).alias("steps")))).alias("r")).select("r.*")
+    as_of = own.select(F.get("times", F.floor((F.size("times") - 1) / 2).cast("int")).alias("as_of"))
+    found = {
+        "horizon": (X.horizon(valids, ranges), place("horizon_pos", "j")), "valid_time": (X.by_valid_time(valids, steps), place("j", "s")),
+        "run_time": (X.by_run_time(times, steps), place("t", "s")), "best_available": (X.best_available(valids, as_of), place("j")),
+    }
+    parts = [df.select(F.lit(axis).alias("axis"), "time", F.col("step_h").cast("int").alias("step_h"), "valid_time", p.alias("place")) for axis, (df, p) in found.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query(sql("""SELECT axis, path || '/' || varname || '/' || array_to_string(place, '.') || CASE WHEN n > 1 THEN '.' || k ELSE '' END || '.0.0' AS key, 'chunk' AS kind, min_by(uri, (uri, "offset")) AS uri, min_by("offset", (uri, "offset")) AS "offset", min_by(length, (uri, "offset")) AS length, NULL AS meta, NULL AS inline
+  FROM axes a JOIN placed p ON a."time" = p."time" AND a.step_h = p.step_h JOIN groups g USING (path, varname) GROUP BY axis, path, varname, place, n, k
+UNION ALL SELECT axis, path || '/' || varname || '/.zarray', 'array', NULL, NULL, NULL, '{"shape":[' || shape || CASE WHEN n > 1 THEN ',' || n ELSE '' END || ',721,1440],"chunks":[' || ones || CASE WHEN n > 1 THEN ',1' ELSE '' END || ',721,1440],"dims":[' || dims || CASE WHEN n > 1 THEN ',"' || "typeOfLevel" || '"' ELSE '' END || ',"latitude","longitude"]}', NULL FROM groups, shapes
+UNION ALL SELECT axis, path || '/' || name || '/' || number, 'coord', NULL, NULL, NULL, '{"shape":[' || shape || '],"chunks":[' || shape || '],"dims":[' || dims || ']}', inline FROM groups, told JOIN packed USING (axis, name)
+UNION ALL SELECT axis, path || '/' || "typeOfLevel" || CASE WHEN n > 1 THEN '/0' ELSE '' END, 'coord', NULL, NULL, NULL, CASE WHEN n > 1 THEN '{"shape":[' || n || '],"chunks":[' || n || '],"dims":["' || "typeOfLevel" || '"]}' ELSE '{"shape":[],"chunks":[],"dims":[]}' END, inline FROM groups JOIN lpacked USING (path), shapes""", "msg", "mapping", also=f"{KINDEX},\n{BEST},\n{STORE}"))
 def reinflate(spark, d):
-    """The whole store of the best-available axis: chunks, array and coordinate entries."""
-    return R.reinflate(best_grid(spark, d), kindex(spark, d).drop("valid_time")).drop("inline")
+    """The whole stores of all four axes: chunks, arrays and coordinates with their bytes. The index is worked out once and written, as are the axes and the few rows of metadata."""
+    from ..sources.scratch import shared_table
+
+    index = shared_table(R.place_levels(kindex(spark, d)), "index")
+    axes = shared_table(all_axes(spark, index), "axes")
+    return R.store_chunks(axes, index).unionByName(shared_table(R.store_metadata(axes, index), "metadata"))
 
 
 @query(sql("SELECT file, idx, \"time\" + INTERVAL 30 DAY AS \"time\", valid_time + INTERVAL 30 DAY AS valid_time FROM kindex", "msg", "mapping", also=KINDEX))
@@ -317,11 +361,15 @@ def cells_from_grid(spark, d):
     return R.cells_from_grid(e, width=8)
 
 
-@query("SELECT label AS \"array\", CAST(vec_id * 64 + i - 1 AS BIGINT) AS place, CAST(embedding[i] AS DOUBLE) AS value FROM embeddings, unnest(range(1, 65)) AS u(i) WHERE vec_id * 64 + i - 1 < (SELECT max(vec_id) * 64 + 50 FROM embeddings)")
+@query("""WITH sizes AS (SELECT label, 8 * (max(vec_id) // 7 + 1) - 3 AS rows FROM embeddings GROUP BY label), cut AS (SELECT label, 8 * (vec_id // 7) + (p - 1) // 8 AS i, 8 * (vec_id % 7) + (p - 1) % 8 AS j, CAST(embedding[p] AS DOUBLE) AS value FROM embeddings, unnest(range(1, 65)) AS u(p))
+SELECT label AS "array", CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, CAST(51 * i + j AS BIGINT) AS place, value FROM cut JOIN sizes USING (label) WHERE i < rows AND j < 51""")
 def assemble_grid(spark, d):
-    e = V.table(spark, d, "embeddings").select(F.col("label").alias("array"), F.col("vec_id").alias("chunk_idx"), F.transform("embedding", lambda x: x.cast("double")).alias("values"))
-    size = e.agg(F.max("chunk_idx")).first()[0] * 64 + 50  # the last chunk hangs over the edge
-    return R.assemble_grid(e, size, 64)
+    """Embeddings as chunks of 8 by 8 of one matrix for each label, 51 wide: chunks hang over its lower and right edge."""
+    e = V.table(spark, d, "embeddings").select(F.col("label").alias("array"), "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("values"))
+    row, column = F.floor(F.col("vec_id") / 7), F.col("vec_id") % 7
+    arrays = e.groupBy("array").agg(F.array(8 * (F.max(row) + 1) - 3, F.lit(51).cast("bigint")).alias("shape")).withColumn("chunks", F.array(F.lit(8), F.lit(8)))
+    out = R.assemble_grid(e.select("array", F.array(row, column).alias("chunk"), "values"), arrays)
+    return out.select("array", F.get("at", 0).alias("i"), F.get("at", 1).alias("j"), "place", "value")
 
 
 @query("SELECT vec_id, CAST(i - 1 AS INT) AS pos, CAST(embedding[i] AS DOUBLE) AS value, 'doubles' AS status FROM embeddings, unnest(range(1, 65)) AS u(i)")
@@ -340,6 +388,25 @@ def decoder(spark, d):
     return out.select("vec_id", F.posexplode("values").alias("pos", "value"), "status")
 
 
+@query("SELECT label, CASE vec_id % 3 WHEN 0 THEN 'tagged' WHEN 1 THEN 'plain' ELSE 'failed' END AS status, count(*) AS n_chunks, CAST(sum(CASE WHEN vec_id % 3 < 2 THEN 64 ELSE 0 END) AS BIGINT) AS n_values, round(sum(CASE WHEN vec_id % 3 < 2 THEN list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) END), 4) AS total FROM embeddings GROUP BY ALL")
+def decoder_counts(spark, d):
+    """Chunks in three forms: one for the first decoder, one for its fallback, one that none can read."""
+    import numpy as np
+
+    def tagged(raw):
+        return [np.frombuffer(x, "<f8", offset=1) if len(x) % 8 == 1 and x[:1] == b"D" else None for x in raw]
+
+    def plain(raw):
+        return [np.frombuffer(x, "<f8") if x and len(x) % 8 == 0 else None for x in raw]
+
+    e = V.table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+    form = F.col("vec_id") % 3
+    data = F.when(form == 0, F.concat(F.lit(bytearray(b"D")), "b")).when(form == 1, F.col("b")).otherwise(F.lit(bytearray(b"no numbers")))
+    read = R.decode_batches(e.withColumn("b", R.packed_values("v")).select("label", data.alias("data")), {"tagged": tagged, "plain": plain})
+    sums = read.groupBy("label", "status").agg(F.round(F.sum(F.aggregate("values", F.lit(0.0), lambda a, x: a + x)), 4).alias("total"))
+    return R.decoder_counts(read, ("label",)).join(sums, ["label", "status"])
+
+
 @query("SELECT vec_id, CAST(i - 1 AS INT) AS pos, CAST(embedding[i] AS DOUBLE) AS value FROM embeddings, unnest(range(1, 65)) AS u(i)")
 def bytes_to_array(spark, d):
     e = V.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))

@@ -731,3 +731,18 @@ def fetch_ranges(spark, d):
     ranges = starts.select(F.col("path").alias("uri"), "offset", F.least(F.lit(size), F.col("size") - F.col("offset")).alias("length"))
     got = O.fetch_ranges(ranges, 8)
     return got.select(F.substring_index("uri", "/", -1).alias("file"), "offset", "length", F.octet_length("data").alias("n_read"), "status")
+
+
+@query("SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice, 'ok' AS status FROM orders")
+def fetch_records(spark, d):
+    """Orders written as records of 32 bytes, each fetched as a range of its own and read back: what ranges hold, not only how long they are.
+
+    Spans of 64 KiB are read by different tasks, whole at a time."""
+    from ..sources.scratch import shared_path
+
+    path = shared_path(spark, "records")
+    V.table(spark, d, "orders").select(F.format_string("%015d%016.2f", "o_orderkey", F.col("o_totalprice").cast("double")).alias("value")).write.text(path)
+    files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size"))
+    ranges = files.where("size > 0").select(F.col("path").alias("uri"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size") - 32, F.lit(32).cast("bigint"))).alias("offset"), F.lit(32).cast("bigint").alias("length"))
+    text = F.decode("data", "UTF-8")
+    return O.fetch_ranges(ranges, 16, span=65_536).select(F.substring(text, 1, 15).cast("bigint").alias("o_orderkey"), F.substring(text, 16, 16).cast("double").alias("o_totalprice"), "status")

@@ -38,6 +38,12 @@ def delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def delete_table(df: DataFrame) -> None:
+    """Remove the files of a table of `shared_table` that is not read again."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        delete(df.sparkSession, folder)
+
+
 @contextlib.contextmanager
 def shuffles_end(spark: SparkSession) -> Iterator[None]:
     """Spark deletes the shuffle files of an execution within this block when it ends: what it wrote is in a table then."""

@@ -55,12 +55,28 @@ def expected_files(runs: DataFrame, members: int, hours: tuple[int, int, int], p
     return grid.withColumn("path", F.format_string(pattern, F.date_format("run_time", "yyyyMMdd"), F.date_format("run_time", "HH"), "member", "forecast_hour"))
 
 
-def fetch_ranges(refs: DataFrame, partitions: int, retries: int = 3, suffix: str = ".grib2") -> DataFrame:
-    """`data` (bytes) and `status` of each (uri, offset, length), read in order of offset, each file opened once in a task.
-
-    A path that is not there is tried with `suffix`; a `base64:` value is its own data. Reading goes through fsspec if it is there,
-    else only local files can be read; a failed read is a null and its error.
+def fetch_ranges(refs: DataFrame, partitions: int, retries: int = 3, suffix: str = ".grib2", span: int = 64 << 20, near: int = 64 << 10) -> DataFrame:
+    """`data` (bytes), `status` and `read_from` of each (uri, offset, length).
+
+    A file is split by offset into spans of `span` bytes, each of which is one task's, so many tasks read one large file and
+    a file is opened once for a span. Within a span, ranges with gaps of at most `near` bytes are one read, which ranges
+    share and which begins at `read_from` (null where nothing was read). Memory is
+    bounded by a span and the longest range. A path that is not there is tried with `suffix`; a `base64:` value is its own data.
+    Null offsets and lengths are 'null range'. Reading goes through fsspec if it is there, else only local files can be read;
+    a failed read is a null and its error for all ranges that share it. A range past the end of its file has what there is.
     """
+    inline = F.col("uri").startswith("base64:")
+    is_range = F.coalesce(~inline, F.lit(False)) & F.col("offset").isNotNull() & F.col("length").isNotNull()
+    start, end = F.col("offset"), F.col("offset") + F.col("length")
+    names = refs.columns
+    placed = refs.withColumns({"_range": is_range, "_span": F.when(is_range, F.floor(start / span)).otherwise(F.pmod(F.xxhash64("uri", "offset"), F.lit(partitions)))})
+    # gaps and islands: a range that begins over `near` bytes past the end of all before it begins a read
+    order = Window.partitionBy("uri", "_span", "_range").orderBy("offset", "length")
+    reached = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(reached.isNull() | (start - reached > near), 1).otherwise(0)
+    numbered = placed.withColumn("_begins", begins).withColumn("_read", F.sum("_begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    of_read = Window.partitionBy("uri", "_span", "_range", "_read")
+    spread = numbered.withColumns({"_from": F.min(start).over(of_read), "_to": F.max(end).over(of_read)}).drop("_begins")
 
     def fetch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import base64
@@ -70,6 +86,7 @@ def fetch_ranges(refs: DataFrame, partitions: int, retries: int = 3, suffix: str
         except ImportError:
             opener = None
         held: list = [None, None]  # the last path and its open file
+        block: list = [None, b"", "ok"]  # the last read (path, from), its bytes and status
 
         def read(uri: str, offset: int, length: int) -> bytes:
             if held[0] != uri:
@@ -83,32 +100,42 @@ def fetch_ranges(refs: DataFrame, partitions: int, retries: int = 3, suffix: str
                 held[1].close()
             held[:] = None, None
 
+        def load(uri: str, first: int, length: int) -> None:
+            if block[0] == (uri, first):
+                return
+            got, said = b"", "ok"
+            for _ in range(retries):
+                try:
+                    try:
+                        got = read(uri, first, length)
+                    except FileNotFoundError:
+                        got = read(uri + suffix, first, length)
+                    said = "ok"
+                    break
+                except OSError as e:
+                    said = type(e).__name__
+                    close()
+            block[:] = (uri, first), got, said
+
         for part in parts:
-            data, status = [], []
-            for uri, offset, length in zip(part.uri, part.offset, part.length, strict=True):
-                got, said = None, "ok"
-                if uri.startswith("base64:"):
-                    data.append(base64.b64decode(uri[7:]))
-                    status.append("inline")
+            data, status, began = [], [], []
+            for uri, offset, length, whole, first, last in zip(part.uri, part.offset, part.length, part._range, part._from, part._to, strict=True):
+                if not whole:
+                    known = isinstance(uri, str) and uri.startswith("base64:")
+                    data.append(base64.b64decode(uri[7:]) if known else None)
+                    status.append("inline" if known else "null range")
+                    began.append(None)
                     continue
-                for _ in range(retries):
-                    try:
-                        try:
-                            got = read(uri, int(offset), int(length))
-                        except FileNotFoundError:
-                            got = read(uri + suffix, int(offset), int(length))
-                        said = "ok"
-                        break
-                    except OSError as e:
-                        said = type(e).__name__
-                        close()
-                data.append(got)
-                status.append(said)
-            yield part.assign(data=data, status=status)
+                first, offset, length = int(first), int(offset), int(length)
+                load(uri, first, int(last) - first)
+                data.append(block[1][offset - first : offset - first + length] if block[2] == "ok" else None)
+                status.append(block[2])
+                began.append(first if block[2] == "ok" else None)
+            yield part[names].assign(data=data, status=status, read_from=pd.array(began, "Int64"))
         close()
 
-    near = refs.repartition(partitions, "uri").sortWithinPartitions("uri", "offset")
-    return near.mapInPandas(fetch, refs.withColumns({"data": F.lit(None).cast("binary"), "status": F.lit("")}).schema)
+    schema = refs.withColumns({"data": F.lit(None).cast("binary"), "status": F.lit(""), "read_from": F.lit(None).cast("bigint")}).schema
+    return spread.repartition(partitions, "uri", "_span").sortWithinPartitions("uri", "_span", "_from", "offset").mapInPandas(fetch, schema)
 
 
 def discover_members(files: DataFrame, pattern: str = r"/(gep\d{2}|control|ens\d{2})\.", path: str = "path") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import datetime
 import json
+import math
 import os
 import struct
 
@@ -286,3 +287,103 @@ def test_late_rows_are_counted_and_open_windows_kept(spark, tmp_path):
     assert streams.late_rows(run) == 2  # one row, in two windows
     totals = {(r.window_end - at(0)).total_seconds() / 3600: r.total for r in streams.latest_totals(spark.read.parquet(f"{tmp_path}/out")).collect()}
     assert totals == {12: 7.0, 24: 7.0, 312: 40.0, 324: 40.0}
+
+
+def test_chunks_of_arrays_of_any_dimensions(spark):
+    """Arrays of three, two, one and no dimensions, with edges that chunks hang over, against numpy."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    arrays = {"a": ((5, 7, 3), (2, 3, 3)), "b": ((4, 9), (4, 2)), "c": ((10,), (4,)), "d": ((), ())}
+    chunks, metadata, want = [], [], {}
+    for name, (shape, sizes) in arrays.items():
+        whole = rng.random(shape)
+        want |= {(name, at): (float(v), int(np.ravel_multi_index(at, shape)) if shape else 0) for at, v in np.ndenumerate(whole)}
+        metadata.append((name, list(shape), list(sizes)))
+        counts = tuple(-(-n // c) for n, c in zip(shape, sizes, strict=True))
+        padded = np.full(tuple(n * c for n, c in zip(counts, sizes, strict=True)), -1.0)
+        padded[tuple(slice(0, n) for n in shape)] = whole
+        for number in np.ndindex(*counts):
+            part = padded[tuple(slice(i * c, (i + 1) * c) for i, c in zip(number, sizes, strict=True))]
+            chunks.append((name, list(map(int, number)), [float(x) for x in part.ravel()]))
+    form = "array STRING, chunk ARRAY<INT>, values ARRAY<DOUBLE>"
+    about = spark.createDataFrame(metadata, "array STRING, shape ARRAY<INT>, chunks ARRAY<INT>")
+    got = store.assemble_grid(spark.createDataFrame([*chunks, ("a", [0, 0, 0], None)], form), about).collect()
+    assert {(r.array, tuple(r["at"])): (r.value, r.place) for r in got} == want and len(got) == len(want)
+    assert store.assemble_grid(spark.createDataFrame([], form), about).isEmpty()
+    with pytest.raises(Exception, match="another form"):
+        store.assemble_grid(spark.createDataFrame([("b", [0, 0], [1.0])], form), about).collect()
+
+
+def test_batches_go_to_the_next_decoder_with_what_is_left(spark):
+    import numpy as np
+
+    def doubles(raw):
+        return [np.frombuffer(x, "<f8") if len(x) % 8 == 0 else None for x in raw]
+
+    def broken(raw):
+        raise ValueError("none of them")
+
+    rows = [(1, bytearray(struct.pack("<2d", 1.5, float("nan")))), (2, bytearray(b"\x07")), (3, None), (4, bytearray(b"abc")), (5, bytearray(b""))]
+    df = spark.createDataFrame(rows, "id INT, data BINARY")
+    out = store.decode_batches(df, {"broken": broken, "doubles": doubles, "one": lambda raw: [list(x) if len(x) == 1 else None for x in raw]})
+    got = {r.id: (r["values"], r.status) for r in out.collect()}
+    assert got[1][0][0] == 1.5 and math.isnan(got[1][0][1]) and got[1][1] == "doubles"
+    assert got[2] == ([7.0], "one") and got[3] == (None, "missing") and got[4] == (None, "failed") and got[5] == ([], "doubles")
+    assert {(r.status, r.n_chunks, r.n_values) for r in store.decoder_counts(out).collect()} == {("doubles", 2, 2), ("one", 1, 1), ("missing", 1, 0), ("failed", 1, 0)}
+
+
+def test_runs_of_a_hot_key_are_found_over_buckets(spark):
+    """Half of all rows have one key; buckets of 16 days, some without runs and some without targets; against brute force."""
+    import random
+
+    rng, start = random.Random(5), datetime.date(2020, 1, 1)
+    day = lambda: start + datetime.timedelta(rng.choice([rng.randrange(40), 300 + rng.randrange(60), 900, 2000 - rng.randrange(5000)]))
+    keys = ["hot"] * 200 + [None] * 20 + [f"k{i % 30}" for i in range(180)]
+    runs, targets = [(k, day()) for k in keys], [(k, day()) for k in keys] + [("hot", None), ("alone", start)]
+    of_key = {}
+    for k, d in runs:
+        of_key.setdefault(k, set()).add(d)
+    def brute(k, d):
+        mine = of_key.get(k)
+        return None if not mine else max(mine) if d is None else min(mine, key=lambda r: (abs((r - d).days), -r.toordinal()))
+    found = joins.nearest_run(spark.createDataFrame(targets, "k STRING, target_date DATE"), spark.createDataFrame(runs, "k STRING, run_date DATE"), "k", bucket_days=16).collect()
+    assert {(r.k, r.target_date): r.run_date for r in found} == {(k, d): brute(k, d) for k, d in targets} and len(found) == len(set(targets))
+
+
+def test_percentiles_by_selection(spark):
+    """Several rounds, ties over wanted ranks, missing values and variables without any, against numpy."""
+    import numpy as np
+
+    rng = np.random.default_rng(11)
+    of = {"wide": rng.normal(size=4000), "ties": np.repeat([1.0, 2.0, 3.0], [2500, 400, 100]), "few": np.array([4.0, 9.0]), "one": np.array([5.0]), "half": np.concatenate([np.zeros(1500), rng.random(1500)])}
+    rows = [(n, float(v)) for n, vs in of.items() for v in vs] + [("wide", float("nan")), ("wide", None), ("none", None), ("none", float("nan"))]
+    got = {r.varname: r for r in aggregates.percentile_thresholds(spark.createDataFrame(rows, "varname STRING, value DOUBLE"), small=20).collect()}
+    assert set(got) == {*of, "none"}
+    for name, values in of.items():
+        for p in (25, 50, 75, 90, 95, 99):
+            assert got[name][f"p{p}"] == pytest.approx(np.percentile(values, p), abs=1e-6), (name, p)
+    assert got["none"].p50 is None
+
+
+def test_ranges_of_one_file_are_read_by_several_tasks(spark, tmp_path):
+    """Near ranges share reads, and far ones do not; equal and overlapping ranges have their own bytes; null ranges are named."""
+    raw = bytes(i * i % 251 for i in range(10_000))
+    (tmp_path / "one").write_bytes(raw)
+    ranges = [(o, n) for o in range(0, 10_000, 100) for n in (10, 130)] + [(0, 10), (9_990, 100), (5_000, 0)]
+    refs = spark.createDataFrame([(f"{tmp_path}/one", o, n) for o, n in ranges] + [(f"{tmp_path}/one", None, 4)], "uri STRING, offset LONG, length LONG").repartition(3)
+    near = stores.fetch_ranges(refs, 8, span=2_000, near=1_000)
+    got = near.where("status = 'ok'").collect()
+    assert sorted((r.offset, r.length) for r in got) == sorted(ranges)
+    assert all(bytes(r.data) == raw[r.offset : r.offset + r.length] for r in got)
+    assert len({r.read_from for r in got}) == 5  # one read for each span
+    assert near.where("status = 'ok'").selectExpr("spark_partition_id() AS p").distinct().count() > 1
+    assert near.where("status = 'null range'").count() == 1
+    apart = stores.fetch_ranges(refs.where("length = 10"), 8, span=2_000, near=5).select("read_from").distinct().count()
+    assert apart == 100
+
+
+def test_inline_values_are_one_line(spark):
+    coords = spark.range(100).selectExpr("'p' AS path", "'step' AS dim", "id AS i", "id AS coord")
+    raw = store.coord_metadata(coords).first().inline
+    assert "\n" not in raw and base64.b64decode(raw[7:], validate=True) == struct.pack("<100d", *range(100))
