@@ -35,9 +35,13 @@ def write_mapping(mapping: DataFrame, path: str) -> None:
 
 
 def load_member_hours(refs: DataFrame) -> DataFrame:
-    """All hours of each member in one store; a later hour overwrites an equal key."""
-    last = F.row_number().over(Window.partitionBy("member", "key").orderBy(F.desc("forecast_hour"), F.desc("uri"), F.desc("offset")))
-    return refs.withColumn("n", last).where("n = 1").drop("n")
+    """All hours of each member in one store; a later hour overwrites an equal key.
+
+    The last reference is an aggregate, so that a key of very many hours or runs is merged before it moves.
+    """
+    rest = [c for c in refs.columns if c not in ("member", "key")]
+    last = refs.groupBy("member", "key").agg(F.max_by(F.struct(*rest), F.struct("forecast_hour", "uri", "offset")).alias("r"))
+    return last.select("member", "key", "r.*").select(*refs.columns)
 
 
 def list_files(spark: SparkSession, path: str, keep: str = ".*", drop: str = r"\.idx$") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from brume.plans import catalog
 from brume.plans import views as V
+from brume.sources import stores as O
 
 DATA = Path("/root/testdata/sf0.001")
 with_tables = pytest.mark.skipif(not DATA.exists(), reason="the driver's tables are not here")
@@ -32,3 +33,10 @@ def test_messages_are_dealt_by_their_rows(spark, monkeypatch):
 def test_messages_meet_a_template_of_known_size(spark, name):
     """No join of a message table with the template shuffles the messages by their few attrs."""
     assert "hashpartitioning(attrs" not in planned(catalog.queries()[name](spark, str(DATA)))
+
+
+def test_a_key_of_many_hours_is_merged_before_it_moves(spark):
+    hours = spark.range(1000).select(F.lit(1).alias("member"), F.lit("a").alias("key"), (F.col("id") % 500).cast("int").alias("forecast_hour"), F.format_string("f%04d", "id").alias("uri"), F.col("id").alias("offset"), F.lit(None).cast("bigint").alias("length"))
+    last = O.load_member_hours(hours)
+    assert [tuple(r) for r in last.collect()] == [(1, "a", 499, "f0999", 999, None)]
+    assert last.columns == hours.columns and "Window" not in planned(last)
