@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from brume.operators import store as R
 from brume.plans import catalog
 from brume.plans import views as V
 from brume.sources import stores as O
@@ -40,3 +41,17 @@ def test_a_key_of_many_hours_is_merged_before_it_moves(spark):
     last = O.load_member_hours(hours)
     assert [tuple(r) for r in last.collect()] == [(1, "a", 499, "f0999", 999, None)]
     assert last.columns == hours.columns and "Window" not in planned(last)
+
+
+def test_chunks_are_not_regrouped(spark):
+    """Chunks of arrays of different dims stay one row each, in as many tasks as asked for; a dim more than the array has fails."""
+    refs = spark.createDataFrame([("a/1.0", 5), ("b/0", 6), ("c/0", 7)], "key STRING, offset LONG").withColumns({"uri": F.lit("u"), "length": F.lit(1).cast("bigint")})
+    coords = spark.createDataFrame([("a", "time", 1, 100), ("a", "step", 0, 3), ("b", "time", 0, 200)], "path STRING, dim STRING, i INT, coord LONG")
+    arrays = spark.createDataFrame([("a", 0, "time", 1, 2), ("a", 1, "step", 1, 1), ("b", 0, "time", 1, 1), ("c", 0, "cell", 5, 5)], "path STRING, pos INT, dim STRING, chunk_size INT, size INT")
+    out = R.extract_chunk_index(refs, coords, arrays, 7)
+    assert {r.key: r["at"] for r in out.collect()} == {"a/1.0": {"time": 100, "step": 3}, "b/0": {"time": 200}, "c/0": None}
+    assert "collect_list" not in planned(out) and "hashpartitioning(path" in planned(out)
+    with pytest.raises(Exception, match="no rule for a dim"):
+        R.extract_chunk_index(refs.withColumn("key", F.concat("key", F.lit(".0"))), coords, arrays).collect()
+    with pytest.raises(Exception, match="two coordinates"):
+        R.extract_chunk_index(refs, coords.unionByName(coords), arrays).collect()
