@@ -343,7 +343,7 @@ def reinflate(spark, d):
     """The whole stores of all four axes: chunks, arrays and coordinates with their bytes. The index is worked out once and written, as are the axes and the few rows of metadata."""
     from ..sources.scratch import shared_table
 
-    index = shared_table(R.place_levels(kindex(spark, d)), "index")
+    index = shared_table(R.place_levels(shared_table(kindex(spark, d), "chunks")), "index")
     axes = shared_table(all_axes(spark, index), "axes")
     return R.store_chunks(axes, index).unionByName(shared_table(R.store_metadata(axes, index), "metadata"))
 

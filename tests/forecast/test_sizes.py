@@ -55,3 +55,11 @@ def test_chunks_are_not_regrouped(spark):
         R.extract_chunk_index(refs.withColumn("key", F.concat("key", F.lit(".0"))), coords, arrays).collect()
     with pytest.raises(Exception, match="two coordinates"):
         R.extract_chunk_index(refs, coords.unionByName(coords), arrays).collect()
+
+
+def test_one_chunk_of_a_time_and_step_meets_the_axes(spark):
+    placed = spark.createDataFrame([(i, 3, "p", "v", 0, [500.0], f"u{9 - i % 10}", i, 1) for i in range(100)], "time INT, step_h INT, path STRING, varname STRING, k LONG, levels ARRAY<DOUBLE>, uri STRING, offset LONG, length LONG").withColumns({"time": F.col("time") * 0, "valid_time": F.col("time")})
+    axes = spark.createDataFrame([(a, 0, 3, [0]) for a in ("x", "y")], "axis STRING, time INT, step_h INT, place ARRAY<LONG>")
+    out = R.store_chunks(axes, placed)
+    assert sorted((r.axis, r.key, r.uri, r.offset) for r in out.collect()) == [(a, "p/v/0.0.0", "u0", 9) for a in ("x", "y")]
+    assert planned(out).count("min_by") >= 4  # before the join and after it
