@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 import pytest
@@ -63,3 +64,14 @@ def test_one_chunk_of_a_time_and_step_meets_the_axes(spark):
     out = R.store_chunks(axes, placed)
     assert sorted((r.axis, r.key, r.uri, r.offset) for r in out.collect()) == [(a, "p/v/0.0.0", "u0", 9) for a in ("x", "y")]
     assert planned(out).count("min_by") >= 4  # before the join and after it
+
+
+@with_tables
+@pytest.mark.parametrize("name", ["dedupe_attrs", "fmrc_horizon", "select_variables", "step_position", "unique_groups", "variable_inventory", "message_length", "chunk_ref_kind", "local_time_window", "mapper", "max_hour"])
+def test_queries_sort_messages_as_dealt(spark, monkeypatch, name):
+    """Messages are sorted in partitions that grow with their rows, not in the shuffle's fixed number of them."""
+    monkeypatch.setattr(V, "ROWS_A_TASK", 500, raising=False)
+    plan = planned(catalog.queries()[name](spark, str(DATA)))
+    n = V.tasks_for(V.table(spark, str(DATA), "lineitem"), V.table(spark, str(DATA), "orders"))
+    assert n > 4 and re.search(rf"hashpartitioning\(l_orderkey#\d+L?, {n}\), REPARTITION_BY_NUM", plan)
+    assert not re.search(r"hashpartitioning\((l_orderkey|file)#\d+L?(, attrs#\d+)?, \d+\), ENSURE_REQUIREMENTS", plan)
