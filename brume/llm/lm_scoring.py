@@ -48,8 +48,10 @@ NUMBER_BITS = 40  # of a number, those that count within a bucket; the others ar
 MOST_HOT = 200_000  # a context is hot if it has over one in so many of all tokens, so there are fewer than that
 TOP = 5  # counts above it are not discounted
 END = b"\n"  # no word has this byte
+BATCH = 1 << 19  # bytes of rows that are handed on together
 BLOCK, ASK, ANSWER, TABLE, HOT, WORDS = range(6)  # kinds of rows
 ROWS = "kind int, `order` int, unit long, bucket long, sub long, `to` long, docs array<struct<doc_id: long, held: boolean, n: long>>, parts array<binary>, stats array<long>"
+FIELDS = ["kind", "order", "unit", "bucket", "to"]  # of rows, beside their documents and parts
 TYPES = {
     "kind": pa.int32(), "order": pa.int32(), "unit": pa.int64(), "bucket": pa.int64(), "sub": pa.int64(), "to": pa.int64(),
     "docs": pa.list_(pa.struct([("doc_id", pa.int64()), ("held", pa.bool_()), ("n", pa.int64())])), "parts": pa.list_(pa.binary()), "stats": pa.list_(pa.int64()),
@@ -57,46 +59,86 @@ TYPES = {
 
 
 def _pack(values: np.ndarray) -> bytes:
-    """Eight bytes a value, bytes of equal weight together, then compressed."""
-    values = np.ascontiguousarray(values if values.dtype == np.float64 else values.astype(np.int64))
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T))
+    """Length, least value, bytes a value: of whole numbers the distance to the least, in as few bytes as the largest needs; bytes of equal weight together, compressed.
+
+    Equal values take no bytes. Of doubles all eight bytes are kept.
+    """
+    if values.dtype == np.float64:
+        least, width, bits = 0, 8, np.ascontiguousarray(values).view(np.uint64)
+    else:
+        values = values.astype(np.int64, copy=False)
+        least, most = (int(values.min()), int(values.max())) if len(values) else (0, 0)
+        width = ((most - least).bit_length() + 7) // 8
+        bits = (values - least).view(np.uint64)
+    head = np.array([len(values), least, width], "<i8").tobytes()
+    if not width or not len(values):
+        return head
+    kind = np.dtype("u1") if width == 1 else np.dtype("<u2") if width == 2 else np.dtype("<u4") if width <= 4 else np.dtype("<u8")
+    planes = bits.astype(kind, copy=False).view(np.uint8).reshape(-1, kind.itemsize)[:, :width].T
+    return head + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes))
 
 
 def _unpack(data: bytes, dtype=np.int64) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(8, -1).T).view(dtype).ravel()
+    n, least, width = np.frombuffer(data, "<i8", 3).tolist()
+    if not width or not n:
+        return np.full(n, least, np.int64).astype(dtype, copy=False)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(memoryview(data)[24:]), np.uint8).reshape(width, n)
+    out = planes[width - 1].astype(np.int64)
+    for plane in planes[:-1][::-1]:
+        out <<= 8
+        out |= plane
+    if dtype == np.float64:
+        return out.view(np.float64)
+    out += least
+    return out
+
+
+def _pack_steps(values: np.ndarray) -> bytes:
+    """Numbers that mostly rise by little: the first, and the steps from each to the next."""
+    return values[:1].astype("<i8").tobytes() + _pack(np.diff(values)) if len(values) else b""
+
+
+def _unpack_steps(data: bytes) -> np.ndarray:
+    if not data:
+        return np.zeros(0, np.int64)
+    return np.cumsum(np.append(np.frombuffer(data, "<i8", 1), _unpack(data[8:])))
 
 
 def _pack_codes(values: np.ndarray) -> bytes:
     """Whole numbers from 0 on, of very uneven frequency: the bit length of each, then what is below its first bit, length by length."""
-    values = values.astype(np.int64)
-    length = np.zeros(len(values), np.uint8)
-    for k in (32, 16, 8, 4, 2, 1):
-        length += np.uint8(k) * ((values >> length.astype(np.int64)) >= 1 << k)
-    length += values > 0
-    parts = [length]
-    for n in np.flatnonzero(np.bincount(length, minlength=1)).tolist():
-        if n > 1:
-            below = values[length == n] - (1 << n - 1)
+    values = values.astype(np.int64, copy=False)
+    length = np.frexp(values.astype(np.float64))[1].astype(np.uint8)
+    if len(values) and values.max() >= 1 << 53:  # a double may round these up to one bit more
+        length -= (length > 0) & (values >> np.maximum(length, 1).astype(np.int64) - 1 == 0)
+    order = np.argsort(length, kind="stable")
+    ends = np.cumsum(np.bincount(length, minlength=1)).tolist()
+    parts, ordered = [], values[order]
+    for n in range(2, len(ends)):
+        if ends[n] > ends[n - 1]:
+            below = ordered[ends[n - 1] : ends[n]] - (1 << n - 1)
             parts += [(below >> 8 * k).astype(np.uint8) for k in reversed(range((n + 6) // 8))]
-    packed = [zstandard.ZstdCompressor(level=1).compress(x) for x in parts]
-    return np.array([len(packed), *map(len, packed)], "<u4").tobytes() + b"".join(packed)
+    packed = [zstandard.ZstdCompressor(level=1).compress(x) for x in (length, np.concatenate([np.zeros(0, np.uint8), *parts]))]
+    return len(packed[0]).to_bytes(4, "little") + b"".join(packed)
 
 
 def _unpack_codes(data: bytes) -> np.ndarray:
-    sizes = np.frombuffer(data, "<u4", int(np.frombuffer(data, "<u4", 1)[0]) + 1)[1:]
-    ends = 4 * (len(sizes) + 1) + np.cumsum(sizes.astype(np.int64))
-    parts = [np.frombuffer(zstandard.ZstdDecompressor().decompress(data[e - n : e]), np.uint8) for n, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
-    length, at = parts[0], 1
-    out = (length > 0).astype(np.int64)
-    for n in np.flatnonzero(np.bincount(length, minlength=1)).tolist():
-        if n > 1:
-            places = np.flatnonzero(length == n)
-            below = np.zeros(len(places), np.int64)
+    cut = 4 + int.from_bytes(data[:4], "little")
+    length, rest = (np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8) for x in (memoryview(data)[4:cut], memoryview(data)[cut:]))
+    order = np.argsort(length, kind="stable")
+    ends = np.cumsum(np.bincount(length, minlength=1)).tolist()
+    ordered = (length[order] > 0).astype(np.int64)
+    at = 0
+    for n in range(2, len(ends)):
+        m = ends[n] - ends[n - 1]
+        if m:
+            below = np.zeros(m, np.int64)
             for _ in range((n + 6) // 8):
-                below = below << 8 | parts[at]
-                at += 1
-            out[places] = below + (1 << n - 1)
+                below <<= 8
+                below |= rest[at : at + m]
+                at += m
+            ordered[ends[n - 1] : ends[n]] = below + (1 << n - 1)
+    out = np.empty(len(length), np.int64)
+    out[order] = ordered
     return out
 
 
@@ -124,15 +166,38 @@ def _rows(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r.get(k) for r in rows], t) for k, t in TYPES.items()], names=list(TYPES))
 
 
+def _batched(run: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What makes rows, as a function that gives them in batches of about BATCH bytes."""
+
+    def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        size = 0
+        for row in run(given):
+            held.append(row)
+            size += sum(map(len, row["parts"]))
+            if size >= BATCH:
+                yield _rows(held)
+                held, size = [], 0
+        if held:
+            yield _rows(held)
+
+    return batches
+
+
 def _groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[list[dict]]:
-    """Rows of sorted input, a list for each group."""
+    """Rows of sorted input, a list for each group; documents stay in Arrow."""
     held: list[dict] = []
     for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1).to_pylist()[0]
+        parts, docs = batch.column("parts"), batch.column("docs")
+        fields = [batch.column(k).to_pylist() for k in FIELDS]
+        for i, values in enumerate(zip(*fields, strict=True)):
+            row = dict(zip(FIELDS, values, strict=True))
             if held and any(held[0][k] != row[k] for k in keys):
                 yield held
                 held = []
+            row["parts"] = parts[i].as_py()
+            if row["kind"] == BLOCK:
+                row["docs"] = docs.slice(i, 1).flatten()
             held.append(row)
     if held:
         yield held
@@ -140,8 +205,15 @@ def _groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[list[dict
 
 def _different(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The different values in order, a place of each, and which one each value is."""
-    order = np.argsort(values)
-    ordered = values[order]
+    bits = len(values).bit_length()
+    if len(values) and values.min() >= 0 and int(values.max()).bit_length() + bits <= 63:  # sorted with their places in the low bits
+        both = values.astype(np.int64) << bits
+        both |= np.arange(len(values))
+        both.sort()
+        order, ordered = both & ((1 << bits) - 1), both >> bits
+    else:
+        order = np.argsort(values)
+        ordered = values[order]
     fresh = np.ones(len(values), bool)
     fresh[1:] = ordered[1:] != ordered[:-1]
     which = np.empty(len(values), np.int32)
@@ -149,6 +221,27 @@ def _different(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ordered[fresh], order[fresh], which
 
 
+def _bits(values: np.ndarray) -> int:
+    return int(values.max(initial=0)).bit_length()
+
+
+def _shorter(numbers: np.ndarray) -> np.ndarray:
+    """Numbers from 0 on in fewer bits, in the same order: without the bits that none has in its bucket."""
+    low = numbers & ((1 << NUMBER_BITS) - 1)
+    return (numbers >> NUMBER_BITS) << _bits(low) | low
+
+
+def _ranked(major: np.ndarray, minor: np.ndarray, spare: int = 0) -> np.ndarray:
+    """One number in the order of both, with `spare` bits to spare if ranks can take their place."""
+    bits = _bits(minor)
+    if _bits(major) + bits + spare > 62:
+        major = _different(major)[2].astype(np.int64)
+    if _bits(major) + bits + spare > 62:
+        minor = _different(minor)[2].astype(np.int64)
+        bits = _bits(minor)
+    return major << bits | minor
+
+
 class Cut:
     """Which bits of a bucket's number say how requests are cut: `take` bits after the `used` leading ones of all `bits`."""
 
@@ -184,13 +277,19 @@ class Words:
             yield int(self.digit[a]), [*_pack_bytes(self.words.slice(a, b - a)), _pack(self.count[a:b])]
 
     def answers(self, known: tuple[np.ndarray, ...]) -> Iterator[list[bytes]]:
-        """To each row of requests: counts and numbers."""
+        """To each row of requests: counts, and numbers of those with a count."""
+        count, number = known
         for a, b in zip(self.ends[:-1].tolist(), self.ends[1:].tolist(), strict=True):
-            yield [_pack(x[self.code[a:b]]) for x in known]
+            of = self.code[a:b]
+            counts = count[of]
+            yield [_pack(counts), _pack(number[of[counts > 0]])]
 
     @staticmethod
     def learn(answers: list[list[bytes]]) -> tuple[np.ndarray, ...]:
-        return tuple(_joined([_unpack(r[k]) for r in answers]) for k in range(2))
+        count = _joined([_unpack(r[0]) for r in answers])
+        number = np.full(len(count), -1, np.int64)
+        number[count > 0] = _joined([_unpack(r[1]) for r in answers])
+        return count, number
 
 
 class Grams:
@@ -198,42 +297,47 @@ class Grams:
 
     What asks is a list of entries: a context (its rank in that order, its number and salt, whether its sums are wanted and
     whether it is hot) and mostly a word (its rank, number, own count, and count of the n-gram of the order below).
-    `context_code` and `code` say which different ones these are; `context_at` is an entry of each context.
+    `context_code` and `code` say which different ones these are; `context_at` is an entry of each context. If asked `again`,
+    only these and `want` are worked out, which the answers need.
     """
 
-    def __init__(self, digit: np.ndarray, context_rank: np.ndarray, contexts: tuple[np.ndarray, ...], has: np.ndarray, word_rank: np.ndarray, words: tuple[np.ndarray, ...]):
+    def __init__(self, digit: np.ndarray, context_rank: np.ndarray, contexts: tuple[np.ndarray, ...], has: np.ndarray, word_rank: np.ndarray, words: tuple[np.ndarray, ...], again: bool = False):
         number, salt, want, hot = contexts
         word, own, lower = words
-        kinds = int(word_rank.max(initial=0)) + 2
-        if (int(context_rank.max(initial=0)) + 1) * kinds >= 1 << 62:
+        last = np.where(has, word_rank + 1, 0).astype(np.int64, copy=False)
+        bits = _bits(last)
+        if _bits(context_rank) + bits + len(last).bit_length() > 63:
             context_rank = _different(context_rank)[2].astype(np.int64)
-        key = context_rank * kinds
-        key[has] += word_rank[has] + 1
-        key, at, which = _different(key)
-        context = key // kinds
+        if _bits(context_rank) + bits > 62:
+            last = _different(last)[2].astype(np.int64) + (0 if (last == 0).any() else 1)  # 0 stays what has no word
+            bits = _bits(last)
+        key, at, which = _different(context_rank << bits | last)
+        context = key >> bits
         fresh = np.ones(len(key), bool)
         fresh[1:] = context[1:] != context[:-1]
-        of, worded = np.cumsum(fresh) - 1, key % kinds > 0
+        of, worded = np.cumsum(fresh, dtype=np.int32) - 1, key & ((1 << bits) - 1) > 0
         self.context_at, self.context_code = at[fresh], of[which]
+        self.want = np.zeros(len(self.context_at), bool)
+        self.want[self.context_code[want.astype(bool)]] = True
+        self.code = (np.cumsum(worded, dtype=np.int32) - 1)[which[has]]
+        if again:
+            return
         self.context, self.salt, self.hot, self.digit = number[self.context_at], salt[self.context_at], hot[self.context_at], digit[self.context_at]
-        self.want = np.bincount(self.context_code, want, len(self.context)) > 0
         self.of, at = of[worded], at[worded]
         self.word, self.lower = word[at], lower[at]
-        self.code = (np.cumsum(worded) - 1)[which[has]]
         self.count = np.bincount(self.code, own[has], len(self.of)).astype(np.int64)
 
     @classmethod
     def merged(cls, rows: list[list[bytes]], cut: Cut) -> Grams:
-        number, salt, want, hot, sizes, word, own, lower = (_joined(x) for x in zip(*([np.cumsum(_unpack(r[0])), *map(_unpack, r[1:7]), _unpack_codes(r[7])] for r in rows), strict=True))
+        number, salt, want, hot, sizes, word, own, lower = (_joined(x) for x in zip(*([_unpack_steps(r[0]), *map(_unpack, r[1:7]), _unpack_codes(r[7])] for r in rows), strict=True))
         n = np.maximum(sizes, 1)  # a context without words is an entry too
         has = np.repeat(sizes > 0, n)
         spread = np.zeros((3, len(has)), np.int64)
         spread[:, has] = word, own, lower
-        rank = _different(number)[2].astype(np.int64) * (int(salt.max(initial=0)) + 1) + salt
         digit = cut(((number >> NUMBER_BITS) + salt) & ((1 << cut.bits) - 1))
-        rank += digit * (int(rank.max(initial=0)) + 1)
+        rank = _ranked(digit, _ranked(_shorter(number), salt))
         each = np.repeat(np.arange(len(n)), n)
-        out = cls(digit[each], rank[each], (number[each], salt[each], want[each], hot[each]), has, _different(spread[0])[2].astype(np.int64), tuple(spread))
+        out = cls(digit[each], rank[each], (number[each], salt[each], want[each], hot[each]), has, _shorter(spread[0]), tuple(spread))
         out.row_contexts = out.context_code[np.cumsum(n) - n]
         out.context_ends, out.asked = np.cumsum([0] + [len(_unpack(r[4])) for r in rows]), want > 0
         out.ends = np.concatenate([[0], np.cumsum(sizes)])[out.context_ends]
@@ -245,19 +349,22 @@ class Grams:
         ends = np.concatenate([[0], np.cumsum(sizes)])
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             c, w = slice(a, b), slice(ends[a], ends[b])
-            yield int(self.digit[a]), [_pack(np.diff(self.context[c], prepend=0)), *(_pack(x[c]) for x in (self.salt, self.want, self.hot, sizes)), _pack(self.word[w]), _pack(self.count[w]), _pack_codes(self.lower[w])]
+            yield int(self.digit[a]), [_pack_steps(self.context[c]), *(_pack(x[c]) for x in (self.salt, self.want, self.hot, sizes)), _pack(self.word[w]), _pack(self.count[w]), _pack_codes(self.lower[w])]
 
     def answers(self, known: tuple[np.ndarray, ...]) -> Iterator[list[bytes]]:
-        """To each row of requests: counts and numbers of n-grams, marks of contexts, and sums of those that it wants."""
+        """To each row of requests: counts of n-grams, numbers of those with a count, marks of contexts, and sums of those that it wants."""
         count, number, mark, kinds, mass = known
         for k in range(len(self.ends) - 1):
             of, context = self.code[self.ends[k] : self.ends[k + 1]], slice(self.context_ends[k], self.context_ends[k + 1])
             wanted = self.row_contexts[context][self.asked[context]]
-            yield [_pack(count[of]), _pack(np.diff(number[of], prepend=0)), _pack(mark[self.row_contexts[context]]), _pack(kinds[wanted].ravel()), _pack(mass[wanted])]
+            counts = count[of]
+            yield [_pack(counts), _pack_steps(number[of[counts > 0]]), _pack(mark[self.row_contexts[context]]), _pack(kinds[wanted].ravel()), _pack(mass[wanted])]
 
     def learn(self, answers: list[list[bytes]]) -> tuple[np.ndarray, ...]:
-        count, number, mark = _joined([_unpack(r[0]) for r in answers]), _joined([np.cumsum(_unpack(r[1])) for r in answers]), _joined([_unpack(r[2]) for r in answers])
-        kinds, mass = np.zeros((len(self.context), TOP), np.int64), np.zeros(len(self.context))
+        count, mark = _joined([_unpack(r[0]) for r in answers]), _joined([_unpack(r[2]) for r in answers])
+        number = np.full(len(count), -1, np.int64)
+        number[count > 0] = _joined([_unpack_steps(r[1]) for r in answers])
+        kinds, mass = np.zeros((len(self.context_at), TOP), np.int64), np.zeros(len(self.context_at))
         kinds[self.want] = _joined([_unpack(r[3]) for r in answers]).reshape(-1, TOP)
         mass[self.want] = _joined([_unpack(r[4], np.float64) for r in answers], np.float64)
         return count, number, mark, kinds, mass
@@ -315,8 +422,9 @@ class _Block:
     def __init__(self, row: dict, cut: Cut):
         self.cut = cut
         self.token = _unpack(row["parts"][0]).astype(np.int32)[_unpack_codes(row["parts"][1])]
-        self.n = np.array([d["n"] for d in row["docs"]], np.int64)
-        self.held = np.repeat(np.array([d["held"] for d in row["docs"]], bool), self.n)
+        self.ids, held, n = row["docs"].flatten()
+        self.n = n.to_numpy()
+        self.held = np.repeat(held.to_numpy(zero_copy_only=False), self.n)
         self.start = np.cumsum(self.n) - self.n
         self.orders: dict[int, tuple[np.ndarray, ...]] = {}
 
@@ -335,7 +443,7 @@ class _Block:
         out[self.start] = first
         return out
 
-    def ask(self, m: int, model: Model) -> Grams:
+    def ask(self, m: int, model: Model, again: bool = False) -> Grams:
         """Requests of order m. Only an n-gram whose context and whose n-gram below were seen can have been seen."""
         context = self._before(self.number, 0)
         self.context_count = self._before(self.count, model.trained)
@@ -350,8 +458,8 @@ class _Block:
         self.possible = k[has]
         digit = self.cut(((context >> NUMBER_BITS) + salt) & ((1 << self.cut.bits) - 1))
         code = self._before(self.code + 1, 0)[k].astype(np.int64)
-        rank = (digit * (int(salt.max(initial=0)) + 1) + salt) * (int(code.max(initial=0)) + 1) + code
-        return Grams(digit, rank, (context, salt, (self.held & ~hot)[k], hot[k]), has, self.rank[k], (self.word[k], (~self.held)[k], self.count[k]))
+        rank = _ranked(_ranked(digit, salt), code)
+        return Grams(digit, rank, (context, salt, (self.held & ~hot)[k], hot[k]), has, self.rank[k], (self.word[k], (~self.held)[k], self.count[k]), again)
 
     def learn(self, m: int, asked: Grams, answers: list[list[bytes]], model: Model, hot: tuple[np.ndarray, ...]) -> None:
         """`hot`: context numbers in order, kinds and mass of each."""
@@ -444,27 +552,26 @@ def _learned(rows: list[dict], order: int, cut: Cut, model: Model, hots: dict) -
     block = _Block(rows[0], cut)
     block.learn_words(answers[1], model)
     for m in range(2, order):
-        block.learn(m, block.ask(m, model), answers.pop(m), model, hots.get(m))
+        block.learn(m, block.ask(m, model, again=True), answers.pop(m), model, hots.get(m))
     return block
 
 
 def _ask_words(cut: Cut):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                for digit, parts in Words([row["parts"]], cut).requests():
-                    yield _rows([{"kind": ASK, "order": 1, "unit": row["unit"], "bucket": digit, "parts": parts}])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for rows in _groups(batches, "unit"):
+            for digit, parts in Words([r["parts"] for r in rows], cut).requests():
+                yield {"kind": ASK, "order": 1, "unit": rows[0]["unit"], "bucket": digit, "parts": parts}
 
-    return run
+    return _batched(run)
 
 
 def _ask(order: int, cut: Cut, model: Model, hots: dict):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for rows in _groups(batches, "unit"):
             for digit, parts in _learned(rows, order, cut, model, hots).ask(order, model).requests():
-                yield _rows([{"kind": ASK, "order": order, "unit": rows[0]["unit"], "bucket": digit, "parts": parts}])
+                yield {"kind": ASK, "order": order, "unit": rows[0]["unit"], "bucket": digit, "parts": parts}
 
-    return run
+    return _batched(run)
 
 
 def _gather(order: int) -> Callable:
@@ -474,26 +581,26 @@ def _gather(order: int) -> Callable:
 def _combine(order: int, cut: Cut):
     """Requests of a group of units -> those of the group, cut by further hash bits."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for rows in _groups(batches, "bucket", "to"):
             for digit, parts in _gather(order)([r["parts"] for r in rows], cut).requests():
-                yield _rows([{"kind": ASK, "order": order, "unit": rows[0]["to"], "bucket": rows[0]["bucket"] << cut.take | digit, "parts": parts}])
+                yield {"kind": ASK, "order": order, "unit": rows[0]["to"], "bucket": rows[0]["bucket"] << cut.take | digit, "parts": parts}
 
-    return run
+    return _batched(run)
 
 
 def _spread(order: int, cut: Cut):
     """Requests of a group of units, and the answers to the group -> answers to the units."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for rows in _groups(batches, "bucket", "to"):
             asked = [r for r in rows if r["kind"] == ASK]
             merged = _gather(order)([r["parts"] for r in asked], cut)
             known = merged.learn([r["parts"] for r in rows if r["kind"] == ANSWER])
             for r, parts in zip(asked, merged.answers(known), strict=True):
-                yield _rows([{"kind": ANSWER, "order": order, "unit": r["unit"], "bucket": r["bucket"], "parts": parts}])
+                yield {"kind": ANSWER, "order": order, "unit": r["unit"], "bucket": r["bucket"], "parts": parts}
 
-    return run
+    return _batched(run)
 
 
 def _stats(count: np.ndarray) -> list[int]:
@@ -506,7 +613,7 @@ def _numbers(seen: np.ndarray, rank: np.ndarray, bucket: int) -> np.ndarray:
 
 
 def _settle_words(cut: Cut):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for rows in _groups(batches, "bucket"):
             words, bucket = Words([r["parts"] for r in rows], cut), rows[0]["bucket"]
             order = np.argsort(-words.count, kind="stable")
@@ -514,15 +621,15 @@ def _settle_words(cut: Cut):
             rank[order] = np.arange(len(order))
             seen = words.count > 0
             number = _numbers(seen, rank, bucket)
-            yield _rows([{"kind": TABLE, "order": 1, "bucket": bucket, "parts": [*_pack_bytes(words.words.filter(pa.array(seen))), _pack(words.count[seen]), _pack(number[seen])], "stats": _stats(words.count)}])
+            yield {"kind": TABLE, "order": 1, "bucket": bucket, "parts": [*_pack_bytes(words.words.filter(pa.array(seen))), _pack(words.count[seen]), _pack(number[seen])], "stats": _stats(words.count)}
             for r, parts in zip(rows, words.answers((words.count, number)), strict=True):
-                yield _rows([{"kind": ANSWER, "order": 1, "unit": r["unit"], "bucket": bucket, "parts": parts}])
+                yield {"kind": ANSWER, "order": 1, "unit": r["unit"], "bucket": bucket, "parts": parts}
 
-    return run
+    return _batched(run)
 
 
 def _settle_grams(order: int, cut: Cut, model: Model, last: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for rows in _groups(batches, "bucket"):
             grams, bucket = Grams.merged([r["parts"] for r in rows], cut), rows[0]["bucket"]
             seen = grams.count > 0
@@ -532,15 +639,15 @@ def _settle_grams(order: int, cut: Cut, model: Model, last: bool):
             mass = np.bincount(of, model.discounted(grams.lower[seen], order - 1), n)  # times D(h')
             sizes = np.bincount(of, minlength=n)
             has = sizes > 0
-            yield _rows([{"kind": TABLE, "order": order, "bucket": bucket, "parts": [_pack(np.diff(grams.context[has], prepend=0)), _pack(sizes[has]), _pack(grams.word[seen]), _pack(grams.count[seen])], "stats": _stats(grams.count)}])
+            yield {"kind": TABLE, "order": order, "bucket": bucket, "parts": [_pack_steps(grams.context[has]), _pack(sizes[has]), _pack(grams.word[seen]), _pack(grams.count[seen])], "stats": _stats(grams.count)}
             hot = np.flatnonzero(grams.hot)
             if len(hot):
-                yield _rows([{"kind": HOT, "order": order, "bucket": bucket, "parts": [_pack(grams.context[hot]), _pack(kinds[hot].ravel()), _pack(mass[hot])]}])
+                yield {"kind": HOT, "order": order, "bucket": bucket, "parts": [_pack(grams.context[hot]), _pack(kinds[hot].ravel()), _pack(mass[hot])]}
             mark = (kinds.sum(axis=1) == 0).astype(np.int64)
             for r, parts in zip(rows, grams.answers((grams.count, np.zeros_like(number) if last else number, mark, kinds, mass)), strict=True):
-                yield _rows([{"kind": ANSWER, "order": order, "unit": r["unit"], "bucket": bucket, "parts": parts}])
+                yield {"kind": ANSWER, "order": order, "unit": r["unit"], "bucket": bucket, "parts": parts}
 
-    return run
+    return _batched(run)
 
 
 def _hot_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -559,9 +666,9 @@ def _score(order: int, cut: Cut, model: Model, hots: dict):
             words, token = block.word_count, block.token
             value = np.log10(block.probability(model, order, np.arange(len(token))))
             total = [np.add.reduceat(v, block.start) for v in ((words[token] > 0).astype(np.int64), model.base(words)[token], value)]
-            docs, n = rows[0]["docs"], len(block.n)
+            n = len(block.n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([d["doc_id"] for d in docs], pa.int64()), pa.array([d["held"] for d in docs]), pa.array(block.n), pa.array(total[0]), pa.array(np.full(n, model.tokens)), pa.array(total[1]), pa.array(total[2])], names=names
+                [block.ids, pa.array(block.held[block.start]), pa.array(block.n), pa.array(total[0]), pa.array(np.full(n, model.tokens)), pa.array(total[1]), pa.array(total[2])], names=names
             )
 
     return run

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,6 +135,24 @@ def test_codes_are_packed_without_loss(values):
     assert lm_scoring._unpack(lm_scoring._pack(values - 7)).tolist() == (values - 7).tolist()
 
 
+def test_requests_are_handed_on_together_and_packed_short():
+    """Rows of one block go on in one batch, equal values take no bytes, and rising numbers about a byte a step."""
+    words = pa.array([b"w%d" % i for i in range(2000)], pa.large_binary())
+    row = {"kind": lm_scoring.WORDS, "order": 0, "unit": 5, "parts": [*lm_scoring._pack_bytes(words), lm_scoring._pack(np.ones(2000, np.int64))]}
+    got = list(lm_scoring._ask_words(lm_scoring.Cut(7, 7))(iter([lm_scoring._rows([row])])))
+    assert len(got) == 1 and got[0].num_rows == 128 and set(got[0].column("unit").to_pylist()) == {5}
+    assert len(lm_scoring._pack(np.full(100_000, 1 << 45))) < 32
+    rising = (1 << 45) + np.cumsum(np.random.default_rng(0).integers(0, 256, 5000))
+    assert len(lm_scoring._pack_steps(rising)) < 6000
+    for values in (rising, rising[:1], rising[:0], np.array([-1, 1 << 62, -(1 << 62), -1])):
+        assert lm_scoring._unpack_steps(lm_scoring._pack_steps(values)).tolist() == values.tolist()
+        assert lm_scoring._unpack(lm_scoring._pack(values)).tolist() == values.tolist()
+    for values in (np.array([0.0, -1.5, 1e-9]), np.zeros(0)):
+        assert lm_scoring._unpack(lm_scoring._pack(values), np.float64).tolist() == values.tolist()
+    large = np.array([(1 << 54) - 1, 1 << 54, (1 << 62) - 1, 0, 1])
+    assert lm_scoring._unpack_codes(lm_scoring._pack_codes(large)).tolist() == large.tolist()
+
+
 def test_words_are_told_apart_by_themselves(spark):
     """Two words that any polynomial modulo 2**64 confuses: one trains, the other is held out."""
     one = "a"
