@@ -22,9 +22,10 @@ D(h) and a(h) need: the n-grams of the order below that a seen n-gram backs off
 from counts. A context with more than `hot` tokens is dealt to several buckets by its last words, and their few sums are
 added up and sent to all.
 
-A unit of requests is cut into at most 2 ** `fan_bits` rows. Where there are more buckets than that, units are first merged
-in groups, and the merged ones are cut further, and so on; answers come back the same way. So rows are in proportion to
-the corpus, times the number of such steps.
+A unit of requests is cut into at most 2 ** `fan_bits` rows. Where there are more buckets than that, units are cut in even
+steps: as many are merged as one was cut into rows, so what is merged is about as large as a unit at any size of corpus,
+and the merged ones are cut further, and so on; answers come back the same way. So rows are in proportion to the corpus,
+times the number of such steps.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import delete
+from ..sources.scratch import delete, setting
 from .common import is_space, shared_dir, shuffles_end, slices, text_bytes, text_or_empty, word_starts, written
 from .hashing import mix
 
@@ -49,6 +50,7 @@ MOST_HOT = 200_000  # a context is hot if it has over one in so many of all toke
 TOP = 5  # counts above it are not discounted
 END = b"\n"  # no word has this byte
 BATCH = 1 << 19  # bytes of rows that are handed on together
+READ = "4m"  # of rows that Spark hands to a task's Python together: each batch is held by both
 BLOCK, ASK, ANSWER, TABLE, HOT, WORDS = range(6)  # kinds of rows
 ROWS = "kind int, `order` int, unit long, bucket long, sub long, `to` long, docs array<struct<doc_id: long, held: boolean, n: long>>, parts array<binary>, stats array<long>"
 FIELDS = ["kind", "order", "unit", "bucket", "to"]  # of rows, beside their documents and parts
@@ -210,7 +212,8 @@ def _different(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         both = values.astype(np.int64) << bits
         both |= np.arange(len(values))
         both.sort()
-        order, ordered = both & ((1 << bits) - 1), both >> bits
+        ordered, order = both >> bits, both
+        order &= (1 << bits) - 1
     else:
         order = np.argsort(values)
         ordered = values[order]
@@ -296,50 +299,61 @@ class Grams:
     """Requests for n-grams, merged to different contexts and n-grams, in the order of the cut, context and word.
 
     What asks is a list of entries: a context (its rank in that order, its number and salt, whether its sums are wanted and
-    whether it is hot) and mostly a word (its rank, number, own count, and count of the n-gram of the order below).
+    whether it is hot) and, where it `has` one, a word (its rank, number, own count, and count of the n-gram of the order
+    below). Words are given for these entries only, contexts once for all entries of `each`, if that is given.
     `context_code` and `code` say which different ones these are; `context_at` is an entry of each context. If asked `again`,
     only these and `want` are worked out, which the answers need.
     """
 
-    def __init__(self, digit: np.ndarray, context_rank: np.ndarray, contexts: tuple[np.ndarray, ...], has: np.ndarray, word_rank: np.ndarray, words: tuple[np.ndarray, ...], again: bool = False):
+    def __init__(self, digit: np.ndarray, context_rank: np.ndarray, contexts: tuple[np.ndarray, ...], has: np.ndarray, word_rank: np.ndarray, words: tuple[np.ndarray, ...], again: bool = False, each: np.ndarray | None = None):
         number, salt, want, hot = contexts
         word, own, lower = words
-        last = np.where(has, word_rank + 1, 0).astype(np.int64, copy=False)
+        if each is not None:
+            context_rank, want = context_rank[each], want[each]
+        last = np.zeros(len(has), np.int64)
+        last[has] = word_rank
+        last[has] += 1
         bits = _bits(last)
         if _bits(context_rank) + bits + len(last).bit_length() > 63:
             context_rank = _different(context_rank)[2].astype(np.int64)
         if _bits(context_rank) + bits > 62:
             last = _different(last)[2].astype(np.int64) + (0 if (last == 0).any() else 1)  # 0 stays what has no word
             bits = _bits(last)
-        key, at, which = _different(context_rank << bits | last)
+        last |= context_rank << bits
+        del context_rank
+        key, at, which = _different(last)
+        del last
         context = key >> bits
         fresh = np.ones(len(key), bool)
         fresh[1:] = context[1:] != context[:-1]
         of, worded = np.cumsum(fresh, dtype=np.int32) - 1, key & ((1 << bits) - 1) > 0
+        del key, context
         self.context_at, self.context_code = at[fresh], of[which]
         self.want = np.zeros(len(self.context_at), bool)
-        self.want[self.context_code[want.astype(bool)]] = True
+        self.want[self.context_code[want]] = True
         self.code = (np.cumsum(worded, dtype=np.int32) - 1)[which[has]]
         if again:
             return
-        self.context, self.salt, self.hot, self.digit = number[self.context_at], salt[self.context_at], hot[self.context_at], digit[self.context_at]
-        self.of, at = of[worded], at[worded]
+        given = self.context_at if each is None else each[self.context_at]
+        self.context, self.salt, self.hot, self.digit = number[given], salt[given], hot[given], digit[given]
+        self.of, at = of[worded], (np.cumsum(has) - 1)[at[worded]]
         self.word, self.lower = word[at], lower[at]
-        self.count = np.bincount(self.code, own[has], len(self.of)).astype(np.int64)
+        self.count = np.bincount(self.code, own, len(self.of)).astype(np.int64)
 
     @classmethod
     def merged(cls, rows: list[list[bytes]], cut: Cut) -> Grams:
-        number, salt, want, hot, sizes, word, own, lower = (_joined(x) for x in zip(*([_unpack_steps(r[0]), *map(_unpack, r[1:7]), _unpack_codes(r[7])] for r in rows), strict=True))
+        number, salt, want, hot, sizes, word, own, lower = (  # one after the other, as the pieces of one take as much again
+            _joined([unpack(r[k]) for r in rows]).astype(kind, copy=False)
+            for k, (unpack, kind) in enumerate([(_unpack_steps, np.int64), (_unpack, np.int64), (_unpack, bool), (_unpack, bool), *[(_unpack, np.int64)] * 3, (_unpack_codes, np.int64)])
+        )
         n = np.maximum(sizes, 1)  # a context without words is an entry too
         has = np.repeat(sizes > 0, n)
-        spread = np.zeros((3, len(has)), np.int64)
-        spread[:, has] = word, own, lower
         digit = cut(((number >> NUMBER_BITS) + salt) & ((1 << cut.bits) - 1))
         rank = _ranked(digit, _ranked(_shorter(number), salt))
-        each = np.repeat(np.arange(len(n)), n)
-        out = cls(digit[each], rank[each], (number[each], salt[each], want[each], hot[each]), has, _shorter(spread[0]), tuple(spread))
+        each = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        out = cls(digit, rank, (number, salt, want, hot), has, _shorter(word), (word, own, lower), each=each)
         out.row_contexts = out.context_code[np.cumsum(n) - n]
-        out.context_ends, out.asked = np.cumsum([0] + [len(_unpack(r[4])) for r in rows]), want > 0
+        out.context_ends, out.asked = np.cumsum([0] + [len(_unpack(r[4])) for r in rows]), want
         out.ends = np.concatenate([[0], np.cumsum(sizes)])[out.context_ends]
         return out
 
@@ -459,7 +473,8 @@ class _Block:
         digit = self.cut(((context >> NUMBER_BITS) + salt) & ((1 << self.cut.bits) - 1))
         code = self._before(self.code + 1, 0)[k].astype(np.int64)
         rank = _ranked(_ranked(digit, salt), code)
-        return Grams(digit, rank, (context, salt, (self.held & ~hot)[k], hot[k]), has, self.rank[k], (self.word[k], (~self.held)[k], self.count[k]), again)
+        p = self.possible
+        return Grams(digit, rank, (context, salt, (self.held & ~hot)[k], hot[k]), has, self.rank[p], (self.word[p], ~self.held[p], self.count[p]), again)
 
     def learn(self, m: int, asked: Grams, answers: list[list[bytes]], model: Model, hot: tuple[np.ndarray, ...]) -> None:
         """`hot`: context numbers in order, kinds and mass of each."""
@@ -635,11 +650,14 @@ def _settle_grams(order: int, cut: Cut, model: Model, last: bool):
             seen = grams.count > 0
             number = _numbers(seen, np.cumsum(seen) - 1, bucket)
             of, n = grams.of[seen], len(grams.context)
-            kinds = np.stack([np.bincount(of[grams.count[seen] == r], minlength=n) for r in range(1, TOP + 1)], axis=1)
+            counts = grams.count[seen]
+            kinds = np.zeros((n, TOP), np.int32)
+            for r in range(1, TOP + 1):
+                kinds[:, r - 1] = np.bincount(of[counts == r], minlength=n)
             mass = np.bincount(of, model.discounted(grams.lower[seen], order - 1), n)  # times D(h')
             sizes = np.bincount(of, minlength=n)
             has = sizes > 0
-            yield {"kind": TABLE, "order": order, "bucket": bucket, "parts": [_pack_steps(grams.context[has]), _pack(sizes[has]), _pack(grams.word[seen]), _pack(grams.count[seen])], "stats": _stats(grams.count)}
+            yield {"kind": TABLE, "order": order, "bucket": bucket, "parts": [_pack_steps(grams.context[has]), _pack(sizes[has]), _pack(grams.word[seen]), _pack(counts)], "stats": _stats(grams.count)}
             hot = np.flatnonzero(grams.hot)
             if len(hot):
                 yield {"kind": HOT, "order": order, "bucket": bucket, "parts": [_pack(grams.context[hot]), _pack(kinds[hot].ravel()), _pack(mass[hot])]}
@@ -678,30 +696,31 @@ def _by(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(*keys).sortWithinPartitions(*keys, "kind", "order", "sub", "bucket", "unit")
 
 
-def first_bits(bits: int, fan_bits: int) -> int:
-    """Of the bits of a bucket, those by which units themselves are cut: what `fan_bits` at a time leaves."""
-    return bits - fan_bits * (max(1, -(-bits // fan_bits)) - 1)
+def steps(bits: int, fan_bits: int) -> list[int]:
+    """The bits of a bucket by which units are cut, step by step: `fan_bits` at most, and about as many in each."""
+    n = max(1, -(-bits // fan_bits))
+    return [bits // n + (k < bits % n) for k in range(n)]
 
 
-def _exchange(asked: DataFrame, order: int, bits: int, units: int, fan_bits: int, shares: int, settle) -> tuple[DataFrame, DataFrame]:
+def _exchange(asked: DataFrame, order: int, takes: list[int], units: int, shares: int, settle) -> tuple[DataFrame, DataFrame]:
     """Answers to the units that ask, and the table of the order (with the sums of hot contexts).
 
-    Buckets have `bits` bits. Units are cut by `fan_bits` of them at a time; before each further cut they are merged in
-    groups. Requests are written, and the buckets worked on in shares, so that not all are on their way at once.
+    Units are cut by `takes` bits of a bucket, step by step. Before each further cut they are merged in groups, as many as
+    the last one cut them into, so that a group is about as large as a unit. Requests are written, and the buckets worked
+    on in shares, so that not all are on their way at once.
     """
-    spark, used = asked.sparkSession, first_bits(bits, fan_bits)
+    spark, bits = asked.sparkSession, sum(takes)
     sent: list[tuple[DataFrame, Cut, str]] = []
-    while True:
+    for k in range(len(takes)):
         path = f"{shared_dir(spark)}-asked"
         with shuffles_end(spark):
             asked.write.parquet(path)
         asked = spark.read.schema(ROWS).parquet(path)
-        if used == bits:
+        if k + 1 == len(takes):
             break
-        units = -(-units >> fan_bits) or 1
-        sent.append((asked.withColumn("to", F.pmod(F.xxhash64("unit"), F.lit(units))), Cut(bits, fan_bits, used), path))
+        units = -(-units >> takes[k]) or 1
+        sent.append((asked.withColumn("to", F.pmod(F.xxhash64("unit"), F.lit(units))), Cut(bits, takes[k + 1], sum(takes[: k + 1])), path))
         asked = _by(sent[-1][0], "bucket", "to").mapInArrow(_combine(order, sent[-1][1]), ROWS)
-        used += fan_bits
     settled = None
     for share in range(shares):
         part = written(_by(asked.where(F.col("bucket") % shares == share), "bucket").mapInArrow(settle, ROWS), f"order-{order}")
@@ -709,7 +728,7 @@ def _exchange(asked: DataFrame, order: int, bits: int, units: int, fan_bits: int
     delete(spark, path)
     answers = settled.where(F.col("kind") == ANSWER)
     for dealt, cut, path in reversed(sent):
-        back = answers.withColumns({"to": F.col("unit"), "sub": F.col("bucket"), "bucket": F.shiftright("bucket", fan_bits)})
+        back = answers.withColumns({"to": F.col("unit"), "sub": F.col("bucket"), "bucket": F.shiftright("bucket", cut.take)})
         answers = written(_by(dealt.unionByName(back), "bucket", "to").mapInArrow(_spread(order, cut), ROWS), "answers")
         delete(spark, path)
     return answers, settled.where(F.col("kind") > ANSWER)
@@ -725,14 +744,21 @@ def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 3 << 20, bucket
     block holds `block_bytes` and one text more. Each order's buckets are worked on in so many `shares`, one after the other.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
-    spark = docs.sparkSession
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", READ):
+        return written(_scored(texts, order, block_bytes, bucket_tokens, fan_bits, shares, hot), "scores")
+
+
+def _scored(texts: DataFrame, order: int, block_bytes: int, bucket_tokens: int, fan_bits: int, shares: int, hot: int | None) -> DataFrame:
+    """The scores of (doc_id, text), all but the last step worked out and written."""
+    spark = texts.sparkSession
     path = f"{shared_dir(spark)}-blocks"
     texts.mapInArrow(_tokenise(block_bytes), ROWS).write.partitionBy("kind").parquet(path)
     made = spark.read.schema(ROWS).parquet(path).select("kind", *(c for c in TYPES if c != "kind"))
     blocks, words = made.where(F.col("kind") == BLOCK), made.where(F.col("kind") == WORDS)
     units, tokens, trained = (int(x or 0) for x in blocks.agg(F.count("*"), F.sum(F.col("stats")[0]), F.sum(F.col("stats")[1])).first())
     bits = max(3, (-(-tokens // bucket_tokens) - 1).bit_length())
-    first, whole = Cut(bits, first_bits(bits, fan_bits)), Cut(bits, 0, bits)
+    takes = steps(bits, fan_bits)
+    first, whole = Cut(bits, takes[0]), Cut(bits, 0, bits)
     hot = hot or max(bucket_tokens // 8, tokens // MOST_HOT)
     sums = [F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)).alias(f"s{i}") for i in range(TOP + 3)]
     answers: list[DataFrame] = []
@@ -748,7 +774,7 @@ def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 3 << 20, bucket
 
     for m in range(1, order + 1):
         asked = words.mapInArrow(_ask_words(first), ROWS) if m == 1 else met().mapInArrow(_ask(m, first, model, hots), ROWS)
-        got, table = _exchange(asked, m, bits, units, fan_bits, shares, _settle_words(whole) if m == 1 else _settle_grams(m, whole, model, m == order))
+        got, table = _exchange(asked, m, takes, units, shares, _settle_words(whole) if m == 1 else _settle_grams(m, whole, model, m == order))
         answers.append(got)
         if m == 1:
             delete(spark, f"{path}/kind={WORDS}")  # these are in the table of words now

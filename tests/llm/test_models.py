@@ -128,6 +128,24 @@ def test_scores_by_many_buckets_and_split_contexts(spark, options):
     assert Counter((r.doc_id, round(r.score, 5)) for r in got) == brute_orders(rows, 3)
 
 
+def test_what_is_merged_is_about_as_large_as_a_unit(spark, monkeypatch):
+    """More buckets than one cut makes: no group of requests grows with the number of units."""
+    rows = [(i, " ".join(f"w{random.Random(i).randrange(4000) + k}" for k in range(60))) for i in range(160)]
+    groups, by = Counter(), lm_scoring._by
+
+    def noted(df, *keys):
+        if keys == ("bucket", "to"):
+            for r in df.where(F.col("kind") == lm_scoring.ASK).select(*keys, "parts").collect():
+                groups[r.bucket, r.to] += len(lm_scoring._unpack(bytes(r.parts[2])))
+        return by(df, *keys)
+
+    monkeypatch.setattr(lm_scoring, "_by", noted)
+    got = lm_scoring.score(table(spark, rows), order=1, block_bytes=1, bucket_tokens=16)
+    asked = sum(groups.values())
+    assert asked >= 160 * 61 and max(groups.values()) <= 4 * asked / 160
+    assert Counter((r.doc_id, round(r.score, 5)) for r in got.collect()) == brute_orders(rows, 1)
+
+
 @pytest.mark.parametrize("values", [[], [0], [5, 0, 0, 300, 70_000, 1, 2, 16_777_216], list(range(3000))])
 def test_codes_are_packed_without_loss(values):
     values = np.array(values, np.int64)
