@@ -30,6 +30,7 @@ times the number of such steps.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -702,36 +703,43 @@ def steps(bits: int, fan_bits: int) -> list[int]:
     return [bits // n + (k < bits % n) for k in range(n)]
 
 
-def _exchange(asked: DataFrame, order: int, takes: list[int], units: int, shares: int, settle) -> tuple[DataFrame, DataFrame]:
+def _answered(asked: DataFrame, order: int, takes: list[int], step: int, units: int, settle) -> tuple[DataFrame, DataFrame]:
+    """Answers to written requests that are cut by the first `takes`, up to `step`, and the tables of their buckets."""
+    spark = asked.sparkSession
+    if step + 1 == len(takes):
+        settled = written(_by(asked, "bucket").mapInArrow(settle, ROWS), f"order-{order}")
+        return settled.where(F.col("kind") == ANSWER), settled.where(F.col("kind") > ANSWER)
+    units = -(-units >> takes[step]) or 1
+    cut = Cut(sum(takes), takes[step + 1], sum(takes[: step + 1]))
+    dealt = asked.withColumn("to", F.pmod(F.xxhash64("unit"), F.lit(units)))
+    path = f"{shared_dir(spark)}-asked"
+    with shuffles_end(spark):
+        _by(dealt, "bucket", "to").mapInArrow(_combine(order, cut), ROWS).write.parquet(path)
+    answers, table = _answered(spark.read.schema(ROWS).parquet(path), order, takes, step + 1, units, settle)
+    delete(spark, path)
+    back = answers.withColumns({"to": F.col("unit"), "sub": F.col("bucket"), "bucket": F.shiftright("bucket", cut.take)})
+    return written(_by(dealt.unionByName(back), "bucket", "to").mapInArrow(_spread(order, cut), ROWS), "answers"), table
+
+
+def _exchange(asks: list[DataFrame], order: int, takes: list[int], units: int, shares: int, settle) -> tuple[DataFrame, DataFrame]:
     """Answers to the units that ask, and the table of the order (with the sums of hot contexts).
 
     Units are cut by `takes` bits of a bucket, step by step. Before each further cut they are merged in groups, as many as
-    the last one cut them into, so that a group is about as large as a unit. Requests are written, and the buckets worked
-    on in shares, so that not all are on their way at once.
+    the last one cut them into, so that a group is about as large as a unit. Requests are written, and their buckets worked
+    on in shares, so that not all are on their way at once: twice as many if units are merged, when more is.
     """
-    spark, bits = asked.sparkSession, sum(takes)
-    sent: list[tuple[DataFrame, Cut, str]] = []
-    for k in range(len(takes)):
-        path = f"{shared_dir(spark)}-asked"
+    spark, parts = asks[0].sparkSession, shares if len(takes) == 1 else 2 * shares
+    path = f"{shared_dir(spark)}-asked"
+    for asked in asks:
         with shuffles_end(spark):
-            asked.write.parquet(path)
-        asked = spark.read.schema(ROWS).parquet(path)
-        if k + 1 == len(takes):
-            break
-        units = -(-units >> takes[k]) or 1
-        sent.append((asked.withColumn("to", F.pmod(F.xxhash64("unit"), F.lit(units))), Cut(bits, takes[k + 1], sum(takes[: k + 1])), path))
-        asked = _by(sent[-1][0], "bucket", "to").mapInArrow(_combine(order, sent[-1][1]), ROWS)
-    settled = None
-    for share in range(shares):
-        part = written(_by(asked.where(F.col("bucket") % shares == share), "bucket").mapInArrow(settle, ROWS), f"order-{order}")
-        settled = part if settled is None else settled.unionByName(part)
+            asked.withColumn("share", F.col("bucket") % parts).write.mode("append").partitionBy("share").parquet(path)
+    sent = spark.read.schema(f"{ROWS}, share long").parquet(path)
+    got = []
+    for share in range(parts):
+        got.append(_answered(sent.where(F.col("share") == share).drop("share"), order, takes, 0, units, settle))
+        delete(spark, f"{path}/share={share}")
     delete(spark, path)
-    answers = settled.where(F.col("kind") == ANSWER)
-    for dealt, cut, path in reversed(sent):
-        back = answers.withColumns({"to": F.col("unit"), "sub": F.col("bucket"), "bucket": F.shiftright("bucket", cut.take)})
-        answers = written(_by(dealt.unionByName(back), "bucket", "to").mapInArrow(_spread(order, cut), ROWS), "answers")
-        delete(spark, path)
-    return answers, settled.where(F.col("kind") > ANSWER)
+    return tuple(functools.reduce(DataFrame.unionByName, x) for x in zip(*got, strict=True))
 
 
 def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 3 << 20, bucket_tokens: int = 1_500_000, fan_bits: int = 9, shares: int = 2, hot: int | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -745,11 +753,11 @@ def score(docs: DataFrame, *, order: int = 2, block_bytes: int = 3 << 20, bucket
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
     with setting(docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", READ):
-        return written(_scored(texts, order, block_bytes, bucket_tokens, fan_bits, shares, hot), "scores")
+        return functools.reduce(DataFrame.unionByName, [written(x, "scores") for x in _scored(texts, order, block_bytes, bucket_tokens, fan_bits, shares, hot)])
 
 
-def _scored(texts: DataFrame, order: int, block_bytes: int, bucket_tokens: int, fan_bits: int, shares: int, hot: int | None) -> DataFrame:
-    """The scores of (doc_id, text), all but the last step worked out and written."""
+def _scored(texts: DataFrame, order: int, block_bytes: int, bucket_tokens: int, fan_bits: int, shares: int, hot: int | None) -> list[DataFrame]:
+    """The scores of (doc_id, text) in one share or several, all but the last step worked out and written."""
     spark = texts.sparkSession
     path = f"{shared_dir(spark)}-blocks"
     texts.mapInArrow(_tokenise(block_bytes), ROWS).write.partitionBy("kind").parquet(path)
@@ -766,15 +774,16 @@ def _scored(texts: DataFrame, order: int, block_bytes: int, bucket_tokens: int,
     hots: dict[int, tuple] = {}
     model = None
 
-    def met() -> DataFrame:
-        every = blocks
-        for t in answers:
-            every = every.unionByName(t)
-        return every.repartition("unit").sortWithinPartitions("unit", "order", "bucket")
+    def met(run, schema: str) -> list[DataFrame]:
+        """Blocks with all answers to them; of a large corpus, units are worked on in shares as well."""
+        every = functools.reduce(DataFrame.unionByName, answers, blocks)
+        n = 1 if len(takes) == 1 else shares
+        parts = [every] if n == 1 else [every.where(F.pmod(F.xxhash64("unit"), F.lit(n)) == share) for share in range(n)]
+        return [part.repartition("unit").sortWithinPartitions("unit", "order", "bucket").mapInArrow(run, schema) for part in parts]
 
     for m in range(1, order + 1):
-        asked = words.mapInArrow(_ask_words(first), ROWS) if m == 1 else met().mapInArrow(_ask(m, first, model, hots), ROWS)
-        got, table = _exchange(asked, m, takes, units, shares, _settle_words(whole) if m == 1 else _settle_grams(m, whole, model, m == order))
+        asks = [words.mapInArrow(_ask_words(first), ROWS)] if m == 1 else met(_ask(m, first, model, hots), ROWS)
+        got, table = _exchange(asks, m, takes, units, shares, _settle_words(whole) if m == 1 else _settle_grams(m, whole, model, m == order))
         answers.append(got)
         if m == 1:
             delete(spark, f"{path}/kind={WORDS}")  # these are in the table of words now
@@ -783,7 +792,7 @@ def _scored(texts: DataFrame, order: int, block_bytes: int, bucket_tokens: int,
         heavy = heavy.groupBy("context").agg(*(F.sum(f"k{r}") for r in range(1, TOP + 1)), F.sum("mass").alias("mass")).toPandas().sort_values("context")  # under MOST_HOT rows
         hots[m] = (heavy["context"].to_numpy(np.int64), heavy.iloc[:, 1 : TOP + 1].to_numpy(np.int64), heavy["mass"].to_numpy(np.float64))
         model = Model(stats, trained, hot)
-    return met().mapInArrow(_score(order, first, model, hots), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return met(_score(order, first, model, hots), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op10_lm_scoring(spark, sf_dir: str) -> DataFrame:
